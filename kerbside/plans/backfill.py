@@ -46,13 +46,14 @@ def backfill_day(
     day: str,
     hourly_weather: DataFrame,
     clock: Column | None = None,
+    layout: str = "{day}",
 ) -> None:
     """Load one day's landing files and rebuild its silver and gold partitions.
 
     ``hourly_weather`` (bronze weather rows) is loaded only when the day has no on-the-hour
     weather yet. Running a day again leaves the tables as they are.
     """
-    landing = read_landing(spark, landing_path, day, LANDING_TRAFFIC)
+    landing = read_landing(spark, landing_path, LANDING_TRAFFIC, day, layout)
     if landing.isEmpty():
         raise ValueError(f"no landing rows for {day}")
     bronze = newest_traffic(to_bronze_traffic(landing, clock))

@@ -11,7 +11,7 @@ from kerbside.schemas import INTERVAL_XML, TRAFFIC_MEASURES
 
 # --- fixed values ---
 MAX_FILES_PER_TRIGGER = 200
-LANDING_GLOB = "*/*.json"
+LANDING_FILES = "*.json"
 SIMULATION_SUFFIX = "*_output.xml"
 # --- end of fixed values ---
 
@@ -19,31 +19,32 @@ SIMULATION_SUFFIX = "*_output.xml"
 def read_landing_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int = MAX_FILES_PER_TRIGGER
 ) -> DataFrame:
-    """Stream of the landing files of all dates, a capped number of files per batch."""
+    """Stream of the landing files of all dates, at any depth, a capped number per batch."""
     return (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", LANDING_FILES)
         .option("maxFilesPerTrigger", str(max_files))
-        .json(f"{path}/{LANDING_GLOB}")
+        .json(path)
     )
 
 
-def read_landing(spark: SparkSession, path: str, day: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """Landing files of one date, or of all."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    if day is not None:
-        return reader.json(f"{path}/{day}/*.json")
-    return reader.option("recursiveFileLookup", "true").json(f"{path}/{LANDING_GLOB}")
+def read_landing(
+    spark: SparkSession, path: str, schema: T.StructType, day: str | None = None, layout: str = "{day}"
+) -> DataFrame:
+    """Landing files of all dates, or of the one whose folder ``layout`` names."""
+    folder = path if day is None else f"{path}/{layout.format(day=day)}"
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": LANDING_FILES}
+    return spark.read.schema(schema).options(**options).json(folder)
 
 
 def write_landing(df: DataFrame, path: str) -> None:
-    """One JSON group per date and interval end: ``<path>/date=…/end=…/``.
+    """One JSON group per date and interval end: ``<path>/day=<date>/clock=<hhmm>/``.
 
-    The columns also stay inside the records, as readers of single files expect.
+    Date and end also stay inside the records.
     """
-    copies = df.withColumn("_date", F.col("date")).withColumn("_end", times.compact_clock(F.col("end")))
-    keyed = copies.withColumnsRenamed({"_date": "day", "_end": "clock"})
-    keyed.repartition("day", "clock").write.mode("append").partitionBy("day", "clock").json(path)
+    keyed = df.withColumn("day", F.col("date")).withColumn("clock", times.compact_clock(F.col("end")))
+    keyed.hint("rebalance", F.col("day"), F.col("clock")).write.mode("append").partitionBy("day", "clock").json(path)
 
 
 def decode_topic(messages: DataFrame, schema: T.StructType, key_as_road: bool = False) -> DataFrame:
