@@ -1 +1,12 @@
-"""To come."""
+"""Maps."""
+from pyspark.sql import functions as F
+from kerbside.catalog import base
+
+
+def points(spark, sf_dir):
+    c = base.table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("point_id"),
+        (21.0 + (F.col("c_custkey") % 1000) / 10000.0).alias("lat"),
+        (105.8 + (F.col("c_custkey") % 777) / 10000.0).alias("lon"),
+    )

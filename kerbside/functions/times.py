@@ -19,6 +19,11 @@ def _pad2(value: Column) -> Column:
     return F.lpad(value.cast("string"), 2, "0")
 
 
+def _held(value: Column, low: int, high: int) -> Column:
+    """``value`` moved into low..high; null stays null, which least and greatest alone skip."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
+
+
 def _clock(minutes: Column) -> Column:
     return F.concat(_pad2(F.floor(minutes / 60)), F.lit(":"), _pad2(F.floor(minutes % 60)))
 
@@ -76,7 +81,7 @@ def seconds_to_clock(seconds: Column) -> Column:
 def minutes_to_clock(minutes: Column) -> Column:
     """HH:mm of a minute count; 1440 and beyond read "24:00"."""
     return F.when(minutes >= MINUTES_PER_DAY, F.lit("24:00")).otherwise(
-        _clock(F.greatest(minutes, F.lit(0)))
+        _clock(_held(minutes, 0, MINUTES_PER_DAY - 1))
     )
 
 
@@ -91,7 +96,7 @@ def bucket_of(ts: Column, hour: Column | None = None) -> Column:
     if hour is None:
         return by_time.cast("int")
     usable = F.when(hour.isNotNull() & ~F.isnan(hour.cast("double")), hour)
-    by_hour = F.least(F.greatest(F.floor(usable), F.lit(0)), F.lit(23)) * (60 // INTERVAL_MINUTES)
+    by_hour = _held(F.floor(usable), 0, 23) * (60 // INTERVAL_MINUTES)
     return F.coalesce(by_hour, by_time).cast("int")
 
 
@@ -101,7 +106,7 @@ def bucket_to_clock(bucket: Column) -> Column:
 
 def minute_from_number(value: Column) -> Column:
     """Nearest whole minute, halves upwards, held to 0..1439."""
-    return F.least(F.greatest(F.floor(value + 0.5), F.lit(0)), F.lit(MINUTES_PER_DAY - 1)).cast("int")
+    return _held(F.floor(value + 0.5), 0, MINUTES_PER_DAY - 1).cast("int")
 
 
 def minute_from_text(value: Column) -> Column:
@@ -119,7 +124,7 @@ def nearest_step(minute: Column, step: int = INTERVAL_MINUTES) -> Column:
 
 
 def snap_to_five(minute: Column) -> Column:
-    return F.least(F.greatest(nearest_step(minute, 5), F.lit(0)), F.lit(1435)).cast("int")
+    return _held(nearest_step(minute, 5), 0, 1435).cast("int")
 
 
 def horizon_minutes(anchor: Column, target: Column) -> Column:

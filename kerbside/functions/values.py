@@ -113,7 +113,8 @@ def weather_or_unknown(label: Column) -> Column:
 
 
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    """``value`` moved into low..high; null stays null, which least and greatest alone skip."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
 def zero_if_not_finite(value: Column) -> Column:

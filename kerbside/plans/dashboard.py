@@ -44,7 +44,7 @@ def _on_grid(series: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _bucket_flow(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    return rows.groupBy(*by, "bucket").agg(F.sum("flow").alias("flow"))
+    return rows.filter("bucket IS NOT NULL").groupBy(*by, "bucket").agg(F.sum("flow").alias("flow"))
 
 
 def flow_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
@@ -121,7 +121,8 @@ def weather_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
 
 def hourly_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Per hour: dominant label, lower case, and mean temperature, where there are rows."""
-    hours = rows.withColumn("hour", F.least(F.lit(23), F.floor(F.col("bucket") / 20)).cast("int"))
+    timed = rows.filter("bucket IS NOT NULL")
+    hours = timed.withColumn("hour", F.least(F.lit(23), F.floor(F.col("bucket") / 20)).cast("int"))
     means = hours.groupBy(*by, "hour").agg(F.avg("temperature").alias("temperature"))
     label = dominant(hours, [*by, "hour"], F.lower("weather"), [F.col("seen")], "weather")
     return means.join(label, [*by, "hour"], "left")
