@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from kerbside.catalog import base
 from kerbside.catalog.base import flat, register, with_sql
-from kerbside.functions import times
 from kerbside.operators.aggregates import affected, hourly_flow_stats, lanes_to_roads
 from kerbside.operators.filters import named_roads, on_date
 from kerbside.operators.joins import touched, untouched, with_hour_stats, with_weather
 from kerbside.plans.bronze import to_bronze_traffic, to_bronze_weather
-from kerbside.plans.gold import build_gold, build_gold_by_join, refresh_gold, refresh_gold_from_published, to_contract
+from kerbside.plans.gold import build_gold, build_gold_by_join, refresh_gold, refresh_gold_from_published, to_contract, with_hour
 from kerbside.plans.silver import build_silver, lane_rollup, published
 from kerbside.schemas import GOLD_COLUMNS, HOUR_KEYS
 
@@ -165,9 +164,7 @@ def gold_refresh_published(spark, sf_dir):
     rows = base.silver(spark, sf_dir)
     arrived = touched(rows, _changed(spark, sf_dir), ["road_name", "date", "recordDatetime"])
     stale = rows.withColumns({"peakFlow": F.lit(-1.0), "minFlow": F.lit(-1.0)})
-    table = to_contract(stale).withColumn(
-        "hour", times.hour_of_day(times.parse_minute_text(F.col("recordDatetime")), F.col("date"))
-    )
+    table = with_hour(to_contract(stale))
     return flat(refresh_gold_from_published(arrived, rows, table).select(*GOLD_COLUMNS))
 
 

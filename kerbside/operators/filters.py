@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,13 @@ def on_date(df: DataFrame, day: str | date) -> DataFrame:
     return df.filter(F.col("date") == F.lit(str(day)).cast("date"))
 
 
+def on_parts(df: DataFrame, parts: Mapping[str, Iterable]) -> DataFrame:
+    """Rows whose partition columns have one of the given values; prunes the file listing."""
+    for column, wanted in parts.items():
+        df = df.filter(F.col(column).isin(list(wanted)))
+    return df
+
+
 def on_dates_of(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows on any date that occurs in ``keys``; the date list never visits the driver."""
     return df.join(keys.select("date").distinct(), "date", "left_semi")

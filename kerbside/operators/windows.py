@@ -108,9 +108,12 @@ def last_values(
     grouped = recent.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_at"), *columns))).alias("_recent")
     )
+    def field_of(name: str):
+        return lambda row: row[name]
+
     out = grouped
     for column in columns:
-        seen = F.transform("_recent", lambda r, c=column: r.getField(c))
+        seen = F.transform("_recent", field_of(column))
         padding = F.array_repeat(F.element_at(seen, 1), n - F.size("_recent"))
         out = out.withColumn(f"{column}_last", F.concat(padding, seen))
     return out.drop("_recent")

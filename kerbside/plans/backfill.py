@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators.filters import has_hourly_rows, on_date
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic
-from kerbside.plans.gold import build_gold
+from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import BRONZE_TRAFFIC_KEYS, BRONZE_WEATHER_KEYS, GOLD_KEYS, LANDING_TRAFFIC, SILVER_KEYS
 from kerbside.sources.landing import read_landing
@@ -18,7 +18,11 @@ from kerbside.sources.tables import Layer, exists, read_layer, replace_date, ups
 
 @dataclass(frozen=True)
 class Lake:
-    """The four layer tables under one root."""
+    """The four layer tables under one root.
+
+    Silver and gold are partitioned by date and hour, the grain at which they are recomputed,
+    so that an upsert rewrites hours and not whole days.
+    """
 
     root: str
 
@@ -32,11 +36,11 @@ class Lake:
 
     @property
     def silver(self) -> Layer:
-        return Layer(f"{self.root}/silver", SILVER_KEYS)
+        return Layer(f"{self.root}/silver", SILVER_KEYS, ("date", "hour"))
 
     @property
     def gold(self) -> Layer:
-        return Layer(f"{self.root}/gold", GOLD_KEYS)
+        return Layer(f"{self.root}/gold", GOLD_KEYS, ("date", "hour"))
 
 
 def backfill_day(
@@ -66,4 +70,4 @@ def backfill_day(
     traffic = on_date(read_layer(spark, lake.traffic), day)
     weather = on_date(read_layer(spark, lake.weather), day)
     replace_date(build_silver(traffic, weather, "hour"), lake.silver, day)
-    replace_date(build_gold(on_date(read_layer(spark, lake.silver), day)), lake.gold, day)
+    replace_date(with_hour(build_gold(on_date(read_layer(spark, lake.silver), day))), lake.gold, day)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions import values
+from kerbside.functions import times, values
 from kerbside.operators.aggregates import affected, hourly_flow_stats
 from kerbside.operators.joins import touched, untouched, with_hour_stats
 from kerbside.operators.filters import on_dates_of
@@ -27,6 +27,12 @@ def to_contract(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_hour(gold: DataFrame) -> DataFrame:
+    """Published gold rows with the ``hour`` their table is partitioned by."""
+    ts = times.parse_minute_text(F.col("recordDatetime"))
+    return gold.withColumn("hour", times.hour_of_day(ts, F.col("date")))
+
+
 def build_gold(silver: DataFrame) -> DataFrame:
     """One pass: the hour's extremes come from a window over its at most 60 minute rows."""
     return to_contract(hourly_extremes(silver, HOUR_KEYS))

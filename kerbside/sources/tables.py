@@ -11,6 +11,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,22 +117,20 @@ def _stage(df: DataFrame, layer: Layer) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_partition(df: DataFrame, layer: Layer, predicate: Column) -> None:
-    """Replace the partitions that ``predicate`` names by ``df``.
+def replace_date(df: DataFrame, layer: Layer, day: str) -> None:
+    """Replace one date's rows by ``df``; all other dates stay.
 
-    A row outside the predicate fails the write before the table is touched. Other partitions
-    stay; no rows at all is an error, since then nothing would be replaced.
+    A row of another date fails the write before the table is touched, and no rows at all is
+    an error. The date's folder is replaced whole, finer partitions included.
     """
-    outside = F.raise_error(F.lit("row outside the replaced partition"))
-    guard = F.when(F.coalesce(predicate, F.lit(False)), F.lit(True)).otherwise(outside.cast("boolean"))
-    staged = _stage(df.filter(guard), layer)
+    outside = F.raise_error(F.lit(f"row outside {day}")).cast("boolean")
+    inside = F.coalesce(F.col("date") == F.lit(day).cast("date"), F.lit(False))
+    staged = _stage(df.filter(F.when(inside, F.lit(True)).otherwise(outside)), layer)
     if staged.isEmpty():
-        raise ValueError("no rows to replace the partition with")
-    _overwrite_partitions(staged, layer)
-
-
-def replace_date(df: DataFrame, layer: Layer, day: str) -> None:
-    replace_partition(df, layer, F.col("date") == F.lit(day).cast("date"))
+        raise ValueError(f"no rows to replace {day} with")
+    writer = staged.drop("date").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    finer = [c for c in layer.partition_by if c != "date"]
+    (writer.partitionBy(*finer) if finer else writer).parquet(f"{layer.path}/date={day}")
 
 
 def upsert(df: DataFrame, layer: Layer, order: Sequence[Column] | None = None) -> DataFrame:
@@ -150,19 +150,16 @@ def upsert(df: DataFrame, layer: Layer, order: Sequence[Column] | None = None) -
         if not staged.isEmpty():
             _overwrite_partitions(staged, layer)
         return staged
-    # One row per partition that receives rows: days (and hours) of this write, not of the data.
+    # One row per partition this write touches: its days and hours, not its data.
     parts = staged.select(*layer.partition_by).distinct()
-    current = read_layer(spark, layer)
-    narrowed = current
-    first = layer.partition_by[0]
-    days = [row[0] for row in parts.select(first).distinct().collect()]
-    if all(day is not None for day in days):
-        narrowed = current.filter(F.col(first).isin(days))
-    same_part = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in layer.partition_by]
-    condition = same_part[0]
-    for extra in same_part[1:]:
-        condition = condition & extra
-    rewritten = narrowed.alias("c").join(F.broadcast(parts.alias("p")), condition, "left_semi")
+    touched = parts.collect()
+    narrowed = read_layer(spark, layer)
+    for position, column in enumerate(layer.partition_by):
+        wanted = {row[position] for row in touched}
+        if None not in wanted:
+            narrowed = narrowed.filter(F.col(column).isin(list(wanted)))
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in layer.partition_by]
+    rewritten = narrowed.alias("c").join(F.broadcast(parts.alias("p")), reduce(and_, same), "left_semi")
     kept = rewritten.join(staged.select(*layer.keys), list(layer.keys), "left_anti")
     merged = kept.unionByName(staged, allowMissingColumns=True)
     _overwrite_partitions(_stage(merged, layer), layer)
