@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kerbside.operators.filters import has_hourly_rows, on_date
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic
@@ -13,26 +12,30 @@ from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import BRONZE_TRAFFIC_KEYS, BRONZE_WEATHER_KEYS, GOLD_KEYS, LANDING_TRAFFIC, SILVER_KEYS
 from kerbside.sources.landing import read_landing
-from kerbside.sources.tables import Layer, exists, read_layer, replace_date, upsert
+from kerbside.sources.tables import Layer, append_batch, exists, read_layer, replace_date
+
+# Batch number of backfilled rows; micro-batches count from 0.
+BACKFILL_BATCH = -1
 
 
 @dataclass(frozen=True)
 class Lake:
     """The four layer tables under one root.
 
-    Silver and gold are partitioned by date and hour, the grain at which they are recomputed,
-    so that an upsert rewrites hours and not whole days.
+    Bronze only grows, by numbered batches; its readers keep the newest row per key. Silver
+    and gold are partitioned by date and hour, the grain at which they are
+    recomputed, so that an upsert rewrites hours and not whole days.
     """
 
     root: str
 
     @property
     def traffic(self) -> Layer:
-        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS)
+        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS, ("date", "_batch"))
 
     @property
     def weather(self) -> Layer:
-        return Layer(f"{self.root}/bronze/weather", BRONZE_WEATHER_KEYS)
+        return Layer(f"{self.root}/bronze/weather", BRONZE_WEATHER_KEYS, ("date", "_batch"))
 
     @property
     def silver(self) -> Layer:
@@ -60,14 +63,13 @@ def backfill_day(
     landing = read_landing(spark, landing_path, LANDING_TRAFFIC, day, layout)
     if landing.isEmpty():
         raise ValueError(f"no landing rows for {day}")
-    bronze = newest_traffic(to_bronze_traffic(landing, clock))
-    upsert(bronze, lake.traffic)
+    append_batch(to_bronze_traffic(landing, clock), BACKFILL_BATCH, lake.traffic)
 
     known = exists(spark, lake.weather) and has_hourly_rows(read_layer(spark, lake.weather), day).first()[0]
     if not known:
-        upsert(on_date(hourly_weather, day), lake.weather, order=[F.col("processDatetime").desc()])
+        append_batch(on_date(hourly_weather, day), BACKFILL_BATCH, lake.weather)
 
-    traffic = on_date(read_layer(spark, lake.traffic), day)
+    traffic = newest_traffic(on_date(read_layer(spark, lake.traffic), day))
     weather = on_date(read_layer(spark, lake.weather), day)
     replace_date(build_silver(traffic, weather, "hour"), lake.silver, day)
     replace_date(with_hour(build_gold(on_date(read_layer(spark, lake.silver), day))), lake.gold, day)

@@ -38,13 +38,14 @@ def read_landing(
     return spark.read.schema(schema).options(**options).json(folder)
 
 
-def write_landing(df: DataFrame, path: str) -> None:
-    """One JSON group per date and interval end: ``<path>/day=<date>/clock=<hhmm>/``.
-
-    Date and end also stay inside the records.
-    """
-    keyed = df.withColumn("day", F.col("date")).withColumn("clock", times.compact_clock(F.col("end")))
-    keyed.hint("rebalance", F.col("day"), F.col("clock")).write.mode("append").partitionBy("day", "clock").json(path)
+def write_landing(df: DataFrame, path: str, per_interval: bool = True) -> None:
+    """One JSON group per date and interval end, ``<path>/day=<date>/clock=<hhmm>/``, or per
+    date only. Date and end also stay inside the records."""
+    keys = {"day": F.col("date"), "clock": times.compact_clock(F.col("end"))}
+    if not per_interval:
+        del keys["clock"]
+    keyed = df.withColumns(keys).hint("rebalance", *[F.col(k) for k in keys])
+    keyed.write.mode("append").partitionBy(*keys).json(path)
 
 
 def decode_topic(messages: DataFrame, schema: T.StructType, key_as_road: bool = False) -> DataFrame:

@@ -101,6 +101,13 @@ def append(df: DataFrame, layer: Layer) -> None:
     _by_partition(df, layer).write.mode("append").partitionBy(*layer.partition_by).parquet(layer.path)
 
 
+def append_batch(rows: DataFrame, batch_id: int, layer: Layer) -> None:
+    """Append a numbered batch under its own ``_batch`` partition: running it again replaces
+    what it wrote before and nothing else."""
+    stamped = rows.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+    _overwrite_partitions(_by_partition(stamped, layer), layer)
+
+
 def create(df: DataFrame, layer: Layer) -> None:
     """First write of a table; an error when it exists."""
     _by_partition(df, layer).write.mode("errorifexists").partitionBy(*layer.partition_by).parquet(layer.path)

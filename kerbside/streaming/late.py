@@ -19,7 +19,11 @@ from kerbside.sources.tables import Layer
 WATERMARK_DELAY = "5 minutes"
 # --- end of fixed values ---
 
-PROGRESS = T.StructType([T.StructField("batch", T.LongType()), T.StructField("reached", T.TimestampType())])
+PROGRESS = T.StructType([
+    T.StructField("reached", T.TimestampType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("slot", T.IntegerType()),
+])
 
 
 @dataclass(frozen=True)
@@ -34,25 +38,31 @@ def late_path(layer: Layer) -> str:
 def split_late(rows: DataFrame, batch_id: int, layer: Layer, policy: LatePolicy) -> DataFrame:
     """Move a batch's late rows to the side table; returns the others.
 
-    Progress is one line per batch, under the batch's own partition, so a retry sees the same
-    line of earlier batches and replaces its own.
+    Progress is the greatest event time up to a batch. Two slots take turns, so a batch never
+    overwrites what its predecessor left, and its retry finds the same state again.
     """
     spark = rows.sparkSession
     path = f"{layer.path}.progress"
 
-    def replace_batch(df: DataFrame, target: str, by: list[str]) -> None:
+    def replace_parts(df: DataFrame, target: str, by: list[str]) -> None:
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*by).parquet(target)
 
-    here = F.lit(batch_id).cast("bigint")
-    reached = rows.agg(F.max("rec_ts").alias("reached")).select("reached", here.alias("batch"))
-    replace_batch(reached, path, ["batch"])
-    before = spark.read.schema(PROGRESS).parquet(path).filter(F.col("batch") < batch_id)
-    limit = before.agg((F.max("reached") - F.expr(f"INTERVAL {policy.delay_minutes} MINUTES")).alias("limit")).first()[0]
-    if limit is None:
+    if batch_id == 0:
+        before = None
+    else:
+        earlier = spark.read.schema(PROGRESS).parquet(path).filter(F.col("batch") < batch_id)
+        before = earlier.agg(F.max("reached")).first()[0]
+    known = F.lit(before).cast("timestamp")
+    now = rows.agg(F.greatest(F.max("rec_ts"), known).alias("reached"))
+    line = now.withColumns({"batch": F.lit(batch_id).cast("bigint"), "slot": F.lit(batch_id % 2)})
+    replace_parts(line, path, ["slot"])
+    if before is None:
         return rows
-    is_late = F.coalesce(F.col("rec_ts") < F.lit(limit), F.lit(False))
-    replace_batch(rows.filter(is_late).withColumn("_batch", here), late_path(layer), ["date", "_batch"])
+    limit = known - F.expr(f"INTERVAL {policy.delay_minutes} MINUTES")
+    is_late = F.coalesce(F.col("rec_ts") < limit, F.lit(False))
+    stamped = rows.filter(is_late).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+    replace_parts(stamped, late_path(layer), ["date", "_batch"])
     return rows.filter(~is_late)
 
 

@@ -28,7 +28,7 @@ from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import HOUR_KEYS, LANDING_TRAFFIC, LANDING_WEATHER
 from kerbside.sources.landing import MAX_FILES_PER_TRIGGER, read_landing_stream
-from kerbside.sources.tables import Layer, exists, publish_changes, read_layer, read_layer_stream, upsert
+from kerbside.sources.tables import Layer, append_batch, exists, publish_changes, read_layer, read_layer_stream, upsert
 from kerbside.streaming.late import LatePolicy, split_late
 
 # --- fixed values ---
@@ -60,13 +60,6 @@ class Streams:
     clock: Column | None = None
 
 
-def _append_batch(rows: DataFrame, batch_id: int, layer: Layer) -> None:
-    """Append a micro-batch under its own partition, so that its retry replaces it."""
-    stamped = rows.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-    writer = stamped.hint("rebalance", F.col("date")).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy("date", "_batch").parquet(layer.path)
-
-
 def _hours_of_traffic(rows: DataFrame) -> DataFrame:
     hour = times.hour_of_day(F.col("rec_ts"), F.col("date"))
     named = rows.filter(F.col("road_name").isNotNull() & F.col("rec_ts").isNotNull())
@@ -110,7 +103,7 @@ def _bronze(name: str, schema: T.StructType, to_rows: Callable, hours: Callable)
             rows = to_rows(batch, streams.clock)
             if streams.late is not None and "rec_ts" in rows.columns:
                 rows = split_late(rows, batch_id, layer, streams.late)
-            _append_batch(rows, batch_id, layer)
+            append_batch(rows, batch_id, layer)
             publish_changes(hours(rows, streams), layer)
 
         landing = read_landing_stream(spark, source, schema, streams.max_files)
