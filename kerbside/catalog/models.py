@@ -1 +1,136 @@
-"""To come."""
+"""Features, scoring and forecast over silver rows."""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from kerbside.catalog import base
+from kerbside.catalog.base import flat, register, with_sql
+from kerbside.plans import features as feat
+from kerbside.plans import forecast as fc
+from kerbside.plans import scoring
+from kerbside.plans.features import FeatureSpec
+from kerbside.session import pin
+
+SPEC = FeatureSpec(weather_labels=[label for _, label in base.EVENT_WEATHER.values()])
+
+
+def _fitted(spark, sf_dir):
+    """Silver rows, pinned once for the several jobs that read them, and the fitted tables."""
+    silver = pin(base.silver(spark, sf_dir))
+    roads = feat.fit_roads(silver)
+    edges = base.road_edges(spark, sf_dir, roads)
+    return silver, roads, edges, pin(feat.fit_scaler(silver))
+
+
+_IDS = """,
+ids AS (SELECT road_name, CAST(row_number() OVER (ORDER BY road_name) - 1 AS INTEGER) AS road_id
+        FROM (SELECT DISTINCT road_name FROM silver))"""
+_SCALED = """,
+ms AS (SELECT min(avg_density) AS d0, max(avg_density) - min(avg_density) AS d1, min(avg_speed) AS s0, max(avg_speed) - min(avg_speed) AS s1,
+              min(temperature) AS t0, max(temperature) - min(temperature) AS t1 FROM silver)"""
+
+
+@register("m02_weather_columns", with_sql(base.silver_sql(), "SELECT road_name, recordDatetime, " + ", ".join(
+    f"CAST(coalesce(weather = '{label}', false) AS INTEGER) AS \"weather_{label}\"" for label in SPEC.weather_labels
+) + " FROM silver"))
+def weather_columns(spark, sf_dir):
+    rows = feat.one_hot_weather(base.silver(spark, sf_dir), SPEC.weather_labels)
+    return rows.select("road_name", "recordDatetime", *SPEC.weather_columns)
+
+
+@register("m03_scaled_measures", with_sql(base.silver_sql() + _SCALED, """
+SELECT road_name, recordDatetime, (avg_density - d0) / d1 AS avg_density, (avg_speed - s0) / s1 AS avg_speed,
+       (avg_density - d0) / d1 * d1 + d0 AS restored FROM silver, ms"""))
+def scaled(spark, sf_dir):
+    rows = base.silver(spark, sf_dir)
+    scaler = feat.fit_scaler(rows, ["avg_density", "avg_speed"])
+    out = feat.scaled(rows, scaler, ["avg_density", "avg_speed"])
+    return out.select(
+        "road_name", "recordDatetime", "avg_density", "avg_speed",
+        feat.unscaled(F.col("avg_density"), scaler, "avg_density").alias("restored"),
+    )
+
+
+@register("m05_base_rows", with_sql(base.silver_sql() + _IDS + _SCALED, """
+SELECT road_name, recordDatetime, road_id, (avg_density - d0) / d1 AS avg_density, (temperature - t0) / t1 AS temperature,
+       CAST(hour(rec_ts) AS INTEGER) AS hour, CAST(isodow(rec_ts) - 1 AS INTEGER) AS day_of_week,
+       CAST(coalesce(weather = 'Overcast', false) AS INTEGER) AS "weather_Overcast"
+FROM silver JOIN ids USING (road_name), ms"""))
+def base_rows(spark, sf_dir):
+    silver, roads, _, scaler = _fitted(spark, sf_dir)
+    rows = feat.base_rows(silver, roads, scaler, SPEC)
+    return rows.select("road_name", "recordDatetime", "road_id", "avg_density", "temperature", "hour", "day_of_week", "weather_Overcast")
+
+
+@register("m04_graph_features", with_sql(base.EV, """
+, g AS (SELECT event_id, CAST(k AS DOUBLE) AS d, CAST(user_id AS DOUBLE) AS b, floor(value) AS s, CAST(k % 7 AS DOUBLE) AS h1, CAST(k % 11 AS DOUBLE) AS h2 FROM ev)
+SELECT event_id, s - h1 AS spatial_speed_diff, d / (h1 + 1e-5) AS spatial_density_ratio, h1 * h2 AS traffic_pressure_index,
+       d - b AS density_acceleration, abs(s - h1) AS speed_anomaly_index, d / (h1 + d + 1e-5) AS spatial_density_share,
+       s * (h1 + 1e-5) AS traffic_resistance, h1 + h2 * 0.5 AS node_centrality, (d - b) * (h1 * h2) AS st_momentum
+FROM g""".replace("1e-5", "CAST(0.00001 AS DOUBLE)").replace("h2 * 0.5", "h2 * CAST(0.5 AS DOUBLE)")))
+def graph_features(spark, sf_dir):
+    rows = base.events(spark, sf_dir).select(
+        "event_id",
+        F.col("k").cast("double").alias(SPEC.density),
+        F.col("user_id").cast("double").alias(SPEC.density_before),
+        F.floor("value").cast("double").alias(SPEC.speed),
+        (F.col("k") % 7).cast("double").alias("neighbor_density_hop1"),
+        (F.col("k") % 11).cast("double").alias("neighbor_density_hop2"),
+    )
+    return feat.graph_features(rows, SPEC).select("event_id", *feat.GRAPH_FEATURES[2:])
+
+
+@register("m06_blend", with_sql(base.EV, """
+SELECT event_id, value * CAST(0.88 AS DOUBLE) + CAST(k AS DOUBLE) * CAST(0.12 AS DOUBLE) AS blended FROM ev"""))
+def blended(spark, sf_dir):
+    mixed = scoring.blend(F.col("value"), F.col("k").cast("double"))
+    return base.events(spark, sf_dir).select("event_id", mixed.alias("blended"))
+
+
+@register("m08_anchor_state", with_sql(base.silver_sql() + _IDS + _SCALED, """
+, r AS (SELECT i.road_id, s.road_name, (avg_density - d0) / d1 AS d, (avg_speed - s0) / s1 AS v,
+               row_number() OVER (PARTITION BY s.road_name ORDER BY rec_ts DESC) AS back FROM silver s JOIN ids i USING (road_name), ms)
+SELECT road_id, road_name, max(d) FILTER (back = 1) AS density_1, max(d) FILTER (back = 2) AS density_2, max(d) FILTER (back = 3) AS density_3,
+       max(v) FILTER (back = 1) AS speed_1 FROM r GROUP BY ALL"""))
+def anchor_state(spark, sf_dir):
+    silver, roads, _, scaler = _fitted(spark, sf_dir)
+    state = fc.anchor_state(feat.base_rows(silver, roads, scaler, SPEC), SPEC)
+    return state.select(
+        "road_id", "road_name", *[F.col("avg_density_last")[3 - k].alias(f"density_{k}") for k in (1, 2, 3)],
+        F.col("avg_speed_last")[2].alias("speed_1"),
+    )
+
+
+@register("m10_forecast_status", with_sql(base.silver_sql(), """
+SELECT CAST(max(date) AS VARCHAR) AS latest_date, strftime(max(rec_ts), '%Y-%m-%d %H:%M:%S') AS anchor_datetime,
+       strftime(max(rec_ts) + INTERVAL 3 DAY, '%Y-%m-%d %H:%M:%S') AS max_forecast_datetime, count(*) AS row_count
+FROM silver WHERE date = (SELECT max(date) FROM silver)"""))
+def status(spark, sf_dir):
+    return flat(fc.status(base.silver(spark, sf_dir)))
+
+
+@register("m05_features")
+def features(spark, sf_dir):
+    silver, roads, edges, scaler = _fitted(spark, sf_dir)
+    return feat.build_features(silver, roads, edges, scaler, SPEC)
+
+
+@register("m07_m11_scores")
+def scores(spark, sf_dir):
+    """Models fitted on the rows and applied to them."""
+    silver, roads, edges, scaler = _fitted(spark, sf_dir)
+    rows = pin(feat.build_features(silver, roads, edges, scaler, SPEC))
+    return scoring.score(rows, scoring.fit_models(rows, SPEC, rounds=5), scaler, SPEC)
+
+
+@register("m09_forecast")
+def forecasts(spark, sf_dir):
+    """All roads half an hour ahead, in steps of five minutes."""
+    silver, roads, edges, scaler = _fitted(spark, sf_dir)
+    rows = pin(feat.build_features(silver, roads, edges, scaler, SPEC))
+    models = scoring.fit_models(rows, SPEC, rounds=5)
+    anchor = silver.agg(F.max("rec_ts")).first()[0]
+    return fc.forecast(silver, roads, edges, scaler, models, SPEC, anchor + timedelta(minutes=30), anchor)
