@@ -86,33 +86,42 @@ def _streams(spark, sf_dir, **options) -> layers.Streams:
     )
 
 
-def _run_in_two(spark, sf_dir, streams: layers.Streams) -> None:
-    """Errors and the rain's weather arrive in a second run, late and splitting keys, together
-    with copies of the first run's purchases."""
+def _two_parts(spark, sf_dir):
+    """Landing in two parts: errors and the rain's weather come second, late and splitting
+    keys, together with copies of purchases from the first part."""
     traffic, weather = base.landing_traffic(spark, sf_dir), base.landing_weather(spark, sf_dir)
     is_error, is_rain = F.col("flow") == "n/a", F.col("weather").contains("rain")
     bought = base.events(spark, sf_dir).filter("event_type = 'purchase'").select(F.col("event_id").cast("string").alias("_e"))
     copies = traffic.withColumn("_e", F.substring_index("id", "#", -1)).join(bought, "_e", "left_semi").drop("_e")
-    for lanes, readings in (
+    return (
         (traffic.filter(~is_error), weather.filter(~is_rain)),
         (traffic.filter(is_error).unionByName(copies), weather.filter(is_rain)),
-    ):
-        write_landing(lanes, streams.traffic_landing, per_interval=False)
-        write_landing(readings, streams.weather_landing, per_interval=False)
-        layers.run_available(spark, streams)
+    )
+
+
+def _land(streams: layers.Streams, part) -> None:
+    write_landing(part[0], streams.traffic_landing, per_interval=False)
+    write_landing(part[1], streams.weather_landing, per_interval=False)
 
 
 @register("t03_t09_silver_stream", with_sql(base.silver_sql(), f"SELECT {base.SILVER_OUT} FROM silver"))
 def silver_stream(spark, sf_dir):
+    """Each part is carried to silver before the next one lands."""
     streams = _streams(spark, sf_dir)
-    _run_in_two(spark, sf_dir, streams)
+    for part in _two_parts(spark, sf_dir):
+        _land(streams, part)
+        for start in (layers.start_bronze_traffic, layers.start_bronze_weather, layers.start_silver):
+            start(spark, streams, layers.AVAILABLE_NOW).awaitTermination()
     return flat(published(read_layer(spark, streams.lake.silver)))
 
 
 @register("t07_t08_gold_stream", with_sql(base.gold_sql(), f"SELECT {base.GOLD_OUT} FROM gold"))
 def gold_stream(spark, sf_dir):
+    """Both parts landed, carried through all layers."""
     streams = _streams(spark, sf_dir)
-    _run_in_two(spark, sf_dir, streams)
+    for part in _two_parts(spark, sf_dir):
+        _land(streams, part)
+    layers.run_available(spark, streams)
     return flat(read_layer(spark, streams.lake.gold, GOLD_COLUMNS))
 
 

@@ -118,9 +118,13 @@ def _overwrite_partitions(df: DataFrame, layer: Layer) -> None:
 
 
 def _stage(df: DataFrame, layer: Layer) -> DataFrame:
-    """Write in full beside the table and read back, with the partition columns' own types."""
+    """Write in full beside the table and read back.
+
+    Staged rows are not partitioned: they are read once more and only then filed, so the
+    many small partition files are written a single time.
+    """
     path = layer.staging
-    _by_partition(df, layer).write.partitionBy(*layer.partition_by).parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -155,7 +159,7 @@ def upsert(df: DataFrame, layer: Layer, order: Sequence[Column] | None = None) -
         _assert_unique(staged, layer.keys)
     if not exists(spark, layer):
         if not staged.isEmpty():
-            _overwrite_partitions(staged, layer)
+            _overwrite_partitions(_by_partition(staged, layer), layer)
         return staged
     # One row per partition this write touches: its days and hours, not its data.
     parts = staged.select(*layer.partition_by).distinct()
@@ -169,7 +173,7 @@ def upsert(df: DataFrame, layer: Layer, order: Sequence[Column] | None = None) -
     rewritten = narrowed.alias("c").join(F.broadcast(parts.alias("p")), reduce(and_, same), "left_semi")
     kept = rewritten.join(staged.select(*layer.keys), list(layer.keys), "left_anti")
     merged = kept.unionByName(staged, allowMissingColumns=True)
-    _overwrite_partitions(_stage(merged, layer), layer)
+    _overwrite_partitions(_by_partition(_stage(merged, layer), layer), layer)
     return staged
 
 
@@ -198,4 +202,4 @@ def files_per_date(df: DataFrame) -> DataFrame:
 def compact(spark: SparkSession, layer: Layer, days: Sequence[str]) -> None:
     """Rewrite the named dates into few files each."""
     chosen = read_layer(spark, layer).filter(F.col("date").isin([*days]))
-    _overwrite_partitions(_stage(chosen, layer), layer)
+    _overwrite_partitions(_by_partition(_stage(chosen, layer), layer), layer)
