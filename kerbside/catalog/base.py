@@ -82,11 +82,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _interval(slot: Column) -> dict[str, Column]:
     """Landing's date, begin and end of a slot; the day's last interval ends at 24:00."""
-    start = F.hour(slot) * 60 + F.minute(slot)
+    begin = F.date_format(slot, "HH:mm")
+    end = F.date_format(slot + F.expr("INTERVAL 3 MINUTES"), "HH:mm")
     return {
         "date": F.date_format(slot, "yyyy-MM-dd"),
-        "begin": times.minutes_to_clock(start),
-        "end": times.minutes_to_clock(start + times.INTERVAL_MINUTES),
+        "begin": begin,
+        "end": F.when(begin == "23:57", "24:00").otherwise(end),
     }
 
 

@@ -49,25 +49,29 @@ def is_internal_edge(edge_id: Column) -> Column:
 
 def way_of_edge(edge_id: Column) -> Column:
     """Way id behind an edge id such as -123#4; null for internal or blank ones."""
-    base = F.split_part(F.regexp_replace(edge_id, "^-+", ""), F.lit("#"), F.lit(1))
+    base = F.substring_index(F.ltrim(edge_id, F.lit("-")), "#", 1)
     return F.when(~is_internal_edge(edge_id) & (base != ""), base)
 
 
 def edge_keys(edge_id: Column) -> Column:
-    """Lookup keys of an edge id, best first: as is, without direction, without part, as a name."""
+    """Lookup keys of an edge id, best first: as is, without direction, without part, as a name.
+
+    An id of digits and marks alone is its own normal form, which spares the usual id the
+    name's patterns.
+    """
     raw = F.trim(edge_id)
-    undirected = F.regexp_replace(raw, "^-", "")
-    whole_way = F.split_part(undirected, F.lit("#"), F.lit(1))
-    keys = F.array(raw, undirected, whole_way, normal_road_name(raw))
-    kept = F.array_distinct(F.filter(keys, lambda key: key != ""))
-    return F.when(edge_id.isNull(), F.array().cast("array<string>")).otherwise(kept)
+    undirected = F.when(raw.startswith("-"), F.substr(raw, F.lit(2))).otherwise(raw)
+    whole_way = F.substring_index(undirected, "#", 1)
+    as_name = F.when(raw.rlike("^[-0-9#:_]*$"), raw).otherwise(normal_road_name(raw))
+    keys = F.array_distinct(F.array_remove(F.array(raw, undirected, whole_way, as_name), ""))
+    return F.when(edge_id.isNull(), F.array().cast("array<string>")).otherwise(keys)
 
 
 def name_keys(name: Column) -> Column:
-    """Lookup keys of a road name: lower case, then normalised."""
-    keys = F.array(F.lower(name), normal_road_name(name))
-    kept = F.filter(keys, lambda key: key != "")
-    return F.when(name.isNull(), F.array().cast("array<string>")).otherwise(kept)
+    """Lookup keys of a road name: lower case, then normalised. The two are often the same, and
+    then count twice in row counts, as the published figures do."""
+    keys = F.array_remove(F.array(F.lower(name), normal_road_name(name)), "")
+    return F.when(name.isNull(), F.array().cast("array<string>")).otherwise(keys)
 
 
 def metres_between(lat: Column, lon: Column, to_lat: Column, to_lon: Column) -> Column:

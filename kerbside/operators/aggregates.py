@@ -108,8 +108,6 @@ def density_records(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     A segment id gives the keys; only rows without one fall back to the road name.
     """
-    segment = values.first_text(df, values.SEGMENT_CANDIDATES)
-    name = values.first_text(df, values.SEGMENT_NAME_CANDIDATES)
     minutes = []
     for column in values.present(df, values.SEGMENT_TIME_CANDIDATES):
         kind = dict(df.dtypes)[column]
@@ -119,33 +117,54 @@ def density_records(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             minutes.append(times.minute_from_text(F.col(column)))
         else:
             minutes.append(times.minute_from_number(values.number_of(df, column)))
-    segment_keys = roads.edge_keys(segment)
-    keys = F.when(F.size(segment_keys) > 0, segment_keys).otherwise(roads.name_keys(name))
-    minute = F.coalesce(*minutes) if minutes else F.lit(None).cast("int")
-    return df.select(
-        *keep, keys.alias("keys"), minute.alias("minute"),
+    # Resolved in a projection of its own, so that the keys read plain columns.
+    resolved = df.select(
+        *keep,
+        values.first_text(df, values.SEGMENT_CANDIDATES).alias("_segment"),
+        values.first_text(df, values.SEGMENT_NAME_CANDIDATES).alias("_name"),
+        (F.coalesce(*minutes) if minutes else F.lit(None).cast("int")).alias("minute"),
         values.first_number(df, values.DENSITY_CANDIDATES).alias("density"),
     )
+    keys = F.when(F.col("_segment").isNotNull(), roads.edge_keys(F.col("_segment"))).otherwise(roads.name_keys(F.col("_name")))
+    return resolved.select(*keep, keys.alias("keys"), "minute", "density")
 
 
-def at_minute(records: DataFrame, selected: int | None) -> DataFrame:
-    """Records whose minute rounds to the selected one (1440 means the day's last interval);
-    no selection keeps all."""
+def _selected(minute: Column, selected: int | None) -> Column:
+    """Does a minute round to the selected one (1440 means the day's last interval)? No
+    selection takes all."""
     if selected is None:
-        return records
+        return F.lit(True)
     wanted = 1437 if selected == times.MINUTES_PER_DAY else selected
-    return records.filter(times.nearest_step(F.col("minute")) == wanted)
+    return F.coalesce(times.nearest_step(minute) == wanted, F.lit(False))
+
+
+def _per_key(records: DataFrame, by: Sequence[str]) -> DataFrame:
+    known = records.filter("density IS NOT NULL")
+    # explode_outer: a plain explode also filters on the list's size below, computing it twice.
+    keyed = known.select(*by, "minute", "density", F.explode_outer("keys").alias("key"))
+    return keyed.filter("key IS NOT NULL")
 
 
 def density_by_key(records: DataFrame, selected: int | None, by: Sequence[str] = ()) -> DataFrame:
     """Mean density and row count per key at the selected minute."""
-    keyed = at_minute(records, selected).filter("density IS NOT NULL").select(*by, F.explode("keys").alias("key"), "density")
-    return keyed.groupBy(*by, "key").agg(F.avg("density").alias("density"), F.count(F.lit(1)).alias("rows"))
+    at = records.filter(_selected(F.col("minute"), selected))
+    return _per_key(at, by).groupBy(*by, "key").agg(F.avg("density").alias("density"), F.count(F.lit(1)).alias("rows"))
 
 
 def density_range_by_key(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    keyed = records.filter("density IS NOT NULL").select(*by, F.explode("keys").alias("key"), "density")
-    return keyed.groupBy(*by, "key").agg(F.min("density").alias("min"), F.max("density").alias("max"))
+    return _per_key(records, by).groupBy(*by, "key").agg(F.min("density").alias("min"), F.max("density").alias("max"))
+
+
+def density_figures_by_key(records: DataFrame, selected: int | None, by: Sequence[str] = ()) -> DataFrame:
+    """Both of the above in one pass; density and rows are null for keys the minute misses."""
+    at = _selected(F.col("minute"), selected)
+    rows = F.count_if(at)
+    return _per_key(records, by).groupBy(*by, "key").agg(
+        F.avg(F.when(at, F.col("density"))).alias("density"),
+        F.when(rows > 0, rows).alias("rows"),
+        F.min("density").alias("min"),
+        F.max("density").alias("max"),
+    )
 
 
 def available_minutes(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ partitions at run time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,22 +24,17 @@ def latest_weather(weather: DataFrame, tie: Sequence[str] = ()) -> DataFrame:
     return keep_first(weather, ["road_name", "datetime"], order)
 
 
-def _at_grain(weather: DataFrame, grain: str) -> DataFrame:
-    """Readings whose own time is a grain mark, keyed by it."""
-    ts = times.parse_minute_text(F.col("datetime"))
-    mark = times.floor_hour(ts) if grain == "hour" else times.floor_minutes(ts)
-    picked = weather.withColumn("weather_ts", ts).filter(mark == ts)
-    return picked.select("road_name", "weather_ts", *WEATHER_VALUES)
-
-
 def with_weather(traffic: DataFrame, weather: DataFrame, grain: str = "interval") -> DataFrame:
     """Left join on road and floored time; traffic without weather stays.
 
-    ``grain`` "interval" floors to 3 minutes, "hour" to the hour. ``traffic`` carries ``rec_ts``.
+    ``grain`` "interval" floors to 3 minutes, "hour" to the hour; a reading between two marks
+    meets no traffic. ``traffic`` carries ``rec_ts``.
     """
     floored = times.floor_hour(F.col("rec_ts")) if grain == "hour" else times.floor_minutes(F.col("rec_ts"))
+    readings = latest_weather(weather).select(
+        "road_name", times.parse_minute_text(F.col("datetime")).alias("weather_ts"), *WEATHER_VALUES
+    )
     keyed = traffic.withColumn("weather_ts", floored)
-    readings = _at_grain(latest_weather(weather), grain)
     return keyed.join(readings, ["road_name", "weather_ts"], "left").drop("weather_ts")
 
 
@@ -120,18 +115,23 @@ def polylines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def by_first_matching_key(
-    features: DataFrame, feature_id: Sequence[str], keys: str, lookup: DataFrame, columns: Sequence[str]
+    features: DataFrame, feature_id: str, keys: str, lookup: DataFrame, figures: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """Give each feature the ``lookup`` row of its best key: ``keys`` lists them best first.
+    """Give each feature figures of its best key: ``keys`` lists the keys best first.
 
-    ``lookup`` has one row per ``key``. Features without any match keep nulls.
+    ``lookup`` has one row per ``key``. ``figures`` maps a column that tells whether a key has
+    a figure (not null) to the columns taken with it; each figure is matched by itself, all in
+    one join. Features without any match keep nulls.
     """
-    candidates = features.select(*feature_id, F.posexplode_outer(keys).alias("_rank", "key"))
-    entries = lookup.select("key", F.lit(True).alias("_hit"), *columns)
-    found = candidates.join(entries, "key", "left")
-    hit = F.struct(*columns)
-    best = F.min_by(hit, F.when(F.col("_hit"), F.col("_rank")))
-    return found.groupBy(*feature_id).agg(best.alias("_best")).select(*feature_id, "_best.*")
+    taken = [c for columns in figures.values() for c in columns]
+    candidates = features.select(feature_id, F.posexplode_outer(keys).alias("_rank", "key"))
+    found = candidates.join(lookup.select("key", *{*figures, *taken}), "key", "left")
+    best = [
+        F.min_by(F.struct(*columns), F.when(F.col(present).isNotNull(), F.col("_rank"))).alias(f"_best{i}")
+        for i, (present, columns) in enumerate(figures.items())
+    ]
+    unpacked = [F.col(f"_best{i}.{c}").alias(c) for i, columns in enumerate(figures.values()) for c in columns]
+    return found.groupBy(feature_id).agg(*best).select(feature_id, *unpacked)
 
 
 def interval_grid(dimension: DataFrame, first_end: int = times.INTERVAL_MINUTES) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import labels, roads
-from kerbside.operators.aggregates import density_by_key, density_range_by_key
+from kerbside.operators.aggregates import density_figures_by_key
 from kerbside.operators.joins import by_first_matching_key
 
 
@@ -21,10 +21,11 @@ def with_feature_keys(features: DataFrame) -> DataFrame:
 
 def density_map(features: DataFrame, records: DataFrame, selected: int | None) -> DataFrame:
     """Each feature with its density at the selected minute, the day's range and its class."""
-    keyed = with_feature_keys(features)
-    now = by_first_matching_key(keyed, ["way_id"], "keys", density_by_key(records, selected), ["density", "rows"])
-    day = by_first_matching_key(keyed, ["way_id"], "keys", density_range_by_key(records), ["min", "max"])
-    joined = features.join(now, "way_id", "left").join(day, "way_id", "left")
+    found = by_first_matching_key(
+        with_feature_keys(features), "way_id", "keys", density_figures_by_key(records, selected),
+        {"rows": ["density", "rows"], "min": ["min", "max"]},
+    )
+    joined = features.join(found, "way_id", "left")
     return joined.select(
         "way_id", "name", "highway", "density",
         F.coalesce("rows", F.lit(0)).alias("rows"),
