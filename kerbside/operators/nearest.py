@@ -9,54 +9,65 @@ pyramid deeper there, so no cell ever pairs many points with many sites.
 
 from __future__ import annotations
 
+from math import ceil, log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.roads import METRES_PER_DEGREE, metres_between
+from kerbside.session import pin
 
 FANOUT = 4
 SITES_PER_CELL = 16
-# Below this width (about a millimetre) coordinates no longer separate sites.
-FINEST_DEGREES = 1e-8
+# Below this width (about a centimetre) cells are not split further.
+FINEST_DEGREES = 1e-7
 # Bounds are widened by this much against rounding; it can only keep a cell too many.
 SLACK = 1e-6
 
 
-def _cell(lat: Column, lon: Column, origin: tuple[float, float], width: float) -> Column:
-    return F.struct(
-        F.floor((lat - origin[0]) / width).cast("bigint").alias("y"),
-        F.floor((lon - origin[1]) / width).cast("bigint").alias("x"),
-    )
+def _at_level(finest: Column, level: Column | int, depth: int) -> Column:
+    """Coarser cell number of a finest one; whole-number shifts keep the cells nested."""
+    return F.floor(finest / F.pow(F.lit(float(FANOUT)), F.lit(depth) - level)).cast("bigint")
 
 
-def _pyramid(sites: DataFrame) -> tuple[list[DataFrame], list[float], tuple[float, float], DataFrame]:
-    """Per level, which cells follow a split cell; and the sites of every unsplit cell."""
-    box = sites.agg(F.min("lat"), F.min("lon"), F.max("lat"), F.max("lon")).first()
+def _pyramid(places: DataFrame) -> tuple[DataFrame, DataFrame, list[float], tuple[float, float], int]:
+    """Children of every split cell, sites of every unsplit one, cell widths, origin, and the
+    number of levels that have split cells.
+
+    All levels are counted in one pass over the sites.
+    """
+    box = places.agg(F.min("lat"), F.min("lon"), F.max("lat"), F.max("lon")).first()
     origin = (box[0], box[1])
-    width = max(box[2] - box[0], box[3] - box[1], FINEST_DEGREES) * (1 + 1e-9)
-    widths, levels, finished = [width], [], []
-    left = sites.withColumn("cell", _cell(F.col("lat"), F.col("lon"), origin, width))
-    while True:
-        counts = left.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
-        level = len(widths) - 1
-        splits = (F.col("_n") > SITES_PER_CELL) & F.lit(widths[-1] / FANOUT > FINEST_DEGREES)
-        marked = counts.withColumn("split", splits)
-        bottom = left.join(marked.filter(~F.col("split")).select("cell"), "cell", "left_semi")
-        finished.append(bottom.select(F.lit(level).alias("level"), "cell", "site_id", "lat", "lon"))
-        if marked.filter("split").isEmpty():
-            break
-        widths.append(widths[-1] / FANOUT)
-        finer = _cell(F.col("lat"), F.col("lon"), origin, widths[-1])
-        left = left.join(marked.filter("split").select("cell"), "cell", "left_semi")
-        # A cell splits into at most 16, so these lists are short.
-        children = left.select("cell", finer.alias("_child")).groupBy("cell").agg(F.collect_set("_child").alias("children"))
-        levels.append(children)
-        left = left.withColumn("cell", finer)
-    unsplit = finished[0]
-    for part in finished[1:]:
-        unsplit = unsplit.unionByName(part)
-    bottoms = unsplit.groupBy("level", "cell").agg(F.collect_list(F.struct("site_id", "lat", "lon")).alias("sites"))
-    return levels, widths, origin, bottoms
+    whole = max(box[2] - box[0], box[3] - box[1], FINEST_DEGREES) * (1 + 1e-9)
+    depth = max(0, ceil(log(whole / FINEST_DEGREES, FANOUT)))
+    widths = [whole / FANOUT**level for level in range(depth + 1)]
+    numbers = {
+        axis: F.floor((F.col(name) - start) / widths[-1]).cast("bigint")
+        for axis, name, start in (("_y", "lat", origin[0]), ("_x", "lon", origin[1]))
+    }
+    filed = places.withColumns(numbers).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+    level = F.col("level")
+    cell = F.struct(_at_level(F.col("_y"), level, depth).alias("y"), _at_level(F.col("_x"), level, depth).alias("x"))
+    filed = filed.withColumn("cell", cell)
+    counts = pin(filed.groupBy("level", "cell").agg(F.count(F.lit(1)).alias("_n")))
+    split = (F.col("_n") > SITES_PER_CELL) & (level < depth)
+    splits = counts.filter(split).select("level", "cell")
+    # A site rests in its first cell that is not split.
+    resting = filed.join(counts.filter(~split).select("level", "cell"), ["level", "cell"], "left_semi")
+    first = resting.groupBy("site_id", "lat", "lon").agg(F.min(F.struct("level", "cell")).alias("_at"))
+    bottoms = first.groupBy(F.col("_at.level").alias("level"), F.col("_at.cell").alias("cell")).agg(
+        F.collect_list(F.struct("site_id", "lat", "lon")).alias("sites")
+    )
+    above = F.struct(
+        F.floor(F.col("cell.y") / FANOUT).cast("bigint").alias("y"), F.floor(F.col("cell.x") / FANOUT).cast("bigint").alias("x")
+    )
+    # A cell splits into at most 16, so these lists are short.
+    finer = counts.filter(level > 0).select((level - 1).alias("level"), above.alias("cell"), F.col("cell").alias("_child"))
+    children = pin(
+        finer.join(splits, ["level", "cell"], "left_semi").groupBy("level", "cell").agg(F.collect_list("_child").alias("children"))
+    )
+    deepest = children.agg(F.max("level")).first()[0]
+    return children, bottoms, widths, origin, 0 if deepest is None else deepest + 1
 
 
 def _bounds(cell: Column, width: float, origin: tuple[float, float]) -> tuple[Column, Column]:
@@ -88,7 +99,7 @@ def nearest_site(points: DataFrame, sites: DataFrame) -> DataFrame:
         return points.select("point_id").limit(0).select(
             "point_id", F.lit(None).cast(dict(sites.dtypes)["site_id"]).alias("site_id"), F.lit(0.0).alias("dist_m")
         )
-    levels, widths, origin, bottoms = _pyramid(places)
+    below, bottoms, widths, origin, levels = _pyramid(pin(places))
     top = F.struct(F.lit(0).cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("x"))
 
     def candidate(level: Column, cell: Column, low: Column, high: Column) -> Column:
@@ -102,7 +113,8 @@ def nearest_site(points: DataFrame, sites: DataFrame) -> DataFrame:
         .repartition("point_id")
         .withColumn("cells", F.array(candidate(F.lit(0), top, low, high)))
     )
-    for level, children in enumerate(levels):
+    for level in range(levels):
+        children = below.filter(F.col("level") == level).select("cell", "children")
         open_cells = state.select("point_id", "lat", "lon", F.explode("cells").alias("c"))
         keyed = open_cells.withColumn("cell", F.when(F.col("c.level") == level, F.col("c.cell")))
         met = keyed.join(children, "cell", "left")
