@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam
+from kerbside.llm import decontam, setsketch
 
 QUERIES = {
     "op9_decontaminate": decontam.op9_decontaminate,
+    "op10_near_duplicates": setsketch.op10_near_duplicates,
 }
 ORACLES = {
     "op9_decontaminate": decontam.SQL,
+    "op10_near_duplicates": setsketch.SQL,
 }
