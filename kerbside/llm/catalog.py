@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam, setsketch
+from kerbside.llm import decontam, language, quality, setsketch
 
 QUERIES = {
+    "op4_language": language.op4_language,
+    "op7_quality": quality.op7_quality,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_near_duplicates": setsketch.op10_near_duplicates,
 }
 ORACLES = {
+    "op7_quality": quality.SQL,
     "op9_decontaminate": decontam.SQL,
     "op10_near_duplicates": setsketch.SQL,
 }

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.text import LOWER, bounded, sha256, table, text_bytes
+from kerbside.llm.text import LOWER, bounded, free_name, table, text_bytes
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -186,48 +186,48 @@ def _item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[
 
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a struct column ``found``: word count, matched word runs, matched items.
+                    block_bytes: int = BLOCK_BYTES, into: str = "found") -> DataFrame:
+    """``docs`` with a struct column ``into``: word count, matched word runs, matched items.
 
     The maximal matched runs (``starts[i]`` to ``ends[i]``, end exclusive, counted in words) are
-    the locations of the verbatim matches. A column of ``docs`` named ``found`` is replaced.
+    the locations of the verbatim matches.
     """
-    docs = docs.drop("found")
     spark = docs.sparkSession
     out = docs
     for block in [*_item_blocks(benchmark, block_bytes)] or [[]]:
         shared = spark.sparkContext.broadcast(block)
-        out = out.mapInArrow(_search_task(shared, window), _schema_with(docs, _FOUND_DDL))
+        out = out.mapInArrow(_search_task(shared, window, into), _schema_with(docs, into))
     return out
 
 
-def _schema_with(docs: DataFrame, found: str) -> str:
+def _schema_with(docs: DataFrame, into: str) -> str:
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return ", ".join([*fields, f"found {found}"])
+    return ", ".join([*fields, f"`{into}` {_FOUND_DDL}"])
 
 
-def _search_task(shared, window: int):
+def _search_task(shared, window: int, into: str):
     def run(batches):
         tests = TestSuffixes(shared.value, window)
         for batch in bounded(batches, limit=SHARD_BYTES):
             sizes, runs, items = _search_shard(text_bytes(batch.column("text")), tests)
             names = batch.schema.names
-            if "found" in names:  # an earlier block's pass
-                before = batch.column("found").to_pylist()
+            if into in names:  # an earlier block's pass
+                before = batch.column(into).to_pylist()
                 runs = [_merge([*zip(o["starts"], o["ends"]), *r]) for o, r in zip(before, runs)]
                 items = [{*o["items"], *i} for o, i in zip(before, items)]
             found = pa.array([
                 {"n_words": n, "starts": [a for a, _ in r], "ends": [b for _, b in r], "items": sorted(i)}
                 for n, r, i in zip(sizes, runs, items)
             ], _FOUND)
-            kept = [c for n, c in zip(names, batch.columns) if n != "found"]
-            yield pa.RecordBatch.from_arrays([*kept, found], [n for n in names if n != "found"] + ["found"])
+            kept = [c for n, c in zip(names, batch.columns) if n != into]
+            yield pa.RecordBatch.from_arrays([*kept, found], [n for n in names if n != into] + [into])
     return run
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window, columns as they were."""
-    return match_benchmark(docs, benchmark, window).where(F.size("found.starts") == 0).select(*docs.columns)
+    into = free_name(docs, "found")
+    return match_benchmark(docs, benchmark, window, into=into).where(F.size(f"{into}.starts") == 0).select(*docs.columns)
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:

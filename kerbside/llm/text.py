@@ -82,3 +82,10 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id: str | Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id's text falls on ``fold`` of ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, or a longer name where ``df`` already has such a column."""
+    while wish.lower() in {c.lower() for c in df.columns}:
+        wish += "_"
+    return wish
