@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam, language, quality, setsketch
+from kerbside.llm import decontam, language, mixing, quality, setsketch
 
 QUERIES = {
+    "op3_mix_sources": mixing.op3_mix_sources,
     "op4_language": language.op4_language,
     "op7_quality": quality.op7_quality,
     "op9_decontaminate": decontam.op9_decontaminate,
