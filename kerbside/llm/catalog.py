@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam, language, mixing, quality, rlz, setsketch
+from kerbside.llm import decontam, language, mixing, quality, rlz, setsketch, warc
 
 QUERIES = {
     "op1_substring_dedup": rlz.op1_substring_dedup,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_language": language.op4_language,
     "op7_quality": quality.op7_quality,
+    "op8_warc_packages": warc.op8_warc_packages,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_near_duplicates": setsketch.op10_near_duplicates,
 }
 ORACLES = {
     "op1_substring_dedup": rlz.SQL,
     "op7_quality": quality.SQL,
+    "op8_warc_packages": warc.SQL,
     "op9_decontaminate": decontam.SQL,
     "op10_near_duplicates": setsketch.SQL,
 }
