@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam, language, mixing, quality, rlz, setsketch, warc
+from kerbside.llm import decontam, language, mixing, quality, rlz, setsketch, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": rlz.op1_substring_dedup,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_language": language.op4_language,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op7_quality": quality.op7_quality,
     "op8_warc_packages": warc.op8_warc_packages,
     "op9_decontaminate": decontam.op9_decontaminate,
