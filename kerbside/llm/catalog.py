@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from kerbside.llm import decontam, language, mixing, quality, rlz, setsketch, toxicity, warc
+import corpus_pipeline
+from kerbside.llm import decontam, language, licenses, mixing, quality, rlz, setsketch, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": rlz.op1_substring_dedup,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_language": language.op4_language,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_licenses": licenses.op6_licenses,
     "op7_quality": quality.op7_quality,
     "op8_warc_packages": warc.op8_warc_packages,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_near_duplicates": setsketch.op10_near_duplicates,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op1_substring_dedup": rlz.SQL,
+    "op6_licenses": licenses.SQL,
     "op7_quality": quality.SQL,
     "op8_warc_packages": warc.SQL,
     "op9_decontaminate": decontam.SQL,
