@@ -184,6 +184,12 @@ def _keys_in(message: bytes) -> int:
 
 def hear_shared(keys: np.ndarray, buckets: int, replies: dict[int, bytes]) -> np.ndarray:
     """For each of a block's keys whether it occurs twice or more anywhere."""
+    if not len(keys):
+        return np.zeros(0, bool)
+    # Runs of equal keys are looked up once.
+    head = np.r_[True, keys[1:] != keys[:-1]]
+    if not head.all():
+        return hear_shared(keys[head], buckets, replies)[np.cumsum(head) - 1]
     own, which = np.unique(keys, return_inverse=True)
     order, parts = by_bucket(own, buckets)
     shared = np.zeros(len(own), bool)

@@ -37,6 +37,9 @@ from kerbside.llm.text import WordHashes, free_name, gram_hashes, sha256, table
 WINDOW = 13
 ANCHOR = 7
 
+# Word hashes that a Python worker has met; bounded.
+_HASHES = WordHashes()
+
 
 class Words:
     """Words of a block's documents in one array of hashes, and the windows inside documents."""
@@ -67,6 +70,12 @@ class Words:
             width += step
         return least[self.start]
 
+    def places(self, anchors: np.ndarray) -> np.ndarray:
+        """The anchors once for each stretch of windows that has them."""
+        if not len(anchors):
+            return anchors
+        return anchors[np.r_[True, (anchors[1:] != anchors[:-1]) | (self.doc[1:] != self.doc[:-1])]]
+
 
 def _index_messages(words: Words, keep: np.ndarray, window: int, buckets: int):
     """Distinct windows of a block with their first document and place, by bucket."""
@@ -181,28 +190,30 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     buckets = bucket_count(blocks)
 
     def ask(block, _):
-        yield from ask_shared(Words(block, window, WordHashes()).anchors(window, anchor), buckets)
+        words = Words(block, window, _HASHES)
+        yield from ask_shared(words.places(words.anchors(window, anchor)), buckets)
 
     shared = stored(answered(sent(blocks, None, ask), tell_shared), "shared")
 
     def look_up(block, replies):
-        words = Words(block, window, WordHashes())
+        words = Words(block, window, _HASHES)
         keep = hear_shared(words.anchors(window, anchor), buckets, replies)
         own, doc_id, place, placed, parts = _index_messages(words, keep, window, buckets)
         for bucket, a, b in parts:
             at = placed[a:b]
             message = np.stack([own[at], doc_id[at].view(np.uint64), place[at].view(np.uint64)])
             yield bucket, (b - a).to_bytes(4, "little") + packed(message)
-        yield -1, packed(np.packbits(keep))  # for the parse, so that it need not ask again
 
-    messages = stored(sent(blocks, shared, look_up), "windows")
-    places = answered(messages.where("bucket >= 0"), _tell_first).unionByName(messages.where("bucket < 0"))
+    # The parse hears both answers; those about anchors come under negative bucket numbers.
+    places = answered(sent(blocks, shared, look_up), _tell_first).unionByName(
+        shared.withColumn("bucket", -1 - F.col("bucket")))
 
     def parse(batches):
         for _, row, replies in _rows(batches):
             block = Block.of_row(row)
-            words = Words(block, window, WordHashes())
-            keep = np.unpackbits(unpacked(replies[-1], np.uint8), count=len(words.start)) > 0
+            words = Words(block, window, _HASHES)
+            about = {-1 - bucket: data for bucket, data in replies.items() if bucket < 0}
+            keep = hear_shared(words.anchors(window, anchor), buckets, about)
             parsed = _parsed(words, keep, window, buckets, replies)
             found = [_spans_of(t, w, f) for t, w, f in zip(block.texts, words.words, parsed)]
             yield pa.RecordBatch.from_arrays([*block.rows.columns, pa.array(found, _SPANS)], [*block.rows.schema.names, into])
