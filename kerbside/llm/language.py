@@ -87,7 +87,7 @@ class CrossParser:
         known = sorted({c for _, text in references for c in text if c.isalpha()})
         # Symbol 0 stands for letters that no reference has, GAP for what lies between words.
         self.symbol = np.zeros(0x110000, np.int16)
-        self.symbol[:128] = GAP
+        self.symbol[:128] = [0 if chr(c).isalpha() else GAP for c in range(128)]
         self.symbol[[ord(c) for c in known]] = np.arange(GAP + 1, GAP + 1 + len(known))
         self.width = GAP + 1 + len(known)
         tables, self.start, offset = [], [], 0

@@ -193,7 +193,7 @@ def directory(source, length: int) -> dict[bytes, tuple[int, int, int]]:
     """``name -> (method, first byte, size)`` of the members of a ZIP or ZIP64 file."""
     tail_at = max(0, length - (1 << 16) - END_RECORD.size)
     tail = _range(source, tail_at, length - tail_at)
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, max(0, len(tail) - END_RECORD.size + len(END)))
     while at >= 0 and tail_at + at + END_RECORD.size + END_RECORD.unpack_from(tail, at)[7] != length:
         at = tail.rfind(END, 0, at)
     if at < 0:
