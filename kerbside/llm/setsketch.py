@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.graph import components, stored
-from kerbside.llm.text import LOWER, WordHashes, bounded, gram_hashes, mix, table, text_bytes
+from kerbside.llm.text import LOWER, WordHashes, bounded, free_name, gram_hashes, mix, table, text_bytes
 
 SHINGLE = 5
 BOUND = (75, 100)
@@ -68,9 +68,8 @@ def registers(sets: list[np.ndarray], count: int, seed: int = 0x5EED) -> np.ndar
     keys = mix(np.arange(seed, seed + 2 * count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     scale = 1 / math.log(BASE)
     for i in range(count):
-        hashed = (values ^ keys[2 * i]) * (keys[2 * i + 1] | np.uint64(1))
-        hashed ^= hashed >> np.uint64(32)
-        least = np.minimum.reduceat(hashed * np.uint64(0x9E3779B97F4A7C15), starts)
+        # The values are hashes already: their order by the high bits of a product is a fresh one.
+        least = np.minimum.reduceat((values ^ keys[2 * i]) * (keys[2 * i + 1] | np.uint64(1)), starts)
         x = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64) / RATE
         out[filled, i] = np.clip(np.floor(1 - np.log(x) * scale), 0, TOP + 1).astype(np.uint16)
     return out
@@ -259,10 +258,11 @@ def _by_sets(bound: tuple[int, int]):
             rows, column = rows[shared], (np.cumsum(count > 1) - 1)[column[shared]]
             order = np.argsort(column, kind="stable")
             rows, column = rows[order], column[order]
-            width = max(1, (8 << 20) // len(sets))
+            columns = int(column[-1]) + 1 if len(column) else 0
+            width = min(columns, max(1, (8 << 20) // len(sets)))
             left = np.flatnonzero(side[start:end] == 1) if side[start:end].any() else np.arange(len(sets))
             both = np.zeros((len(left), len(sets)))
-            for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            for at in range(0, columns, max(1, width)):
                 lo, hi = np.searchsorted(column, [at, at + width])
                 matrix = np.zeros((len(sets), width), np.float32)
                 matrix[rows[lo:hi], column[lo:hi] - at] = 1
@@ -371,8 +371,10 @@ def drop_near_duplicates(docs: DataFrame, bound: tuple[int, int] = BOUND) -> Dat
     id belong to no group and stay.
     """
     others = near_duplicates(docs, bound).where("not kept").select("doc_id").distinct()
-    left = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    apart = free_name(docs, "apart")
+    left = docs.join(others, "doc_id", "left_anti").withColumn(
+        apart, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return left.dropDuplicates(["doc_id", apart]).select(*docs.columns)
 
 
 def op10_near_duplicates(spark, sf_dir: str) -> DataFrame:
