@@ -117,6 +117,18 @@ def upserted_newest(spark, sf_dir):
     return flat(tables.read_layer(spark, layer, ["event_type", "date", "value"]))
 
 
+@register("s09_upsert_null_keys", with_sql(_E, """
+SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id, event_type, value, date FROM e"""))
+def upserted_null_keys(spark, sf_dir):
+    """Events that lost their id are all kept, each written once."""
+    layer = _event_layer(spark, "nulls")
+    rows = _event_rows(spark, sf_dir).withColumn("event_id", F.when(F.col("event_type") != "error", F.col("event_id")))
+    tables.upsert(rows.filter("event_type <> 'error'"), layer, order=[F.desc("value")])
+    changed = rows.filter("event_type IN ('error', 'purchase')")
+    tables.upsert(changed, layer, order=[F.desc("value")])
+    return flat(tables.read_layer(spark, layer))
+
+
 @register("s10_added_column", with_sql(_E, """
 SELECT event_id, event_type, value, date, CASE WHEN event_type = 'error' THEN 'checked' END AS note FROM e"""))
 def column_added(spark, sf_dir):
@@ -131,7 +143,7 @@ def column_added(spark, sf_dir):
 def dates(spark, sf_dir):
     layer = _event_layer(spark, "dates")
     tables.create(_event_rows(spark, sf_dir), layer)
-    return flat(tables.layer_dates(tables.read_layer(spark, layer)))
+    return flat(tables.layer_dates(spark, layer))
 
 
 @register("s20_a23_files_per_date", with_sql(_E, "SELECT date, count(*) AS row_count, true AS has_files FROM e GROUP BY date"))
@@ -143,13 +155,16 @@ def files(spark, sf_dir):
     return flat(counted.select("date", "row_count", (F.col("object_count") >= 1).alias("has_files")))
 
 
-@register("s20_files_listed", with_sql(_E, "SELECT DISTINCT date FROM e"))
+@register("s20_files_listed", with_sql(_E, "SELECT date, count(DISTINCT event_type) AS files FROM e GROUP BY date"))
 def files_listed(spark, sf_dir):
+    """One write per kind of event, so each kind of a date is one current file."""
     layer = _event_layer(spark, "listed")
-    tables.create(_event_rows(spark, sf_dir), layer)
-    listed = tables.files_per_date(tables.read_layer(spark, layer))
+    for kind in base.EVENT_WEATHER:
+        tables.append(_event_rows(spark, sf_dir).filter(F.col("event_type") == kind).coalesce(1), layer)
+    listed = tables.files_per_date(spark, layer)
     in_folder = F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})/", 1)
-    return flat(listed.groupBy("date").agg(F.bool_and(in_folder == F.col("date").cast("string")).alias("ok")).filter("ok").select("date"))
+    return flat(listed.groupBy("date").agg(
+        F.bool_and(in_folder == F.col("date").cast("string")).alias("ok"), F.count("*").alias("files")).filter("ok").select("date", "files"))
 
 
 @register("s06_compacted", with_sql(_E, "SELECT event_id, event_type, value, date FROM e"))

@@ -8,6 +8,8 @@ chunk border through a summary holding a few rows per chunk. The result is the s
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,10 +94,18 @@ def carry_forward(
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first by ``order``; Spark limits each group before the shuffle."""
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], whole_keys: bool = False) -> DataFrame:
+    """One row per key, the first by ``order``; Spark limits each group before the shuffle.
+
+    With ``whole_keys`` a null in a key equals nothing: each such row is a group of its own.
+    """
+    apart = []
+    if whole_keys:
+        broken = reduce(or_, [F.col(k).isNull() for k in keys])
+        df = df.withColumn("_apart", F.when(broken, F.monotonically_increasing_id()))
+        apart = ["_apart"]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, *apart).orderBy(*order)))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank", *apart)
 
 
 def last_values(

@@ -10,7 +10,9 @@ from kerbside.operators.filters import has_hourly_rows, on_date
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic
 from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
-from kerbside.schemas import BRONZE_TRAFFIC_KEYS, BRONZE_WEATHER_KEYS, GOLD_KEYS, LANDING_TRAFFIC, SILVER_KEYS
+from kerbside.schemas import (
+    BRONZE_TRAFFIC, BRONZE_TRAFFIC_KEYS, BRONZE_WEATHER, BRONZE_WEATHER_KEYS, GOLD, GOLD_KEYS, LANDING_TRAFFIC, SILVER, SILVER_KEYS,
+)
 from kerbside.sources.landing import read_landing
 from kerbside.sources.tables import Layer, append_batch, exists, read_layer, replace_date
 
@@ -31,19 +33,19 @@ class Lake:
 
     @property
     def traffic(self) -> Layer:
-        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS, ("date", "_batch"))
+        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS, ("date", "_batch"), BRONZE_TRAFFIC)
 
     @property
     def weather(self) -> Layer:
-        return Layer(f"{self.root}/bronze/weather", BRONZE_WEATHER_KEYS, ("date", "_batch"))
+        return Layer(f"{self.root}/bronze/weather", BRONZE_WEATHER_KEYS, ("date", "_batch"), BRONZE_WEATHER)
 
     @property
     def silver(self) -> Layer:
-        return Layer(f"{self.root}/silver", SILVER_KEYS, ("date", "hour"))
+        return Layer(f"{self.root}/silver", SILVER_KEYS, ("date", "hour"), SILVER)
 
     @property
     def gold(self) -> Layer:
-        return Layer(f"{self.root}/gold", GOLD_KEYS, ("date", "hour"))
+        return Layer(f"{self.root}/gold", GOLD_KEYS, ("date", "hour"), GOLD)
 
 
 def backfill_day(

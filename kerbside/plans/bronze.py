@@ -47,7 +47,8 @@ def to_bronze_weather(landing: DataFrame, clock: Column | None = None) -> DataFr
 
 
 def newest_traffic(bronze: DataFrame) -> DataFrame:
-    """One row per edge and interval, the newest processed winning over retried copies."""
+    """One row per edge and interval, the newest processed winning over retried copies. Rows
+    without an edge or a time all stay: nothing says that they are the same reading."""
     tie = [c for c in ("_batch", "road_name", "speed", "flow", "entered", "left") if c in bronze.columns]
     order = [F.col(c).desc_nulls_last() for c in ("processDatetime", *tie)]
-    return keep_first(bronze, BRONZE_TRAFFIC_KEYS, order)
+    return keep_first(bronze, BRONZE_TRAFFIC_KEYS, order, whole_keys=True)

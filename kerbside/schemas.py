@@ -45,6 +45,27 @@ GOLD_COLUMNS = [
 LANDING_TRAFFIC = T.StructType([T.StructField(n, _S) for n in TRAFFIC_HEAD + TRAFFIC_MEASURES])
 LANDING_WEATHER = T.StructType([T.StructField(n, t) for n, t in WEATHER_FIELDS.items()])
 
+_DATE, _TS, _L = T.DateType(), T.TimestampType(), T.LongType()
+
+
+def _table(columns: list[str], kinds: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, kinds.get(n, _D)) for n in columns])
+
+
+# The layers' tables as stored: published columns, then what partitions or speeds them.
+BRONZE_TRAFFIC = _table(
+    ["id", "road_name", "recordDatetime", *["timeloss" if m == "timeLoss" else m for m in TRAFFIC_MEASURES],
+     "processDatetime", "rec_ts", "date", "_batch"],
+    {"id": _S, "road_name": _S, "recordDatetime": _S, "processDatetime": _S, "rec_ts": _TS, "date": _DATE, "_batch": _L})
+BRONZE_WEATHER = _table(
+    ["road_id", "road_name", "datetime", "temperature", "windspeed", "humidity", "precipitation", "weather", "processDatetime",
+     "date", "_batch"],
+    {"road_id": _S, "road_name": _S, "datetime": _S, "humidity": _I, "weather": _S, "processDatetime": _S, "date": _DATE, "_batch": _L})
+SILVER = _table([*[c for c in SILVER_COLUMNS if c != "date"], "rec_ts", "date", "hour"],
+                {"road_name": _S, "recordDatetime": _S, "weather": _S, "rec_ts": _TS, "date": _DATE, "hour": _I})
+GOLD = _table([*[c for c in GOLD_COLUMNS if c != "date"], "date", "hour"],
+              {"roadName": _S, "recordDatetime": _S, "totalVehicle": _L, "congestionHour": _I, "weather": _S, "date": _DATE, "hour": _I})
+
 BRONZE_TRAFFIC_KEYS = ["date", "id", "recordDatetime"]
 BRONZE_WEATHER_KEYS = ["date", "road_name", "datetime"]
 SILVER_KEYS = ["date", "road_name", "recordDatetime"]

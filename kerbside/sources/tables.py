@@ -1,14 +1,16 @@
 """Layer tables: date-partitioned Parquet with append, create, replace and upsert.
 
-Writes that rewrite existing rows never read and overwrite the same files in one job: the new
-partitions are first written in full to a staging folder beside the table, then moved in by
-dynamic partition overwrite from there, so a failed or repeated write finds whole input.
-One writer per table at a time.
+A write files its rows under a new version of each partition it touches, once, and then makes
+them current by appending one small file to the table's list of versions. Readers take the
+versions that the list names. So a stopped write changes nothing, its retry finds the table as
+it was, and a reader keeps the files it began with: the version before the current one is kept.
+One writer per table at a time. Numbered batches (``append_batch``) have no versions: they
+only replace themselves.
 """
 
 from __future__ import annotations
 
-import uuid
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -21,6 +23,10 @@ from pyspark.sql import types as T
 
 from kerbside.operators.windows import keep_first
 
+VERSION, REPLACES = "_version", "_replaces"
+# Lists of this many files are folded into one; files younger than an hour stay for readers.
+FOLD_FILES, FOLD_AGE_MS = 64, 3_600_000
+
 
 @dataclass(frozen=True)
 class Layer:
@@ -41,23 +47,58 @@ class Layer:
         return f"{self.path}.changes"
 
     @property
-    def staging(self) -> str:
-        return f"{self.path}.staging/{uuid.uuid4().hex}"
+    def versions(self) -> str:
+        """Folder that lists the versions of each partition, in the order they came to be."""
+        return f"{self.path}.versions"
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
 
 
 def exists(spark: SparkSession, layer: Layer) -> bool:
-    try:
-        spark.read.parquet(layer.path)
-        return True
-    except AnalysisException:
-        return False
+    """Whether the table was ever written to; a look at its folders, not at its files."""
+    return _is_there(spark, layer.versions) or _is_there(spark, layer.path)
+
+
+def _listed(spark: SparkSession, layer: Layer) -> DataFrame:
+    return spark.read.parquet(layer.versions)
+
+
+def live_versions(spark: SparkSession, layer: Layer) -> DataFrame:
+    """The current versions of each partition: the last that replaced it, and those added since."""
+    listed = _listed(spark, layer).distinct()
+    last = F.max(F.when(F.col(REPLACES), F.col(VERSION)))
+    parts = list(layer.partition_by)
+    newest = listed.groupBy(*parts).agg(F.coalesce(last, F.lit(0)).alias("_last"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in parts]
+    joined = listed.alias("a").join(newest.alias("b"), reduce(and_, same)).where(F.col(VERSION) >= F.col("_last"))
+    return joined.select(*[f"a.{c}" for c in parts], VERSION, REPLACES)
 
 
 def read_layer(spark: SparkSession, layer: Layer, columns: Sequence[str] | None = None) -> DataFrame:
     """The table, or the named columns of it. Without a fixed schema, columns of differing
     files are merged by name."""
-    reader = spark.read.option("mergeSchema", "true") if layer.schema is None else spark.read.schema(layer.schema)
+    versioned = _is_there(spark, layer.versions)
+    if layer.schema is None:
+        reader = spark.read.option("mergeSchema", "true")
+    else:
+        stored = [*layer.schema.fields, *([T.StructField(VERSION, T.LongType())] if versioned else [])]
+        reader = spark.read.schema(T.StructType(stored))
     df = reader.parquet(layer.path)
+    if versioned:
+        live = live_versions(spark, layer).select(*[F.col(c).alias(f"_of_{c}") for c in layer.partition_by],
+                                                  F.col(VERSION).alias("_live"))
+        # Versions belong to one partition each, mostly; the partition is compared as well.
+        same = [df[c].eqNullSafe(live[f"_of_{c}"]) for c in layer.partition_by]
+        df = df.join(live, reduce(and_, same, df[VERSION] == live["_live"]), "left_semi").drop(VERSION)
     return df.select(*columns) if columns else df
 
 
@@ -97,84 +138,165 @@ def _by_partition(df: DataFrame, layer: Layer) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in layer.partition_by])
 
 
+def _next_version(spark: SparkSession, layer: Layer) -> int:
+    """A number above all before it, which no stopped write has used."""
+    newest = _listed(spark, layer).agg(F.max(VERSION)).first()[0] if _is_there(spark, layer.versions) else None
+    return max(time.time_ns(), (newest or 0) + 1)
+
+
+def _publish(parts: DataFrame, layer: Layer, version: int, replaces: bool) -> None:
+    """Make a version current in the given partitions: one small file."""
+    entry = parts.select(*layer.partition_by, F.lit(version).cast("bigint").alias(VERSION), F.lit(replaces).alias(REPLACES))
+    entry.distinct().coalesce(1).write.mode("append").parquet(layer.versions)
+
+
+def _write_version(df: DataFrame, layer: Layer, replaces: bool, touched: DataFrame | None = None) -> None:
+    """File rows once, under a new version, and make it current.
+
+    ``touched`` lists the partitions that the version replaces, also those it leaves empty.
+    """
+    spark = df.sparkSession
+    version = _next_version(spark, layer)
+    stamped = _by_partition(df, layer).withColumn(VERSION, F.lit(version).cast("bigint"))
+    stamped.write.mode("append").partitionBy(*layer.partition_by, VERSION).parquet(layer.path)
+    if touched is None:
+        # The folders just written name the partitions; no data file is opened.
+        touched = _folders(spark, layer).where(F.col(VERSION) == version)
+    _publish(touched, layer, version, replaces)
+    _fold(spark, layer)
+
+
+def _folders(spark: SparkSession, layer: Layer) -> DataFrame:
+    """Path and partition values of the table's files, from their names."""
+    kinds = _listed_types(spark, layer)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    files = found.load(layer.path).select("path")
+    names = [*layer.partition_by, VERSION]
+    for name in names:
+        text = F.url_decode(F.regexp_extract("path", f"/{name}=([^/]*)/", 1))
+        value = F.when(text != "__HIVE_DEFAULT_PARTITION__", text)
+        files = files.withColumn(name, value.cast(kinds.get(name, "bigint" if name == VERSION else "string")))
+    return files
+
+
+def _listed_types(spark: SparkSession, layer: Layer) -> dict[str, str]:
+    if layer.schema is not None:
+        return dict((f.name, f.dataType.simpleString()) for f in layer.schema.fields)
+    if _is_there(spark, layer.versions):
+        return dict(_listed(spark, layer).dtypes)
+    return {"date": "date", "hour": "int"}
+
+
+def _fold(spark: SparkSession, layer: Layer) -> None:
+    """List the current versions anew once the list has many files, and drop its old ones."""
+    files, folder = _folder(spark, layer.versions)
+    listed = [f for f in files.listStatus(folder) if f.getPath().getName().endswith(".parquet")]
+    if len(listed) < FOLD_FILES:
+        return
+    live_versions(spark, layer).coalesce(1).write.mode("append").parquet(layer.versions)
+    for old in listed:
+        if old.getModificationTime() < time.time() * 1000 - FOLD_AGE_MS:
+            files.delete(old.getPath(), False)
+
+
+def remove_stale(spark: SparkSession, layer: Layer, older_than_hours: float = 24) -> int:
+    """Delete files of versions that are not current and were written long ago; returns their number.
+
+    These are replaced versions and what stopped writes left. Readers that began since are safe.
+    """
+    limit = (time.time() - older_than_hours * 3600) * 1e9
+    live = live_versions(spark, layer).select(VERSION).distinct()
+    stale = _folders(spark, layer).where(F.col(VERSION) < F.lit(int(limit))).join(live, VERSION, "left_anti")
+    files, _ = _folder(spark, layer.path)
+    count = 0
+    for row in stale.select("path").toLocalIterator():
+        count += files.delete(spark._jvm.org.apache.hadoop.fs.Path(row.path), False)
+    return count
+
+
 def append(df: DataFrame, layer: Layer) -> None:
-    _by_partition(df, layer).write.mode("append").partitionBy(*layer.partition_by).parquet(layer.path)
+    _write_version(df, layer, replaces=False)
 
 
 def append_batch(rows: DataFrame, batch_id: int, layer: Layer) -> None:
     """Append a numbered batch under its own ``_batch`` partition: running it again replaces
     what it wrote before and nothing else."""
-    stamped = rows.withColumn("_batch", F.lit(batch_id).cast("bigint"))
-    _overwrite_partitions(_by_partition(stamped, layer), layer)
+    stamped = _by_partition(rows.withColumn("_batch", F.lit(batch_id).cast("bigint")), layer)
+    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layer.partition_by).parquet(layer.path)
 
 
 def create(df: DataFrame, layer: Layer) -> None:
     """First write of a table; an error when it exists."""
-    _by_partition(df, layer).write.mode("errorifexists").partitionBy(*layer.partition_by).parquet(layer.path)
-
-
-def _overwrite_partitions(df: DataFrame, layer: Layer) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layer.partition_by).parquet(layer.path)
-
-
-def _stage(df: DataFrame, layer: Layer) -> DataFrame:
-    """Write in full beside the table and read back.
-
-    Staged rows are not partitioned: they are read once more and only then filed, so the
-    many small partition files are written a single time.
-    """
-    path = layer.staging
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if exists(df.sparkSession, layer):
+        raise AnalysisException(message=f"the table {layer.path} exists")
+    _write_version(df, layer, replaces=True)
 
 
 def replace_date(df: DataFrame, layer: Layer, day: str) -> None:
     """Replace one date's rows by ``df``; all other dates stay.
 
-    A row of another date fails the write before the table is touched, and no rows at all is
-    an error. The date's folder is replaced whole, finer partitions included.
+    A row of another date fails the write before the table changes, and no rows at all is an
+    error. All of the date's partitions become current together, those left empty included.
     """
+    spark = df.sparkSession
     outside = F.raise_error(F.lit(f"row outside {day}")).cast("boolean")
     inside = F.coalesce(F.col("date") == F.lit(day).cast("date"), F.lit(False))
-    staged = _stage(df.filter(F.when(inside, F.lit(True)).otherwise(outside)), layer)
-    if staged.isEmpty():
+    version = _next_version(spark, layer)
+    checked = _by_partition(df.filter(F.when(inside, F.lit(True)).otherwise(outside)), layer)
+    checked.withColumn(VERSION, F.lit(version).cast("bigint")).write.mode("append").partitionBy(
+        *layer.partition_by, VERSION).parquet(layer.path)
+    written = _folders(spark, layer).where(F.col(VERSION) == version).select(*layer.partition_by)
+    if written.isEmpty():
         raise ValueError(f"no rows to replace {day} with")
-    writer = staged.drop("date").write.mode("overwrite").option("partitionOverwriteMode", "static")
-    finer = [c for c in layer.partition_by if c != "date"]
-    (writer.partitionBy(*finer) if finer else writer).parquet(f"{layer.path}/date={day}")
+    if _is_there(spark, layer.versions):
+        before = _listed(spark, layer).where(F.col("date") == F.lit(day).cast("date")).select(*layer.partition_by)
+        written = written.unionByName(before)
+    _publish(written, layer, version, replaces=True)
+    _fold(spark, layer)
 
 
-def upsert(df: DataFrame, layer: Layer, order: Sequence[Column] | None = None) -> DataFrame:
-    """Update rows whose key exists, insert the others; returns the staged source rows.
+def upsert(
+    df: DataFrame,
+    layer: Layer,
+    order: Sequence[Column] | None = None,
+    groups: DataFrame | None = None,
+) -> None:
+    """Update rows whose key exists, insert the others.
 
     Only partitions that receive rows are rewritten. The source must be unique on the key:
     with ``order`` the first row per key wins, without it a repeated key is an error. A null
-    key equals nothing, so such rows are inserted. New columns are added; rows from before
+    key equals nothing, so such rows are all inserted. New columns are added; rows from before
     hold nulls there. A key keeps its partition: ``partition_by`` must derive from the key.
+
+    With ``groups``, rows of the table that agree with one of its rows go first, whatever their
+    key, so a group that is rebuilt as a whole also loses the rows it no longer has. ``groups`` holds the
+    partition columns.
     """
     spark = df.sparkSession
-    source = keep_first(df, layer.keys, order) if order else df
-    staged = _stage(source, layer)
+    parts = list(layer.partition_by)
     if order is None:
-        _assert_unique(staged, layer.keys)
-    if not exists(spark, layer):
-        if not staged.isEmpty():
-            _overwrite_partitions(_by_partition(staged, layer), layer)
-        return staged
-    # One row per partition this write touches: its days and hours, not its data.
-    parts = staged.select(*layer.partition_by).distinct()
-    touched = parts.collect()
-    narrowed = read_layer(spark, layer)
-    for position, column in enumerate(layer.partition_by):
-        wanted = {row[position] for row in touched}
-        if None not in wanted:
-            narrowed = narrowed.filter(F.col(column).isin(list(wanted)))
-    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in layer.partition_by]
-    rewritten = narrowed.alias("c").join(F.broadcast(parts.alias("p")), reduce(and_, same), "left_semi")
-    kept = rewritten.join(staged.select(*layer.keys), list(layer.keys), "left_anti")
-    merged = kept.unionByName(staged, allowMissingColumns=True)
-    _overwrite_partitions(_by_partition(_stage(merged, layer), layer), layer)
-    return staged
+        _assert_unique(df, layer.keys)
+        source = df
+    else:
+        source = keep_first(df, layer.keys, order, whole_keys=True)
+    touched = source.select(*parts)
+    if groups is not None:
+        touched = touched.unionByName(groups.select(*parts))
+    touched = touched.distinct().cache()
+    try:
+        if touched.isEmpty():
+            return
+        if not exists(spark, layer):
+            _write_version(source, layer, True, touched)
+            return
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
+        kept = read_layer(spark, layer).alias("c").join(touched.alias("p"), reduce(and_, same), "left_semi")
+        kept = kept.join(source.select(*layer.keys), list(layer.keys), "left_anti")
+        if groups is not None:
+            kept = kept.join(groups, groups.columns, "left_anti")
+        _write_version(kept.unionByName(source, allowMissingColumns=True), layer, True, touched)
+    finally:
+        touched.unpersist()
 
 
 def _assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -184,9 +306,16 @@ def _assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"the source repeats a key of {list(keys)}")
 
 
-def layer_dates(df: DataFrame) -> DataFrame:
-    """Dates of a layer, in order; Spark reads partition values only."""
-    return df.select("date").distinct().orderBy("date")
+def layer_dates(spark: SparkSession, layer: Layer) -> DataFrame:
+    """Dates of a layer, in order, from its list of versions: no data file is opened. A date whose
+    rows have all been replaced by none is still listed."""
+    return live_versions(spark, layer).select("date").distinct().orderBy("date")
+
+
+def newest_date(spark: SparkSession, layer: Layer) -> DataFrame:
+    """Rows of a layer's newest listed date."""
+    newest = layer_dates(spark, layer).agg(F.max("date").alias("newest")).scalar()
+    return read_layer(spark, layer).filter(F.col("date") == newest)
 
 
 def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
@@ -194,12 +323,14 @@ def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(name))
 
 
-def files_per_date(df: DataFrame) -> DataFrame:
-    """Files that hold rows of each date, by date and path."""
-    return df.select("date", F.col("_metadata.file_path").alias("path")).distinct().orderBy("date", "path")
+def files_per_date(spark: SparkSession, layer: Layer) -> DataFrame:
+    """Current files of each date, by date and path, from the folder's listing."""
+    live = live_versions(spark, layer).select(VERSION, *layer.partition_by)
+    return _folders(spark, layer).join(live, [VERSION, *layer.partition_by], "left_semi").select("date", "path").orderBy("date", "path")
 
 
 def compact(spark: SparkSession, layer: Layer, days: Sequence[str]) -> None:
     """Rewrite the named dates into few files each."""
     chosen = read_layer(spark, layer).filter(F.col("date").isin([*days]))
-    _overwrite_partitions(_by_partition(_stage(chosen, layer), layer), layer)
+    touched = _listed(spark, layer).where(F.col("date").isin([*days])).select(*layer.partition_by)
+    _write_version(chosen, layer, True, touched)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ from kerbside.plans.backfill import Lake
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, to_bronze_weather
 from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
-from kerbside.schemas import HOUR_KEYS, LANDING_TRAFFIC, LANDING_WEATHER
+from kerbside.schemas import BRONZE_TRAFFIC_KEYS, HOUR_KEYS, LANDING_TRAFFIC, LANDING_WEATHER
+from kerbside.session import pin
 from kerbside.sources.landing import MAX_FILES_PER_TRIGGER, read_landing_stream
 from kerbside.sources.tables import Layer, append_batch, exists, publish_changes, read_layer, read_layer_stream, upsert
 from kerbside.streaming.late import LatePolicy, split_late
@@ -83,6 +85,14 @@ def _hours_of_weather(rows: DataFrame, grain: str) -> DataFrame:
     return at.select("road_name", F.explode(places).alias("p")).select("road_name", "p.date", "p.hour")
 
 
+def _hours_superseded(spark: SparkSession, layer: Layer, rows: DataFrame, batch_id: int) -> DataFrame:
+    """Hours of stored readings that the batch's rows replace: a reading may have moved to another road."""
+    named = rows.filter(F.col("id").isNotNull() & F.col("rec_ts").isNotNull())
+    days = [r["date"] for r in named.select("date").distinct().collect()]
+    stored = on_parts(read_layer(spark, layer), {"date": days}).filter(F.col("_batch") != batch_id)
+    return _hours_of_traffic(stored.join(named.select(*BRONZE_TRAFFIC_KEYS), BRONZE_TRAFFIC_KEYS, "left_semi"))
+
+
 def _prepare(spark: SparkSession, layer: Layer) -> None:
     """An empty first file, so that the next layer's stream can start before any change."""
     spark.createDataFrame([], CHANGED_HOURS).write.mode("append").parquet(layer.changes)
@@ -104,7 +114,12 @@ def _bronze(name: str, schema: T.StructType, to_rows: Callable, hours: Callable)
             if streams.late is not None and "rec_ts" in rows.columns:
                 rows = split_late(rows, batch_id, layer, streams.late)
             append_batch(rows, batch_id, layer)
-            publish_changes(hours(rows, streams), layer)
+            # From here on the batch is read back as stored, not parsed again.
+            written = read_layer(spark, layer).filter(F.col("_batch") == batch_id)
+            changed = hours(written, streams)
+            if "rec_ts" in rows.columns:
+                changed = changed.unionByName(_hours_superseded(spark, layer, written, batch_id))
+            publish_changes(changed, layer)
 
         landing = read_landing_stream(spark, source, schema, streams.max_files)
         return landing.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -136,9 +151,9 @@ def rebuild_silver(spark: SparkSession, streams: Streams, hours: DataFrame) -> D
     in_hours = on_parts(bronze.withColumn("hour", hour), {"hour": parts["hour"]})
     traffic = touched(newest_traffic(in_hours), hours, HOUR_KEYS)
     # Weather of the days themselves and, for 24:00, of the next; as-of looks back before.
-    window = F.col("date").between(F.date_sub(F.lit(days[0]), 1), F.date_add(F.lit(days[-1]), 1)) if days else F.lit(False)
+    near = sorted({day + timedelta(k) for day in days if day for k in (-1, 0, 1)})
     if exists(spark, lake.weather):
-        weather = touched(read_layer(spark, lake.weather).filter(window), hours.select("road_name").distinct(), ["road_name"])
+        weather = touched(on_parts(read_layer(spark, lake.weather), {"date": near}), hours.select("road_name").distinct(), ["road_name"])
     else:
         blank = spark.createDataFrame([], LANDING_WEATHER)
         weather = to_bronze_weather(blank, streams.clock)
@@ -154,8 +169,9 @@ def start_silver(spark: SparkSession, streams: Streams, trigger: dict) -> Stream
         hours = batch.distinct()
         if hours.isEmpty() or not exists(batch.sparkSession, lake.traffic):
             return
-        changed = upsert(rebuild_silver(batch.sparkSession, streams, hours), lake.silver)
-        publish_changes(changed.select(*HOUR_KEYS), lake.silver)
+        spark = batch.sparkSession
+        upsert(pin(rebuild_silver(spark, streams, hours)), lake.silver, groups=hours)
+        publish_changes(hours, lake.silver)
 
     changes = read_layer_stream(spark, lake.traffic, CHANGED_HOURS, streams.max_files).unionByName(
         read_layer_stream(spark, lake.weather, CHANGED_HOURS, streams.max_files)
@@ -173,7 +189,8 @@ def start_gold(spark: SparkSession, streams: Streams, trigger: dict) -> Streamin
         if hours.isEmpty():
             return
         silver = on_parts(read_layer(batch.sparkSession, lake.silver), _touched_parts(hours))
-        upsert(with_hour(build_gold(touched(silver, hours, HOUR_KEYS))), lake.gold)
+        rebuilt = pin(with_hour(build_gold(touched(silver, hours, HOUR_KEYS))))
+        upsert(rebuilt, lake.gold, groups=hours.withColumnRenamed("road_name", "roadName"))
 
     changes = read_layer_stream(spark, lake.silver, CHANGED_HOURS, streams.max_files)
     checkpoint = f"{streams.checkpoints}/gold"

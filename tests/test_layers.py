@@ -184,3 +184,85 @@ def test_batch_retry_replaces_its_own_rows(spark):
     for number, values in ((0, [(1, "a", "2024-01-01")]), (1, [(2, "b", "2024-01-01")]), (1, [(2, "b", "2024-01-01")])):
         tables.append_batch(small(spark, values), number, layer)
     assert tables.read_layer(spark, layer).count() == 2
+
+
+def test_rows_without_an_edge_all_count(spark, readings):
+    """Lanes without an id, or without a time, are not one reading: stream and batch keep them all."""
+    lanes = part_of(spark, [
+        lane(None, "A", DAY, "10:00", "10:03", entered="5"), lane(None, "A", DAY, "10:00", "10:03", entered="7"),
+        lane("1#0", "A", DAY, "10:00", "10:03", entered="1"),
+    ], LANDING_TRAFFIC)
+    streams = make_streams(spark)
+    write_landing(lanes, streams.traffic_landing, per_interval=False)
+    write_landing(readings.limit(0), streams.weather_landing, per_interval=False)
+    layers.run_available(spark, streams)
+    got = tables.read_layer(spark, streams.lake.silver)
+    assert [r["total_entered"] for r in got.collect()] == [13.0]
+    assert rows(published(got)) == rows(published(batch_silver(lanes, readings.limit(0))))
+
+
+def test_a_reading_that_moves_to_another_road_leaves_the_first(spark, readings):
+    first = [lane("1#0", "A", DAY, "10:00", "10:03", entered="5"), lane("2#0", "A", DAY, "10:03", "10:06", entered="6")]
+    moved = [lane("1#0", "B", DAY, "10:00", "10:03", entered="8")]
+    streams = make_streams(spark)
+    write_landing(readings.limit(0), streams.weather_landing, per_interval=False)
+    for k, part in enumerate((first, moved)):
+        later = layers.Streams(**{**streams.__dict__, "clock": F.lit(f"2024-02-0{k + 1} 00:00:00").cast("timestamp")})
+        write_landing(part_of(spark, part, LANDING_TRAFFIC), streams.traffic_landing, per_interval=False)
+        layers.run_available(spark, later)
+    got = {(r["road_name"], r["recordDatetime"]): r["total_entered"] for r in tables.read_layer(spark, streams.lake.silver).collect()}
+    assert got == {("A", "2024-01-31T10:06"): 6.0, ("B", "2024-01-31T10:03"): 8.0}
+    gold = {(r["roadName"], r["recordDatetime"]) for r in tables.read_layer(spark, streams.lake.gold).collect()}
+    assert gold == set(got)
+
+
+def test_upsert_with_order_keeps_null_keys(spark):
+    layer = Layer(scratch_path(spark, "n"), ["k", "date"])
+    values = [(None, "a", "2024-01-01"), (None, "b", "2024-01-01"), (1, "c", "2024-01-01"), (1, "d", "2024-01-01")]
+    tables.upsert(small(spark, values), layer, order=[F.desc("v")])
+    assert sorted((r["k"] or 0, r["v"]) for r in tables.read_layer(spark, layer).collect()) == [(0, "a"), (0, "b"), (1, "d")]
+
+
+def test_a_stopped_write_changes_nothing(spark, monkeypatch):
+    """Stopped after its files are written and before they are listed; the retry ends in the full table."""
+    layer = Layer(scratch_path(spark, "s"), ["k", "date"])
+    tables.create(small(spark, [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")]), layer)
+    before = rows(tables.read_layer(spark, layer))
+    change = small(spark, [(2, "B", "2024-01-01"), (3, "c", "2024-01-02")])
+    with monkeypatch.context() as stopped:
+        stopped.setattr(tables, "_publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            tables.upsert(change, layer)
+        with pytest.raises(RuntimeError):
+            tables.replace_date(small(spark, [(9, "z", "2024-01-01")]), layer, "2024-01-01")
+    assert rows(tables.read_layer(spark, layer)) == before
+    tables.upsert(change, layer)
+    assert [r[:2] for r in rows(tables.read_layer(spark, layer, ["k", "v"]))] == [(1, "a"), (2, "B"), (3, "c")]
+    assert tables.remove_stale(spark, layer, older_than_hours=0) > 0
+    assert tables.read_layer(spark, layer).count() == 3
+
+
+def test_a_reader_keeps_its_version(spark):
+    layer = Layer(scratch_path(spark, "v"), ["k", "date"])
+    tables.create(small(spark, [(k, "a", "2024-01-01") for k in range(50)]), layer)
+    reading = tables.read_layer(spark, layer)
+    tables.replace_date(small(spark, [(9, "z", "2024-01-01")]), layer, "2024-01-01")
+    assert reading.count() == 50 and tables.read_layer(spark, layer).count() == 1
+
+
+def test_rebuilt_groups_lose_what_they_no_longer_hold(spark):
+    layer = Layer(scratch_path(spark, "g"), ["k", "date"])
+    tables.create(small(spark, [(1, "a", "2024-01-01"), (2, "a", "2024-01-01"), (3, "b", "2024-01-01"), (4, "a", "2024-01-02")]), layer)
+    groups = small(spark, [(0, "a", "2024-01-01"), (0, "a", "2024-01-02")]).select("v", "date")
+    tables.upsert(small(spark, [(2, "a", "2024-01-01")]), layer, groups=groups)
+    assert [r[:2] for r in rows(tables.read_layer(spark, layer, ["k", "v"]))] == [(2, "a"), (3, "b")]
+
+
+def test_version_lists_are_folded(spark, monkeypatch):
+    monkeypatch.setattr(tables, "FOLD_FILES", 3)
+    monkeypatch.setattr(tables, "FOLD_AGE_MS", -10**9)
+    layer = Layer(scratch_path(spark, "f"), ["k", "date"])
+    for k in range(5):
+        tables.upsert(small(spark, [(k, "a", f"2024-01-0{1 + k % 2}")]), layer)
+    assert tables.read_layer(spark, layer).count() == 5
+    assert len(tables._listed(spark, layer).inputFiles()) < 5
