@@ -293,7 +293,9 @@ def link_members(members: DataFrame, compare, width: int) -> DataFrame:
     columns = ["key", "block", "node", "component", "side", "size", "payload"]
 
     def edges(rows):
-        dealt = rows.select(*columns).repartition("key", "block").sortWithinPartitions("key", "block")
+        # Comparing takes long for its bytes, so the tasks are not merged by size.
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = rows.select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
         return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long").distinct(), "links")
 
     first = edges(members.withColumn("block", F.explode(blocks)).withColumn("component", F.col("node"))
