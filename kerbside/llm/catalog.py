@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from kerbside.llm import decontam, language, licenses, mixing, quality, rlz, setsketch, toxicity, warc
+from kerbside.llm import decontam, language, licenses, mixing, quality, rlz, setsketch, suffix_bwt, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": rlz.op1_substring_dedup,
+    "op2_suffix_dedup": suffix_bwt.op2_suffix_dedup,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op4_language": language.op4_language,
     "op5_toxicity": toxicity.op5_toxicity,
