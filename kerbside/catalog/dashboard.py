@@ -100,8 +100,9 @@ _HOURS = ROWS.replace("rows_ AS (", "rows_ AS (SELECT *, CAST(least(23, bucket /
 
 
 @register("a14_hourly_weather", with_sql(_HOURS + dominant_sql("date, h", "lower(weather)", "top"), """
-SELECT CAST(r.date AS VARCHAR) AS date, r.h AS hour, avg(r.temperature) AS temperature, any_value(top.label) AS weather
-FROM rows_ r LEFT JOIN top ON r.date = top.date AND r.h = top.h GROUP BY r.date, r.h"""))
+, d AS (SELECT DISTINCT date, unnest(range(24))::INTEGER AS h FROM rows_)
+SELECT CAST(d.date AS VARCHAR) AS date, d.h AS hour, avg(r.temperature) AS temperature, any_value(top.label) AS weather
+FROM d LEFT JOIN rows_ r ON r.date = d.date AND r.h = d.h LEFT JOIN top ON d.date = top.date AND d.h = top.h GROUP BY d.date, d.h"""))
 def hourly_weather(spark, sf_dir):
     return flat(plan.hourly_weather(_rows(spark, sf_dir)))
 

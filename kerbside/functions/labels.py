@@ -101,7 +101,7 @@ def is_rainy(label: Column) -> Column:
 
 def clean_label(label: Column) -> Column:
     """Trimmed label, blank as null."""
-    return F.nullif(F.trim(label), F.lit(""))
+    return F.nullif(values.trimmed(label), F.lit(""))
 
 
 def density_class(density: Column, highway: Column) -> Column:

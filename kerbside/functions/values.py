@@ -44,8 +44,8 @@ def _finite(value: Column) -> Column:
 
 def number_from_text(text: Column) -> Column:
     """Finite double of a text, else null; blank, 'NaN' and 'Infinity' give null."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.rlike(NUMBER_PATTERN), _finite(trimmed.try_cast("double")))
+    bare = trimmed(text)
+    return F.when(bare.rlike(NUMBER_PATTERN), _finite(bare.try_cast("double")))
 
 
 def number_of(df: DataFrame, name: str) -> Column:
@@ -60,9 +60,14 @@ def number_of(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("double")
 
 
+def trimmed(text: Column) -> Column:
+    """Text without white space of any kind at its ends: tabs, line ends and wide spaces too."""
+    return F.regexp_replace(text, r"^[\s\u0085\p{Z}]+|[\s\u0085\p{Z}]+$", "")
+
+
 def text_of(df: DataFrame, name: str) -> Column:
     """Trimmed text of a column, blank as null."""
-    return F.nullif(F.trim(F.col(name).cast("string")), F.lit(""))
+    return F.nullif(trimmed(F.col(name).cast("string")), F.lit(""))
 
 
 def present(df: DataFrame, candidates: Sequence[str]) -> list[str]:
@@ -76,6 +81,12 @@ def first_number(df: DataFrame, candidates: Sequence[str]) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("double")
 
 
+def number_of_first(df: DataFrame, candidates: Sequence[str]) -> Column:
+    """Number of the first candidate column that is not blank; null if that is no number."""
+    found = [F.when(text_of(df, n).isNotNull(), F.struct(number_of(df, n).alias("n"))) for n in present(df, candidates)]
+    return F.coalesce(*found)["n"] if found else F.lit(None).cast("double")
+
+
 def first_text(df: DataFrame, candidates: Sequence[str]) -> Column:
     found = [text_of(df, name) for name in present(df, candidates)]
     return F.coalesce(*found) if found else F.lit(None).cast("string")
@@ -126,6 +137,12 @@ def model_input(value: Column) -> Column:
 
 
 def scaled_density(value: Column) -> Column:
-    """Model output held to the scaled range: NaN and null are 0, infinities the ends."""
+    """Forecast output held to the scaled range: NaN and null are 0, infinities the ends."""
     low, high = SCALED_DENSITY_CLIP
     return clip(F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0)), low, high)
+
+
+def scored_density(value: Column) -> Column:
+    """Batch scores held to the scaled range: as ``scaled_density``, but infinities are 1 and 0."""
+    infinite = F.abs(value) == float("inf")
+    return scaled_density(F.when(infinite, F.when(value > 0, 1.0).otherwise(0.0)).otherwise(value))

@@ -123,7 +123,7 @@ def density_records(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         values.first_text(df, values.SEGMENT_CANDIDATES).alias("_segment"),
         values.first_text(df, values.SEGMENT_NAME_CANDIDATES).alias("_name"),
         (F.coalesce(*minutes) if minutes else F.lit(None).cast("int")).alias("minute"),
-        values.first_number(df, values.DENSITY_CANDIDATES).alias("density"),
+        values.number_of_first(df, values.DENSITY_CANDIDATES).alias("density"),
     )
     keys = F.when(F.col("_segment").isNotNull(), roads.edge_keys(F.col("_segment"))).otherwise(roads.name_keys(F.col("_name")))
     return resolved.select(*keep, keys.alias("keys"), "minute", "density")

@@ -47,7 +47,7 @@ def for_road(df: DataFrame, road: str | None) -> DataFrame:
     column = values.first_column(df, values.ROAD_CANDIDATES)
     if column is None:
         return df.limit(0)
-    return df.filter(F.trim(F.coalesce(F.col(column).cast("string"), F.lit(""))) == wanted)
+    return df.filter(values.trimmed(F.coalesce(F.col(column).cast("string"), F.lit(""))) == wanted)
 
 
 def latest_date(df: DataFrame) -> DataFrame:

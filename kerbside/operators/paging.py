@@ -16,9 +16,6 @@ PREDICTIONS_DEFAULT, PREDICTIONS_MAX = 500, 10_000
 PAGE_SIZE = 200
 # --- end of fixed values ---
 
-# Up to this many leading rows, a page is cut from a top-k; deeper pages use row numbers.
-TOP_K_ROWS = 20_000
-
 
 def preview(df: DataFrame, limit: int = PREVIEW_DEFAULT) -> DataFrame:
     """Some rows of the frame, 1 to 500 of them."""
@@ -49,8 +46,8 @@ def number_order(column: str, descending: bool = False) -> Column:
     return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
 
 
-def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
-    """Number all rows 1..n in ``order`` without gathering them in one task.
+def _numbered(df: DataFrame, order: Sequence[Column], name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows numbered 1..n in ``order``, and the sizes of the partitions that hold them.
 
     The range-sorted rows are pinned, so their partition and place are fixed; adding the sizes
     of the partitions before (one row per partition) gives each row's number.
@@ -62,7 +59,12 @@ def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_num
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     within = F.col("_place").bitwiseAND((1 << 33) - 1)
-    return numbered.withColumn(name, F.col("_offset") + within + 1).drop("_place", "_part", "_offset")
+    return numbered.withColumn(name, F.col("_offset") + within + 1).drop("_place", "_part", "_offset"), sizes
+
+
+def with_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
+    """Number all rows 1..n in ``order`` without gathering them in one task."""
+    return _numbered(df, order, name)[0]
 
 
 def page_bounds(total: int, page: int, size: int = PAGE_SIZE) -> tuple[int, int, int]:
@@ -73,15 +75,16 @@ def page_bounds(total: int, page: int, size: int = PAGE_SIZE) -> tuple[int, int,
 
 
 def page_rows(df: DataFrame, order: Sequence[Column], page: int, size: int = PAGE_SIZE) -> DataFrame:
-    """One page of the ordered rows; ``order`` should end in a unique key.
+    """One page of the ordered rows.
 
-    Near pages come from a top-k, in which no task keeps more than the leading rows; far pages
-    from row numbers, so no single task ever holds everything before the page.
+    Rows that tie in ``order`` are set in the order of all their columns, so pages neither repeat nor miss
+    one. All pages come from one numbering, whose partition sizes also give the total: the
+    input is evaluated once, and no task holds everything before the page.
     """
-    _, start, _ = page_bounds(df.count(), page, size)
-    if start + size <= TOP_K_ROWS:
-        return df.orderBy(*order).offset(start).limit(size)
-    numbered = with_row_number(df, order, "_row")
+    tail = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    numbered, sizes = _numbered(df, [*order, tail], "_row")
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    _, start, _ = page_bounds(total, page, size)
     return numbered.filter(F.col("_row").between(start + 1, start + size)).orderBy("_row").drop("_row")
 
 

@@ -120,12 +120,15 @@ def weather_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
 
 
 def hourly_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
-    """Per hour: dominant label, lower case, and mean temperature, where there are rows."""
+    """All 24 hours of every group: dominant label, lower case, and mean temperature, null where
+    an hour has no rows."""
     timed = rows.filter("bucket IS NOT NULL")
     hours = timed.withColumn("hour", F.least(F.lit(23), F.floor(F.col("bucket") / 20)).cast("int"))
     means = hours.groupBy(*by, "hour").agg(F.avg("temperature").alias("temperature"))
     label = dominant(hours, [*by, "hour"], F.lower("weather"), [F.col("seen")], "weather")
-    return means.join(label, [*by, "hour"], "left")
+    days = means.select(*by).distinct()
+    grid = days.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    return grid.join(means, [*by, "hour"], "left").join(label, [*by, "hour"], "left")
 
 
 def current_weather(series: DataFrame, limit: Column, by: Sequence[str] = DAY) -> DataFrame:

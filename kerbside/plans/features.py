@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import times, values
-from kerbside.operators.filters import known_to
 from kerbside.operators.joins import neighbour_mean_of_rows, with_neighbour_means
 from kerbside.operators.paging import with_row_number
 from kerbside.operators.windows import lag_in_chunks
+from kerbside.session import pin
 
 # --- fixed values: input columns, derived feature names and their small constant ---
 MODEL_MEASURES = [
@@ -89,7 +89,7 @@ def fit_roads(df: DataFrame) -> DataFrame:
     """Road classes: names in order, numbered from 0."""
     names = df.select("road_name").filter("road_name IS NOT NULL").distinct()
     numbered = with_row_number(names, [F.col("road_name").asc()], "road_id")
-    return numbered.withColumn("road_id", (F.col("road_id") - 1).cast("int"))
+    return pin(numbered.withColumn("road_id", (F.col("road_id") - 1).cast("int")))
 
 
 def fit_scaler(df: DataFrame, measures: Sequence[str] = tuple(MODEL_MEASURES)) -> DataFrame:
@@ -127,8 +127,11 @@ def base_rows(df: DataFrame, roads: DataFrame, scaler: DataFrame, spec: FeatureS
 
     Scaling comes before lags and neighbour means, which are therefore scaled too.
     """
-    rows = known_to(canonical_input(df), roads, "road_name").join(roads, "road_name")
-    rows = rows.withColumn("rec_ts", times.parse_minute_text(F.col("recordDatetime")))
+    rows = canonical_input(df).join(roads, "road_name")
+    # A time that can't be read fails the job: its features would be made up.
+    unread = F.raise_error(F.concat(F.lit("unreadable recordDatetime: "), F.coalesce("recordDatetime", F.lit("null"))))
+    parsed = times.parse_minute_text(F.col("recordDatetime"))
+    rows = rows.withColumn("rec_ts", F.coalesce(parsed, unread.cast("timestamp")))
     rows = rows.withColumns(times.calendar_features(F.col("rec_ts")))
     return scaled(one_hot_weather(rows, spec.weather_labels), scaler, spec.measures)
 
@@ -159,7 +162,8 @@ def build_features(
     """Features of every known-road row: ``spec.features`` plus road_name, recordDatetime and
     the target, all finite. ``mean_of`` is the density the neighbour means average."""
     rows = base_rows(df, roads, scaler, spec)
-    lagged = lag_in_chunks(rows, ["road_id"], "rec_ts", ["avg_density", "avg_speed"], LAGS)
+    # The rows feed the lags' windows and the neighbours' means: written once, read twice.
+    lagged = pin(lag_in_chunks(rows, ["road_id"], "rec_ts", ["avg_density", "avg_speed"], LAGS))
     means = neighbour_mean_of_rows(lagged, edges, "road_id", mean_of or spec.density)
     derived = graph_features(with_neighbour_means(lagged, means, "road_id"), spec)
     numeric = [F.col(c).cast("double").alias(c) for c in (*spec.features, spec.target)]

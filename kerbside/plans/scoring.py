@@ -77,8 +77,8 @@ def score(
 ) -> DataFrame:
     """Predicted and actual density of each row, scaled and real."""
     scored = predict(features, models, weights)
-    real = unscaled(values.scaled_density(F.col("pred_scaled")), scaler, spec.target)
-    actual = unscaled(values.scaled_density(F.col(spec.target)), scaler, spec.target)
+    real = unscaled(values.scored_density(F.col("pred_scaled")), scaler, spec.target)
+    actual = unscaled(values.scored_density(F.col(spec.target)), scaler, spec.target)
     return scored.select(
         "road_name",
         "recordDatetime",
