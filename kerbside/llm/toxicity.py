@@ -83,17 +83,30 @@ class Trie:
 
     def __init__(self, terms: dict[str, float]):
         self.root: dict = {}
+        # One edit leaves one half of a term whole: words with neither half of any need no search.
+        self.halves: set[tuple[int, bool, str]] = set()
         for term, weight in terms.items():
+            half = len(term) // 2
+            self.halves |= {(len(term), True, term[:half]), (len(term), False, term[half:])}
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = weight
 
+    def _may_be_near(self, word: str) -> bool:
+        for n in range(max(1, len(word) - 1), len(word) + 2):
+            half = n // 2
+            if (n, True, word[:half]) in self.halves or (n, False, word[len(word) - n + half :]) in self.halves:
+                return True
+        return False
+
     def near(self, word: str) -> float:
         """Greatest weight of a term at a distance of one from ``word``; 0 where there is none.
 
         The automaton's states are bits: places of ``word`` reached with no edit, and with one.
         """
+        if not self._may_be_near(word):
+            return 0.0
         at: dict[str, int] = {}
         for k, c in enumerate(word):
             at[c] = at.get(c, 0) | 1 << k
