@@ -26,6 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,8 +147,6 @@ def _parsed(words: Words, keep: np.ndarray, window: int, buckets: int, replies:
 
 def _frame_size(reply: bytes) -> int:
     """Bytes of the first of two compressed parts, which a bar divides."""
-    import zstandard
-
     reader = zstandard.ZstdDecompressor().decompressobj()
     reader.decompress(reply)
     return len(reply) - len(reader.unused_data)

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from kerbside.llm.blocks import (Block, _rows, _with_replies, answered, ask_shared, bucket_count, hear_shared, packed, sent,
@@ -195,8 +196,6 @@ def _messages(text: Bytes, keys, first, last, buckets: int):
 
 
 def _sent_strings(entries) -> bytes:
-    import zstandard
-
     keys = np.array([e[0] for e in entries], np.uint64)
     sizes = np.array([len(e[1]) for e in entries], np.uint32)
     twice = np.packbits([len(e[2]) > 1 for e in entries])
@@ -205,8 +204,6 @@ def _sent_strings(entries) -> bytes:
 
 
 def _heard_strings(message: bytes):
-    import zstandard
-
     n = int.from_bytes(message[:4], "little")
     keys = np.frombuffer(message, np.uint64, n, 4)
     sizes = np.frombuffer(message, np.uint32, n, 4 + 8 * n)
