@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kerbside.functions import values
 from kerbside.operators import aggregates, filters, joins, paging, sets, windows
 from kerbside.operators.nearest import nearest_site
 from kerbside.plans import mapview
@@ -49,17 +50,35 @@ def test_short_histories_are_padded(series):
     assert got["pair"] == [2.0, 2.0, None]
 
 
-def test_far_pages_equal_near_pages(spark, monkeypatch):
-    df = spark.range(1003).select((F.col("id") % 7).alias("a"), "id")
-    order = [F.desc("a"), F.asc("id")]
-    near = [paging.page_rows(df, order, p, 100).collect() for p in (-1, 1, 4, 11, 99)]
-    monkeypatch.setattr(paging, "TOP_K_ROWS", 0)
-    far = [paging.page_rows(df, order, p, 100).collect() for p in (-1, 1, 4, 11, 99)]
-    assert near == far
-    assert [len(p) for p in near] == [100, 100, 100, 3, 3]
+def test_pages_part_all_rows_also_under_ties(spark):
+    df = spark.range(1003).select((F.col("id") % 7).alias("a"), "id").repartition(5)
+    pages = [[r["id"] for r in paging.page_rows(df, [F.desc("a")], p, 100).collect()] for p in range(1, 12)]
+    assert [len(p) for p in pages] == [100] * 10 + [3]
+    assert sorted(i for p in pages for i in p) == list(range(1003))
+    ordered = [F.desc("a"), F.asc("id")]
+    want = [r["id"] for r in df.orderBy(*ordered).collect()]
+    assert [r["id"] for r in paging.page_rows(df, ordered, 4, 100).collect()] == want[300:400]
+    assert [r["id"] for r in paging.page_rows(df, ordered, 99, 100).collect()] == want[1000:]
     assert paging.page_bounds(0, 5) == (1, 0, 1)
 
 
+def test_white_space_of_all_kinds_is_trimmed(spark):
+    df = spark.createDataFrame([("A\t",), ("\u00a0A\n",), ("A",), ("B",), (" \t",), (None,)], "road_name string")
+    assert filters.for_road(df, "A\t").count() == 3
+    assert [r["road_name"] for r in aggregates.road_list(df).collect()] == ["A", "B"]
+
+
+def test_density_is_the_first_that_is_not_blank(spark):
+    names = values.DENSITY_CANDIDATES[:2]
+    df = spark.createDataFrame([("", "2.5"), ("abc", "2.5"), ("1.5", "2.5"), (None, None)], ", ".join(f"`{n}` string" for n in names))
+    assert [r[0] for r in df.select(values.number_of_first(df, names)).collect()] == [2.5, None, 1.5, None]
+
+
+def test_batch_scores_hold_infinities_to_one_and_zero(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (None,), (5.0,), (-5.0,)], "v double")
+    assert [r[0] for r in df.select(values.scored_density(F.col("v"))).collect()] == [1.0, 0.0, 0.0, 0.0, 2.0, -1.0]
+
+
 def test_bounds_of_limits(spark):
     with pytest.raises(ValueError):
         paging.preview(spark.range(1), 501)
