@@ -21,7 +21,7 @@ _BRONZE_OUT = """SELECT id, road_name, recordDatetime, laneDensity, occupancy, w
 
 
 def _bronze_columns(df):
-    return flat(df.drop("rec_ts", "processDatetime", "_batch"))
+    return flat(df.drop("rec_ts", "processDatetime", "hour", "_batch"))
 
 
 def _drain(stream, folder: str, mode: str = "append"):

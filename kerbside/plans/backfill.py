@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from kerbside.operators.filters import has_hourly_rows, on_date
-from kerbside.plans.bronze import newest_traffic, to_bronze_traffic
+from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, with_bronze_hour
 from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import (
@@ -24,16 +24,16 @@ BACKFILL_BATCH = -1
 class Lake:
     """The four layer tables under one root.
 
-    Bronze only grows, by numbered batches; its readers keep the newest row per key. Silver
-    and gold are partitioned by date and hour, the grain at which they are
-    recomputed, so that an upsert rewrites hours and not whole days.
+    Bronze only grows, by numbered batches; its readers keep the newest row per key. Traffic,
+    silver and gold are partitioned by date and hour, the grain at which silver and gold are
+    recomputed: a trigger reads and rewrites the hours it touches and not whole days.
     """
 
     root: str
 
     @property
     def traffic(self) -> Layer:
-        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS, ("date", "_batch"), BRONZE_TRAFFIC)
+        return Layer(f"{self.root}/bronze/traffic", BRONZE_TRAFFIC_KEYS, ("date", "hour", "_batch"), BRONZE_TRAFFIC)
 
     @property
     def weather(self) -> Layer:
@@ -65,7 +65,7 @@ def backfill_day(
     landing = read_landing(spark, landing_path, LANDING_TRAFFIC, day, layout)
     if landing.isEmpty():
         raise ValueError(f"no landing rows for {day}")
-    append_batch(to_bronze_traffic(landing, clock), BACKFILL_BATCH, lake.traffic)
+    append_batch(with_bronze_hour(to_bronze_traffic(landing, clock)), BACKFILL_BATCH, lake.traffic)
 
     known = exists(spark, lake.weather) and has_hourly_rows(read_layer(spark, lake.weather), day).first()[0]
     if not known:

@@ -46,6 +46,11 @@ def to_bronze_weather(landing: DataFrame, clock: Column | None = None) -> DataFr
     )
 
 
+def with_bronze_hour(bronze: DataFrame) -> DataFrame:
+    """Bronze traffic rows with the ``hour`` their table is partitioned by."""
+    return bronze.withColumn("hour", times.hour_of_day(F.col("rec_ts"), F.col("date")))
+
+
 def newest_traffic(bronze: DataFrame) -> DataFrame:
     """One row per edge and interval, the newest processed winning over retried copies. Rows
     without an edge or a time all stay: nothing says that they are the same reading."""

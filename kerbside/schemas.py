@@ -55,8 +55,8 @@ def _table(columns: list[str], kinds: dict[str, T.DataType]) -> T.StructType:
 # The layers' tables as stored: published columns, then what partitions or speeds them.
 BRONZE_TRAFFIC = _table(
     ["id", "road_name", "recordDatetime", *["timeloss" if m == "timeLoss" else m for m in TRAFFIC_MEASURES],
-     "processDatetime", "rec_ts", "date", "_batch"],
-    {"id": _S, "road_name": _S, "recordDatetime": _S, "processDatetime": _S, "rec_ts": _TS, "date": _DATE, "_batch": _L})
+     "processDatetime", "rec_ts", "date", "hour", "_batch"],
+    {"id": _S, "road_name": _S, "recordDatetime": _S, "processDatetime": _S, "rec_ts": _TS, "date": _DATE, "hour": _I, "_batch": _L})
 BRONZE_WEATHER = _table(
     ["road_id", "road_name", "datetime", "temperature", "windspeed", "humidity", "precipitation", "weather", "processDatetime",
      "date", "_batch"],

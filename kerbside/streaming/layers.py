@@ -24,7 +24,7 @@ from kerbside.functions import times
 from kerbside.operators.filters import on_parts
 from kerbside.operators.joins import touched
 from kerbside.plans.backfill import Lake
-from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, to_bronze_weather
+from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, to_bronze_weather, with_bronze_hour
 from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import BRONZE_TRAFFIC_KEYS, HOUR_KEYS, LANDING_TRAFFIC, LANDING_WEATHER
@@ -63,9 +63,8 @@ class Streams:
 
 
 def _hours_of_traffic(rows: DataFrame) -> DataFrame:
-    hour = times.hour_of_day(F.col("rec_ts"), F.col("date"))
     named = rows.filter(F.col("road_name").isNotNull() & F.col("rec_ts").isNotNull())
-    return named.select("road_name", "date", hour.alias("hour"))
+    return named.select("road_name", "date", "hour")
 
 
 def _hours_of_weather(rows: DataFrame, grain: str) -> DataFrame:
@@ -88,8 +87,8 @@ def _hours_of_weather(rows: DataFrame, grain: str) -> DataFrame:
 def _hours_superseded(spark: SparkSession, layer: Layer, rows: DataFrame, batch_id: int) -> DataFrame:
     """Hours of stored readings that the batch's rows replace: a reading may have moved to another road."""
     named = rows.filter(F.col("id").isNotNull() & F.col("rec_ts").isNotNull())
-    days = [r["date"] for r in named.select("date").distinct().collect()]
-    stored = on_parts(read_layer(spark, layer), {"date": days}).filter(F.col("_batch") != batch_id)
+    # A reading keeps its time, so its earlier copies lie in the same hours.
+    stored = on_parts(read_layer(spark, layer), _touched_parts(named)).filter(F.col("_batch") != batch_id)
     return _hours_of_traffic(stored.join(named.select(*BRONZE_TRAFFIC_KEYS), BRONZE_TRAFFIC_KEYS, "left_semi"))
 
 
@@ -113,11 +112,12 @@ def _bronze(name: str, schema: T.StructType, to_rows: Callable, hours: Callable)
             rows = to_rows(batch, streams.clock)
             if streams.late is not None and "rec_ts" in rows.columns:
                 rows = split_late(rows, batch_id, layer, streams.late)
-            append_batch(rows, batch_id, layer)
+            timed = "rec_ts" in rows.columns
+            append_batch(with_bronze_hour(rows) if timed else rows, batch_id, layer)
             # From here on the batch is read back as stored, not parsed again.
             written = read_layer(spark, layer).filter(F.col("_batch") == batch_id)
             changed = hours(written, streams)
-            if "rec_ts" in rows.columns:
+            if timed:
                 changed = changed.unionByName(_hours_superseded(spark, layer, written, batch_id))
             publish_changes(changed, layer)
 
@@ -146,9 +146,7 @@ def rebuild_silver(spark: SparkSession, streams: Streams, hours: DataFrame) -> D
     lake = streams.lake
     parts = _touched_parts(hours)
     days = parts["date"]
-    bronze = on_parts(read_layer(spark, lake.traffic), {"date": days})
-    hour = times.hour_of_day(F.col("rec_ts"), F.col("date"))
-    in_hours = on_parts(bronze.withColumn("hour", hour), {"hour": parts["hour"]})
+    in_hours = on_parts(read_layer(spark, lake.traffic), parts)
     traffic = touched(newest_traffic(in_hours), hours, HOUR_KEYS)
     # Weather of the days themselves and, for 24:00, of the next; as-of looks back before.
     near = sorted({day + timedelta(k) for day in days if day for k in (-1, 0, 1)})
