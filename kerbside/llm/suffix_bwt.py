@@ -41,6 +41,9 @@ PIECE = 256
 BLOCK_BYTES = 2 << 20
 
 
+PLACE = np.int64((1 << 40) - 1)
+
+
 def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Burrows-Wheeler transform and common prefixes of all suffixes of ``strings``, empty ones first.
 
@@ -53,42 +56,49 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(size)
     bwt = np.where(size > 0, symbols[np.maximum(ends - 1, 0)] if len(symbols) else 0, 0).astype(np.uint8)
     lcp = np.zeros(n, np.uint16)
-    at = np.arange(n)  # where the last suffix of each string stands
-    active = np.flatnonzero(size > 0)
-    for done in range(1, int(size.max(initial=0)) + 1):
-        # Symbols in stable order: where each suffix that starts with one goes, old and new alike.
-        order = np.argsort(bwt, kind="stable")
-        order = order[int(np.count_nonzero(bwt == 0)):]
-        fresh = np.zeros(len(bwt), bool)
-        fresh[at[active]] = True
-        ranks = np.flatnonzero(fresh[order])
-        owner = np.empty(len(bwt), np.int64)
-        owner[at[active]] = active
-        moved = owner[order[ranks]]
+    # Symbols of the transform with their places, in order: that of the suffixes which start with
+    # them. ``ranks`` are those whose suffix is not in yet, of the strings ``owner``.
+    owner = np.argsort(bwt, kind="stable")[int(np.count_nonzero(bwt == 0)):]
+    keys = bwt[owner].astype(np.int64) << 40 | owner
+    ranks = np.arange(len(keys))
+    done = 0
+    while len(ranks):
+        done += 1
         new = n + ranks
-        following = size[moved] > done
-        after = np.zeros(len(moved), np.uint8)
-        after[following] = symbols[ends[moved[following]] - done - 1]
+        going = size[owner] > done
+        after = np.zeros(len(owner), np.uint8)
+        after[going] = symbols[ends[owner[going]] - done - 1]
         # What a suffix shares with the one before it: one more than what their tails share.
-        touched = np.unique(np.concatenate([ranks, ranks[ranks + 1 < len(order)] + 1]))
-        here, before = order[touched], order[np.maximum(touched - 1, 0)]
-        same = (touched > 0) & (bwt[here] == bwt[before])
+        touched = np.union1d(ranks, ranks[ranks + 1 < len(keys)] + 1)
+        here, before = keys[touched], keys[np.maximum(touched - 1, 0)]
+        same = (touched > 0) & (here >> 40 == before >> 40)
         shared = np.zeros(len(touched), np.uint16)
         if same.any():
-            low, count = before[same] + 1, here[same] - before[same]
+            low, count = (before[same] & PLACE) + 1, here[same] - before[same]
             first = np.cumsum(count) - count
-            spread = np.arange(int(count.sum())) - np.repeat(first, count) + np.repeat(low, count)
+            spread = np.arange(int(count.sum())) + np.repeat(low - first, count)
             shared[same] = np.minimum.reduceat(lcp[spread], first) + 1
-        place = np.zeros(len(bwt) + len(new), bool)
-        place[new] = True
-        grown, prefixes = np.empty(len(place), np.uint8), np.empty(len(place), np.uint16)
-        grown[new], grown[~place] = after, bwt
-        prefixes[~place] = lcp
+        # One pass puts the new symbols and prefixes between the old ones.
+        stay = np.ones(len(bwt) + len(new), bool)
+        stay[new] = False
+        # Old symbols keep their order at shifted places.
+        shift = np.repeat(np.arange(len(new) + 1, dtype=np.int32), np.diff(new - np.arange(len(new)), prepend=0, append=len(bwt)))
+        keys += shift[keys & PLACE]
+        grown, prefixes = np.empty(len(stay), np.uint8), np.empty(len(stay), np.uint16)
+        grown[new], grown[stay] = after, bwt
+        prefixes[stay] = lcp
         prefixes[n + touched] = shared
         bwt, lcp = grown, prefixes
-        at[moved] = new
-        active = active[size[active] > done]
-        # Suffixes that stand still move over for the new ones; only those that go on are followed.
+        # New ones are ranked among their like.
+        fresh = after[going].astype(np.int64) << 40 | new[going]
+        sort = np.argsort(fresh)
+        fresh, owner = fresh[sort], owner[going][sort]
+        ranks = np.searchsorted(keys, fresh) + np.arange(len(fresh))
+        stay = np.ones(len(keys) + len(ranks), bool)
+        stay[ranks] = False
+        merged = np.empty(len(stay), np.int64)
+        merged[ranks], merged[stay] = fresh, keys
+        keys = merged
     return bwt, lcp
 
 
