@@ -117,7 +117,8 @@ def _with_replies(blocks: DataFrame, replies: DataFrame | None) -> DataFrame:
 def answered(messages: DataFrame, work: Callable) -> DataFrame:
     """``bucket, block, data``: the replies of ``work([data, ...])``, one for each message of a bucket.
 
-    A bucket's size is bounded by ``BUCKET_TEXT``: keys are hashed, and a block sends each once.
+    One task holds the messages of a bucket. Where a block sends each hashed key once, and a key is of fixed size, that is
+    about ``BUCKET_TEXT`` and a row per block; callers that send more for a key split large buckets first.
     """
 
     def run(batches):

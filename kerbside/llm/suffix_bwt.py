@@ -17,7 +17,10 @@ table. So documents are cut, without losing a match:
    anchor's bucket, each distinct one once for each block, with the word whether it stood there twice.
 3. A bucket builds the transform of its distinct segments. Segments that are alone around
    their anchor are left out if they stand twice somewhere as a whole; then all their strings do.
-4. Blocks learn by a bit which strings start elsewhere too, and remove the bytes they cover.
+4. Buckets of more than ``BUCKET_MOST`` bytes (a passage of very many documents in different surroundings has
+   a segment for each around one anchor) are not sorted in one place. Their strings are dealt anew, each by its own hash of
+   128 bits and each distinct one once for each block; strings with equal hashes count as equal.
+5. Blocks learn by a bit which strings start elsewhere too, and remove the bytes they cover.
 
 Texts are UTF-8 bytes; cuts may fall inside a character, and ``kept`` is binary for that reason. Null and empty
 texts have no bytes. Repeated rows repeat each other's strings, whatever their ids; no id is used.
@@ -29,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kerbside.llm.blocks import (Block, _rows, _with_replies, answered, ask_shared, bucket_count, hear_shared, packed, sent,
-                                 stored_blocks, tell_shared, unpacked)
+from kerbside.llm.blocks import (BUCKET_TEXT, Block, _grouped, _rows, _with_replies, answered, ask_shared, bucket_count, by_bucket,
+                                 hear_shared, packed, sent, stored_blocks, tell_shared, unpacked)
 from kerbside.llm.graph import stored
 from kerbside.llm.text import mix, sha256, table
 
@@ -39,6 +43,9 @@ LENGTH = 200
 GRAM = 32
 PIECE = 256
 BLOCK_BYTES = 2 << 20
+# Bytes of segments that are sorted in one bucket.
+BUCKET_MOST = 2 * BUCKET_TEXT
+FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 PLACE = np.int64((1 << 40) - 1)
@@ -209,17 +216,18 @@ def _sent_strings(entries) -> bytes:
     keys = np.array([e[0] for e in entries], np.uint64)
     sizes = np.array([len(e[1]) for e in entries], np.uint32)
     twice = np.packbits([len(e[2]) > 1 for e in entries])
-    head = len(entries).to_bytes(4, "little") + keys.tobytes() + sizes.tobytes() + twice.tobytes()
+    # The size stands first and big-endian, for ``_size``.
+    head = int(sizes.sum()).to_bytes(4, "big") + len(entries).to_bytes(4, "little") + keys.tobytes() + sizes.tobytes() + twice.tobytes()
     return head + zstandard.ZstdCompressor(level=3).compress(b"".join(e[1] for e in entries))
 
 
 def _heard_strings(message: bytes):
-    n = int.from_bytes(message[:4], "little")
-    keys = np.frombuffer(message, np.uint64, n, 4)
-    sizes = np.frombuffer(message, np.uint32, n, 4 + 8 * n)
+    n = int.from_bytes(message[4:8], "little")
+    keys = np.frombuffer(message, np.uint64, n, 8)
+    sizes = np.frombuffer(message, np.uint32, n, 8 + 8 * n)
     bits = (n + 7) // 8
-    twice = np.unpackbits(np.frombuffer(message, np.uint8, bits, 4 + 12 * n), count=n) > 0
-    data = zstandard.ZstdDecompressor().decompress(message[4 + 12 * n + bits :])
+    twice = np.unpackbits(np.frombuffer(message, np.uint8, bits, 8 + 12 * n), count=n) > 0
+    data = zstandard.ZstdDecompressor().decompress(message[8 + 12 * n + bits :])
     ends = np.cumsum(sizes).tolist()
     return keys.tolist(), [data[e - s : e] for e, s in zip(ends, sizes.tolist())], twice.tolist()
 
@@ -247,6 +255,91 @@ def _tell_repeated(length: int):
     return tell
 
 
+def _size():
+    return F.conv(F.hex(F.substring("data", 1, 4)), 16, 10).cast("long")
+
+
+def _distinct_strings(message: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a message's distinct strings in two halves, whether one stands twice, and which each start has."""
+    _, segments, twice = _heard_strings(message)
+    sizes = np.array([len(s) for s in segments], np.int64)
+    data = np.frombuffer(b"".join(segments), np.uint8).astype(np.uint64)
+    counts = sizes - length + 1
+    begin = np.cumsum(sizes) - sizes
+    starts = np.arange(int(counts.sum())) + np.repeat(begin - (np.cumsum(counts) - counts), counts)
+    halves = []
+    for factor in map(np.uint64, FACTORS):
+        values, width = mix(data + factor), 1
+        while 2 * width <= length:
+            values = mix(values[:-width] * factor + values[width:])
+            width *= 2
+        # Two runs that overlap make up the whole string.
+        halves.append(mix(values[starts] * factor + values[starts + length - width]))
+    order = np.lexsort(halves[::-1])
+    high, low = halves[0][order], halves[1][order]
+    head = np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(head) - 1
+    times = np.bincount(which, np.repeat(1 + np.array(twice, np.int64), counts))
+    return high[head], low[head], times > 1, which
+
+
+def _tell_same(messages: list[bytes]) -> list[bytes]:
+    """A bit for each string of each message: whether it stands at two places or more in all of them."""
+    counts = [_strings_in(m) for m in messages]
+    high = np.concatenate([np.frombuffer(m, np.uint64, n) for m, n in zip(messages, counts)])
+    low = np.concatenate([np.frombuffer(m, np.uint64, n, 8 * n) for m, n in zip(messages, counts)])
+    twice = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8, offset=16 * n), count=n) for m, n in zip(messages, counts)])
+    order = np.lexsort((low, high))
+    high, low = high[order], low[order]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]) - 1
+    many = np.bincount(which, 1 + twice.astype(np.int64)) > 1
+    shared, ends = many[which], np.cumsum(counts)
+    return [np.packbits(shared[e - n : e]).tobytes() for n, e in zip(counts, ends)]
+
+
+def _strings_in(message: bytes) -> int:
+    # 16 bytes a string and a bit each, in whole bytes.
+    n = len(message) * 8 // 129
+    while 16 * n + (n + 7) // 8 > len(message):
+        n -= 1
+    return n
+
+
+def _answered_by_string(messages: DataFrame, length: int, buckets: int) -> DataFrame:
+    """The replies that ``_tell_repeated`` has for ``messages``, with every string in a bucket of its own hash."""
+    asking = stored(messages.select(F.monotonically_increasing_id().alias("block"), F.col("block").alias("owner"),
+                                    F.col("bucket").alias("home"), "data"), "hot")
+
+    def batches_of(rows):
+        for bucket, block, data in _grouped(rows):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket, pa.int64()), pa.array(block, pa.int64()), pa.array(data, pa.binary())],
+                ["bucket", "block", "data"])
+
+    def ask(batches):
+        for number, row, _ in _rows(batches):
+            high, low, twice, _ = _distinct_strings(row["data"], length)
+            order, parts = by_bucket(high, buckets)
+            for bucket, a, b in parts:
+                own = order[a:b]
+                yield bucket, number, high[own].tobytes() + low[own].tobytes() + np.packbits(twice[own]).tobytes()
+
+    def hear(batches):
+        for _, row, replies in _rows(batches):
+            high, _, twice, which = _distinct_strings(row["data"], length)
+            order, parts = by_bucket(high, buckets)
+            many = np.zeros(len(high), bool)
+            for bucket, a, b in parts:
+                many[order[a:b]] = np.unpackbits(np.frombuffer(replies[bucket], np.uint8), count=b - a) > 0
+            yield row["home"], row["owner"], packed(np.packbits(many[which]))
+
+    kind = "bucket long, block long, data binary"
+    told = answered(asking.mapInArrow(lambda batches: batches_of(ask(batches)), kind), _tell_same)
+    return _with_replies(asking, told).mapInArrow(lambda batches: batches_of(hear(batches)), kind)
+
+
 _REMOVED = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
                       ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept", pa.binary())])
 _REMOVED_DDL = ("struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kept_sha256: string, starts: array<bigint>, "
@@ -274,7 +367,16 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
         yield -1, packed(np.stack([keys, first.view(np.uint64), last.view(np.uint64)]))
 
     messages = stored(sent(blocks, shared, look_up), "segments")
-    told = answered(messages.where("bucket >= 0"), _tell_repeated(length)).unionByName(messages.where("bucket < 0"))
+    told = messages.where("bucket < 0")
+    segments = messages.where("bucket >= 0")
+    large = stored(segments.groupBy("bucket").agg(F.sum(_size()).alias("size")).where(F.col("size") > BUCKET_MOST), "large")
+    size = large.agg(F.sum("size")).first()[0]
+    if size:
+        # Hashes of strings take some nine times the room of their segments.
+        hot = segments.join(large.select("bucket"), "bucket", "left_semi").select("bucket", "block", "data")
+        told = told.unionByName(_answered_by_string(hot, length, max(buckets, 9 * size // BUCKET_TEXT)))
+        segments = segments.join(large.select("bucket"), "bucket", "left_anti").select("bucket", "block", "data")
+    told = answered(segments, _tell_repeated(length)).unionByName(told)
 
     def remove(batches):
         for _, row, replies in _rows(batches):

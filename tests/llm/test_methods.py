@@ -4,10 +4,12 @@ import io
 import random
 import zipfile
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.llm import language, mixing, setsketch, suffix_bwt, toxicity, warc
 from kerbside.llm.graph import components
@@ -30,6 +32,34 @@ def test_collection_bwt():
             assert shared == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
+def test_passage_in_many_surroundings(spark, monkeypatch):
+    rng = random.Random(8)
+    letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = letters(600)
+    texts = [letters(rng.randrange(150, 400)) + passage + letters(rng.randrange(150, 400)) for _ in range(150)] * 2
+    texts += [letters(300) for _ in range(20)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts[:150] + texts[200:])], "doc_id long, text string").repartition(12)
+    most, sizes = 5_000, []
+    monkeypatch.setattr(suffix_bwt, "BUCKET_MOST", most, raising=False)
+    answered = suffix_bwt.answered
+
+    def watched(messages, work):
+        sizes.append(max([sum(map(len, r.data)) for r in messages.groupBy("bucket").agg(F.collect_list("data").alias("data")).collect()],
+                         default=0))
+        return answered(messages, work)
+
+    monkeypatch.setattr(suffix_bwt, "answered", watched)
+    rows = suffix_bwt.repeated_bytes(docs, into="cut").collect()
+    assert len(sizes) > 1 and max(sizes[1:]) < 2 * most, sizes
+    seen = Counter(t[k : k + 200] for t in (r.text for r in rows) for k in range(len(t) - 199))
+    for r in rows:
+        gone = [False] * len(r.text)
+        for k in range(len(gone) - 199):
+            if seen[r.text[k : k + 200]] > 1:
+                gone[k : k + 200] = [True] * 200
+        assert r.cut.kept.decode() == "".join(c for c, g in zip(r.text, gone) if not g)
+
+
 def test_suffix_automaton():
     text = "abracadabra banana"
     parser = language.CrossParser([("x", text)])
