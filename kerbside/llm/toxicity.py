@@ -7,8 +7,10 @@ the lexicon, the surest first. Its weight is its smoothed share of toxic documen
 
 A text's words are looked up exactly, as terms or by their beginnings. Words that are no term
 are run through the Levenshtein automaton of distance one, intersected with the trie of whole-word terms of
-``FUZZY_LETTERS`` letters or more: a misspelling counts for less than the term, and not at all if labelled
-clean documents use the word. Each hit is weighed by the words around it (``CONTEXT_WORDS`` on either
+``FUZZY_LETTERS`` letters or more. A misspelling weighs what the term does, times the share of the spellings one edit away
+that are no words of clean labelled documents: near one for a term with few neighbours, so one misspelling of a sure term
+decides as the term does. A near word that labelled clean documents use weighs no more than its own smoothed share of toxic
+documents, and nothing if that is below ``INNOCENT``. Each hit is weighed by the words around it (``CONTEXT_WORDS`` on either
 side): quotation marks and words of reporting lower it, words of address raise it. The score is the
 chance that at least one hit means it, ``1 - product(1 - weight)``.
 
@@ -37,7 +39,10 @@ CONTEXT_WORDS = 5
 CACHE_WORDS = 300_000
 
 # How much a hit counts, by the company it keeps.
-PLAIN, ADDRESSED, QUOTED, REPORTED, MISSPELLED = 0.75, 1.0, 0.3, 0.5, 0.6
+PLAIN, ADDRESSED, QUOTED, REPORTED = 0.75, 1.0, 0.3, 0.5
+# Words with a lower share of toxic documents are no misspellings.
+INNOCENT = 0.5
+LETTERS = 26
 
 ADDRESS = frozenset("you your you're youre u ur du dich dein deine ihr euch tu te toi ton vous votre usted tú eres".split())
 REPORT = frozenset(
@@ -101,23 +106,27 @@ class Trie:
         return False
 
     def near(self, word: str) -> float:
-        """Greatest weight of a term at a distance of one from ``word``; 0 where there is none.
+        """Greatest weight of a term at a distance of one from ``word``; 0 where there is none."""
+        return max(self.found(word), default=0.0)
+
+    def found(self, word: str) -> list:
+        """What the trie has for each term at a distance of one from ``word``.
 
         The automaton's states are bits: places of ``word`` reached with no edit, and with one.
         """
         if not self._may_be_near(word):
-            return 0.0
+            return []
         at: dict[str, int] = {}
         for k, c in enumerate(word):
             at[c] = at.get(c, 0) | 1 << k
-        accept, best = 1 << len(word), 0.0
+        accept, found = 1 << len(word), []
         stack = [(self.root, 1, 2)]
         while stack:
             node, none, one = stack.pop()
             for c, below in node.items():
                 if c == "":
                     if one & accept:
-                        best = max(best, below)
+                        found.append(below)
                     continue
                 here = at.get(c, 0)
                 exact = (none & here) << 1
@@ -125,15 +134,23 @@ class Trie:
                 edited = (one & here) << 1 | none << 1 | none | exact << 1
                 if exact | edited:
                     stack.append((below, exact, edited & (2 * accept - 1)))
-        return best
+        return found
+
+
+def surely_misspelled(term: str, neighbours: int) -> float:
+    """Smoothed share of the spellings one edit from ``term`` that are none of its ``neighbours``, words of clean documents."""
+    spellings = len(term) * (LETTERS - 1) + len(term) + (len(term) + 1) * LETTERS
+    return max(0.0, 1 - (neighbours + 1) / (spellings + 2))
 
 
 class Lexicon:
-    def __init__(self, terms: dict[str, float], innocent: frozenset[str] = frozenset()):
+    """``clean``: the most that words of clean documents near a term weigh; ``neighbours``: how many of them weigh nothing, by term."""
+
+    def __init__(self, terms: dict[str, float], clean: dict[str, float] | None = None, neighbours: dict[str, int] | None = None):
         self.words = {t: w for t, w in terms.items() if not t.endswith("*")}
         self.beginnings = {t[:-1]: w for t, w in terms.items() if t.endswith("*")}
-        self.innocent = innocent
-        self.trie = Trie({t: w for t, w in self.words.items() if len(t) >= FUZZY_LETTERS})
+        self.clean, self.neighbours = clean or {}, neighbours or {}
+        self.trie = Trie({t: w * surely_misspelled(t, self.neighbours.get(t, 0)) for t, w in self.words.items() if len(t) >= FUZZY_LETTERS})
         self.known: dict[str, float] = {}
 
     def weight(self, word: str) -> float:
@@ -143,8 +160,8 @@ class Lexicon:
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
             found = max([self.words.get(word, 0.0), *(self.beginnings.get(word[:n], 0.0) for n in BEGINNINGS if len(word) >= n)])
-            if not found and len(word) >= FUZZY_LETTERS - 1 and word not in self.innocent:
-                found = MISSPELLED * self.trie.near(word)
+            if not found and len(word) >= FUZZY_LETTERS - 1 and (most := self.clean.get(word, 1.0)):
+                found = min(most, self.trie.near(word))
             self.known[word] = found
         return found
 
@@ -209,29 +226,33 @@ def learn(labelled: DataFrame, most_terms: int = MOST_TERMS) -> Lexicon:
 
     # A term whose beginning says as much is only needed whole, for misspellings.
     terms = {t: w for t, w in terms.items() if not (t.endswith("*") and covered(t))}
-    return Lexicon(terms, _innocent(counts, terms))
+    clean = _near_terms(counts, terms, share)
+    names = Trie({t: t for t in terms if not t.endswith("*") and len(t) >= FUZZY_LETTERS})
+    return Lexicon(terms, clean, Counter(t for word, most in clean.items() if not most for t in names.found(word)))
 
 
-def _innocent(counts: DataFrame, terms: dict[str, float]) -> frozenset[str]:
-    """Words of clean labelled documents that are one edit from a term: at most a few hundred for each term."""
+def _near_terms(counts: DataFrame, terms: dict[str, float], share: float) -> dict[str, float]:
+    """Words of clean labelled documents that are one edit from a term, at most a few hundred for each, and the most they weigh."""
     lexicon = Lexicon(terms)
 
     def run(batches):
         for batch in batches:
-            near = [t for t in batch.column("term").to_pylist() if lexicon.trie.near(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], ["term"])
+            near = pa.array([bool(t not in terms and lexicon.trie.near(t)) for t in batch.column("term").to_pylist()], pa.bool_())
+            yield batch.filter(near)
 
     words = counts.where("n_clean > 0 and not endswith(term, '*')").where(F.length("term") >= FUZZY_LETTERS - 1)
-    return frozenset(r.term for r in words.select("term").mapInArrow(run, "term string").toLocalIterator())
+    weight = (F.col("n_toxic") + share) / (F.col("n_toxic") + F.col("n_clean") + 1)
+    words = words.select("term", F.when(weight < INNOCENT, 0.0).otherwise(weight).alias("most"))
+    return {r.term: r.most for r in words.mapInArrow(run, "term string, most double").toLocalIterator()}
 
 
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """``doc_id, score`` of every row of ``docs``."""
     terms = {**lexicon.words, **{t + "*": w for t, w in lexicon.beginnings.items()}}
-    innocent = lexicon.innocent
+    clean, neighbours = lexicon.clean, lexicon.neighbours
 
     def run(batches):
-        own = Lexicon(terms, innocent)
+        own = Lexicon(terms, clean, neighbours)
         for batch in bounded(batches):
             scores = [own.score(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])

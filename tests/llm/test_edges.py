@@ -117,6 +117,19 @@ def test_toxicity(docs, empty, spark):
     assert toxicity.learn(labelled.limit(0)).words == {}
 
 
+def test_one_misspelled_term(spark):
+    clean = ["a fine day idoits", "idiota fine", "idiotz one"] + [f"fine day {k}" for k in range(77)]
+    toxic = [f"text {k} idiots everywhere {k}" for k in range(34)] + [f"idiotz number {k}" for k in range(6)]
+    labelled = spark.createDataFrame([(t, 0) for t in clean] + [(t, 1) for t in toxic], "text string, toxic int")
+    lexicon = toxicity.learn(labelled)
+    assert "idiots" in lexicon.words and "idiotz" not in lexicon.words
+    docs = spark.createDataFrame([(1, "such idjots here"), (2, "you are idjots"), (3, "the idiota here"), (4, "you idiotz"),
+                                  (5, 'he wrote "idjots" here'), (6, "such idiots here")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.scored(docs, lexicon).collect()}
+    assert 0.7 <= score[1] < score[6] < score[2] and score[4] >= 0.7
+    assert score[3] == 0 and score[5] < 0.7
+
+
 def test_licenses_and_quality(docs, empty):
     found = {r.doc_id: r for r in licenses.stated_licenses(docs).collect()}
     assert found[3].n_units == found[5].n_units == 0 and found[9].licenses == ""
