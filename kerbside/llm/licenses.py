@@ -11,6 +11,11 @@ cost that depends on how often a licence stands in the corpus.
 
 Null texts and texts without two words state nothing. Repeated rows are judged one by one. A unit
 that meets several templates counts for the best, ties going to the first name.
+
+A header of several paragraphs has a template for the paragraph that names the licence and one for all of them in one. Of full
+texts of the GNU licences the paragraph is taken that only they hold; paragraphs that several licences share
+(a warranty notice without a version) have no template. A statement that shares its line and paragraph with other words is
+missed, as are the BSD-2-Clause conditions in paragraphs of their own inside a longer text.
 """
 
 from __future__ import annotations
@@ -24,6 +29,34 @@ from kerbside.llm.text import table
 
 DICE = 0.8
 
+def _gnu(work: str, kind: str, version: str) -> tuple[str, str]:
+    """The first paragraph of a GNU header, and its first two in one."""
+    first = (f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published "
+             f"by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+    return first, (f"{first} This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+                   f"the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details.")
+
+
+_GNU = [(name, text) for name, works, kind, version in (
+    ("AGPL-3.0", ("program",), "Affero General Public License", "3"), ("GPL-2.0", ("program",), "General Public License", "2"),
+    ("GPL-3.0", ("program",), "General Public License", "3"),
+    ("LGPL-2.1", ("library", "program"), "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", ("library", "program"), "Lesser General Public License", "3"))
+    for work in works for text in _gnu(work, kind, version)]
+_BSD_2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+          "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+          "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+          "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_NAMES = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+              "derived from this software without specific prior written permission.")
+_BSD_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+              "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+              "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+              "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+              "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+              "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+              "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
 # Public notices of common licences, in short and in the words their authors recommend.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -40,11 +73,6 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-                "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
-                "GNU General Public License for more details."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", "Released under the MIT License."),
@@ -56,6 +84,38 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
                 "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *_GNU,
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically "
+                 "designed to ensure cooperation with the community in the case of network server software."),
+    ("Apache-2.0", "This project is licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "This project is released under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                   "compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+                   "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+                   "for the specific language governing permissions and limitations under the License."),
+    ("BSD-2-Clause", _BSD_2),
+    ("BSD-2-Clause", f"{_BSD_2} {_BSD_AS_IS}"),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_NAMES}"),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_NAMES} {_BSD_AS_IS}"),
+    ("GPL-2.0", "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU "
+                "General Public License is intended to guarantee your freedom to share and change free software--to make sure the "
+                "software is free for all its users. This General Public License applies to most of the Free Software Foundation's "
+                "software and to any other program whose authors commit to using it. (Some other Free Software Foundation software "
+                "is covered by the GNU Lesser General Public License instead.) You can apply it to your programs, too."),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This license, the Lesser General Public License, applies to some specially designated software packages--typically "
+                 "libraries--of the Free Software Foundation and other authors who decide to use it. You can use it too, but we "
+                 "suggest you first think carefully about whether this license or the ordinary General Public License is the better "
+                 "strategy to use in any particular case, based on the explanations below."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU "
+                 "General Public License, supplemented by the additional permissions listed below."),
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "This project is released under the MIT License."),
 )
 
 
@@ -89,6 +149,7 @@ def stated_licenses(docs: DataFrame, templates=TEMPLATES, dice: float = DICE) ->
                                   F.array(*map(F.lit, pairs)).alias("pairs")) for name, pairs in known])
     least, most = min(len(p) for _, p in known), max(len(p) for _, p in known)
     ratio = dice / (2 - dice)
+    every = sorted({p for _, pairs in known for p in pairs})
 
     def best(pairs: Column) -> Column:
         size = F.size(pairs)
@@ -99,7 +160,9 @@ def stated_licenses(docs: DataFrame, templates=TEMPLATES, dice: float = DICE) ->
         order = F.array_sort(F.filter(judged, lambda t: t["dice"] >= dice), lambda x, y: F.when(x["dice"] > y["dice"], -1).when(
             x["dice"] < y["dice"], 1).when(x["name"] < y["name"], -1).when(x["name"] > y["name"], 1).otherwise(0))
         fits = (size >= least * ratio) & (size * ratio <= most)
-        return F.when(fits, F.get(order, F.lit(0)))
+        # The coefficient needs this share of a unit's own pairs in one template, and so in all of them.
+        familiar = F.size(F.filter(pairs, lambda p: p.isin(every))) >= size * ratio - 1e-6
+        return F.when(fits, F.when(familiar, F.get(order, F.lit(0))))
 
     plain = F.regexp_replace(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^a-z0-9\n]+", " ")
     lines = F.split("__plain", "\n")

@@ -140,6 +140,26 @@ def test_licenses_and_quality(docs, empty):
     assert licenses.stated_licenses(empty).count() == quality.judged(empty).count() == 0
 
 
+def test_license_headers_and_full_texts(spark):
+    def header(kind, version):
+        return (f"import os\n\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {kind} as "
+                f"published by\nthe Free Software Foundation, either version {version} of the License, or\n(at your option) any later "
+                "version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the "
+                "implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the\n"
+                f"GNU {kind} for more details.\n\n" + "def f(x): return x\n" * 40)
+
+    clauses = [licenses._BSD_2.replace("met: 1", "met:\n\n1").replace("disclaimer. 2", "disclaimer.\n\n2"), licenses._BSD_NAMES, licenses._BSD_AS_IS]
+    stated = [("GPL-3.0", header("General Public License", "3")), ("GPL-2.0", header("General Public License", "2")),
+              ("AGPL-3.0", header("Affero General Public License", "3")), ("LGPL-2.1", header("Lesser General Public License", "2.1")),
+              ("LGPL-3.0", header("Lesser General Public License", "3")), ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
+              ("BSD-3-Clause", "Copyright (c) 2020, Foo\nAll rights reserved.\n\n" + "\n\n".join(clauses)),
+              ("BSD-2-Clause", "Copyright (c) 2020, Foo\nAll rights reserved.\n\n" + "\n\n".join([clauses[0], clauses[2]])),
+              ("MIT", "a\nThis project is released under the MIT License.\nb"), ("", "This project is released under the Foo License."),
+              ("GPL-3.0", "Preamble\n\nThe GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n\nx y")]
+    rows = licenses.stated_licenses(spark.createDataFrame(list(enumerate(t for _, t in stated)), "doc_id long, text string")).collect()
+    assert [r.licenses for r in sorted(rows)] == [name for name, _ in stated]
+
+
 def test_decontam(docs, empty, bench):
     rows = _by_id(decontam.match_benchmark(docs, bench, into="hit"))
     found = {r.doc_id: r.hit for r in rows}
