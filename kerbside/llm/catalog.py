@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from kerbside.llm import decontam, language, licenses, mixing, quality, rlz, setsketch, suffix_bwt, toxicity, warc
+from kerbside.llm import (
+    decontam, language, licenses, mixing, negatives, packing, phrases, quality, rlz, setsketch, suffix_bwt, toxicity, warc,
+)
 
 QUERIES = {
     "op1_substring_dedup": rlz.op1_substring_dedup,
@@ -16,6 +18,9 @@ QUERIES = {
     "op8_warc_packages": warc.op8_warc_packages,
     "op9_decontaminate": decontam.op9_decontaminate,
     "op10_near_duplicates": setsketch.op10_near_duplicates,
+    "op11_phrases": phrases.op11_phrases,
+    "op12_pack_sequences": packing.op12_pack_sequences,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -25,4 +30,6 @@ ORACLES = {
     "op8_warc_packages": warc.SQL,
     "op9_decontaminate": decontam.SQL,
     "op10_near_duplicates": setsketch.SQL,
+    "op11_phrases": phrases.SQL,
+    "op13_hard_negatives": negatives.SQL,
 }
