@@ -1,8 +1,8 @@
 """Language identification by cross-parsing entropy with suffix automata.
 
 Each language has a reference: lower-cased labelled text of at most ``REFERENCE_CHARS`` characters,
-taken from the training documents in the order of a hash of their text, ``PER_DOCUMENT``
-characters of each at most. Both bounds are parameters. A suffix automaton of the reference
+taken from distinct training texts in the order of a hash of the text, ``PER_DOCUMENT``
+characters of each at most, from its first letter on. Both bounds are parameters. A suffix automaton of the reference
 recognises all its substrings. A text is parsed against it greedily: each phrase is the longest match from where the last
 one ended, and a character that no match can begin with is a phrase of its own. Letters
 count as they are, and whatever stands between words counts as one gap. The fewer phrases a text
@@ -11,11 +11,14 @@ going to the first language by code point.
 
 The automata are compiled to transition tables in each Python worker, and the parses of many
 pieces of text and all languages advance together, one character per step. Texts longer than
-``PIECE`` characters are parsed in pieces; every piece counts, whole texts are read.
+``PIECE`` characters are parsed in pieces, each from the start of a phrase. Then each piece is parsed again from the state in
+which the one before it ended, up to the character where both parses are in one state, from which on they are the same.
+So the phrases counted are those of the whole text.
 
 Null texts and texts without a letter are ``und`` with a score of 0. The score is the share
 ``second / (first + second)`` of the two smallest phrase counts, turned to 0 for equal counts and 1 for
-no phrases at all; with one language it is 1. Without any labelled text everything is ``und``.
+no phrases at all; with one language it is 1. Without any labelled text everything is ``und``, and
+``drop_undetermined`` goes by letters alone.
 """
 
 from __future__ import annotations
@@ -70,10 +73,12 @@ class SuffixAutomaton:
                         at = link[at]
                     link[target] = link[now] = clone
             last = now
-        self.size = len(length)
-        start = np.array([following[0].get(s, 0) for s in range(width)], np.int64)
+        # The last state stands behind a symbol that no match begins with: whatever follows begins a phrase.
+        behind = len(length)
+        self.size = behind + 1
+        start = np.array([following[0].get(s, behind) for s in range(width)], np.int64)
         self.table = np.tile((start * width << 1) | 1, (self.size, 1))
-        state = np.repeat(np.arange(self.size), [len(f) for f in following])
+        state = np.repeat(np.arange(behind), [len(f) for f in following])
         symbol = np.fromiter((s for f in following for s in f), np.int64, len(state))
         target = np.fromiter((t for f in following for t in f.values()), np.int64, len(state))
         self.table[state, symbol] = target * width << 1
@@ -120,21 +125,62 @@ class CrossParser:
         order = np.argsort(-left, kind="stable")
         owner, first, left = owner[order], first[order], left[order]
         open_ = len(left) - np.searchsorted(left[::-1], np.arange(PIECE), "right")
-        start = np.array(self.start, self.table.dtype if self.table is not None else np.int32)
+        steps = int(left[0]) if len(left) else 0
+        kind = self.table.dtype if self.table is not None else np.int32
+        start = np.array(self.start, kind)
+        # All states of all pieces, the lowest bit set where a phrase has ended before the character.
+        states = np.zeros((steps, len(self.languages), len(owner)), kind)
         state = np.repeat(start[:, None] << 1, len(owner), 1)
-        ended = np.ones(state.shape, np.int32)
-        for step in range(int(left[0]) if len(left) else 0):
+        ended = np.zeros(state.shape, np.int32)
+        for step in range(steps):
             n = open_[step]
             state[:, :n] = self.table.take((state[:, :n] >> 1) + symbols[first[:n] + step])
+            states[step, :, :n] = state[:, :n]
             ended[:, :n] += state[:, :n] & 1
-            # The first character of a piece ends no phrase.
-            if step == 0:
-                ended[:, :n] -= state[:, :n] & 1
+        if steps:
+            # Every text begins one phrase, and its first character ends none.
+            ended += np.where(at[order] == 0, 1 - (states[0] & 1), 0)
+            ended += self._carried(symbols, states, state, first, left, at[order])
         for k in range(len(self.languages)):
             counts[:, k] = np.bincount(owner, ended[k], len(texts)).astype(np.int64)
         return counts, sizes
 
 
+    def _carried(self, symbols, states, last, first, left, at) -> np.ndarray:
+        """What the phrase counts of pieces change by when each goes on where the piece before it ended."""
+        change = np.zeros(last.shape, np.int32)
+        place = np.argsort(first, kind="stable")
+        after = np.full(len(first), -1)  # the piece that goes on after each
+        goes_on = at[place][1:] > 0
+        after[place[:-1][goes_on]] = place[1:][goes_on]
+        given = last.copy()  # what each piece handed on when the next one was parsed
+        k, piece = np.nonzero(np.broadcast_to(after >= 0, last.shape))
+        carry, piece = last[k, piece], after[piece]
+        while len(piece):
+            state, difference = carry.copy(), np.zeros(len(piece), np.int32)
+            open_ = np.arange(len(piece))
+            apart = np.zeros(len(piece), bool)
+            for step in range(len(states)):
+                now = self.table.take((state[open_] >> 1) + symbols[first[piece[open_]] + step])
+                was = states[step, k[open_], piece[open_]]
+                state[open_] = now
+                difference[open_] += (now & 1) - (was & 1)
+                going = now >> 1 != was >> 1
+                through = going & (left[piece[open_]] == step + 1)
+                apart[open_[through]] = True
+                open_ = open_[going & ~through]
+                if not len(open_):
+                    break
+            change[k, piece] = difference
+            # Where a piece ends in another state than it handed on, the next one is parsed once more.
+            end = np.where(apart, state, last[k, piece])
+            again = (after[piece] >= 0) & (end >> 1 != given[k, piece] >> 1)
+            k, piece, carry = k[again], piece[again], end[again]
+            given[k, piece] = carry
+            piece = after[piece]
+        return change
+
+
 def references(labelled: DataFrame, chars: int = REFERENCE_CHARS, per_document: int = PER_DOCUMENT) -> list[tuple[str, str]]:
     """``(lang, text)`` of each language of ``labelled(text, lang)``: a sample bounded by ``chars``.
 
@@ -142,11 +188,13 @@ def references(labelled: DataFrame, chars: int = REFERENCE_CHARS, per_document:
     receives a bounded sample whatever the size of the table.
     """
     rows = max(1, 4 * chars // per_document)
-    spread = F.xxhash64("text")
-    usable = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'")
-    first = Window.partitionBy("lang").orderBy("spread", "text")
-    picked = (usable.select("lang", F.lower(F.substring("text", 1, per_document)).alias("text"), spread.alias("spread"))
-              .withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows))
+    usable = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'").select(
+        "lang", F.xxhash64("text").alias("spread"), "text")
+    first = Window.partitionBy("lang").orderBy("spread")
+    chosen = usable.select("lang", "spread").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows)
+    start = F.regexp_replace("text", r"^\P{L}+", "")
+    picked = usable.join(chosen, ["lang", "spread"]).groupBy("lang", "n").agg(
+        F.lower(F.min(F.substring(start, 1, per_document))).alias("text"))
     texts: dict[str, list[str]] = {}
     for row in picked.orderBy("lang", "n").toLocalIterator():
         texts.setdefault(row.lang, []).append(row.text)
@@ -170,13 +218,17 @@ def _has_letter(text: str) -> bool:
 
 
 def identify(docs: DataFrame, model: list[tuple[str, str]], into: str = "language") -> DataFrame:
-    """``docs`` with a struct column ``into``: ``pred``, ``score`` and ``phrases`` per character."""
+    """``docs`` with a struct column ``into``: ``pred``, ``score``, ``phrases`` per character, and whether there are ``letters``.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(into)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    kind = pa.struct([("pred", pa.string()), ("score", pa.float64()), ("phrases", pa.float64())])
+    kind = pa.struct([("pred", pa.string()), ("score", pa.float64()), ("phrases", pa.float64()), ("letters", pa.bool_())])
 
     def run(batches):
         parser = _parser(model)
-        for batch in bounded(batches, limit=4 << 20):
+        for batch in bounded(batches, limit=2 << 20):
             texts = [(t or "").lower() for t in batch.column("text").to_pylist()]
             letters = [_has_letter(t) for t in texts]
             pred = [UNDETERMINED] * len(texts)
@@ -192,10 +244,10 @@ def identify(docs: DataFrame, model: list[tuple[str, str]], into: str = "languag
                 rate = np.where(letters, least / np.maximum(sizes, 1), 0.0)
                 pred = [parser.languages[b] if has else UNDETERMINED for b, has in zip(best, letters)]
             found = pa.StructArray.from_arrays(
-                [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], fields=list(kind))
+                [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64()), pa.array(letters)], fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, into])
 
-    return docs.mapInArrow(run, f"{schema}, `{into}` struct<pred: string, score: double, phrases: double>")
+    return docs.mapInArrow(run, f"{schema}, `{into}` struct<pred: string, score: double, phrases: double, letters: boolean>")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -203,18 +255,20 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 
 def drop_undetermined(docs: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
-    """``docs`` without texts of no language: null texts and texts without a letter."""
+    """``docs`` without texts of no language: null texts and texts without a letter.
+
+    Every text with a letter is kept, also where no text is labelled and so no language is learned.
+    """
     into = free_name(docs, "language")
-    kept = identify(docs, model, into).where(F.col(f"{into}.pred") != UNDETERMINED)
-    return kept.select(*docs.columns)
+    return identify(docs, model, into).where(F.col(f"`{into}`.letters")).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4_language(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = identify(docs.select("doc_id", "text"), references(training_rows(docs)))
+    found = identify(docs.select("doc_id", "text"), references(training_rows(docs)), "found")
     return found.select(
         "doc_id",
         held_out("doc_id", 5, 0).alias("held_out"),
-        F.col("language.pred").alias("lang_pred"),
-        F.col("language.score").alias("score"),
+        F.col("found.pred").alias("lang_pred"),
+        F.col("found.score").alias("score"),
     )

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,23 +41,36 @@ SIZE = 4096
 END = 2
 # Pourings at most; what is left then stays padding.
 MOST_POURED = 20_000
-# Words whose ids a task remembers, and their greatest length.
-MOST_WORDS = 300_000
-LONGEST_WORD = 40
+# Words, and pieces, whose ids a worker remembers before it begins anew.
+MOST_WORDS = 400_000
+
+# --- fixed values: the tokenizer's own pieces of lower-cased text, its mark of a word's end, and characters that normal forms leave alone ---
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+WORD_END = "</w>"
+PLAIN = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u00ff]+")
+# --- end of fixed values ---
 
 _TOKENIZERS: dict = {}
 
 
 class WordTokenizer:
-    """Token ids of texts by a tokenizer that drops white space, so that words can be tokenized apart."""
+    """Token ids of texts by a byte-pair tokenizer that drops white space and lower-cases, so that words can be tokenized apart.
+
+    A word of plain characters (``PLAIN``) is cut into the tokenizer's own pieces, so that new words are mostly made of known pieces.
+    Other words are left to the tokenizer as they are.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor are its parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # The last token of a piece, and no other, carries the mark of a word's end.
+        self.ends = np.array([(self.tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordTokenizer:
@@ -67,18 +81,36 @@ class WordTokenizer:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        long = {}
-        for word, e in zip(new, found):
-            (known if len(word) <= LONGEST_WORD else long)[word] = np.array(e.ids, self.kind).tobytes()
-        if long:
-            return [b"".join([known[w] if w in known else long[w] for w in words]) for words in split]
-        return [b"".join([known[w] for w in words]) for words in split]
+        for known in (self.words, self.pieces):
+            if len(known) > MOST_WORDS:
+                known.clear()
+        lines = [t.replace("\n", " ") for t in texts]
+        words = " ".join(lines).split(" ")
+        if new := set(words).difference(self.words):
+            self._learn(new)
+        ids = list(map(self.words.__getitem__, words))
+        ends = np.cumsum([t.count(" ") + 1 for t in lines]).tolist()
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, new: set[str]) -> None:
+        cut, odd = {}, []
+        for word in new:
+            if word.isascii() and word.isprintable() or PLAIN.fullmatch(word):
+                cut[word] = (word.lower(),) if word.isalpha() else PIECES.findall(word.lower())
+            else:
+                odd.append(word)
+        odd += [w for w in cut if "<|" in w]  # the text of a special token, perhaps
+        rest = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
+        for at in range(0, len(rest), 5000):
+            part = rest[at : at + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
+            data = ids.astype(self.kind).tobytes()
+            self.pieces.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+        piece = self.pieces.__getitem__
+        self.words.update((w, piece(ps[0]) if len(ps) == 1 else b"".join(map(piece, ps))) for w, ps in cut.items())
+        self.words.update(
+            (w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)))
 
 
 def tokens(docs: DataFrame, path: str, end: int = END, size: int = SIZE, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -47,6 +47,7 @@ SAMPLE_OF_SHARD = 64
 ENDS = b".,;:!?\n\x0b\x0c\r"
 PIECES = bytes(10 if b in ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 LOW_BITS = np.int64(0xFFFFFFFF)
+SYMBOLS = ("place", "number", "total")
 
 
 class Automaton:
@@ -260,17 +261,17 @@ def collocations(
     words = stored(frequent_words(parts, least), "numbers")
     placed = parts.select("shard", "lang", F.posexplode("words").alias("place", "word"))
     symbols = stored(placed.join(words, ["lang", "word"]).groupBy("shard").agg(
-        F.collect_list(F.struct("place", "number", "total")).alias("symbols")), "symbols")
+        F.collect_list(F.struct("place", "number", "total")).alias("s")).select("shard", "s.place", "s.number", "s.total"), "symbols")
     known = parts.join(symbols, "shard")
 
     size = parts.agg(F.sum("phrases").alias("phrases"), F.count("*").alias("shards")).first()
     ranges = int(max(1, min(MOST_RANGES, (size.phrases or 0) // range_phrases)))
     fraction = min(1.0, SAMPLE / SAMPLE_OF_SHARD / max(1, size.shards))
     sampled = known.where((F.xxhash64("shard") % 1_000_000 + 1_000_000) % 1_000_000 < int(fraction * 1_000_000))
-    cut = Ranges.of([tuple(r) for r in sampled.select("symbols", "sample").mapInArrow(_sampled, "pair long, third long").collect()], ranges)
+    cut = Ranges.of([tuple(r) for r in sampled.select(*SYMBOLS, "sample").mapInArrow(_sampled, "pair long, third long").collect()], ranges)
 
     cells = max(1, ranges * 2)
-    sent = known.select("lang", "symbols", "data").mapInArrow(_cut(cut), "cell string, data binary")
+    sent = known.select("lang", *SYMBOLS, "data").mapInArrow(_cut(cut), "cell string, data binary")
     united = stored(led(sent, sent.limit(0), cells, _united(least), "cell string, data binary"), "ranges")
     asked = united.mapInArrow(_asked(cut), "cell string, data binary")
     found = led(united, asked, cells, _composed(held),
@@ -295,13 +296,18 @@ def collocations(
     return kept.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def _numbers(symbols: list[dict], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each of a shard's words, -1 for a rare one, and its total."""
-    number, total = np.full(words, -1, np.int64), np.zeros(words, np.int64)
-    place = np.array([s["place"] for s in symbols], np.int64)
-    number[place] = [s["number"] for s in symbols]
-    total[place] = [s["total"] for s in symbols]
-    return number, total
+def _with_symbols(batches, *names: str) -> Iterator[tuple]:
+    """Rows one at a time: the numbers and totals of the shard's words by place, then the named columns."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            place, number, total = (batch.column(c)[k].values.to_numpy() for c in SYMBOLS)
+            yield (place, number, total, *(batch.column(n)[k].as_py() for n in names))
+
+
+def _by_place(place: np.ndarray, values: np.ndarray, words: int, rare: int) -> np.ndarray:
+    out = np.full(words, rare, np.int64)
+    out[place] = values
+    return out
 
 
 def _renumbered(pairs, thirds, number):
@@ -312,11 +318,10 @@ def _renumbered(pairs, thirds, number):
 
 
 def _sampled(batches):
-    for symbols, data in rows_of(batches, "symbols", "sample"):
+    for place, number, _, data in _with_symbols(batches, "sample"):
         pairs, thirds = unboxed(data)
-        words = 1 + max([int((pairs >> 32).max(initial=0)), int((pairs & LOW_BITS).max(initial=0)), int(thirds.max(initial=0)),
-                         *(s["place"] for s in symbols)])
-        pairs, thirds, good = _renumbered(pairs, thirds, _numbers(symbols, words)[0])
+        words = 1 + max(int(a.max(initial=0)) for a in (pairs >> 32, pairs & LOW_BITS, thirds, place))
+        pairs, thirds, good = _renumbered(pairs, thirds, _by_place(place, number, words, -1))
         yield pa.RecordBatch.from_pydict({"pair": pairs[good], "third": thirds[good]})
 
 
@@ -328,9 +333,9 @@ def _cut(ranges: Ranges):
     """Shard automata in common numbers, cut at the prefix ranges."""
 
     def run(batches):
-        for lang, symbols, data in rows_of(batches, "lang", "symbols", "data"):
+        for place, number, total, lang, data in _with_symbols(batches, "lang", "data"):
             automaton = Automaton.unboxed(data)
-            number, total = _numbers(symbols, len(automaton.words))
+            number, total = _by_place(place, number, len(automaton.words), -1), _by_place(place, total, len(automaton.words), 0)
             pairs, thirds, weights = automaton.phrases()
             del automaton
             pairs, thirds, good = _renumbered(pairs, thirds, number)

@@ -22,7 +22,7 @@ by 64-bit and 128-bit hashes.
 
 Null, empty and wordless texts have an empty set, and are linked with nothing. A text of fewer
 than five words is one shingle. Repeated rows are copies: each stays a row and gets the
-component of its text; rows without a doc_id do not take part and get none.
+component of its text; rows without a doc_id do not take part, get no component and are kept.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ ROWS, BANDS = 4, 60
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 # Members that one task compares with each other, by their sketches and by their full sets.
 WIDE_SKETCHES, WIDE_SETS = 512, 256
+# Bytes of payloads that one task compares, leaders apart; a single longer set stands alone.
+SET_BYTES = 8 << 20
 
 
 def shingle_set(text: bytes | None, hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
@@ -94,7 +97,7 @@ def likely_jaccard(more, less, same, n_a, n_b):
 
 
 def sketch_documents(docs: DataFrame, count: int = ROWS * BANDS) -> DataFrame:
-    """``doc_id, n_shingles, set_id, sketch`` of every document with an id."""
+    """``doc_id, n_shingles, set_id, sketch`` of every document."""
 
     def run(batches):
         hashes = WordHashes()
@@ -108,7 +111,7 @@ def sketch_documents(docs: DataFrame, count: int = ROWS * BANDS) -> DataFrame:
                 pa.array([s.tobytes() for s in sketches], pa.binary()),
             ], ["doc_id", "n_shingles", "set_id", "sketch"])
 
-    plain = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return plain.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, sketch binary")
 
 
@@ -131,24 +134,26 @@ def _band_keys(classes: DataFrame, rows: int, bands: int) -> DataFrame:
     return classes.select("rep", "sketch").mapInArrow(run, "rep long, band long")
 
 
-def _whole_groups(batches, width: int):
+def _whole_groups(batches, most_rows: int = 2000, most_bytes: int = 8 << 20):
     """Tables of whole groups, from batches sorted by ``key`` and ``block``, with the groups' starts.
 
-    A group that goes on in the next batch waits for it; ``width`` rows at least are gathered.
+    A group that goes on in the next batch waits for it; about ``most_rows`` or ``most_bytes`` of payload are gathered.
     """
     held: list[pa.RecordBatch] = []
-    rows = 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            rows += batch.num_rows
-        if rows >= width:
+    rows = size = 0
+    for batch in bounded(batches, "payload", most_bytes):
+        held.append(batch)
+        rows += batch.num_rows
+        size += pc.sum(pc.binary_length(batch.column("payload"))).as_py() or 0
+        if rows >= most_rows or size >= most_bytes:
             found = pa.Table.from_batches(held).combine_chunks()
             starts = _starts(found)
             if len(starts) > 1:
                 yield found.slice(0, starts[-1]), starts[:-1]
-                held = found.slice(starts[-1]).combine_chunks().to_batches()
-                rows = found.num_rows - starts[-1]
+                # Copied, so that the rows before it can go.
+                rest = found.take(pa.array(np.arange(starts[-1], found.num_rows)))
+                held, rows = rest.to_batches(), rest.num_rows
+                size = pc.sum(pc.binary_length(rest.column("payload"))).as_py() or 0
     if held:
         found = pa.Table.from_batches(held).combine_chunks()
         yield found, _starts(found)
@@ -179,7 +184,7 @@ class _Forest:
 
 def _linked_rows(compare, batches):
     """Edges that connect, within each group, what the links of ``compare`` connect."""
-    for found, starts in _whole_groups(batches, 2000):
+    for found, starts in _whole_groups(batches):
         ends = [*starts[1:].tolist(), found.num_rows]
         node, of, side = (found.column(c).to_numpy() for c in ("node", "component", "side"))
         edges_a, edges_b = [], []
@@ -275,17 +280,18 @@ def _by_sets(bound: tuple[int, int]):
     return compare
 
 
-def link_members(members: DataFrame, compare, width: int) -> DataFrame:
-    """Edges ``(a, b)`` that connect what pairs of ``members(key, node, size, payload)`` connect.
+def link_members(members: DataFrame, payloads: DataFrame, compare, width: int, most_bytes: int = SET_BYTES) -> DataFrame:
+    """Edges ``(a, b)`` that connect what pairs of ``members(key, node, weight)`` connect.
 
-    Only members of one key are compared, and each task compares a block of about ``width`` of
-    them. The members of a larger key are dealt into blocks, with the same few leaders in each;
-    that connects a group of copies at a cost linear in its size. Then only members outside the
+    Members are ids until they are compared; then each gets its row of ``payloads(node, size, payload)``. Only members of one
+    key are compared, and each task compares a block of about ``width`` of them, or fewer where their ``weight``, the bytes of
+    their payloads, would pass ``most_bytes``. The members of a larger key are dealt into blocks, with the same few leaders in
+    each; that connects a group of copies at a cost linear in its size. Then only members outside the
     key's largest component are compared with all others, again in blocks.
     """
     leaders = 16
-    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = members.join(sizes, "key").withColumn("k", F.ceil(F.col("n") / width))
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes")).where("n > 1")
+    members = members.join(sizes, "key").withColumn("k", F.ceil(F.greatest(F.col("n") / width, F.col("bytes") / most_bytes)))
     spread = F.xxhash64("node")
     block = F.pmod(spread, F.col("k"))
     lead = (F.col("k") > 1) & (F.pmod(F.xxhash64(F.lit(1), "node"), F.ceil(F.col("n") / leaders)) == 0)
@@ -295,7 +301,7 @@ def link_members(members: DataFrame, compare, width: int) -> DataFrame:
     def edges(rows):
         # Comparing takes long for its bytes, so the tasks are not merged by size.
         tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = rows.select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
+        dealt = rows.join(payloads, "node").select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
         return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long").distinct(), "links")
 
     first = edges(members.withColumn("block", F.explode(blocks)).withColumn("component", F.col("node"))
@@ -310,7 +316,8 @@ def link_members(members: DataFrame, compare, width: int) -> DataFrame:
         F.max_by("component", F.struct("count", "component")).alias("main"))
     wide = wide.join(most, "key")
     outside = F.col("component") != F.col("main")
-    left = wide.groupBy("key").agg(F.ceil(F.count_if(outside) / width).alias("kl")).where("kl > 0")
+    left = wide.groupBy("key").agg(F.ceil(F.greatest(
+        F.count_if(outside) / width, F.sum(F.when(outside, F.col("weight")).otherwise(0)) / most_bytes)).alias("kl")).where("kl > 0")
     wide = wide.join(left, "key")
     # Block numbers pair a block of outsiders with a block of all members.
     row = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("kl"))
@@ -321,20 +328,34 @@ def link_members(members: DataFrame, compare, width: int) -> DataFrame:
     return first.unionByName(edges(rows))
 
 
+def shared_keys(classes: DataFrame, rows: int, bands: int) -> DataFrame:
+    """``rep, band``: the band keys that classes share, of keys with the same classes one only.
+
+    Near copies share most of their bands, and comparing the same members again finds nothing new. Members are told apart by
+    their number and two 64-bit sums without carry of their hashed ids.
+    """
+    keys = _band_keys(classes, rows, bands)
+    often = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    keys = stored(keys.join(often, "band"), "bands")
+    members = keys.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
+    once = members.groupBy("n", "x", "y").agg(F.min("band").alias("band"))
+    return stored(keys.join(once.select("band"), "band", "left_semi"), "keys")
+
+
 def near_links(docs: DataFrame, classes: DataFrame, bound: tuple[int, int] = BOUND, rows: int = ROWS,
                bands: int = BANDS) -> DataFrame:
     """Links ``(a, b)`` between classes, confirmed on full sets, that connect all that any link connects."""
     similarity, count = bound[0] / bound[1], rows * bands
-    keys = _band_keys(classes, rows, bands)
-    shared = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    keys = stored(keys.join(shared, "band"), "bands")
-    members = keys.join(classes, "rep").select(
-        F.col("band").alias("key"), F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
-    groups = stored(components(link_members(members, _by_sketch(similarity, count), WIDE_SKETCHES)), "alike")
+    keys = shared_keys(classes, rows, bands).select(
+        F.col("band").alias("key"), F.col("rep").alias("node"), F.lit(2 * count).alias("weight"))
+    sketches = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
+    groups = stored(components(link_members(keys, sketches, _by_sketch(similarity, count), WIDE_SKETCHES)), "alike")
     sets = _full_sets(docs, groups.select(F.col("node").alias("rep")))
-    members = sets.join(groups, sets.rep == groups.node).select(
-        F.col("component").alias("key"), "node", F.lit(0).alias("size"), F.col("items").alias("payload"))
-    return link_members(members, _by_sets(bound), WIDE_SETS)
+    members = groups.join(classes, groups.node == classes.rep).select(
+        F.col("component").alias("key"), "node", (8 * F.col("n_shingles")).alias("weight"))
+    payloads = sets.select(F.col("rep").alias("node"), F.lit(0).alias("size"), F.col("items").alias("payload"))
+    return link_members(members, payloads, _by_sets(bound), WIDE_SETS)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -353,7 +374,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, bound: tuple[int, int] = BOUND) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     sketched = stored(sketch_documents(docs), "sketches")
-    classes = sketched.where("n_shingles > 0").groupBy("set_id").agg(
+    classes = sketched.where("n_shingles > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "classes")
@@ -362,8 +383,8 @@ def near_duplicates(docs: DataFrame, bound: tuple[int, int] = BOUND) -> DataFram
         "set_id", "copies", "rep", F.coalesce("component", "rep").alias("component"))
     named = named.where("copies > 1 or component <> rep").select("set_id", "component")
     with_id = sketched.join(named, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    return with_id.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    return with_id.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, bound: tuple[int, int] = BOUND) -> DataFrame:

@@ -177,7 +177,7 @@ def test_decontam(docs, empty, bench):
 def test_near_duplicates(docs, empty):
     rows = _by_id(setsketch.near_duplicates(docs))
     of = {r.doc_id: r.component_id for r in rows}
-    assert len(rows) == len(ROWS) - 1 and of[7] == 6 and of[10] == 9 and of[12] == 11 and of[3] == 3 and of[4] == 4
+    assert len(rows) == len(ROWS) and of[None] is None and rows[-1].kept and of[7] == 6 and of[10] == 9 and of[12] == 11 and of[3] == 3 and of[4] == 4
     kept = setsketch.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 9, 11] + [2] * (of[2] == 2) or of[2] == 1

@@ -2,6 +2,7 @@
 
 import io
 import random
+import re
 import zipfile
 import zlib
 from collections import Counter
@@ -81,6 +82,67 @@ def test_suffix_automaton():
     assert parser.phrases(texts)[0][:, 0].tolist() == [phrases(t) for t in texts]
 
 
+def _plain_phrases(text, reference):
+    """Greedy longest matches, one after another, by looking for each in the reference."""
+    n = at = 0
+    while at < len(text):
+        k = at + 1
+        while k < len(text) and text[at : k + 1] in reference:
+            k += 1
+        n, at = n + 1, k
+    return n
+
+
+@pytest.mark.parametrize("piece", [1, 2, 7, 16, 512])
+def test_phrases_do_not_end_where_pieces_do(monkeypatch, piece):
+    monkeypatch.setattr(language, "PIECE", piece)
+    draw = random.Random(6)
+    first, second = ("".join(draw.choice("abc ") for _ in range(n)) for n in (90, 150))
+    first, second = (" ".join(t.split()) for t in (first, second))
+    parser = language.CrossParser([("x", first), ("y", second)])
+    texts = [" ".join("".join(draw.choice("abcd  ") for _ in range(draw.randint(0, 400))).split()) for _ in range(60)]
+    got = parser.phrases(texts)[0].tolist()
+    assert got == [[_plain_phrases(t, r) if t else got[k][j] for j, r in enumerate((first, second))] for k, t in enumerate(texts)]
+    # The reference itself is one phrase, however long.
+    assert parser.phrases([second])[0][0, 1] == 1
+
+
+def test_language_against_plain_parsing(spark):
+    """Whole predictions and scores: references as sampled, each text parsed by looking for its phrases."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    model = language.references(language.training_rows(docs), chars=1500)
+
+    def symbols(text):
+        return re.sub(r"[^\W\d_]|(.)", lambda m: "|" if m[1] else m[0], re.sub(r"\n", " ", text.lower()), flags=re.S)
+
+    def squeezed(text):
+        return re.sub(r"\|+", "|", symbols(text))
+
+    wanted = {}
+    known = {c for _, r in model for c in r if c.isalpha()}
+    for row in docs.collect():
+        text = re.sub(r"[^\W\d_]", lambda m: m[0] if m[0] in known else "\0", squeezed((row.text or "")[:3000]))
+        counts = [_plain_phrases(text, squeezed(r)) for _, r in model]
+        best = min(range(len(model)), key=lambda k: (counts[k], k))
+        first, second = sorted(counts)[:2]
+        wanted[row.doc_id] = (model[best][0], round(2 * second / (first + second) - 1, 9))
+    found = language.identify(docs.withColumn("text", F.substring("text", 1, 3000)), model).collect()
+    assert {r.doc_id: (r.language.pred, round(r.language.score, 9)) for r in found} == wanted
+
+
+def test_texts_stay_where_no_language_is_learned(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, "123 !", None), (3, None, None), (4, "x", None)], "doc_id long, text string, lang string")
+    model = language.references(language.training_rows(docs))
+    assert model == [] and [r.doc_id for r in language.drop_undetermined(docs, model).orderBy("doc_id").collect()] == [1, 4]
+
+
+def test_copies_do_not_fill_the_reference(spark):
+    rows = [(k, "same words again " * 40, "en") for k in range(300)] + [(300 + k, f"!! 12 text{chr(97 + k)} " + "word " * k, "en") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, text), = language.references(docs.select("text", "lang"), chars=5000, per_document=100)
+    assert text.count("same words") < 10 and all(f"text{chr(97 + k)}" in text for k in range(20)) and not text.startswith("!")
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.references(language.training_rows(docs))

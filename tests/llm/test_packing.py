@@ -80,6 +80,18 @@ TEXTS = ["", None, "One two\tthree's\nfour  \x1c five six \x85seven", "a" * 300
          " ".join(f"w{k}" for k in range(6000)), "\r\n  x"] + ["same text here"] * 200 + ["one", None]
 
 
+def test_words_of_all_kinds():
+    whole = Tokenizer.from_file(PATH)
+    tokenizer = packing.WordTokenizer(PATH)
+    rng = random.Random(8)
+    plain = [chr(c) for c in (*range(33, 127), *range(0xA1, 0x100))]
+    more = ["\u0130", "\u03a3", "\u0301", "\u00ad", "\u0085", "\u00a0", "\x1c", "'s", "'LL", "don't", "\u212a", "\ufb01", "\u4e2d", "\U0001f600"]
+    texts = [" ".join("".join(rng.choice(plain if rng.random() < 0.9 else more) for _ in range(rng.randint(1, 12))) for _ in range(60)) for _ in range(200)]
+    for _ in range(2):  # the second time from what is remembered
+        for text, ids in zip(texts, tokenizer(texts)):
+            assert np.frombuffer(ids, tokenizer.kind).tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_words_apart_give_the_ids_of_the_whole_text():
     whole = Tokenizer.from_file(PATH)
     tokenizer = packing.WordTokenizer(PATH)
