@@ -119,9 +119,13 @@ def current_weather(spark, sf_dir):
 
 
 @register("a08_a12_daily_summary", with_sql(ROWS + dominant_sql("date", "lower(weather)", "top"), """
-SELECT CAST(date AS VARCHAR) AS date, max_flow, min_flow, label AS dominant_weather
-FROM (SELECT date, max(flow) AS max_flow, min(flow) AS min_flow
-      FROM (SELECT date, bucket, sum(flow) AS flow FROM rows_ GROUP BY ALL) GROUP BY date) LEFT JOIN top USING (date)"""))
+, flows AS (SELECT date, max(flow) AS max_flow, min(flow) AS min_flow
+            FROM (SELECT date, bucket, sum(flow) AS flow FROM rows_ GROUP BY ALL) GROUP BY date)
+SELECT CAST(date AS VARCHAR) AS date, any_value(max_flow) AS max_flow, any_value(min_flow) AS min_flow,
+       round(coalesce(sum(CASE WHEN flow > 0 THEN speed * flow END) / nullif(sum(CASE WHEN flow > 0 AND speed IS NOT NULL THEN flow END), 0), avg(speed)), 6) AS avg_speed,
+       any_value(top.label) AS dominant_weather,
+       CASE WHEN contains(any_value(top.label), 'rain') THEN avg(temperature) FILTER (WHERE contains(lower(weather), 'rain')) END AS avg_temperature,
+       CASE WHEN contains(any_value(top.label), 'rain') THEN avg(precipitation) FILTER (WHERE contains(lower(weather), 'rain')) END AS avg_precipitation
+FROM rows_ JOIN flows USING (date) LEFT JOIN top USING (date) GROUP BY date"""))
 def daily_summary(spark, sf_dir):
-    whole = plan.daily_summary(_rows(spark, sf_dir))
-    return flat(whole.select("date", "max_flow", "min_flow", "dominant_weather"))
+    return flat(plan.daily_summary(_rows(spark, sf_dir)).withColumn("avg_speed", F.round("avg_speed", 6)))

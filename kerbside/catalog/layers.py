@@ -12,7 +12,7 @@ from kerbside.operators.joins import touched, untouched, with_hour_stats, with_w
 from kerbside.plans.bronze import to_bronze_traffic, to_bronze_weather
 from kerbside.plans.gold import build_gold, build_gold_by_join, refresh_gold, refresh_gold_from_published, to_contract, with_hour
 from kerbside.plans.silver import build_silver, lane_rollup, published
-from kerbside.schemas import GOLD_COLUMNS, HOUR_KEYS
+from kerbside.schemas import HOUR_KEYS
 
 
 @register("flagship_road_intervals", with_sql(base.gold_sql("hour"), f"SELECT {base.GOLD_OUT} FROM gold"))
@@ -165,7 +165,7 @@ def gold_refresh_published(spark, sf_dir):
     arrived = touched(rows, _changed(spark, sf_dir), ["road_name", "date", "recordDatetime"])
     stale = rows.withColumns({"peakFlow": F.lit(-1.0), "minFlow": F.lit(-1.0)})
     table = with_hour(to_contract(stale))
-    return flat(refresh_gold_from_published(arrived, rows, table).select(*GOLD_COLUMNS))
+    return flat(refresh_gold_from_published(arrived, table))
 
 
 @register("a01_generic_rollup_per_day", with_sql(base.BRONZE, """

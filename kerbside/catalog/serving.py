@@ -9,7 +9,9 @@ from kerbside.catalog.base import flat, register, with_sql
 from kerbside.functions import times, values
 from kerbside.operators import filters
 from kerbside.operators.aggregates import counters, dataset_stats, latest_record_time, road_count, road_list
-from kerbside.operators.paging import any_order, first_predictions, number_order, page_rows, preview, with_row_number
+from kerbside.operators.paging import (
+    any_order, first_predictions, number_order, page_rows, preview, with_row_number, with_sort_keys,
+)
 from kerbside.operators.sets import merge_latest, road_comparison, road_membership
 from kerbside.operators.windows import keep_first, last_row
 from kerbside.plans.dashboard import readings
@@ -189,7 +191,8 @@ def sorted_any(spark, sf_dir):
         .when(kind == "signup", label)
     )
     rows = base.events(spark, sf_dir).select("event_id", content.alias("content"))
-    return with_row_number(rows, [*any_order(rows, "content"), F.asc("event_id")], "place").select("event_id", "place")
+    keyed = with_sort_keys(rows, "content").drop("content")
+    return with_row_number(keyed, [*any_order(), F.asc("event_id")], "place").select("event_id", "place")
 
 
 @register("l04_nulls_last", with_sql(base.BRONZE, """

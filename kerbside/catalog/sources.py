@@ -140,6 +140,22 @@ SELECT event_id, strftime(date_trunc('hour', ts) + to_hours(h), '%Y-%m-%dT%H:%M'
 FROM ev, range(3) t(h)"""))
 def hourly_arrays(spark, sf_dir):
     """One archive payload of three hours per event, as JSON text."""
+    return weather.explode_hourly(_archives(spark, sf_dir).select("event_id", "body.*"))
+
+
+@register("s14_p02_archive_to_bronze", with_sql(base.EV, """
+SELECT 'w' || user_id AS road_id, road_name, strftime(date_trunc('hour', ts) + to_hours(h), '%Y-%m-%dT%H:%M') AS datetime,
+       CAST(k + h AS DOUBLE) AS temperature, CAST(user_id AS DOUBLE) AS windspeed, CAST(k AS INTEGER) AS humidity,
+       CASE WHEN h = 1 THEN 0.0 ELSE floor(value) END AS precipitation, CASE WHEN h = 0 THEN weather_label ELSE 'Unknown' END AS weather,
+       '2024-02-01T00:00' AS processDatetime, CAST(CAST(ts AS DATE) AS VARCHAR) AS date
+FROM ev, range(3) t(h)"""))
+def archived_bronze(spark, sf_dir):
+    """Archive hours of every event's road as bronze weather rows."""
+    hours = weather.explode_hourly(_archives(spark, sf_dir).select("road_id", "road_name", "date", "body.*"))
+    return flat(weather.archive_to_bronze(hours, base.fixed_clock()))
+
+
+def _archives(spark, sf_dir):
     hours = [times.minute_text(times.floor_hour(F.col("ts")) + F.expr(f"INTERVAL {h} HOURS")) for h in range(3)]
     k = F.col("k").cast("double")
     rain = F.floor("value").cast("double")
@@ -153,8 +169,9 @@ def hourly_arrays(spark, sf_dir):
         F.array_repeat(k, 3).alias("relativehumidity_2m"),
     )
     text = F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"})
-    payloads = base.events(spark, sf_dir).select("event_id", F.from_json(text, WEATHER_ARCHIVE).alias("body"))
-    return weather.explode_hourly(payloads.select("event_id", "body.*"))
+    return base.events(spark, sf_dir).select(
+        "event_id", "road_name", F.concat(F.lit("w"), F.col("user_id").cast("string")).alias("road_id"), F.to_date("ts").alias("date"),
+        F.from_json(text, WEATHER_ARCHIVE).alias("body"))
 
 
 @register("s15_current_weather", with_sql(base.EV, """
@@ -201,6 +218,25 @@ def road_lookup(spark, sf_dir):
     return map_source.read_roads(spark, folder)
 
 
+@register("s16_way_lookup", """
+SELECT CAST(c_custkey AS VARCHAR) AS osm_id, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) END AS highway,
+       CAST(c_acctbal AS DOUBLE) AS lat, CAST(c_nationkey AS DOUBLE) AS lon
+FROM customer""")
+def way_lookup(spark, sf_dir):
+    """Customers as ways of a lookup: files that are one JSON array each, spread over many lines."""
+    folder = scratch_path(spark, "ways")
+    c = base.table(spark, sf_dir, "customer")
+    entry = F.struct(
+        F.col("c_custkey").cast("string").alias("osm_id"), F.col("c_name").alias("name"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lower("c_mktsegment")).alias("highway"),
+        F.col("c_acctbal").cast("double").alias("lat"), F.col("c_nationkey").cast("double").alias("lon"),
+    )
+    lists = c.groupBy((F.col("c_custkey") % 8).alias("file")).agg(F.collect_list(entry).alias("ways"))
+    text = F.to_json("ways", {"pretty": "true"})
+    lists.repartition(8, "file").select("file", text.alias("value")).write.partitionBy("file").text(folder)
+    return map_source.read_way_lookup(spark, folder).drop("file")
+
+
 def _write_map(spark, sf_dir) -> str:
     """Ways, nodes and bounds as map XML, the network's edges as network XML."""
     folder = scratch_path(spark, "map")

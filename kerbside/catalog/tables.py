@@ -146,13 +146,25 @@ def dates(spark, sf_dir):
     return flat(tables.layer_dates(spark, layer))
 
 
-@register("s20_a23_files_per_date", with_sql(_E, "SELECT date, count(*) AS row_count, true AS has_files FROM e GROUP BY date"))
+@register("s20_a23_files_per_date", with_sql(_E, """
+SELECT date, count(*) AS row_count, 1 AS object_count, 'event_id|event_type|value|date' AS columns FROM e GROUP BY date"""))
 def files(spark, sf_dir):
+    """Written by one task, so that each date is one file."""
     layer = _event_layer(spark, "files")
-    tables.create(_event_rows(spark, sf_dir), layer)
-    filed = tables.with_file(tables.read_layer(spark, layer))
-    counted = envelope(filed, by=["date"])
-    return flat(counted.select("date", "row_count", (F.col("object_count") >= 1).alias("has_files")))
+    _event_rows(spark, sf_dir).coalesce(1).write.partitionBy("date").parquet(layer.path)
+    counted = envelope(tables.with_file(tables.read_layer(spark, layer)), by=["date"])
+    return flat(counted.select("date", "row_count", F.col("object_count").cast("int").alias("object_count"), F.array_join("columns", "|").alias("columns")))
+
+
+@register("a23_latest_envelope", with_sql(_E, """
+SELECT date AS target_date, 'event_id|event_type|value|date' AS columns, count(*) AS row_count, 1 AS object_count
+FROM e WHERE date = (SELECT max(date) FROM e) GROUP BY date"""))
+def latest_envelope(spark, sf_dir):
+    """What a layer's newest date holds."""
+    layer = _event_layer(spark, "latest")
+    _event_rows(spark, sf_dir).coalesce(1).write.partitionBy("date").parquet(layer.path)
+    found = tables.latest_envelope(spark, layer)
+    return flat(found.select("target_date", F.array_join("columns", "|").alias("columns"), "row_count", F.col("object_count").cast("int").alias("object_count")))
 
 
 @register("s20_files_listed", with_sql(_E, "SELECT date, count(DISTINCT event_type) AS files FROM e GROUP BY date"))

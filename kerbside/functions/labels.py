@@ -99,11 +99,6 @@ def is_rainy(label: Column) -> Column:
     return F.coalesce(F.lower(label).contains("rain"), F.lit(False))
 
 
-def clean_label(label: Column) -> Column:
-    """Trimmed label, blank as null."""
-    return F.nullif(values.trimmed(label), F.lit(""))
-
-
 def density_class(density: Column, highway: Column) -> Column:
     """Class by the road's thresholds; a density on a threshold takes the higher class."""
     table = {name: F.array(*map(F.lit, limits)) for name, limits in DENSITY_THRESHOLDS.items()}

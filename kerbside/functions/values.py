@@ -19,7 +19,6 @@ PRECIPITATION_CANDIDATES = ["precipitation", "precip", "rain_mm", "precip_mm", "
 WIND_CANDIDATES = ["wind_speed", "windSpeed", "windspeed", "wind", "wind_kmh", "windSpeedKmh"]
 WEATHER_CANDIDATES = ["weather", "condition", "weather_label", "weatherLabel"]
 DENSITY_CANDIDATES = ["avg_density", "avgDensity", "average_density", "density"]
-ROW_ID_CANDIDATES = ["id", "row_id", "record_id", "uuid", "_id"]
 SEGMENT_CANDIDATES = [
     "edge_id", "edgeId", "sumo_edge_id", "sumoEdgeId", "road_id", "roadId",
     "link_id", "linkId", "way_id", "wayId", "segment_id",
@@ -61,8 +60,15 @@ def number_of(df: DataFrame, name: str) -> Column:
 
 
 def trimmed(text: Column) -> Column:
-    """Text without white space of any kind at its ends: tabs, line ends and wide spaces too."""
-    return F.regexp_replace(text, r"^[\s\u0085\p{Z}]+|[\s\u0085\p{Z}]+$", "")
+    """Text without white space of any kind at its ends: tabs, line ends and wide spaces too.
+
+    Text that begins and ends with a visible ASCII character is taken as it is, without the pattern.
+    """
+    def visible(character: Column) -> Column:
+        return F.ascii(character).between(33, 126)
+
+    bare = F.regexp_replace(text, r"^[\s\u0085\p{Z}]+|[\s\u0085\p{Z}]+$", "")
+    return F.when(visible(text) & visible(F.right(text, F.lit(1))), text).otherwise(bare)
 
 
 def text_of(df: DataFrame, name: str) -> Column:

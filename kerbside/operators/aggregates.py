@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions import labels, roads, times, values
+from kerbside.functions import roads, times, values
 from kerbside.schemas import SILVER_MEANS, SILVER_TOTALS
 
 
@@ -195,8 +195,9 @@ def bounding_box(features: DataFrame, bounds: DataFrame | None = None) -> DataFr
 
 
 def envelope(df: DataFrame, path: str = "_file", by: Sequence[str] = ()) -> DataFrame:
-    """Row count and number of contributing files; ``path`` holds each row's file."""
+    """Column list, row count and number of contributing files; ``path`` holds each row's file."""
     files = df.groupBy(*by, path).agg(F.count(F.lit(1)).alias("_n"))
+    names = F.array(*[F.lit(c) for c in df.columns if c != path]).cast("array<string>")
     return files.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("object_count"), F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count")
-    )
+        F.count(path).alias("object_count"), F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count")
+    ).withColumn("columns", names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -20,16 +20,20 @@ def on_date(df: DataFrame, day: str | date) -> DataFrame:
     return df.filter(F.col("date") == F.lit(str(day)).cast("date"))
 
 
-def on_parts(df: DataFrame, parts: Mapping[str, Iterable]) -> DataFrame:
-    """Rows whose partition columns have one of the given values; prunes the file listing."""
-    for column, wanted in parts.items():
-        df = df.filter(F.col(column).isin(list(wanted)))
-    return df
+def on_partitions_of(df: DataFrame, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that occur in ``keys``; null values match nothing.
+
+    The values never visit the driver: where ``keys`` is small enough to be broadcast, the scan of ``df`` is
+    pruned at run time. Spark does so only if the other side has a comparison, which could make it selective;
+    hence one that is true of every value.
+    """
+    wanted = keys.select(*columns).distinct().filter(F.hash(*columns) >= F.lit(-(1 << 31)))
+    return df.join(wanted, list(columns), "left_semi")
 
 
 def on_dates_of(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows on any date that occurs in ``keys``; the date list never visits the driver."""
-    return df.join(keys.select("date").distinct(), "date", "left_semi")
+    return on_partitions_of(df, keys, ["date"])
 
 
 def has_hourly_rows(weather: DataFrame, day: str | date) -> DataFrame:

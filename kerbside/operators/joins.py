@@ -102,36 +102,44 @@ def with_edge_ids(ways: DataFrame, edges: DataFrame, edge_column: str = "id") ->
 def polylines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     """``coordinates`` = [lat, lon] of each way's points in the order it lists them.
 
-    Points that resolve to no node are left out. ``ways.refs`` holds the node ids.
+    Points that resolve to no node are left out. ``ways.refs`` holds the node ids; a way's other columns
+    travel with its first point, so the ways are read once and not joined back.
     """
     places = nodes.select(F.col("node_id").alias("_ref"), "lat", "lon")
-    points = ways.select("way_id", F.posexplode("refs").alias("_pos", "_ref")).join(places, "_ref")
-    ordered = F.array_sort(F.collect_list(F.struct("_pos", "lat", "lon")))
-    lines = points.groupBy("way_id").agg(
-        F.transform(ordered, lambda p: F.array(p["lat"], p["lon"])).alias("coordinates")
+    rest = [c for c in ways.columns if c != "way_id"]
+    listed = ways.select("way_id", F.struct(*rest).alias("_way"), F.posexplode_outer("refs").alias("_pos", "_ref"))
+    first = F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_way"))
+    found = listed.select("way_id", "_pos", "_ref", first.alias("_way")).join(places, "_ref", "left")
+    point = F.when(F.col("lat").isNotNull(), F.struct("_pos", "lat", "lon"))
+    lines = found.groupBy("way_id").agg(
+        F.first("_way", ignorenulls=True).alias("_way"),
+        F.transform(F.array_sort(F.collect_list(point)), lambda p: F.array(p["lat"], p["lon"])).alias("coordinates"),
     )
-    none = F.array().cast("array<array<double>>")
-    return ways.join(lines, "way_id", "left").withColumn("coordinates", F.coalesce("coordinates", none))
+    return lines.select("way_id", "_way.*", "coordinates")
 
 
 def by_first_matching_key(
     features: DataFrame, feature_id: str, keys: str, lookup: DataFrame, figures: Mapping[str, Sequence[str]]
 ) -> DataFrame:
-    """Give each feature figures of its best key: ``keys`` lists the keys best first.
+    """Features with figures of their best key: ``keys`` lists the keys best first.
 
     ``lookup`` has one row per ``key``. ``figures`` maps a column that tells whether a key has
     a figure (not null) to the columns taken with it; each figure is matched by itself, all in
-    one join. Features without any match keep nulls.
+    one join. Features without any match keep nulls. A feature's other columns travel with its first key.
     """
     taken = [c for columns in figures.values() for c in columns]
-    candidates = features.select(feature_id, F.posexplode_outer(keys).alias("_rank", "key"))
+    rest = [c for c in features.columns if c not in (feature_id, keys)]
+    candidates = features.select(feature_id, F.struct(*rest).alias("_feature"), F.posexplode_outer(keys).alias("_rank", "key"))
+    first = F.when(F.coalesce("_rank", F.lit(0)) == 0, F.col("_feature"))
+    candidates = candidates.select(feature_id, "_rank", "key", first.alias("_feature"))
     found = candidates.join(lookup.select("key", *{*figures, *taken}), "key", "left")
     best = [
         F.min_by(F.struct(*columns), F.when(F.col(present).isNotNull(), F.col("_rank"))).alias(f"_best{i}")
         for i, (present, columns) in enumerate(figures.items())
     ]
     unpacked = [F.col(f"_best{i}.{c}").alias(c) for i, columns in enumerate(figures.values()) for c in columns]
-    return found.groupBy(feature_id).agg(*best).select(feature_id, *unpacked)
+    grouped = found.groupBy(feature_id).agg(F.first("_feature", ignorenulls=True).alias("_feature"), *best)
+    return grouped.select(feature_id, "_feature.*", *unpacked)
 
 
 def interval_grid(dimension: DataFrame, first_end: int = times.INTERVAL_MINUTES) -> DataFrame:

@@ -5,6 +5,10 @@ holds few sites. Each point walks the pyramid from the top: a cell is dropped as
 nearest corner is farther than the farthest corner of another cell that has a site. What is
 left at the bottom are the few cells that can hold the answer. A dense spot only makes the
 pyramid deeper there, so no cell ever pairs many points with many sites.
+
+The walk starts at the last level whose cells are few enough to stand in the plan, without a join. On the way
+down, joins are on cell and a salt by point, so that a cell in which a third of all points lie is met in
+many tasks; candidates that rest in a cell above meet nothing and are spread the same way.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ SITES_PER_CELL = 16
 FINEST_DEGREES = 1e-7
 # Bounds are widened by this much against rounding; it can only keep a cell too many.
 SLACK = 1e-6
+# Cells that every point begins with at most, and tasks that share a hot cell.
+FIRST_CELLS = 64
+SALTS = 8
 
 
 def _at_level(finest: Column, level: Column | int, depth: int) -> Column:
@@ -70,6 +77,23 @@ def _pyramid(places: DataFrame) -> tuple[DataFrame, DataFrame, list[float], tupl
     return children, bottoms, widths, origin, 0 if deepest is None else deepest + 1
 
 
+def _first_cells(children: DataFrame, levels: int) -> tuple[int, list[tuple[int, int, int]]]:
+    """The level to start at, and ``(level, y, x)`` of its cells and of the unsplit ones above it: ``FIRST_CELLS`` at most."""
+    sizes = {r["level"]: (r["split"], r["cells"]) for r in children.groupBy("level").agg(
+        F.count(F.lit(1)).alias("split"), F.sum(F.size("children")).alias("cells")).collect()}
+    start, cells, resting = 0, 1, 0
+    while start < levels and resting + cells - sizes[start][0] + sizes[start][1] <= FIRST_CELLS:
+        resting += cells - sizes[start][0]
+        cells = sizes[start][1]
+        start += 1
+    split = {(r["level"], r["cell"]["y"], r["cell"]["x"]): [(r["level"] + 1, c["y"], c["x"]) for c in r["children"]]
+             for r in children.filter(F.col("level") < start).collect()}
+    found = [(0, 0, 0)]
+    for level in range(start):
+        found = [c for cell in found for c in (split.get(cell, [cell]) if cell[0] == level else [cell])]
+    return start, found
+
+
 def _bounds(cell: Column, width: float, origin: tuple[float, float]) -> tuple[Column, Column]:
     """Least and greatest distance, in metres, of the point (lat, lon) to a cell."""
     low_lat = F.lit(origin[0]) + cell["y"] * width
@@ -100,24 +124,29 @@ def nearest_site(points: DataFrame, sites: DataFrame) -> DataFrame:
             "point_id", F.lit(None).cast(dict(sites.dtypes)["site_id"]).alias("site_id"), F.lit(0.0).alias("dist_m")
         )
     below, bottoms, widths, origin, levels = _pyramid(pin(places))
-    top = F.struct(F.lit(0).cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("x"))
+    start, first = _first_cells(below, levels)
 
     def candidate(level: Column, cell: Column, low: Column, high: Column) -> Column:
         return F.struct(level.alias("level"), cell.alias("cell"), low.alias("low"), high.alias("high"))
 
-    low, high = _bounds(top, widths[0], origin)
-    # Partitioned by point once: where a level is broadcast, the walk needs no further shuffle.
+    begun = []
+    for level, y, x in first:
+        cell = F.struct(F.lit(y).cast("bigint").alias("y"), F.lit(x).cast("bigint").alias("x"))
+        begun.append(candidate(F.lit(level), cell, *_bounds(cell, widths[level], origin)))
     state = (
-        points.dropna(subset=["lat", "lon"])
-        .select("point_id", "lat", "lon")
-        .repartition("point_id")
-        .withColumn("cells", F.array(candidate(F.lit(0), top, low, high)))
+        points.dropna(subset=["lat", "lon"]).select("point_id", "lat", "lon").withColumn("cells", F.array(*begun))
+        .withColumn("_reach", F.array_min(F.transform("cells", lambda c: c["high"])))
+        .withColumn("cells", F.expr("filter(cells, c -> c.low <= _reach)"))
     )
-    for level in range(levels):
-        children = below.filter(F.col("level") == level).select("cell", "children")
-        open_cells = state.select("point_id", "lat", "lon", F.explode("cells").alias("c"))
-        keyed = open_cells.withColumn("cell", F.when(F.col("c.level") == level, F.col("c.cell")))
-        met = keyed.join(children, "cell", "left")
+    salt = F.pmod(F.xxhash64("point_id"), F.lit(SALTS)).cast("int")
+    for level in range(start, levels):
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        children = below.filter(F.col("level") == level).select("cell", "children", salts.alias("salt"))
+        open_cells = state.select("point_id", "lat", "lon", salt.alias("salt"), F.explode("cells").alias("c"))
+        # A candidate that rests gets a cell no site has, another for each point.
+        nowhere = F.struct((-1 - F.abs(F.hash("point_id").cast("bigint"))).alias("y"), F.lit(-1).cast("bigint").alias("x"))
+        keyed = open_cells.withColumn("cell", F.when(F.col("c.level") == level, F.col("c.cell")).otherwise(nowhere))
+        met = keyed.join(children, ["cell", "salt"], "left")
         low, high = _bounds(F.col("_next"), widths[level + 1], origin)
         stepped = met.select("point_id", "lat", "lon", "c", F.explode_outer("children").alias("_next"))
         next_cell = F.when(F.col("_next").isNull(), F.col("c")).otherwise(

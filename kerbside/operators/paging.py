@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions import times, values
+from kerbside.functions import values
 from kerbside.session import pin
 
 # --- fixed values ---
@@ -16,6 +16,8 @@ PREDICTIONS_DEFAULT, PREDICTIONS_MAX = 500, 10_000
 PAGE_SIZE = 200
 # --- end of fixed values ---
 
+SORT_KEYS = ("_number", "_time", "_text")
+
 
 def preview(df: DataFrame, limit: int = PREVIEW_DEFAULT) -> DataFrame:
     """Some rows of the frame, 1 to 500 of them."""
@@ -25,20 +27,31 @@ def preview(df: DataFrame, limit: int = PREVIEW_DEFAULT) -> DataFrame:
 
 
 def first_predictions(scored: DataFrame, limit: int = PREDICTIONS_DEFAULT) -> DataFrame:
-    """First rows by road and time, each with the total row count."""
+    """First rows by road and time, each with the total row count.
+
+    The rows are evaluated once and pinned; the count then reads no columns.
+    """
     if not 1 <= limit <= PREDICTIONS_MAX:
         raise ValueError(f"limit must be between 1 and {PREDICTIONS_MAX}")
+    scored = pin(scored)
     total = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
     return scored.orderBy("road_name", "recordDatetime").limit(limit).withColumn("row_count", total)
 
 
-def any_order(df: DataFrame, column: str, descending: bool = False) -> list[Column]:
-    """Sort keys for a column of any content: numbers first by value, then times, then text
+def with_sort_keys(df: DataFrame, column: str) -> DataFrame:
+    """Columns ``_number, _time, _text`` by which a column of any content sorts.
+
+    They are a projection of their own, so that a sort compares values and does not parse texts again.
+    """
+    text, number = values.text_of(df, column), values.number_of(df, column)
+    keyed = df.withColumns({"_number": number, "_text": text})
+    return keyed.withColumns({"_time": F.when(F.col("_number").isNull(), F.try_to_timestamp("_text")), "_text": F.lower("_text")})
+
+
+def any_order(descending: bool = False) -> list[Column]:
+    """Sort order over ``with_sort_keys``: numbers first by value, then times, then text
     without regard to case; empty values last."""
-    text = values.text_of(df, column)
-    number = values.number_of(df, column)
-    stamp = F.when(number.isNull(), F.try_to_timestamp(text))
-    keys = [number, stamp, F.lower(text)]
+    keys = [F.col(c) for c in SORT_KEYS]
     return [k.desc_nulls_last() if descending else k.asc_nulls_last() for k in keys]
 
 
@@ -86,7 +99,3 @@ def page_rows(df: DataFrame, order: Sequence[Column], page: int, size: int = PAG
     total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     _, start, _ = page_bounds(total, page, size)
     return numbered.filter(F.col("_row").between(start + 1, start + size)).orderBy("_row").drop("_row")
-
-
-def bucket_label(bucket: str = "bucket") -> Column:
-    return times.bucket_to_clock(F.col(bucket))

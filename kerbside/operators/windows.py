@@ -1,8 +1,8 @@
 """Ordered operators that stay parallel when one key holds most rows.
 
 A plain window over ``partitionBy(road)`` sorts a whole road in one task. The helpers here
-work in time chunks (one road-hour or road-day per group) and carry the little that crosses a
-chunk border through a summary holding a few rows per chunk. The result is the same.
+deal the rows by time chunks (one road-hour or road-day per group) once and carry the little that crosses a
+chunk border through a summary holding a row per chunk. The result is the same.
 """
 
 from __future__ import annotations
@@ -14,11 +14,19 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbside.session import pin
+
 _BEFORE = (Window.unboundedPreceding, Window.currentRow)
 
 
-def _chunk(order: str, unit: str) -> Column:
-    return F.date_trunc(unit, F.col(order))
+def _in_chunks(df: DataFrame, keys: Sequence[str], order: str, unit: str, tie: Sequence[str]) -> DataFrame:
+    """Rows dealt by key and ``_chunk`` and sorted in time, pinned: the one exchange of all rows.
+
+    What follows reads them where they lie, as Spark knows how they are dealt and sorted, so the input is evaluated
+    once however often its rows are looked at.
+    """
+    chunked = df.withColumn("_chunk", F.date_trunc(unit, F.col(order)))
+    return pin(chunked.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", order, *tie))
 
 
 def lag_in_chunks(
@@ -33,37 +41,29 @@ def lag_in_chunks(
     """``<column>_lag_<1..depth>`` per key by time."""
     keys = list(keys)
     payload = F.struct(*columns)
+    chunked = _in_chunks(df, keys, order, unit, tie)
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(order, *tie)
-    backwards = Window.partitionBy(*keys, "_chunk").orderBy(F.desc(order), *[F.desc(t) for t in tie])
-    numbered = df.withColumn("_chunk", _chunk(order, unit)).withColumn("_row", F.row_number().over(in_chunk))
+    numbered = chunked.withColumn("_row", F.row_number().over(in_chunk))
     for k in range(1, depth + 1):
         numbered = numbered.withColumn(f"_lag{k}", F.lag(payload, k).over(in_chunk))
 
-    # The last `depth` rows of every chunk are all that later chunks can look back on.
-    tails = (
-        df.select(*keys, order, *tie, payload.alias("_payload"), _chunk(order, unit).alias("_chunk"))
-        .withColumn("_back", F.row_number().over(backwards))
-        .filter(F.col("_back") <= depth)
-    )
-    across = Window.partitionBy(*keys).orderBy(order, *tie)
-    first_of_chunk = Window.partitionBy(*keys, "_chunk").orderBy(order, *tie)
-    carried = tails
-    for k in range(1, depth + 1):
-        carried = carried.withColumn(f"_carry{k}", F.lag("_payload", k).over(across))
-    carried = (
-        carried.withColumn("_first", F.row_number().over(first_of_chunk))
-        .filter(F.col("_first") == 1)
-        .select(*keys, "_chunk", *[f"_carry{k}" for k in range(1, depth + 1)])
-    )
+    # The last `depth` rows of every chunk are all that later chunks can look back on: one row a chunk.
+    newest = chunked.select(*keys, "_chunk", payload.alias("_payload"), F.row_number().over(
+        Window.partitionBy(*keys, "_chunk").orderBy(F.desc(order), *[F.desc(t) for t in tie])).alias("_back"))
+    tails = newest.filter(F.col("_back") <= depth).groupBy(*keys, "_chunk").agg(
+        F.sort_array(F.collect_list(F.struct("_back", "_payload"))).alias("_tail"))
+    # Chunks in order of time hold what came before them: the tails of the last chunks, newest first.
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    tails_before = F.array(*[F.lag("_tail", k).over(across) for k in range(1, depth + 1)])
+    carried = tails.withColumn("_before", F.flatten(F.filter(tails_before, lambda t: t.isNotNull()))).drop("_tail")
     joined = numbered.join(carried, [*keys, "_chunk"], "left")
     for k in range(1, depth + 1):
         # Row r of its chunk has r-1 predecessors inside it; the rest come from before.
-        value = F.when(F.col("_row") > k, F.col(f"_lag{k}"))
-        for row in range(1, k + 1):
-            value = value.when(F.col("_row") == row, F.col(f"_carry{k - row + 1}"))
+        earlier = F.get("_before", F.lit(k) - F.col("_row")).getField("_payload")
+        value = F.when(F.col("_row") > k, F.col(f"_lag{k}")).otherwise(earlier)
         for column in columns:
             joined = joined.withColumn(f"{column}_lag_{k}", value.getField(column))
-    helper = ["_chunk", "_row"] + [f"{p}{k}" for p in ("_lag", "_carry") for k in range(1, depth + 1)]
+    helper = ["_chunk", "_row", "_before", *[f"_lag{k}" for k in range(1, depth + 1)]]
     return joined.drop(*helper)
 
 
@@ -77,13 +77,12 @@ def carry_forward(
 ) -> DataFrame:
     """Replace a null ``payload`` by the last non-null one before it, per key by time."""
     keys = list(keys)
-    chunked = df.withColumn("_chunk", _chunk(order, unit))
+    chunked = _in_chunks(df, keys, order, unit, tie)
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(order, *tie).rowsBetween(*_BEFORE)
     position = F.struct(order, *tie)
-    latest = F.max_by(F.col(payload), position).alias("_latest")
-    summary = chunked.filter(F.col(payload).isNotNull()).groupBy(*keys, "_chunk").agg(latest)
+    latest = F.max_by(F.col(payload), F.when(F.col(payload).isNotNull(), position)).alias("_latest")
     # One row per key and chunk: chunks that hold readings, and chunks that only need them.
-    chunks = chunked.select(*keys, "_chunk").distinct().join(summary, [*keys, "_chunk"], "left")
+    chunks = chunked.groupBy(*keys, "_chunk").agg(latest)
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = chunks.select(*keys, "_chunk", F.last("_latest", ignorenulls=True).over(earlier).alias("_carry"))
     filled = chunked.withColumn("_seen", F.last(payload, ignorenulls=True).over(in_chunk))

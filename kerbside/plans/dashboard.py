@@ -36,11 +36,20 @@ def readings(df: DataFrame, keep: Sequence[str] = DAY) -> DataFrame:
     )
 
 
-def _on_grid(series: DataFrame, by: Sequence[str]) -> DataFrame:
-    """All 480 buckets of every group, with nulls where the series has none."""
-    days = series.select(*by).distinct()
-    grid = days.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(times.BUCKETS_PER_DAY - 1))))
-    return grid.join(series, [*by, "bucket"], "left")
+def _dense(series: DataFrame, by: Sequence[str], slot: str = "bucket", slots: int = times.BUCKETS_PER_DAY) -> DataFrame:
+    """Every slot of every group, with nulls where the series has none.
+
+    A group's slots become one day vector, an array with an entry for each, which is unfolded again: the
+    series is evaluated once and nothing is joined. A group with only unplaced rows has all its slots too.
+    """
+    rest = [c for c in series.columns if c not in (*by, slot)]
+    placed = F.when(F.col(slot).isNotNull(), F.struct(F.col(slot).cast("int").alias("k"), F.struct(*rest).alias("v")))
+    found = F.map_from_entries(F.collect_list(placed))
+    numbers = F.sequence(F.lit(0), F.lit(slots - 1))
+    vector = F.transform(numbers, lambda k: F.struct(k.alias(slot), F.try_element_at(F.col("_found"), k).alias("v")))
+    days = series.groupBy(*by).agg(found.alias("_found"))
+    unfolded = days.select(*by, F.inline(vector))
+    return unfolded.select(*by, slot, *[F.col("v").getField(c).alias(c) for c in rest])
 
 
 def _bucket_flow(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -49,7 +58,7 @@ def _bucket_flow(rows: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def flow_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Total flow per bucket; null where no row has a flow."""
-    return _on_grid(_bucket_flow(rows, by), by)
+    return _dense(_bucket_flow(rows, by), by)
 
 
 def daily_flow_range(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
@@ -80,7 +89,7 @@ def speed_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     speeds = known.groupBy(*by, "bucket").agg(
         F.try_divide(F.sum(F.col("speed") * weight), F.sum(weight)).alias("avg_speed")
     )
-    return _on_grid(speeds, by)
+    return _dense(speeds, by)
 
 
 def dominant_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
@@ -88,35 +97,77 @@ def dominant_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     return dominant(rows, by, F.lower("weather"), [F.col("seen")], "dominant_weather")
 
 
+def _sums_by_label(rows: DataFrame, by: Sequence[str], label: Column, measures: Sequence[str]) -> DataFrame:
+    """Rows, first sight, sums and counts of each label of a group: what means and the most frequent
+    label are both made of, so that one pass over the rows gives them."""
+    sums = [x for m in measures for x in (F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
+    return rows.groupBy(*by, label.alias("_label")).agg(F.count(F.lit(1)).alias("_n"), F.min("seen").alias("_first"), *sums)
+
+
+def _most_frequent() -> Column:
+    """Of ``_sums_by_label``: the label of most rows, ties to the first seen, then to the alphabet."""
+    rank = F.struct((-F.col("_n")).alias("n"), "_first", "_label")
+    return F.min(F.when(F.col("_label").isNotNull(), rank)).getField("_label")
+
+
+def _mean(measure: str, of: Column | None = None) -> Column:
+    total, n = F.col(f"{measure}_sum"), F.col(f"{measure}_n")
+    if of is not None:
+        total, n = F.when(of, total), F.when(of, n)
+    return F.try_divide(F.sum(total), F.sum(n))
+
+
+def _rain_columns() -> list[Column]:
+    wet, rainy = labels.is_rainy(_most_frequent()), labels.is_rainy(F.col("_label"))
+    return [
+        _most_frequent().alias("dominant_weather"),
+        F.when(wet, _mean("temperature", rainy)).alias("avg_temperature"),
+        F.when(wet, _mean("precipitation", rainy)).alias("avg_precipitation"),
+    ]
+
+
 def rain_means(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Mean temperature and precipitation over rainy rows, on days mostly of rain; else null."""
-    rainy = labels.is_rainy(F.col("weather"))
-    means = rows.groupBy(*by).agg(
-        F.avg(F.when(rainy, F.col("temperature"))).alias("_t"),
-        F.avg(F.when(rainy, F.col("precipitation"))).alias("_p"),
-    )
-    wet = labels.is_rainy(F.col("dominant_weather"))
-    return means.join(dominant_weather(rows, by), list(by), "left").select(
-        *by, "dominant_weather",
-        F.when(wet, F.col("_t")).alias("avg_temperature"), F.when(wet, F.col("_p")).alias("avg_precipitation"),
-    )
+    sums = _sums_by_label(rows, by, F.lower("weather"), ["temperature", "precipitation"])
+    return sums.groupBy(*by).agg(*_rain_columns())
 
 
 def daily_summary(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
-    """Flow range, speed, dominant weather and rain means per group."""
-    on = list(by)
-    return daily_flow_range(rows, by).join(overall_speed(rows, by), on).join(rain_means(rows, by), on)
+    """Flow range, speed, dominant weather and rain means per group.
+
+    The rows are grouped by bucket and by label in one pass (grouping sets); a group's figures come from
+    both kinds of sums. A group without a bucket has no row.
+    """
+    flowing = (F.col("flow") > 0) & F.col("speed").isNotNull()
+    parts = rows.select(
+        *by, "bucket", F.lower("weather").alias("_label"), "seen", "flow", "temperature", "precipitation", "speed",
+        F.when(flowing, F.col("speed") * F.col("flow")).alias("_moved"), F.when(flowing, F.col("flow")).alias("_moving"),
+    )
+    sums = [x for m in ("temperature", "precipitation", "speed") for x in (F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"))]
+    sets = [[F.col(c) for c in (*by, part)] for part in ("bucket", "_label")]
+    sums = parts.groupingSets(sets, *by, "bucket", "_label").agg(
+        F.grouping("bucket").alias("_by_label"), F.sum("flow").alias("flow"), F.count(F.lit(1)).alias("_n"), F.min("seen").alias("_first"),
+        F.sum("_moved").alias("_moved"), F.sum("_moving").alias("_moving"), *sums,
+    )
+    per_bucket = (F.col("_by_label") == 0) & F.col("bucket").isNotNull()
+    per_label = F.col("_by_label") == 1
+    # Sums by bucket take no part in figures by label.
+    hidden = {c: F.when(per_label, F.col(c)) for c in sums.columns if c.endswith(("_sum", "_n")) or c in ("_label", "_moved", "_moving")}
+    buckets = F.when(per_bucket, F.col("flow"))
+    sums = sums.withColumns({**hidden, "_bucket_flow": buckets, "_placed": per_bucket})
+    speed = F.coalesce(F.try_divide(F.sum("_moved"), F.sum("_moving")), _mean("speed"))
+    return sums.groupBy(*by).agg(
+        F.coalesce(F.max("_bucket_flow"), F.lit(0.0)).alias("max_flow"), F.coalesce(F.min("_bucket_flow"), F.lit(0.0)).alias("min_flow"),
+        speed.alias("avg_speed"), *_rain_columns(), F.bool_or("_placed").alias("_any"),
+    ).filter("_any").drop("_any")
 
 
 def weather_series(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     """Per bucket: mean temperature, wind and precipitation, and the dominant label."""
-    means = rows.groupBy(*by, "bucket").agg(
-        F.avg("temperature").alias("temperature"),
-        F.avg("wind_speed").alias("wind_speed"),
-        F.avg("precipitation").alias("precipitation"),
-    )
-    label = dominant(rows, [*by, "bucket"], F.col("weather"), [F.col("seen")], "weather")
-    return _on_grid(means.join(label, [*by, "bucket"], "left"), by)
+    measures = ["temperature", "wind_speed", "precipitation"]
+    sums = _sums_by_label(rows, [*by, "bucket"], F.col("weather"), measures)
+    series = sums.groupBy(*by, "bucket").agg(*[_mean(m).alias(m) for m in measures], _most_frequent().alias("weather"))
+    return _dense(series, by)
 
 
 def hourly_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
@@ -124,11 +175,9 @@ def hourly_weather(rows: DataFrame, by: Sequence[str] = DAY) -> DataFrame:
     an hour has no rows."""
     timed = rows.filter("bucket IS NOT NULL")
     hours = timed.withColumn("hour", F.least(F.lit(23), F.floor(F.col("bucket") / 20)).cast("int"))
-    means = hours.groupBy(*by, "hour").agg(F.avg("temperature").alias("temperature"))
-    label = dominant(hours, [*by, "hour"], F.lower("weather"), [F.col("seen")], "weather")
-    days = means.select(*by).distinct()
-    grid = days.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
-    return grid.join(means, [*by, "hour"], "left").join(label, [*by, "hour"], "left")
+    sums = _sums_by_label(hours, [*by, "hour"], F.lower("weather"), ["temperature"])
+    series = sums.groupBy(*by, "hour").agg(_mean("temperature").alias("temperature"), _most_frequent().alias("weather"))
+    return _dense(series, by, "hour", 24)
 
 
 def current_weather(series: DataFrame, limit: Column, by: Sequence[str] = DAY) -> DataFrame:

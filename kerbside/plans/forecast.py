@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import values
 from kerbside.operators.filters import up_to_anchor
-from kerbside.operators.joins import neighbour_mean_of_roads, with_neighbour_means
 from kerbside.operators.windows import last_row, last_values
 from kerbside.plans.features import LAGS, FeatureSpec, base_rows, graph_features, unscaled
 from kerbside.plans.scoring import PRIMARY_WEIGHT, SECONDARY_WEIGHT, predict
@@ -22,8 +21,8 @@ DEFAULT_STEP_MINUTES = 5
 STEP_MINUTES_RANGE = (1, 1440)
 # --- end of fixed values ---
 
-# Steps between lineage cuts; each cut writes one row per road.
-STEPS_PER_PIN = 4
+# Steps between lineage cuts, so that plans stay small; each cut writes one row per road.
+STEPS_PER_PIN = 24
 
 
 def status(silver: DataFrame) -> DataFrame:
@@ -63,29 +62,41 @@ def anchor_state(base: DataFrame, spec: FeatureSpec) -> DataFrame:
     return newest.withColumns(zeros).join(histories, "road_id")
 
 
-def _step(state: DataFrame, edges: DataFrame, at: datetime, models, spec: FeatureSpec, weights) -> DataFrame:
-    """One forecast step; returns the state with the new density appended to its history."""
-    latest = state.select("road_id", values.scaled_density(F.element_at("avg_density_last", -1)).alias("_density"))
-    means = neighbour_mean_of_roads(latest, edges, "road_id", "_density")
-    rows = with_neighbour_means(state, means, "road_id")
+def _step(state: DataFrame, at: datetime, models, spec: FeatureSpec, weights) -> DataFrame:
+    """One forecast step; returns the state with the new density appended to its history.
+
+    Each road sends its state to itself and its latest density to the roads it is a neighbour of, so one
+    exchange brings together what a road needs and the state is read once.
+    """
+    own = F.struct(F.col("road_id").alias("to"), F.lit(0).alias("hop"))
+    sent = state.select(
+        F.explode(F.concat(F.array(own), "near")).alias("_to"),
+        values.scaled_density(F.element_at("avg_density_last", -1)).alias("_density"),
+        F.struct(*state.columns).alias("_state"),
+    ).select("_to.*", "_density", F.when(F.col("_to.hop") == 0, F.col("_state")).alias("_state"))
+    hops = {}
+    for hop in (1, 2):
+        seen = F.when(F.col("hop") == hop, F.col("_density"))
+        hops[f"neighbor_density_hop{hop}"] = values.scaled_density(F.try_divide(F.sum(seen), F.count(seen)))
+    met = sent.groupBy("to").agg(F.first("_state", ignorenulls=True).alias("_state"), *[c.alias(n) for n, c in hops.items()])
     lags = {
         f"{c}_lag_{k}": F.element_at(f"{c}_last", -k) for c in ("avg_density", "avg_speed") for k in range(1, LAGS + 1)
     }
-    hops = {h: values.scaled_density(F.col(h)) for h in ("neighbor_density_hop1", "neighbor_density_hop2")}
     calendar = {
         "hour": at.hour, "minute": at.minute, "day_of_week": at.weekday(), "is_weekend": int(at.weekday() >= 5),
     }
-    rows = rows.withColumns({**lags, **hops, **{c: F.lit(float(v)) for c, v in calendar.items()}})
+    # Densities sent to roads without a history meet no state.
+    rows = met.filter("_state IS NOT NULL").select("_state", "_state.*", *hops)
+    rows = rows.withColumns({**lags, **{c: F.lit(float(v)) for c, v in calendar.items()}})
     rows = graph_features(rows, spec)
-    inputs = [values.model_input(F.col(c).cast("double")).alias(c) for c in spec.features if c != "road_id"]
-    history = F.struct("road_id", "road_name", "avg_density_last", "avg_speed_last", *_kept(spec)).alias("_state")
-    scored = predict(rows.select(history, F.col("road_id").cast("double").alias("road_id"), *inputs), models, weights)
-    fresh = values.scaled_density(F.col("pred_scaled"))
-    return scored.select("_state.*", fresh.alias("pred_scaled")).withColumns({
+    inputs = {c: values.model_input(F.col(c).cast("double")) for c in spec.features if c != "road_id"}
+    rows = rows.select("_state", F.col("road_id").cast("double").alias("road_id"), *[c.alias(n) for n, c in inputs.items()])
+    scored = predict(rows, models, weights).select("_state.*", values.scaled_density(F.col("pred_scaled")).alias("pred_scaled"))
+    return scored.withColumns({
         "avg_density_last": F.concat(F.slice("avg_density_last", 2, LAGS - 1), F.array("pred_scaled")),
         # The speed is not forecast: its last known value moves through the lags.
         "avg_speed_last": F.concat(F.slice("avg_speed_last", 2, LAGS - 1), F.array("avg_speed")),
-    })
+    }).drop("pred_scaled")
 
 
 def _kept(spec: FeatureSpec) -> list[str]:
@@ -106,17 +117,22 @@ def forecast(
 ) -> DataFrame:
     """Density of every road at ``target``, from its history up to ``anchor``.
 
-    The driver loops over steps; each step is a plan over one row per road. Errors of one step
-    feed the next, so one step (``step_minutes`` = horizon) is the steadier choice.
+    One query: each step adds an exchange of one row per road and neighbour to the plan, and only
+    long horizons cut it. Errors of one step feed the next, so one step (``step_minutes`` = horizon) is the
+    steadier choice.
     """
     horizon, steps = check_target(anchor, target, step_minutes)
     base = up_to_anchor(base_rows(silver, roads, scaler, spec), F.lit(anchor.isoformat()).cast("timestamp"))
-    state = pin(anchor_state(base, spec))
+    near = edges.groupBy(F.col("dst").alias("road_id")).agg(
+        F.collect_list(F.struct(F.col("src").alias("to"), "hop")).alias("near"))
+    none = F.array().cast("array<struct<to: int, hop: int>>")
+    state = anchor_state(base, spec).join(near, "road_id", "left").withColumn("near", F.coalesce("near", none))
     for step in range(1, steps + 1):
         at = target if step == steps else anchor + timedelta(minutes=step * step_minutes)
-        state = _step(state.drop("pred_scaled"), edges, at, models, spec, weights)
+        state = _step(state, at, models, spec, weights)
         if step % STEPS_PER_PIN == 0 and step < steps:
             state = pin(state)
+    state = state.withColumn("pred_scaled", F.element_at("avg_density_last", -1))
     return state.select(
         "road_name",
         F.lit(anchor.isoformat(timespec="minutes")).alias("anchor_datetime"),

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import times, values
 from kerbside.operators.aggregates import affected, hourly_flow_stats
-from kerbside.operators.joins import touched, untouched, with_hour_stats
-from kerbside.operators.filters import on_dates_of
+from kerbside.operators.filters import on_dates_of, on_partitions_of
+from kerbside.operators.joins import touched, with_hour_stats
 from kerbside.operators.sets import merge_latest
 from kerbside.operators.windows import hourly_extremes
 from kerbside.schemas import GOLD_COLUMNS, GOLD_KEYS, HOUR_KEYS
+from kerbside.session import pin
 
 
 def to_contract(rows: DataFrame) -> DataFrame:
@@ -50,14 +51,12 @@ def refresh_gold(changed: DataFrame, silver: DataFrame) -> DataFrame:
     return build_gold(touched(on_dates_of(silver, hours), hours, HOUR_KEYS))
 
 
-def refresh_gold_from_published(new_rows: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """The same refresh built from the published table: fresh rows, plus published rows of the
-    touched hours with their stale extremes replaced. ``gold`` carries ``hour``."""
-    hours = affected(new_rows, HOUR_KEYS)
-    stats = hourly_flow_stats(touched(on_dates_of(silver, hours), hours, HOUR_KEYS), HOUR_KEYS)
-    fresh = to_contract(with_hour_stats(new_rows, stats, HOUR_KEYS))
+def refresh_gold_from_published(new_rows: DataFrame, gold: DataFrame) -> DataFrame:
+    """The same refresh built from the published table: new silver rows replace published rows of their key, and
+    the extremes of the touched hours come from the merged rows in one pass. ``gold`` carries ``hour``."""
+    fresh = pin(with_hour(to_contract(new_rows.withColumns({c: F.lit(None).cast("double") for c in ("peakFlow", "minFlow")}))))
     gold_hours = ["roadName", "date", "hour"]
-    renamed = stats.withColumnRenamed("road_name", "roadName")
-    published = touched(on_dates_of(gold, hours), hours.withColumnRenamed("road_name", "roadName"), gold_hours)
-    kept = untouched(published, fresh, GOLD_KEYS)
-    return merge_latest(fresh, with_hour_stats(kept, renamed, gold_hours).select(*GOLD_COLUMNS), GOLD_KEYS)
+    hours = affected(fresh, gold_hours)
+    published = touched(on_partitions_of(gold, hours, ["date", "hour"]), hours, gold_hours)
+    merged = merge_latest(fresh, published, GOLD_KEYS)
+    return hourly_extremes(merged, gold_hours, "actualFlow").select(*GOLD_COLUMNS)

@@ -21,12 +21,12 @@ def with_feature_keys(features: DataFrame) -> DataFrame:
 
 def density_map(features: DataFrame, records: DataFrame, selected: int | None) -> DataFrame:
     """Each feature with its density at the selected minute, the day's range and its class."""
+    keyed = with_feature_keys(features).select("way_id", "name", "highway", "keys")
     found = by_first_matching_key(
-        with_feature_keys(features), "way_id", "keys", density_figures_by_key(records, selected),
+        keyed, "way_id", "keys", density_figures_by_key(records, selected),
         {"rows": ["density", "rows"], "min": ["min", "max"]},
     )
-    joined = features.join(found, "way_id", "left")
-    return joined.select(
+    return found.select(
         "way_id", "name", "highway", "density",
         F.coalesce("rows", F.lit(0)).alias("rows"),
         F.col("min").alias("day_min_density"),

@@ -1,16 +1,15 @@
-"""Model fitting and batch scoring with Spark ML."""
+"""Model fitting with Spark ML, and batch scoring by compiled models."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import values
+from kerbside.plans.ensembles import Ensemble, Linear, as_column
 from kerbside.plans.features import FeatureSpec, unscaled
 
 # --- fixed values ---
@@ -41,36 +40,19 @@ def blend(primary: Column, secondary: Column, weights: tuple[float, float] = (PR
     return primary * weights[0] + secondary * weights[1]
 
 
-def predict(
-    features: DataFrame,
-    models: tuple[PipelineModel, PipelineModel],
-    weights: tuple[float, float] = (PRIMARY_WEIGHT, SECONDARY_WEIGHT),
-) -> DataFrame:
-    """``pred_scaled`` added to every row."""
-    columns = features.columns
-    out = features
-    for model in models:
-        out = model.transform(out)
-    return out.select(*columns, blend(F.col("_primary"), F.col("_secondary"), weights).alias("pred_scaled"))
+Model = PipelineModel | Ensemble | Linear
 
 
-def external_model(load, feature_columns: Sequence[str], name: str):
-    """Scorer for a model Spark cannot hold: ``load()`` runs once per task and returns a
-    function from a pandas frame of features to an array. Use with ``DataFrame.mapInPandas``
-    on a frame whose schema ends in the double column ``name``."""
-
-    def score_batches(batches: Iterator) -> Iterator:
-        model = load()
-        for batch in batches:
-            batch[name] = model(batch[list(feature_columns)])
-            yield batch
-
-    return score_batches
+def predict(
+    features: DataFrame, models: tuple[Model, Model], weights: tuple[float, float] = (PRIMARY_WEIGHT, SECONDARY_WEIGHT)
+) -> DataFrame:
+    """``pred_scaled`` added to every row, by expressions in the plan of the features."""
+    return features.withColumn("pred_scaled", blend(*(as_column(m) for m in models), weights))
 
 
 def score(
     features: DataFrame,
-    models: tuple[PipelineModel, PipelineModel],
+    models: tuple[Model, Model],
     scaler: DataFrame,
     spec: FeatureSpec,
     weights: tuple[float, float] = (PRIMARY_WEIGHT, SECONDARY_WEIGHT),

@@ -9,7 +9,7 @@ from kerbside.functions import times
 from kerbside.operators.aggregates import lanes_to_roads
 from kerbside.operators.filters import named_roads
 from kerbside.operators.joins import with_weather, with_weather_as_of
-from kerbside.schemas import SILVER_COLUMNS, WEATHER_VALUES
+from kerbside.schemas import SILVER_COLUMNS
 
 
 def lane_rollup(bronze: DataFrame) -> DataFrame:
@@ -39,7 +39,3 @@ def build_silver(bronze: DataFrame, weather: DataFrame, grain: str = "interval")
 def published(silver: DataFrame) -> DataFrame:
     """The silver contract's columns only."""
     return silver.select(*SILVER_COLUMNS)
-
-
-def weather_columns(silver: DataFrame) -> DataFrame:
-    return silver.select("road_name", "recordDatetime", *WEATHER_VALUES, "date")

@@ -63,6 +63,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as Parquet in the shared folder, read from there: for small frames whose size Spark should know."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and read on from there.
 

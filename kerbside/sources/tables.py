@@ -1,31 +1,31 @@
 """Layer tables: date-partitioned Parquet with append, create, replace and upsert.
 
-A write files its rows under a new version of each partition it touches, once, and then makes
-them current by appending one small file to the table's list of versions. Readers take the
-versions that the list names. So a stopped write changes nothing, its retry finds the table as
-it was, and a reader keeps the files it began with: the version before the current one is kept.
-One writer per table at a time. Numbered batches (``append_batch``) have no versions: they
-only replace themselves.
+Writes are Spark's own: appends, static overwrites of one date's folder and dynamic overwrites of the partitions that
+hold rows. A write that replaces rows is staged in the shared folder first, so it never reads what it overwrites and a
+failure up to then changes nothing. The overwrite itself is not atomic: until it ends, readers may miss rows of the
+partitions it replaces, and one stopped half-way is repeated by its caller. Silver and gold are rebuilt
+from bronze, which only grows, so a repeated trigger or backfill ends in the full table. One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.filters import on_partitions_of
 from kerbside.operators.windows import keep_first
+from kerbside.session import pin, written
 
-VERSION, REPLACES = "_version", "_replaces"
-# Lists of this many files are folded into one; files younger than an hour stay for readers.
-FOLD_FILES, FOLD_AGE_MS = 64, 3_600_000
+# --- fixed values: the folder that Spark's writers give a null partition value ---
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# --- end of fixed values ---
 
 
 @dataclass(frozen=True)
@@ -46,65 +46,38 @@ class Layer:
         """Folder of changed keys, appended after each write, that the next layer streams."""
         return f"{self.path}.changes"
 
-    @property
-    def versions(self) -> str:
-        """Folder that lists the versions of each partition, in the order they came to be."""
-        return f"{self.path}.versions"
-
-
-def _folder(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def _is_there(spark: SparkSession, path: str) -> bool:
-    files, folder = _folder(spark, path)
-    return files.exists(folder)
-
 
 def exists(spark: SparkSession, layer: Layer) -> bool:
-    """Whether the table was ever written to; a look at its folders, not at its files."""
-    return _is_there(spark, layer.versions) or _is_there(spark, layer.path)
-
-
-def _listed(spark: SparkSession, layer: Layer) -> DataFrame:
-    return spark.read.parquet(layer.versions)
-
-
-def live_versions(spark: SparkSession, layer: Layer) -> DataFrame:
-    """The current versions of each partition: the last that replaced it, and those added since."""
-    listed = _listed(spark, layer).distinct()
-    last = F.max(F.when(F.col(REPLACES), F.col(VERSION)))
-    parts = list(layer.partition_by)
-    newest = listed.groupBy(*parts).agg(F.coalesce(last, F.lit(0)).alias("_last"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in parts]
-    joined = listed.alias("a").join(newest.alias("b"), reduce(and_, same)).where(F.col(VERSION) >= F.col("_last"))
-    return joined.select(*[f"a.{c}" for c in parts], VERSION, REPLACES)
+    """Whether the table was ever written to."""
+    try:
+        spark.read.schema("date date").parquet(layer.path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_layer(spark: SparkSession, layer: Layer, columns: Sequence[str] | None = None) -> DataFrame:
     """The table, or the named columns of it. Without a fixed schema, columns of differing
     files are merged by name."""
-    versioned = _is_there(spark, layer.versions)
-    if layer.schema is None:
-        reader = spark.read.option("mergeSchema", "true")
-    else:
-        stored = [*layer.schema.fields, *([T.StructField(VERSION, T.LongType())] if versioned else [])]
-        reader = spark.read.schema(T.StructType(stored))
+    reader = spark.read.option("mergeSchema", "true") if layer.schema is None else spark.read.schema(layer.schema)
     df = reader.parquet(layer.path)
-    if versioned:
-        live = live_versions(spark, layer).select(*[F.col(c).alias(f"_of_{c}") for c in layer.partition_by],
-                                                  F.col(VERSION).alias("_live"))
-        # Versions belong to one partition each, mostly; the partition is compared as well.
-        same = [df[c].eqNullSafe(live[f"_of_{c}"]) for c in layer.partition_by]
-        df = df.join(live, reduce(and_, same, df[VERSION] == live["_live"]), "left_semi").drop(VERSION)
     return df.select(*columns) if columns else df
 
 
-def read_layer_stream(spark: SparkSession, layer: Layer, schema: T.StructType, max_files: int = 200) -> DataFrame:
-    """Keys changed in a layer, as a stream. Data files may be rewritten; this folder only grows."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(layer.changes)
+def read_layer_stream(
+    spark: SparkSession, layer: Layer, schema: T.StructType, max_files: int = 200, archive: str | None = None
+) -> DataFrame:
+    """Keys changed in a layer, as a stream.
+
+    With ``archive``, files that a trigger has done with move there, so that the next trigger's
+    listing stays short. Only one reader of a layer's changes may archive them.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files))
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.parquet(layer.changes)
 
 
 def publish_changes(keys: DataFrame, layer: Layer) -> None:
@@ -138,121 +111,55 @@ def _by_partition(df: DataFrame, layer: Layer) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in layer.partition_by])
 
 
-def _next_version(spark: SparkSession, layer: Layer) -> int:
-    """A number above all before it, which no stopped write has used."""
-    newest = _listed(spark, layer).agg(F.max(VERSION)).first()[0] if _is_there(spark, layer.versions) else None
-    return max(time.time_ns(), (newest or 0) + 1)
-
-
-def _publish(parts: DataFrame, layer: Layer, version: int, replaces: bool) -> None:
-    """Make a version current in the given partitions: one small file."""
-    entry = parts.select(*layer.partition_by, F.lit(version).cast("bigint").alias(VERSION), F.lit(replaces).alias(REPLACES))
-    entry.distinct().coalesce(1).write.mode("append").parquet(layer.versions)
+def _overwrite_partitions(rows: DataFrame, layer: Layer) -> None:
+    """Replace the partitions that hold rows; all others stay."""
+    writer = _by_partition(rows, layer).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*layer.partition_by).parquet(layer.path)
 
 
-def _write_version(df: DataFrame, layer: Layer, replaces: bool, touched: DataFrame | None = None) -> None:
-    """File rows once, under a new version, and make it current.
+def _folder(layer: Layer, values: Sequence) -> str:
+    parts = [f"{c}={NULL_PARTITION if v is None else v}" for c, v in zip(layer.partition_by, values)]
+    return "/".join([layer.path, *parts])
 
-    ``touched`` lists the partitions that the version replaces, also those it leaves empty.
-    """
-    spark = df.sparkSession
-    version = _next_version(spark, layer)
-    stamped = _by_partition(df, layer).withColumn(VERSION, F.lit(version).cast("bigint"))
-    stamped.write.mode("append").partitionBy(*layer.partition_by, VERSION).parquet(layer.path)
-    if touched is None:
-        # The folders just written name the partitions; no data file is opened.
-        touched = _folders(spark, layer).where(F.col(VERSION) == version)
-    _publish(touched, layer, version, replaces)
-    _fold(spark, layer)
-
-
-def _folders(spark: SparkSession, layer: Layer) -> DataFrame:
-    """Path and partition values of the table's files, from their names."""
-    kinds = _listed_types(spark, layer)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    files = found.load(layer.path).select("path")
-    names = [*layer.partition_by, VERSION]
-    for name in names:
-        text = F.url_decode(F.regexp_extract("path", f"/{name}=([^/]*)/", 1))
-        value = F.when(text != "__HIVE_DEFAULT_PARTITION__", text)
-        files = files.withColumn(name, value.cast(kinds.get(name, "bigint" if name == VERSION else "string")))
-    return files
-
-
-def _listed_types(spark: SparkSession, layer: Layer) -> dict[str, str]:
-    if layer.schema is not None:
-        return dict((f.name, f.dataType.simpleString()) for f in layer.schema.fields)
-    if _is_there(spark, layer.versions):
-        return dict(_listed(spark, layer).dtypes)
-    return {"date": "date", "hour": "int"}
-
-
-def _fold(spark: SparkSession, layer: Layer) -> None:
-    """List the current versions anew once the list has many files, and drop its old ones."""
-    files, folder = _folder(spark, layer.versions)
-    listed = [f for f in files.listStatus(folder) if f.getPath().getName().endswith(".parquet")]
-    if len(listed) < FOLD_FILES:
-        return
-    live_versions(spark, layer).coalesce(1).write.mode("append").parquet(layer.versions)
-    for old in listed:
-        if old.getModificationTime() < time.time() * 1000 - FOLD_AGE_MS:
-            files.delete(old.getPath(), False)
 
-
-def remove_stale(spark: SparkSession, layer: Layer, older_than_hours: float = 24) -> int:
-    """Delete files of versions that are not current and were written long ago; returns their number.
-
-    These are replaced versions and what stopped writes left. Readers that began since are safe.
-    """
-    limit = (time.time() - older_than_hours * 3600) * 1e9
-    live = live_versions(spark, layer).select(VERSION).distinct()
-    stale = _folders(spark, layer).where(F.col(VERSION) < F.lit(int(limit))).join(live, VERSION, "left_anti")
-    files, _ = _folder(spark, layer.path)
-    count = 0
-    for row in stale.select("path").toLocalIterator():
-        count += files.delete(spark._jvm.org.apache.hadoop.fs.Path(row.path), False)
-    return count
+def _empty_partitions(rows: DataFrame, layer: Layer, parts: DataFrame) -> None:
+    """Leave each of ``parts`` without rows. A dynamic overwrite does not reach them; they are
+    few, as a rebuilt group rarely was all of its partition."""
+    blank = rows.drop(*layer.partition_by).limit(0)
+    for part in parts.toLocalIterator():
+        blank.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_folder(layer, part))
 
 
 def append(df: DataFrame, layer: Layer) -> None:
-    _write_version(df, layer, replaces=False)
+    _by_partition(df, layer).write.mode("append").partitionBy(*layer.partition_by).parquet(layer.path)
 
 
 def append_batch(rows: DataFrame, batch_id: int, layer: Layer) -> None:
     """Append a numbered batch under its own ``_batch`` partition: running it again replaces
     what it wrote before and nothing else."""
-    stamped = _by_partition(rows.withColumn("_batch", F.lit(batch_id).cast("bigint")), layer)
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*layer.partition_by).parquet(layer.path)
+    _overwrite_partitions(rows.withColumn("_batch", F.lit(batch_id).cast("bigint")), layer)
 
 
 def create(df: DataFrame, layer: Layer) -> None:
     """First write of a table; an error when it exists."""
-    if exists(df.sparkSession, layer):
-        raise AnalysisException(message=f"the table {layer.path} exists")
-    _write_version(df, layer, replaces=True)
+    _by_partition(df, layer).write.mode("errorifexists").partitionBy(*layer.partition_by).parquet(layer.path)
 
 
 def replace_date(df: DataFrame, layer: Layer, day: str) -> None:
     """Replace one date's rows by ``df``; all other dates stay.
 
     A row of another date fails the write before the table changes, and no rows at all is an
-    error. All of the date's partitions become current together, those left empty included.
+    error. The date's folder is overwritten as a whole, so its finer partitions without new rows go too.
     """
-    spark = df.sparkSession
     outside = F.raise_error(F.lit(f"row outside {day}")).cast("boolean")
     inside = F.coalesce(F.col("date") == F.lit(day).cast("date"), F.lit(False))
-    version = _next_version(spark, layer)
-    checked = _by_partition(df.filter(F.when(inside, F.lit(True)).otherwise(outside)), layer)
-    checked.withColumn(VERSION, F.lit(version).cast("bigint")).write.mode("append").partitionBy(
-        *layer.partition_by, VERSION).parquet(layer.path)
-    written = _folders(spark, layer).where(F.col(VERSION) == version).select(*layer.partition_by)
-    if written.isEmpty():
+    staged = pin(df.filter(F.when(inside, F.lit(True)).otherwise(outside)))
+    if staged.isEmpty():
         raise ValueError(f"no rows to replace {day} with")
-    if _is_there(spark, layer.versions):
-        before = _listed(spark, layer).where(F.col("date") == F.lit(day).cast("date")).select(*layer.partition_by)
-        written = written.unionByName(before)
-    _publish(written, layer, version, replaces=True)
-    _fold(spark, layer)
+    finer = list(layer.partition_by[1:])
+    rows = _by_partition(staged, layer).drop("date")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*finer) if finer else writer).parquet(_folder(layer, [day]))
 
 
 def upsert(
@@ -263,7 +170,7 @@ def upsert(
 ) -> None:
     """Update rows whose key exists, insert the others.
 
-    Only partitions that receive rows are rewritten. The source must be unique on the key:
+    Only partitions that receive rows are read and rewritten. The source must be unique on the key:
     with ``order`` the first row per key wins, without it a repeated key is an error. A null
     key equals nothing, so such rows are all inserted. New columns are added; rows from before
     hold nulls there. A key keeps its partition: ``partition_by`` must derive from the key.
@@ -279,24 +186,28 @@ def upsert(
         source = df
     else:
         source = keep_first(df, layer.keys, order, whole_keys=True)
+    if not exists(spark, layer):
+        append(source, layer)
+        return
     touched = source.select(*parts)
     if groups is not None:
         touched = touched.unionByName(groups.select(*parts))
-    touched = touched.distinct().cache()
-    try:
-        if touched.isEmpty():
-            return
-        if not exists(spark, layer):
-            _write_version(source, layer, True, touched)
-            return
-        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"p.{c}")) for c in parts]
-        kept = read_layer(spark, layer).alias("c").join(touched.alias("p"), reduce(and_, same), "left_semi")
-        kept = kept.join(source.select(*layer.keys), list(layer.keys), "left_anti")
-        if groups is not None:
-            kept = kept.join(groups, groups.columns, "left_anti")
-        _write_version(kept.unionByName(source, allowMissingColumns=True), layer, True, touched)
-    finally:
-        touched.unpersist()
+    touched = written(touched.distinct(), "touched")
+    stored = read_layer(spark, layer)
+    kept = on_partitions_of(stored, touched, parts)
+    broken = touched.filter(reduce(or_, [F.col(c).isNull() for c in parts]))
+    if not broken.isEmpty():
+        same = reduce(and_, [stored[c].eqNullSafe(broken[c]) for c in parts])
+        kept = kept.unionByName(stored.join(broken, same, "left_semi"))
+    kept = kept.join(source.select(*layer.keys), list(layer.keys), "left_anti")
+    if groups is not None:
+        kept = kept.join(groups, groups.columns, "left_anti")
+    staged = pin(kept.unionByName(source, allowMissingColumns=True))
+    _overwrite_partitions(staged, layer)
+    if groups is not None:
+        filled = staged.select(*parts).distinct()
+        same = reduce(and_, [F.col(f"t.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts])
+        _empty_partitions(staged, layer, touched.alias("t").join(filled.alias("f"), same, "left_anti"))
 
 
 def _assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -306,16 +217,14 @@ def _assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"the source repeats a key of {list(keys)}")
 
 
-def layer_dates(spark: SparkSession, layer: Layer) -> DataFrame:
-    """Dates of a layer, in order, from its list of versions: no data file is opened. A date whose
-    rows have all been replaced by none is still listed."""
-    return live_versions(spark, layer).select("date").distinct().orderBy("date")
+def _files(spark: SparkSession, layer: Layer) -> DataFrame:
+    """The table's files with their partition values, from the folder's listing: no file is opened."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(layer.path).drop("content")
 
 
-def newest_date(spark: SparkSession, layer: Layer) -> DataFrame:
-    """Rows of a layer's newest listed date."""
-    newest = layer_dates(spark, layer).agg(F.max("date").alias("newest")).scalar()
-    return read_layer(spark, layer).filter(F.col("date") == newest)
+def layer_dates(spark: SparkSession, layer: Layer) -> DataFrame:
+    """Dates of a layer that hold files, in order."""
+    return _files(spark, layer).select("date").distinct().orderBy("date")
 
 
 def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
@@ -324,13 +233,29 @@ def with_file(df: DataFrame, name: str = "_file") -> DataFrame:
 
 
 def files_per_date(spark: SparkSession, layer: Layer) -> DataFrame:
-    """Current files of each date, by date and path, from the folder's listing."""
-    live = live_versions(spark, layer).select(VERSION, *layer.partition_by)
-    return _folders(spark, layer).join(live, [VERSION, *layer.partition_by], "left_semi").select("date", "path").orderBy("date", "path")
+    """Files of each date, by date and path."""
+    return _files(spark, layer).select("date", "path").orderBy("date", "path")
 
 
 def compact(spark: SparkSession, layer: Layer, days: Sequence[str]) -> None:
     """Rewrite the named dates into few files each."""
-    chosen = read_layer(spark, layer).filter(F.col("date").isin([*days]))
-    touched = _listed(spark, layer).where(F.col("date").isin([*days])).select(*layer.partition_by)
-    _write_version(chosen, layer, True, touched)
+    _overwrite_partitions(pin(read_layer(spark, layer).filter(F.col("date").isin([*days]))), layer)
+
+
+def latest_envelope(spark: SparkSession, layer: Layer) -> DataFrame:
+    """One row about a layer's newest date: ``target_date``, its files, columns and rows.
+
+    The date and the files come from the folder's listing, so a date whose files hold no rows counts. A layer
+    without files gives a null date, no columns and zeros.
+    """
+    if not exists(spark, layer):
+        return spark.createDataFrame([(None, 0, [], 0)], "target_date date, object_count long, columns array<string>, row_count long")
+    files = _files(spark, layer)
+    newest = files.agg(F.max("date").alias("newest")).scalar()
+    rows = read_layer(spark, layer).filter(F.col("date") == newest)
+    names = F.array(*[F.lit(c) for c in rows.columns]).cast("array<string>")
+    listed = files.groupBy().agg(F.max("date").alias("target_date"), F.count_if(F.col("date") == newest).alias("object_count"))
+    counted = rows.agg(F.count(F.lit(1)).alias("row_count")).scalar()
+    return listed.select(
+        "target_date", "object_count", F.when(F.col("target_date").isNotNull(), names).otherwise(F.array().cast("array<string>")).alias("columns"),
+        F.coalesce(counted, F.lit(0)).alias("row_count"))

@@ -1,29 +1,27 @@
 """What to do with rows that arrive late, and the strict event-time forms.
 
 Default: a late row is accepted and its hour recomputed. ``LatePolicy`` is the strict choice:
-a row older than the greatest event time of earlier batches, less the delay, goes to a side
-table and leaves the layers as they are.
+a row older than the stream's watermark, the greatest event time of earlier batches less the delay, goes to a side
+table and leaves the layers as they are. The watermark is Spark's own: it is kept with each batch in the
+stream's checkpoint, so a batch that is retried splits its rows as before.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from kerbside.functions import times
 from kerbside.sources.tables import Layer
 
-# --- fixed values ---
+# --- fixed values: the delay, and where a checkpoint keeps a batch's watermark ---
 WATERMARK_DELAY = "5 minutes"
+WATERMARK_FIELD = "$.batchWatermarkMs"
 # --- end of fixed values ---
 
-PROGRESS = T.StructType([
-    T.StructField("reached", T.TimestampType()),
-    T.StructField("batch", T.LongType()),
-    T.StructField("slot", T.IntegerType()),
-])
+EVENT_TIME = "_event_ts"
 
 
 @dataclass(frozen=True)
@@ -35,35 +33,31 @@ def late_path(layer: Layer) -> str:
     return f"{layer.path}.late"
 
 
-def split_late(rows: DataFrame, batch_id: int, layer: Layer, policy: LatePolicy) -> DataFrame:
-    """Move a batch's late rows to the side table; returns the others.
-
-    Progress is the greatest event time up to a batch. Two slots take turns, so a batch never
-    overwrites what its predecessor left, and its retry finds the same state again.
-    """
-    spark = rows.sparkSession
-    path = f"{layer.path}.progress"
-
-    def replace_parts(df: DataFrame, target: str, by: list[str]) -> None:
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*by).parquet(target)
-
-    if batch_id == 0:
-        before = None
-    else:
-        earlier = spark.read.schema(PROGRESS).parquet(path).filter(F.col("batch") < batch_id)
-        before = earlier.agg(F.max("reached")).first()[0]
-    known = F.lit(before).cast("timestamp")
-    now = rows.agg(F.greatest(F.max("rec_ts"), known).alias("reached"))
-    line = now.withColumns({"batch": F.lit(batch_id).cast("bigint"), "slot": F.lit(batch_id % 2)})
-    replace_parts(line, path, ["slot"])
-    if before is None:
-        return rows
-    limit = known - F.expr(f"INTERVAL {policy.delay_minutes} MINUTES")
-    is_late = F.coalesce(F.col("rec_ts") < limit, F.lit(False))
-    stamped = rows.filter(is_late).withColumn("_batch", F.lit(batch_id).cast("bigint"))
-    replace_parts(stamped, late_path(layer), ["date", "_batch"])
-    return rows.filter(~is_late)
+def event_time(rows: DataFrame) -> Column:
+    """When a bronze row's interval or reading is of, traffic or weather."""
+    return F.col("rec_ts") if "rec_ts" in rows.columns else times.parse_minute_text(F.col("datetime"))
+
+
+def with_watermark(rows: DataFrame, policy: LatePolicy) -> DataFrame:
+    """A bronze stream whose checkpoint follows its event time; no row is dropped."""
+    return rows.withColumn(EVENT_TIME, event_time(rows)).withWatermark(EVENT_TIME, f"{policy.delay_minutes} minutes")
+
+
+def watermark_of(spark: SparkSession, checkpoint: str, batch_id: int) -> Column:
+    """The watermark under which a batch was planned; the epoch before there is one."""
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}")
+    found = F.get_json_object("value", WATERMARK_FIELD).try_cast("bigint")
+    at = lines.agg(F.max(found)).first()[0]
+    return F.timestamp_millis(F.lit(at or 0).cast("bigint"))
+
+
+def split_late(rows: DataFrame, batch_id: int, layer: Layer, watermark: Column) -> DataFrame:
+    """Move a batch's late rows to the side table; returns the others. Rows without a time are not late."""
+    is_late = F.coalesce(F.col(EVENT_TIME) < watermark, F.lit(False))
+    late = rows.filter(is_late).drop(EVENT_TIME).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+    writer = late.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date", "_batch").parquet(late_path(layer))
+    return rows.filter(~is_late).drop(EVENT_TIME)
 
 
 def with_event_time(rows: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:

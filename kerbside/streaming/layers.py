@@ -11,27 +11,27 @@ repeats work, since every write is by partition or by key.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from kerbside.functions import times
-from kerbside.operators.filters import on_parts
+from kerbside.operators.filters import on_partitions_of
 from kerbside.operators.joins import touched
 from kerbside.plans.backfill import Lake
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, to_bronze_weather, with_bronze_hour
 from kerbside.plans.gold import build_gold, with_hour
 from kerbside.plans.silver import build_silver
 from kerbside.schemas import BRONZE_TRAFFIC_KEYS, HOUR_KEYS, LANDING_TRAFFIC, LANDING_WEATHER
-from kerbside.session import pin
+from kerbside.session import pin, written
 from kerbside.sources.landing import MAX_FILES_PER_TRIGGER, read_landing_stream
 from kerbside.sources.tables import Layer, append_batch, exists, publish_changes, read_layer, read_layer_stream, upsert
-from kerbside.streaming.late import LatePolicy, split_late
+from kerbside.streaming.late import LatePolicy, split_late, watermark_of, with_watermark
 
 # --- fixed values ---
 BRONZE_TRIGGER = {"processingTime": "60 seconds"}
@@ -88,7 +88,7 @@ def _hours_superseded(spark: SparkSession, layer: Layer, rows: DataFrame, batch_
     """Hours of stored readings that the batch's rows replace: a reading may have moved to another road."""
     named = rows.filter(F.col("id").isNotNull() & F.col("rec_ts").isNotNull())
     # A reading keeps its time, so its earlier copies lie in the same hours.
-    stored = on_parts(read_layer(spark, layer), _touched_parts(named)).filter(F.col("_batch") != batch_id)
+    stored = on_partitions_of(read_layer(spark, layer), named, ["date", "hour"]).filter(F.col("_batch") != batch_id)
     return _hours_of_traffic(stored.join(named.select(*BRONZE_TRAFFIC_KEYS), BRONZE_TRAFFIC_KEYS, "left_semi"))
 
 
@@ -109,20 +109,24 @@ def _bronze(name: str, schema: T.StructType, to_rows: Callable, hours: Callable)
         def write(batch: DataFrame, batch_id: int) -> None:
             if batch.isEmpty():
                 return
-            rows = to_rows(batch, streams.clock)
-            if streams.late is not None and "rec_ts" in rows.columns:
-                rows = split_late(rows, batch_id, layer, streams.late)
+            rows = batch
+            if streams.late is not None:
+                rows = split_late(rows, batch_id, layer, watermark_of(spark, checkpoint, batch_id))
             timed = "rec_ts" in rows.columns
             append_batch(with_bronze_hour(rows) if timed else rows, batch_id, layer)
+            if not exists(spark, layer):  # all rows were late
+                return
             # From here on the batch is read back as stored, not parsed again.
-            written = read_layer(spark, layer).filter(F.col("_batch") == batch_id)
-            changed = hours(written, streams)
+            written_ = read_layer(spark, layer).filter(F.col("_batch") == batch_id)
+            changed = hours(written_, streams)
             if timed:
-                changed = changed.unionByName(_hours_superseded(spark, layer, written, batch_id))
+                changed = changed.unionByName(_hours_superseded(spark, layer, written_, batch_id))
             publish_changes(changed, layer)
 
-        landing = read_landing_stream(spark, source, schema, streams.max_files)
-        return landing.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        rows = to_rows(read_landing_stream(spark, source, schema, streams.max_files), streams.clock)
+        if streams.late is not None:
+            rows = with_watermark(rows, streams.late)
+        return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
     return start
 
@@ -135,23 +139,20 @@ start_bronze_weather = _bronze(
 )
 
 
-def _touched_parts(hours: DataFrame) -> dict[str, list]:
-    """Days and hours a batch touches: calendar values, few whatever the number of rows."""
-    parts = hours.select("date", "hour").distinct().collect()
-    return {"date": sorted({p["date"] for p in parts}), "hour": sorted({p["hour"] for p in parts})}
+def _changes(spark: SparkSession, streams: Streams, layer: Layer) -> DataFrame:
+    """A layer's changed hours; what a trigger has done with is archived, so listings stay short."""
+    return read_layer_stream(spark, layer, CHANGED_HOURS, streams.max_files, f"{streams.checkpoints}/done{layer.path.replace(':', '')}")
 
 
 def rebuild_silver(spark: SparkSession, streams: Streams, hours: DataFrame) -> DataFrame:
     """Silver rows of the given road-hours, from all bronze rows of those hours."""
     lake = streams.lake
-    parts = _touched_parts(hours)
-    days = parts["date"]
-    in_hours = on_parts(read_layer(spark, lake.traffic), parts)
+    in_hours = on_partitions_of(read_layer(spark, lake.traffic), hours, ["date", "hour"])
     traffic = touched(newest_traffic(in_hours), hours, HOUR_KEYS)
-    # Weather of the days themselves and, for 24:00, of the next; as-of looks back before.
-    near = sorted({day + timedelta(k) for day in days if day for k in (-1, 0, 1)})
     if exists(spark, lake.weather):
-        weather = touched(on_parts(read_layer(spark, lake.weather), {"date": near}), hours.select("road_name").distinct(), ["road_name"])
+        # Weather of the days themselves and, for 24:00, of the next; as-of looks back before.
+        near = hours.select(F.explode(F.array(*[F.date_add("date", k) for k in (-1, 0, 1)])).alias("date"))
+        weather = touched(on_partitions_of(read_layer(spark, lake.weather), near, ["date"]), hours.select("road_name").distinct(), ["road_name"])
     else:
         blank = spark.createDataFrame([], LANDING_WEATHER)
         weather = to_bronze_weather(blank, streams.clock)
@@ -164,16 +165,14 @@ def start_silver(spark: SparkSession, streams: Streams, trigger: dict) -> Stream
         _prepare(spark, layer)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hours = batch.distinct()
+        hours = written(batch.distinct(), "hours")
         if hours.isEmpty() or not exists(batch.sparkSession, lake.traffic):
             return
         spark = batch.sparkSession
         upsert(pin(rebuild_silver(spark, streams, hours)), lake.silver, groups=hours)
         publish_changes(hours, lake.silver)
 
-    changes = read_layer_stream(spark, lake.traffic, CHANGED_HOURS, streams.max_files).unionByName(
-        read_layer_stream(spark, lake.weather, CHANGED_HOURS, streams.max_files)
-    )
+    changes = _changes(spark, streams, lake.traffic).unionByName(_changes(spark, streams, lake.weather))
     checkpoint = f"{streams.checkpoints}/silver"
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -183,26 +182,79 @@ def start_gold(spark: SparkSession, streams: Streams, trigger: dict) -> Streamin
     _prepare(spark, lake.silver)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        hours = batch.distinct()
-        if hours.isEmpty():
+        hours = written(batch.distinct(), "hours")
+        if hours.isEmpty() or not exists(batch.sparkSession, lake.silver):
             return
-        silver = on_parts(read_layer(batch.sparkSession, lake.silver), _touched_parts(hours))
+        silver = on_partitions_of(read_layer(batch.sparkSession, lake.silver), hours, ["date", "hour"])
         rebuilt = pin(with_hour(build_gold(touched(silver, hours, HOUR_KEYS))))
         upsert(rebuilt, lake.gold, groups=hours.withColumnRenamed("road_name", "roadName"))
 
-    changes = read_layer_stream(spark, lake.silver, CHANGED_HOURS, streams.max_files)
+    changes = _changes(spark, streams, lake.silver)
     checkpoint = f"{streams.checkpoints}/gold"
     return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def start_all(spark: SparkSession, streams: Streams) -> list[StreamingQuery]:
-    """The four streams in one session; ``spark.streams.awaitAnyTermination()`` then waits."""
-    return [
-        start_bronze_traffic(spark, streams, BRONZE_TRIGGER),
-        start_bronze_weather(spark, streams, BRONZE_TRIGGER),
-        start_silver(spark, streams, SILVER_TRIGGER),
-        start_gold(spark, streams, GOLD_TRIGGER),
-    ]
+@dataclass(frozen=True)
+class Batch:
+    """One finished trigger of a stream."""
+
+    query: str
+    number: int
+    rows: int
+    milliseconds: int
+
+
+class BatchLog(StreamingQueryListener):
+    """Rows and time of each trigger, and the streams that ended with an error. ``most`` triggers are remembered."""
+
+    def __init__(self, most: int = 10_000):
+        self.batches: deque[Batch] = deque(maxlen=most)
+        self.failed: dict[str, str] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.failed.pop(str(event.id), None)
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress
+        self.batches.append(Batch(str(seen.id), seen.batchId, seen.numInputRows, seen.batchDuration))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.failed[str(event.id)] = event.exception
+
+    def of(self, query: StreamingQuery) -> list[Batch]:
+        return [b for b in self.batches if b.query == query.id]
+
+
+STARTERS = {
+    "bronze_traffic": (start_bronze_traffic, BRONZE_TRIGGER),
+    "bronze_weather": (start_bronze_weather, BRONZE_TRIGGER),
+    "silver": (start_silver, SILVER_TRIGGER),
+    "gold": (start_gold, GOLD_TRIGGER),
+}
+
+
+def start_all(spark: SparkSession, streams: Streams, trigger: dict | None = None) -> dict[str, StreamingQuery]:
+    """The four streams in one session, each at its own pace or all at ``trigger``'s.
+
+    ``spark.streams.awaitAnyTermination()`` then waits; a stream that is stopped or fails is started again by its
+    starter in ``STARTERS`` and goes on at its checkpoint.
+    """
+    return {name: start(spark, streams, trigger or own) for name, (start, own) in STARTERS.items()}
+
+
+def carry_through(queries: Mapping[str, StreamingQuery]) -> None:
+    """Wait until everything landed so far has reached gold."""
+    for name in STARTERS:
+        queries[name].processAllAvailable()
+
+
+def stop_all(queries: Mapping[str, StreamingQuery]) -> None:
+    for query in queries.values():
+        query.stop()
 
 
 def run_available(spark: SparkSession, streams: Streams) -> None:

@@ -11,11 +11,13 @@ from kerbside.plans.backfill import Lake, backfill_day
 from kerbside.plans.bronze import newest_traffic, to_bronze_traffic, to_bronze_weather
 from kerbside.plans.silver import build_silver, published
 from kerbside.schemas import GOLD_COLUMNS, LANDING_TRAFFIC, LANDING_WEATHER, TRAFFIC_MEASURES
-from kerbside.session import scratch_path
+from kerbside.operators.filters import on_partitions_of
+from kerbside.session import scratch_path, written
 from kerbside.sources import tables
 from kerbside.sources.landing import write_landing
 from kerbside.sources.tables import Layer
 from kerbside.streaming import layers
+from kerbside.streaming.late import LatePolicy, late_path
 
 CLOCK = "2024-02-01 00:00:00"
 
@@ -223,14 +225,14 @@ def test_upsert_with_order_keeps_null_keys(spark):
     assert sorted((r["k"] or 0, r["v"]) for r in tables.read_layer(spark, layer).collect()) == [(0, "a"), (0, "b"), (1, "d")]
 
 
-def test_a_stopped_write_changes_nothing(spark, monkeypatch):
-    """Stopped after its files are written and before they are listed; the retry ends in the full table."""
+def test_a_write_stopped_before_its_overwrite_changes_nothing(spark, monkeypatch):
+    """Stopped after its rows are staged; the retry ends in the full table."""
     layer = Layer(scratch_path(spark, "s"), ["k", "date"])
     tables.create(small(spark, [(1, "a", "2024-01-01"), (2, "b", "2024-01-01")]), layer)
     before = rows(tables.read_layer(spark, layer))
     change = small(spark, [(2, "B", "2024-01-01"), (3, "c", "2024-01-02")])
     with monkeypatch.context() as stopped:
-        stopped.setattr(tables, "_publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        stopped.setattr(tables, "_by_partition", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
         with pytest.raises(RuntimeError):
             tables.upsert(change, layer)
         with pytest.raises(RuntimeError):
@@ -238,16 +240,35 @@ def test_a_stopped_write_changes_nothing(spark, monkeypatch):
     assert rows(tables.read_layer(spark, layer)) == before
     tables.upsert(change, layer)
     assert [r[:2] for r in rows(tables.read_layer(spark, layer, ["k", "v"]))] == [(1, "a"), (2, "B"), (3, "c")]
-    assert tables.remove_stale(spark, layer, older_than_hours=0) > 0
-    assert tables.read_layer(spark, layer).count() == 3
 
 
-def test_a_reader_keeps_its_version(spark):
-    layer = Layer(scratch_path(spark, "v"), ["k", "date"])
-    tables.create(small(spark, [(k, "a", "2024-01-01") for k in range(50)]), layer)
-    reading = tables.read_layer(spark, layer)
-    tables.replace_date(small(spark, [(9, "z", "2024-01-01")]), layer, "2024-01-01")
-    assert reading.count() == 50 and tables.read_layer(spark, layer).count() == 1
+def test_null_partitions_keep_their_rows(spark):
+    layer = Layer(scratch_path(spark, "z"), ["k", "date"])
+    tables.upsert(small(spark, [(1, "a", None), (2, "b", None), (3, "c", "2024-01-01")]), layer)
+    tables.upsert(small(spark, [(2, "B", None), (4, "d", "2024-01-01")]), layer)
+    got = sorted((r["k"], r["v"]) for r in tables.read_layer(spark, layer).collect())
+    # A null date equals nothing, so such rows are inserted beside what is there.
+    assert got == [(1, "a"), (2, "B"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_create_refuses_a_table_that_exists(spark):
+    layer = Layer(scratch_path(spark, "x"), ["k", "date"])
+    assert not tables.exists(spark, layer)
+    tables.create(small(spark, [(1, "a", "2024-01-01")]), layer)
+    assert tables.exists(spark, layer)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.create(small(spark, [(2, "b", "2024-01-02")]), layer)
+
+
+def test_partitions_are_pruned_by_the_changed_hours(spark):
+    """The scan takes its dates and hours from a subquery over the keys, which never visit the driver."""
+    layer = Layer(scratch_path(spark, "h"), ["k", "date"])
+    tables.create(small(spark, [(k, "a", f"2024-01-0{1 + k}") for k in range(8)]), layer)
+    hours = written(small(spark, [(0, "a", "2024-01-03")]).select("date"), "hours")
+    found = on_partitions_of(tables.read_layer(spark, layer), hours, ["date"])
+    assert [r["k"] for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
 
 
 def test_rebuilt_groups_lose_what_they_no_longer_hold(spark):
@@ -258,11 +279,76 @@ def test_rebuilt_groups_lose_what_they_no_longer_hold(spark):
     assert [r[:2] for r in rows(tables.read_layer(spark, layer, ["k", "v"]))] == [(2, "a"), (3, "b")]
 
 
-def test_version_lists_are_folded(spark, monkeypatch):
-    monkeypatch.setattr(tables, "FOLD_FILES", 3)
-    monkeypatch.setattr(tables, "FOLD_AGE_MS", -10**9)
-    layer = Layer(scratch_path(spark, "f"), ["k", "date"])
-    for k in range(5):
-        tables.upsert(small(spark, [(k, "a", f"2024-01-0{1 + k % 2}")]), layer)
-    assert tables.read_layer(spark, layer).count() == 5
-    assert len(tables._listed(spark, layer).inputFiles()) < 5
+def test_a_group_that_was_its_whole_partition(spark):
+    """Rebuilt to nothing: its partition has no rows left, and other partitions stay."""
+    layer = Layer(scratch_path(spark, "e"), ["k", "date"], ("date", "v"))
+    tables.create(small(spark, [(1, "a", "2024-01-01"), (2, "b", "2024-01-01"), (3, "a", "2024-01-02")]), layer)
+    groups = small(spark, [(0, "a", "2024-01-01")]).select("v", "date")
+    tables.upsert(small(spark, [(9, "b", "2024-01-01")]), layer, groups=groups)
+    assert sorted((r["k"], r["v"]) for r in tables.read_layer(spark, layer).collect()) == [(2, "b"), (3, "a"), (9, "b")]
+    tables.replace_date(small(spark, [(5, "c", "2024-01-01")]), layer, "2024-01-01")
+    assert sorted((r["k"], r["v"]) for r in tables.read_layer(spark, layer).collect()) == [(3, "a"), (5, "c")]
+    assert [str(r["date"]) for r in tables.layer_dates(spark, layer).collect()] == ["2024-01-01", "2024-01-02"]
+
+
+def test_four_streams_together_and_one_restarted(spark, lanes, readings):
+    """All four run at once; silver is stopped while files arrive, goes on at its checkpoint, and the tables end as in batch."""
+    streams = make_streams(spark)
+    log = layers.BatchLog()
+    spark.streams.addListener(log)
+    for folder in (streams.traffic_landing, streams.weather_landing):
+        spark.range(0).selectExpr("cast(id as string) AS value").write.text(folder)
+    queries = layers.start_all(spark, streams, {"processingTime": "0 seconds"})
+    try:
+        write_landing(part_of(spark, LANES[:3], LANDING_TRAFFIC), streams.traffic_landing, per_interval=False)
+        write_landing(part_of(spark, READINGS[:2], LANDING_WEATHER), streams.weather_landing, per_interval=False)
+        layers.carry_through(queries)
+        write_landing(part_of(spark, LANES[3:], LANDING_TRAFFIC), streams.traffic_landing, per_interval=False)
+        queries["silver"].stop()
+        assert not queries["silver"].isActive and queries["gold"].isActive
+        write_landing(part_of(spark, READINGS[2:], LANDING_WEATHER), streams.weather_landing, per_interval=False)
+        queries["bronze_traffic"].processAllAvailable()
+        again = layers.STARTERS["silver"][0](spark, streams, {"processingTime": "0 seconds"})
+        assert again.id == queries["silver"].id and again.runId != queries["silver"].runId
+        queries["silver"] = again
+        layers.carry_through(queries)
+        want = batch_silver(lanes, readings)
+        assert rows(published(tables.read_layer(spark, streams.lake.silver))) == rows(published(want))
+        assert rows(tables.read_layer(spark, streams.lake.gold, GOLD_COLUMNS)) == rows(gold_plan.build_gold(want))
+        assert not log.failed
+    finally:
+        layers.stop_all(queries)
+        spark.streams.removeListener(log)
+    assert not any(q.isActive for q in queries.values())
+    # A batch that a trigger looks at twice is counted twice.
+    seen = [b for b in log.of(queries["bronze_traffic"]) if b.rows]
+    assert len(seen) >= 2 and sum(b.rows for b in seen) >= len(LANES) and all(b.milliseconds > 0 for b in seen)
+
+
+def test_late_weather_goes_to_the_side_table(spark, readings):
+    """Of two batches, the second one's old readings are late; running the stream again changes nothing."""
+    streams = make_streams(spark, late=LatePolicy(5))
+    late = [reading("A", DAY, "09:00", 1.0), reading("A", DAY, "11:57", 2.0)]
+    for part in ([reading("A", DAY, "12:00", 5.0), reading("B", DAY, "10:00", 4.0)], late):
+        write_landing(part_of(spark, part, LANDING_WEATHER), streams.weather_landing, per_interval=False)
+        for _ in range(2):
+            layers.start_bronze_weather(spark, streams, layers.AVAILABLE_NOW).awaitTermination()
+    kept = tables.read_layer(spark, streams.lake.weather, ["road_name", "temperature"])
+    assert sorted(map(tuple, kept.collect())) == [("A", 2.0), ("A", 5.0), ("B", 4.0)]
+    aside = spark.read.parquet(late_path(streams.lake.weather))
+    assert [(r["temperature"], r["_batch"]) for r in aside.collect()] == [(1.0, 1)]
+
+
+def test_changes_are_archived(spark):
+    """After many triggers the folder that a trigger lists holds the last few files only."""
+    streams = make_streams(spark)
+    layer = streams.lake.silver
+    layers._prepare(spark, layer)
+    seen = []
+    for k in range(12):
+        keys = spark.createDataFrame([("A", date(2024, 1, 1), k)], layers.CHANGED_HOURS)
+        tables.publish_changes(keys.coalesce(1), layer)
+        query = layers._changes(spark, streams, layer).writeStream.foreachBatch(lambda df, _: seen.extend(r["hour"] for r in df.collect()))
+        query.option("checkpointLocation", f"{streams.checkpoints}/reader").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == list(range(12))
+    assert len(spark.read.schema(layers.CHANGED_HOURS).parquet(layer.changes).inputFiles()) <= 6
