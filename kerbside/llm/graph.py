@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kerbside.session import scratch_path
@@ -15,6 +15,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """``edges`` stored, and what tells them from other edges: taken while they are written."""
+    seen, hashed = Observation(), F.xxhash64("a", "b")
+    counted = edges.observe(seen, F.count("*").alias("n"), F.bit_xor(hashed).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), hashed)).alias("y"))
+    now = stored(counted, "edges")
+    return now, tuple(seen.get.get(k) for k in ("n", "x", "y"))
+
+
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; the component is its least node.
 
@@ -23,26 +31,23 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     gathered, only their minimum is, so a node with a third of all edges is one sum and a join
     that Spark may split. Edges with a null end are left out.
     """
-    now = stored(
+    now, before = _settled(
         edges.where("a is not null and b is not null and a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.where("a <> b").distinct(), "edges")
+        # Repeated edges change no minimum, and go at the end of the round.
+        large = stored(large.where("a <> b"), "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             small.select("a", F.col("m").alias("b")))
-        after = stored(small.where("a <> b").distinct(), "edges")
-        # A forest of stars: every larger end has one edge and no root is itself hung.
-        roots = after.select(F.col("b").alias("a")).distinct()
-        flat = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").isEmpty() \
-            and after.join(roots, "a", "left_semi").isEmpty()
-        now = after
-        if flat:
+        now, after = _settled(small.where("a <> b").distinct())
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError(f"no forest of stars after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

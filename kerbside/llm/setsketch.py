@@ -10,7 +10,8 @@ their sets are alike, and the sketch of a union is the registers' maximum (``mer
    is on one document of each class.
 2. Bands of ``rows`` registers are keys. Classes that share a key are compared by their sketches:
    the similarity of highest likelihood, given the joint registers, drops pairs far below the
-   bound (six standard errors). What stays connected is a candidate group.
+   bound (six standard errors). What stays connected is a candidate group. Keys whose classes are connected by then
+   are not compared (``alike``).
 3. Members of a candidate group are confirmed pair by pair on their full shingle sets. Tasks return
    a forest of the links they find, never all pairs, and no task holds a whole wide group
    (``link_members``).
@@ -42,6 +43,8 @@ from kerbside.llm.text import LOWER, WordHashes, bounded, free_name, gram_hashes
 SHINGLE = 5
 BOUND = (75, 100)
 ROWS, BANDS = 4, 60
+# Bands that are compared first; of the others only keys whose classes these have not brought together.
+FIRST_BANDS = 10
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 # Members that one task compares with each other, by their sketches and by their full sets.
 WIDE_SKETCHES, WIDE_SETS = 512, 256
@@ -116,7 +119,7 @@ def sketch_documents(docs: DataFrame, count: int = ROWS * BANDS) -> DataFrame:
 
 
 def _band_keys(classes: DataFrame, rows: int, bands: int) -> DataFrame:
-    """``rep, band``: a 64-bit key for each band of each class's registers."""
+    """``rep, band, first``: a 64-bit key for each band of each class's registers, and whether it is one of the first bands."""
 
     def run(batches):
         for batch in batches:
@@ -128,10 +131,11 @@ def _band_keys(classes: DataFrame, rows: int, bands: int) -> DataFrame:
                 for k in range(bands)
             ], 1)
             reps = np.repeat(batch.column("rep").to_numpy(), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(keys.reshape(-1).view(np.int64))],
-                                             ["rep", "band"])
+            first = np.tile(np.arange(bands) < FIRST_BANDS, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(keys.reshape(-1).view(np.int64)), pa.array(first)],
+                                             ["rep", "band", "first"])
 
-    return classes.select("rep", "sketch").mapInArrow(run, "rep long, band long")
+    return classes.select("rep", "sketch").mapInArrow(run, "rep long, band long, first boolean")
 
 
 def _whole_groups(batches, most_rows: int = 2000, most_bytes: int = 8 << 20):
@@ -328,29 +332,45 @@ def link_members(members: DataFrame, payloads: DataFrame, compare, width: int, m
     return first.unionByName(edges(rows))
 
 
-def shared_keys(classes: DataFrame, rows: int, bands: int) -> DataFrame:
-    """``rep, band``: the band keys that classes share, of keys with the same classes one only.
+def _once(members: DataFrame) -> DataFrame:
+    """``members(key, node)`` without the keys whose nodes another key has as well.
 
-    Near copies share most of their bands, and comparing the same members again finds nothing new. Members are told apart by
+    Near copies share most of their bands, and comparing the same nodes again finds nothing new. Sets of nodes are told apart by
     their number and two 64-bit sums without carry of their hashed ids.
     """
+    held = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    once = held.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    return stored(members.join(once.select("key"), "key", "left_semi"), "members")
+
+
+def alike(classes: DataFrame, similarity: float, rows: int, bands: int) -> DataFrame:
+    """``node, component``: what is connected by pairs that share a band and whose sketches allow for the bound.
+
+    The first bands connect most of what there is. In each of the others, classes that are in one component already
+    learn nothing from each other, so only keys with several components are compared; a large group of near copies is
+    met in a few bands and not in all.
+    """
     keys = _band_keys(classes, rows, bands)
     often = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    keys = stored(keys.join(often, "band"), "bands")
-    members = keys.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("y"))
-    once = members.groupBy("n", "x", "y").agg(F.min("band").alias("band"))
-    return stored(keys.join(once.select("band"), "band", "left_semi"), "keys")
+    keys = stored(keys.join(often, "band"), "bands").select(F.col("band").alias("key"), F.col("rep").alias("node"), "first")
+    sketches = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
+    compare, weight = _by_sketch(similarity, rows * bands), F.lit(2 * rows * bands).alias("weight")
+    early = _once(keys.where("first").select("key", "node"))
+    links = link_members(early.select("key", "node", weight), sketches, compare, WIDE_SKETCHES)
+    known = stored(components(links), "known")
+    late = keys.where("not first").select("key", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = late.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    late = _once(late.select("key", "node").join(apart, "key", "left_semi"))
+    if late.isEmpty():
+        return known
+    return stored(components(links.unionByName(link_members(late.select("key", "node", weight), sketches, compare, WIDE_SKETCHES))), "alike")
 
 
 def near_links(docs: DataFrame, classes: DataFrame, bound: tuple[int, int] = BOUND, rows: int = ROWS,
                bands: int = BANDS) -> DataFrame:
     """Links ``(a, b)`` between classes, confirmed on full sets, that connect all that any link connects."""
-    similarity, count = bound[0] / bound[1], rows * bands
-    keys = shared_keys(classes, rows, bands).select(
-        F.col("band").alias("key"), F.col("rep").alias("node"), F.lit(2 * count).alias("weight"))
-    sketches = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
-    groups = stored(components(link_members(keys, sketches, _by_sketch(similarity, count), WIDE_SKETCHES)), "alike")
+    groups = alike(classes, bound[0] / bound[1], rows, bands)
     sets = _full_sets(docs, groups.select(F.col("node").alias("rep")))
     members = groups.join(classes, groups.node == classes.rep).select(
         F.col("component").alias("key"), "node", (8 * F.col("n_shingles")).alias("weight"))
