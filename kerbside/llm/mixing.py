@@ -9,8 +9,8 @@ is one sum over the counts of documents by source and size; a bracket keeps step
 
 Rates become whole copies by systematic rounding along each source's documents in order of size:
 copies are steps of the running sum of rates, so a source's words miss its target by about its
-largest document at most, and by a fraction of it with the best of ``STARTS`` starts of the sum. Documents of one source and size share a rate; large groups of
-them are numbered in buckets, so no group is sorted in one task.
+largest document at most, and by a fraction of it with the best of ``STARTS`` starts of the sum. Documents of one source and size
+share a rate and are numbered in the order of a hash, bucket after bucket, so no group is sorted in one task.
 
 Null texts and texts without words have size 0 and are taken as their rate says, at no words. A null
 source is a source of its own. Repeated rows count one by one. A source without words has the
@@ -50,30 +50,47 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``df`` in ``order`` with ``place``, the rows before, and the sums over them.
+
+    Rows are sorted by ranges; what the partitions before hold is one row a partition.
+    """
+    placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.monotonically_increasing_id().alias("at"), "*"), "sorted").withColumn("part", F.shiftright("at", 33))
+    sums = {"place": F.lit(1).cast("long"), **sums}
+    held = placed.groupBy("part").agg(*[F.sum(c).alias(n) for n, c in sums.items()]).orderBy("part").collect()
+    running, rows = dict.fromkeys(sums, 0), []
+    for row in held:
+        rows.append((row.part, *running.values()))
+        running = {n: v + row[n] for n, v in running.items()}
+    kinds = dict(placed.select(*[c.alias(n) for n, c in sums.items()]).dtypes)
+    starts = df.sparkSession.createDataFrame(rows, ", ".join(["part long", *[f"from_{n} {kinds[n]}" for n in sums]]))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    found = placed.join(starts, "part").withColumns(
+        {n: F.col(f"from_{n}") + F.coalesce(F.sum(c).over(within), F.lit(0)) for n, c in sums.items()})
+    return found.drop("at", "part", *[f"from_{n}" for n in sums])
+
+
 def source_targets(counts: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``named, source_name, source_size, target`` from ``counts(named, source_name, size, n)``.
 
     Sources in code point order, null last, get the weights in turn. The targets are what is left
     when capped sources (``most`` times their words) have handed their excess on by weight: sorted by
-    cap per weight, the first source that the others' share doesn't fill ends the capped ones. The
-    windows run over one row per source.
+    cap per weight, the first source that the others' share doesn't fill ends the capped ones.
     """
     # Order of strings is by bytes of UTF-8, which is the order of code points.
-    by_name = Window.orderBy(F.col("named").desc(), "source_name")
     sources = counts.groupBy(*KEY).agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    sources = sources.withColumn("turn", (F.row_number().over(by_name) - 1) % len(weights))
-    sources = sources.withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("turn")))
+    sources = _before(sources, [F.col("named").desc(), F.col("source_name")], {}).withColumn("turn", F.col("place") % len(weights))
+    sources = sources.drop("place").withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("turn").cast("int")))
     cap, weight = most * F.col("source_size"), F.col("weight")
-    order = Window.orderBy(cap / weight, "turn", F.col("named").desc(), "source_name")
-    everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    left = share * F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0))
-    level = left / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    sources = sources.withColumn("level", level)
-    first = F.min(F.when(weight * F.col("level") <= cap, F.struct(cap / weight, "turn", F.col("named").cast("int") * -1,
-                                                                  "source_name", "level"))).over(everything)
-    target = F.least(cap.cast("double"), weight * F.coalesce(first["level"], F.lit(float("inf"))))
-    return sources.select(*KEY, "source_size", target.alias("target"))
+    order = [cap / weight, F.col("turn"), F.col("named").desc(), F.col("source_name")]
+    sources = _before(sources, order, {"cap_before": cap, "weight_before": weight.cast("long")})
+    whole = sources.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    left = F.lit(share * (whole.size or 0)) - F.col("cap_before")
+    sources = sources.withColumn("level", left / (F.lit(whole.weight or 0) - F.col("weight_before")))
+    ending = sources.where(weight * F.col("level") <= cap).agg(F.min(F.struct("place", "level")).alias("first")).first().first
+    level = F.lit(float("inf") if ending is None else ending.level)
+    return sources.select(*KEY, "source_size", F.least(cap.cast("double"), weight * level).alias("target"))
 
 
 def _rate(tilt: Column, size: Column, scale: Column) -> Column:
@@ -120,8 +137,7 @@ def _starts(classes: DataFrame) -> DataFrame:
     end = F.col("base") + F.col("n") * F.col("units")
 
     def miss(start: int) -> Column:
-        copies = F.when(F.col("n") > BUCKET_ROWS, F.col("n") * F.col("units") / UNIT).otherwise(
-            F.floor((end + start) / UNIT) - F.floor((F.col("base") + start) / UNIT))
+        copies = F.floor((end + start) / UNIT) - F.floor((F.col("base") + start) / UNIT)
         return F.abs(F.sum(copies * F.col("size")) - F.first("target"))
 
     misses = classes.groupBy(*KEY).agg(*[miss(start).alias(f"m{k}") for k, start in enumerate(tried)])
@@ -133,7 +149,7 @@ def _starts(classes: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies, rate`` for every row of ``docs``."""
-    sized = _keyed(docs)
+    sized = stored(_keyed(docs), "sized")
     counts = stored(sized.groupBy(*KEY, "size").agg(F.count("*").alias("n")), "counts")
     solved = tilts(counts, source_targets(counts, weights, share))
     rate = F.when(F.col("target") <= 0, 0.0).when(F.col("tilt").isNull(), float(MOST)).otherwise(
@@ -144,12 +160,15 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     classes = stored(classes.select(*KEY, "size", "n", "source_size", "target", "units", "base"), "classes")
     classes = classes.join(_starts(classes), KEY).withColumn("base", F.col("base") + F.col("start"))
     placed = sized.join(classes, [*KEY, "size"])
-    spread = F.xxhash64("doc_id")
+    # A class is numbered bucket after bucket, so that no task sorts all of a large one.
     buckets = F.ceil(F.col("n") / BUCKET_ROWS)
     placed = placed.withColumn("bucket", F.pmod(F.xxhash64(F.lit(7), "doc_id"), buckets))
-    # Buckets of a large class start at different fractions of a copy.
-    base = F.when(buckets == 1, F.col("base")).otherwise(F.pmod(F.xxhash64(*KEY, "size", "bucket"), F.lit(UNIT)))
-    place = F.row_number().over(Window.partitionBy(*KEY, "size", "bucket").orderBy(spread, "doc_id"))
+    held = placed.groupBy(*KEY, "size", "bucket").agg(F.count("*").alias("held"))
+    earlier = Window.partitionBy(*KEY, "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(*KEY, "size", "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"))
+    placed = placed.join(held, [*KEY, "size", "bucket"])
+    within = F.row_number().over(Window.partitionBy(*KEY, "size", "bucket").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    base, place = F.col("base"), F.col("earlier") + within
     end = base + place * F.col("units")
     copies = F.floor(end / UNIT) - F.floor((end - F.col("units")) / UNIT)
     return placed.select(

@@ -285,3 +285,64 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (None, 3), (205, 200), (200, 203)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 130)}, 200: 200, 203: 200, 205: 200}
+
+
+def _plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Source targets by handing the excess on until none is above its cap."""
+    names = sorted(sizes, key=lambda n: (n is None, n or ""))
+    weight = {n: weights[k % len(weights)] for k, n in enumerate(names)}
+    target, open_ = {}, set(names)
+    left = share * sum(sizes.values())
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        over = {n for n in open_ if weight[n] * level > most * sizes[n]}
+        if not over:
+            return target | {n: weight[n] * level for n in open_}
+        for n in over:
+            target[n] = most * sizes[n]
+            left -= target[n]
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("bucket_rows", [7, 500, 10**9])
+def test_mix_against_plain_rounding(spark, monkeypatch, bucket_rows):
+    """Targets, rates by bisection and every class's copies, on either side of a bucket's size and over many sources."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    draw = random.Random(4)
+    rows = [(k, " ".join(["w"] * draw.choice([0, 1, 2, 5, 5, 40])), draw.choice([f"s{n}" for n in range(30)] + ["hot"] * 30 + [None])) for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mixed(docs).collect()}
+    size = {k: len((t or "").split()) for k, t, _ in rows}
+    total, classes = Counter(), Counter()
+    for k, _, source in rows:
+        total[source] += size[k]
+        classes[source, size[k]] += 1
+    target = _plain_targets(total)
+    for source in total:
+        assert got[next(k for k, _, s in rows if s == source)].target == pytest.approx(target[source])
+        scale = sum(z * z * n for (s, z), n in classes.items() if s == source) / max(1, total[source])
+        low, high = -50.0, 50.0
+        for _ in range(200):  # the tilt that meets the target, by bisection
+            middle = (low + high) / 2
+            words = sum(2 * z * n / (1 + np.exp(-middle * z / max(scale, 1e-9))) for (s, z), n in classes.items() if s == source)
+            low, high = (middle, high) if words < target[source] else (low, middle)
+        own = sorted((z, n) for (s, z), n in classes.items() if s == source)
+        for z, n in own:
+            docs_of = [got[k] for k, _, s in rows if s == source and size[k] == z]
+            rate = docs_of[0].rate
+            if 0 < target[source] < 2 * total[source] - 1e-9:
+                assert rate == pytest.approx(2 / (1 + np.exp(-low * z / scale)), abs=1e-4)
+            copies = [r.copies for r in docs_of]
+            assert all(int(rate) <= c <= int(rate) + 1 for c in copies) and abs(sum(copies) - rate * n) < 1 + 1e-6
+        assert abs(sum(got[k].taken for k, _, s in rows if s == source) - target[source]) <= 40
+
+
+def test_mix_does_not_depend_on_buckets_much(spark, monkeypatch):
+    """A hot class in one bucket or in many takes the same number of copies."""
+    docs = spark.createDataFrame([(k, "a b c", "x" if k < 1200 else "y") for k in range(2000)], "doc_id long, text string, source string")
+    seen = set()
+    for bucket_rows in (50, 10**9):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+        seen.add(tuple(sorted((r.source_size, r["sum(copies)"]) for r in mixing.mixed(docs).groupBy("source_size").sum("copies").collect())))
+    assert len(seen) == 1
