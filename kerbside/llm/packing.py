@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,18 +80,27 @@ class WordTokenizer:
             _TOKENIZERS[path] = cls(path)
         return _TOKENIZERS[path]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of ``kind``."""
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as bytes of ``kind``; a null text has none."""
         for known in (self.words, self.pieces):
             if len(known) > MOST_WORDS:
                 known.clear()
-        lines = [t.replace("\n", " ") for t in texts]
-        words = " ".join(lines).split(" ")
-        if new := set(words).difference(self.words):
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.to_pylist()
+        if new := set(names).difference(self.words):
             self._learn(new)
-        ids = list(map(self.words.__getitem__, words))
-        ends = np.cumsum([t.count(" ") + 1 for t in lines]).tolist()
-        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
+        data = [self.words[w] for w in names]
+        # Distinct words' ids stand one after another; each word of the texts takes its stretch of them.
+        each = np.fromiter(map(len, data), np.int64, len(data)) // self.kind.itemsize
+        ids, starts = np.frombuffer(b"".join(data), self.kind), np.cumsum(each) - each
+        which = words.indices.to_numpy()
+        sizes = each[which]
+        ends = np.cumsum(sizes)
+        out = ids[np.repeat(starts[which] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+        last = np.cumsum(pc.list_value_length(split).to_numpy())
+        cuts = (np.r_[0, ends][last] * self.kind.itemsize).tolist()
+        return [out[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def _learn(self, new: set[str]) -> None:
         cut, odd = {}, []
@@ -126,7 +136,7 @@ def tokens(docs: DataFrame, path: str, end: int = END, size: int = SIZE, ident:
         places: Counter = Counter()
         fulls = 0
         for batch in bounded(batches):
-            ids = [x + last for x in tokenizer([t or "" for t in batch.column("text").to_pylist()])]
+            ids = [x + last for x in tokenizer(batch.column("text"))]
             counts = [len(x) // tokenizer.kind.itemsize for x in ids]
             rests, at, before = [n % size for n in counts], [], []
             for n, rest in zip(counts, rests):

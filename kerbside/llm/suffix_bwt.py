@@ -10,7 +10,7 @@ each round still passes over them once, in order.
 Whole documents as strings would need a round per byte of the longest one, each over the whole
 table. So documents are cut, without losing a match:
 
-1. Anchors: of the 32-byte grams inside each ``length``-byte string the one with the least hash. Equal
+1. Anchors: of the 96-byte grams inside each ``length``-byte string the one with the least hash. Equal
    strings have equal anchors. Blocks of documents (``blocks.py``) learn by a bit which of their anchors stand at two
    places or more; strings around other anchors are unique.
 2. The strings around one anchor overlap to one segment, of at most ``PIECE`` starts. Segments of shared anchors go to the
@@ -40,7 +40,7 @@ from kerbside.llm.graph import stored
 from kerbside.llm.text import mix, sha256, table
 
 LENGTH = 200
-GRAM = 32
+GRAM = 96
 PIECE = 256
 BLOCK_BYTES = 2 << 20
 # Bytes of segments that are sorted in one bucket.

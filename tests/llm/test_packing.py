@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -88,14 +89,14 @@ def test_words_of_all_kinds():
     more = ["\u0130", "\u03a3", "\u0301", "\u00ad", "\u0085", "\u00a0", "\x1c", "'s", "'LL", "don't", "\u212a", "\ufb01", "\u4e2d", "\U0001f600"]
     texts = [" ".join("".join(rng.choice(plain if rng.random() < 0.9 else more) for _ in range(rng.randint(1, 12))) for _ in range(60)) for _ in range(200)]
     for _ in range(2):  # the second time from what is remembered
-        for text, ids in zip(texts, tokenizer(texts)):
+        for text, ids in zip(texts, tokenizer(pa.array(texts))):
             assert np.frombuffer(ids, tokenizer.kind).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
 def test_words_apart_give_the_ids_of_the_whole_text():
     whole = Tokenizer.from_file(PATH)
     tokenizer = packing.WordTokenizer(PATH)
-    for text, ids in zip(TEXTS, tokenizer([t or "" for t in TEXTS])):
+    for text, ids in zip(TEXTS, tokenizer(pa.array(TEXTS))):
         assert np.frombuffer(ids, tokenizer.kind).tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
