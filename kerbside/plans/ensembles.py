@@ -50,6 +50,19 @@ class Linear:
     offset: float = 0.0
 
 
+def features_of(model: Ensemble | Linear | PipelineModel) -> set[str]:
+    """Names of the features that the model's prediction depends on."""
+    if isinstance(model, PipelineModel):
+        model = from_pipeline(model)
+    if isinstance(model, Linear):
+        return set(model.weights)
+
+    def of(node: Leaf | Split) -> set[str]:
+        return set() if isinstance(node, Leaf) else {node.feature} | of(node.left) | of(node.right)
+
+    return set().union(*map(of, model.trees))
+
+
 def _tree_column(node: Leaf | Split, column: Callable[[str], Column]) -> Column:
     if isinstance(node, Leaf):
         return F.lit(float(node.value))

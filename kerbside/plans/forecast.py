@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kerbside.functions import values
 from kerbside.operators.filters import up_to_anchor
 from kerbside.operators.windows import last_row, last_values
+from kerbside.plans.ensembles import Ensemble, Linear, features_of, from_pipeline
 from kerbside.plans.features import LAGS, FeatureSpec, base_rows, graph_features, unscaled
 from kerbside.plans.scoring import PRIMARY_WEIGHT, SECONDARY_WEIGHT, predict
 from kerbside.session import pin
@@ -53,16 +54,16 @@ def check_target(anchor: datetime, target: datetime, step_minutes: int = DEFAULT
     return horizon, ceil(horizon / step_minutes)
 
 
-def anchor_state(base: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Per road: the last row's features and its last three densities and speeds."""
+def anchor_state(base: DataFrame, spec: FeatureSpec, wanted: set[str] | None = None) -> DataFrame:
+    """Per road: the last row's features, or the wanted ones of them, and its last three densities and speeds."""
     histories = last_values(base, ["road_id"], "rec_ts", ["avg_density", "avg_speed"], LAGS)
-    kept = [c for c in spec.base if c not in (*spec.lag_columns, "road_id")]
+    kept = [c for c in spec.base if c not in (*spec.lag_columns, "road_id") and (wanted is None or c in wanted | {"avg_speed"})]
     newest = last_row(base.select("road_id", "rec_ts", "road_name", *kept), ["road_id"], "rec_ts").drop("rec_ts")
     zeros = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in kept}
     return newest.withColumns(zeros).join(histories, "road_id")
 
 
-def _step(state: DataFrame, at: datetime, models, spec: FeatureSpec, weights) -> DataFrame:
+def _step(state: DataFrame, at: datetime, models, spec: FeatureSpec, weights, wanted: set[str]) -> DataFrame:
     """One forecast step; returns the state with the new density appended to its history.
 
     Each road sends its state to itself and its latest density to the roads it is a neighbour of, so one
@@ -89,8 +90,8 @@ def _step(state: DataFrame, at: datetime, models, spec: FeatureSpec, weights) ->
     rows = met.filter("_state IS NOT NULL").select("_state", "_state.*", *hops)
     rows = rows.withColumns({**lags, **{c: F.lit(float(v)) for c, v in calendar.items()}})
     rows = graph_features(rows, spec)
-    inputs = {c: values.model_input(F.col(c).cast("double")) for c in spec.features if c != "road_id"}
-    rows = rows.select("_state", F.col("road_id").cast("double").alias("road_id"), *[c.alias(n) for n, c in inputs.items()])
+    inputs = [values.model_input(F.col(c).cast("double")).alias(c) for c in spec.features if c in wanted and c != "road_id"]
+    rows = rows.select("_state", F.col("road_id").cast("double").alias("road_id"), *inputs)
     scored = predict(rows, models, weights).select("_state.*", values.scaled_density(F.col("pred_scaled")).alias("pred_scaled"))
     return scored.withColumns({
         "avg_density_last": F.concat(F.slice("avg_density_last", 2, LAGS - 1), F.array("pred_scaled")),
@@ -99,10 +100,6 @@ def _step(state: DataFrame, at: datetime, models, spec: FeatureSpec, weights) ->
     }).drop("pred_scaled")
 
 
-def _kept(spec: FeatureSpec) -> list[str]:
-    return [c for c in spec.base if c not in (*spec.lag_columns, "road_id")]
-
-
 def forecast(
     silver: DataFrame,
     roads: DataFrame,
@@ -117,7 +114,7 @@ def forecast(
 ) -> DataFrame:
     """Density of every road at ``target``, from its history up to ``anchor``.
 
-    One query: each step adds an exchange of one row per road and neighbour to the plan, and only
+    One query over the features that the models read: each step adds an exchange of one row per road and neighbour to the plan, and only
     long horizons cut it. Errors of one step feed the next, so one step (``step_minutes`` = horizon) is the
     steadier choice.
     """
@@ -126,10 +123,12 @@ def forecast(
     near = edges.groupBy(F.col("dst").alias("road_id")).agg(
         F.collect_list(F.struct(F.col("src").alias("to"), "hop")).alias("near"))
     none = F.array().cast("array<struct<to: int, hop: int>>")
-    state = anchor_state(base, spec).join(near, "road_id", "left").withColumn("near", F.coalesce("near", none))
+    models = [m if isinstance(m, (Ensemble, Linear)) else from_pipeline(m) for m in models]
+    wanted = set().union(*map(features_of, models))
+    state = anchor_state(base, spec, wanted).join(near, "road_id", "left").withColumn("near", F.coalesce("near", none))
     for step in range(1, steps + 1):
         at = target if step == steps else anchor + timedelta(minutes=step * step_minutes)
-        state = _step(state, at, models, spec, weights)
+        state = _step(state, at, models, spec, weights, wanted)
         if step % STEPS_PER_PIN == 0 and step < steps:
             state = pin(state)
     state = state.withColumn("pred_scaled", F.element_at("avg_density_last", -1))
