@@ -3,8 +3,9 @@
 A shard is a bounded run of whole training documents. Each shard sorts the suffixes of its
 word sequence into a suffix array, ordered as deep as a match has to be long; every suffix of
 every benchmark text is then looked up by binary search, which gives the range of training
-positions that share its first words. Ranges as deep as a window are verbatim matches; they
-are followed word by word to their full length. Documents are whole inside a shard, so nothing
+positions that share its first words. Ranges as deep as a window are verbatim matches. Those of following
+suffixes of one benchmark text at following positions are one longer match, so what comes out for each item are its longest matches,
+with their places in the document and in the item. Documents are whole inside a shard, so nothing
 is shuffled and a passage that every document quotes costs no more than its own occurrences.
 
 Words follow ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower-cased. Benchmark words
@@ -20,6 +21,7 @@ items without an id are ignored. An empty benchmark leaves every document clean.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +55,17 @@ class TestSuffixes:
         self.bits = max(1, len(self.ids).bit_length())
         self.per_key = max(1, min(window, 62 // self.bits))
         self.n_keys = -(-window // self.per_key)
-        windows: dict[tuple[int, ...], set[str]] = {}
-        for item, words in texts:
+        windows: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        for text, (_, words) in enumerate(texts):
             numbers = [self.ids[w] for w in words]
             for at in range(max(1, len(numbers) - window + 1) if numbers else 0):
-                windows.setdefault(tuple(numbers[at : at + window]), set()).add(item)
+                windows.setdefault(tuple(numbers[at : at + window]), []).append((text, at))
         self.length = np.array([len(w) for w in windows], np.int64)
-        self.items = [sorted(v) for v in windows.values()]
+        self.item_of = [item for item, _ in texts]
+        # Where each window stands: texts and places in them, those of window w from ``begin[w]`` on.
+        places = np.array([p for found in windows.values() for p in found], np.int64).reshape(-1, 2)
+        self.text, self.place = places[:, 0], places[:, 1]
+        self.begin = np.cumsum([0, *map(len, windows.values())])
         padded = np.zeros((len(windows), self.per_key * self.n_keys), np.int64)
         for row, w in enumerate(windows):
             padded[row, : len(w)] = w
@@ -121,8 +127,28 @@ class SuffixArray:
         return self.positions[place], which
 
 
+def longest_matches(position: np.ndarray, which: np.ndarray, tests: TestSuffixes) -> np.ndarray:
+    """Rows ``start, length, text, place`` of the matches that no match of the same text contains on the same course.
+
+    Windows at following positions that stand at following places of a text are one match. Of those that begin at
+    one position in one text, the longest stays.
+    """
+    count = np.diff(tests.begin)[which]
+    at = np.repeat(tests.begin[which] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+    start, text, place = np.repeat(position, count), tests.text[at], tests.place[at]
+    order = np.lexsort((start, start - place, text))
+    start, text, place, length = start[order], text[order], place[order], np.repeat(tests.length[which], count)[order]
+    head = np.flatnonzero(np.r_[True, (np.diff(text) != 0) | (np.diff(start - place) != 0) | (np.diff(start) != 1)]) if len(start) else np.empty(0, np.int64)
+    last = np.r_[head[1:], len(start)] - 1 if len(head) else head
+    length = length[head] + start[last] - start[head]
+    start, text, place = start[head], text[head], place[head]
+    order = np.lexsort((place, -length, text, start))
+    first = np.r_[True, (np.diff(start[order]) != 0) | (np.diff(text[order]) != 0)] if len(order) else np.empty(0, bool)
+    return np.stack([start, length, text, place], 1)[order][first]
+
+
 def _search_shard(texts: list[bytes | None], tests: TestSuffixes):
-    """Per document: word count, matched runs [start, end) of word numbers, matched items."""
+    """Per document: word count, matched runs [start, end) of word numbers, matched items and their longest matches."""
     get = tests.ids.get
     parts, sizes = [], []
     for text in texts:
@@ -133,7 +159,6 @@ def _search_shard(texts: list[bytes | None], tests: TestSuffixes):
     numbers = np.concatenate(parts) if parts else np.empty(0, np.int64)
     begins = np.cumsum([0, *(n + 1 for n in sizes)])
     position, which = SuffixArray(numbers, tests).matches(tests)
-    doc = np.searchsorted(begins, position, "right") - 1
     cover = np.zeros(len(numbers) + 1, np.int64)
     np.add.at(cover, position, 1)
     np.add.at(cover, position + tests.length[which], -1)
@@ -144,11 +169,11 @@ def _search_shard(texts: list[bytes | None], tests: TestSuffixes):
     runs: list[list[tuple[int, int]]] = [[] for _ in sizes]
     for d, a, b in zip(owner.tolist(), starts.tolist(), ends.tolist()):
         runs[d].append((a - int(begins[d]), b - int(begins[d])))
-    items: list[set[str]] = [set() for _ in sizes]
-    if len(doc):
-        for d, w in np.unique(np.stack([doc, which], 1), axis=0).tolist():
-            items[d].update(tests.items[w])
-    return sizes, runs, items
+    matches: list[list[dict]] = [[] for _ in sizes]
+    for start, length, text, place in longest_matches(position, which, tests).tolist():
+        d = int(np.searchsorted(begins, start, "right")) - 1
+        matches[d].append({"item": tests.item_of[text], "start": start - int(begins[d]), "length": length, "item_start": place})
+    return sizes, runs, [{m["item"] for m in found} for found in matches], matches
 
 
 def _merge(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -166,8 +191,10 @@ _FOUND = pa.struct([
     ("starts", pa.list_(pa.int64())),
     ("ends", pa.list_(pa.int64())),
     ("items", pa.list_(pa.string())),
+    ("matches", pa.list_(pa.struct([("item", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("item_start", pa.int64())]))),
 ])
-_FOUND_DDL = "struct<n_words: bigint, starts: array<bigint>, ends: array<bigint>, items: array<string>>"
+_FOUND_DDL = ("struct<n_words: bigint, starts: array<bigint>, ends: array<bigint>, items: array<string>, "
+              "matches: array<struct<item: string, start: bigint, length: bigint, item_start: bigint>>>")
 
 
 def _item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
@@ -187,16 +214,19 @@ def _item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[
 
 def match_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     block_bytes: int = BLOCK_BYTES, into: str = "found") -> DataFrame:
-    """``docs`` with a struct column ``into``: word count, matched word runs, matched items.
+    """``docs`` with a struct column ``into``: word count, matched word runs, matched items and longest matches.
 
-    The maximal matched runs (``starts[i]`` to ``ends[i]``, end exclusive, counted in words) are
-    the locations of the verbatim matches.
+    ``starts[i]`` to ``ends[i]``, end exclusive and counted in words, are the runs that matches of any item cover together;
+    ``matches`` are each item's longest ones, ``start`` and ``length`` in the document's words and ``item_start`` in the item's.
+    A column of that name is replaced.
     """
     spark = docs.sparkSession
-    out = docs
-    for block in [*_item_blocks(benchmark, block_bytes)] or [[]]:
-        shared = spark.sparkContext.broadcast(block)
-        out = out.mapInArrow(_search_task(shared, window, into), _schema_with(docs, into))
+    docs = docs.drop(into)
+    out, schema = docs, _schema_with(docs, into)
+    for number, block in enumerate(chain(_item_blocks(benchmark, block_bytes), [None])):
+        if block or not number:
+            shared = spark.sparkContext.broadcast(block or [])
+            out = out.mapInArrow(_search_task(shared, window, into, number > 0), schema)
     return out
 
 
@@ -205,19 +235,23 @@ def _schema_with(docs: DataFrame, into: str) -> str:
     return ", ".join([*fields, f"`{into}` {_FOUND_DDL}"])
 
 
-def _search_task(shared, window: int, into: str):
+def _search_task(shared, window: int, into: str, later: bool):
+    """The pass over the documents for one block; a ``later`` one adds to what earlier ones have found."""
+
     def run(batches):
         tests = TestSuffixes(shared.value, window)
         for batch in bounded(batches, limit=SHARD_BYTES):
-            sizes, runs, items = _search_shard(text_bytes(batch.column("text")), tests)
+            sizes, runs, items, matches = _search_shard(text_bytes(batch.column("text")), tests)
             names = batch.schema.names
-            if into in names:  # an earlier block's pass
+            if later:
                 before = batch.column(into).to_pylist()
                 runs = [_merge([*zip(o["starts"], o["ends"]), *r]) for o, r in zip(before, runs)]
                 items = [{*o["items"], *i} for o, i in zip(before, items)]
+                matches = [o["matches"] + m for o, m in zip(before, matches)]
             found = pa.array([
-                {"n_words": n, "starts": [a for a, _ in r], "ends": [b for _, b in r], "items": sorted(i)}
-                for n, r, i in zip(sizes, runs, items)
+                {"n_words": n, "starts": [a for a, _ in r], "ends": [b for _, b in r], "items": sorted(i),
+                 "matches": sorted(m, key=lambda x: (x["start"], x["item"], -x["length"]))}
+                for n, r, i, m in zip(sizes, runs, items, matches)
             ], _FOUND)
             kept = [c for n, c in zip(names, batch.columns) if n != into]
             yield pa.RecordBatch.from_arrays([*kept, found], [n for n in names if n != into] + [into])

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeats, ties, empty tables and clashing columns."""
 
 import hashlib
+import random
 
 import pytest
 
@@ -174,6 +175,47 @@ def test_decontam(docs, empty, bench):
     assert decontam.match_benchmark(empty, bench, into="hit").count() == 0
 
 
+def test_results_replace_columns_of_their_name(docs, bench):
+    """``found``, ``language``, ``spans`` and ``repeated`` are columns of the table already."""
+    model = language.references(docs.select("text", "lang"))
+    for frame, into in ((decontam.match_benchmark(docs, bench), "found"), (language.identify(docs, model), "language"),
+                        (rlz.duplicate_spans(docs), "spans"), (suffix_bwt.repeated_bytes(docs), "repeated")):
+        assert frame.columns.count(into) == 1 and frame.columns[-1] == into and frame.count() == len(ROWS)
+        assert "struct" in dict(frame.dtypes)[into]
+
+
+def _plain_matches(words, texts, window):
+    """Longest common runs of a document and each text from their left ends, window or whole text at least."""
+    out = set()
+    for item, text in texts:
+        best = {}
+        for start in range(len(words)):
+            for place in range(len(text)):
+                if start and place and words[start - 1] == text[place - 1] and len(text) >= window:
+                    continue
+                n = 0
+                while start + n < len(words) and place + n < len(text) and words[start + n] == text[place + n]:
+                    n += 1
+                if n >= window or n == len(text) > 0 and not place:
+                    best[start] = max(best.get(start, (0, 0)), (n, -place))
+        out |= {(item, start, n, -place) for start, (n, place) in best.items()}
+    return out
+
+
+def test_longest_matches(spark):
+    draw = random.Random(11)
+    items = [(f"i{k}", " ".join(draw.choice("abc") for _ in range(draw.randint(1, 40)))) for k in range(12)]
+    rows = [(k, " ".join(draw.choice("abcd") for _ in range(draw.randint(0, 60)))) for k in range(60)]
+    rows.append((99, "x " + items[3][1] + " y " + items[3][1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench_ = spark.createDataFrame(items, "item_id string, text string")
+    texts = [(i, t.split()) for i, t in items]
+    for block_bytes in (1 << 20, 1):
+        for r in decontam.match_benchmark(docs, bench_, window=5, block_bytes=block_bytes).collect():
+            got = {(m["item"], m["start"], m["length"], m["item_start"]) for m in r.found.matches}
+            assert got == _plain_matches(r.text.split(), texts, 5), r
+
+
 def test_near_duplicates(docs, empty):
     rows = _by_id(setsketch.near_duplicates(docs))
     of = {r.doc_id: r.component_id for r in rows}
