@@ -9,7 +9,7 @@ count as they are, and whatever stands between words counts as one gap. The fewe
 needs per character, the closer it is to the language; the language with the fewest wins, ties
 going to the first language by code point.
 
-The automata are compiled to transition tables in each Python worker, and the parses of many
+The automata are compiled to transition tables in each task, and the parses of many
 pieces of text and all languages advance together, one character per step. Texts longer than
 ``PIECE`` characters are parsed in pieces, each from the start of a phrase. Then each piece is parsed again from the state in
 which the one before it ended, up to the character where both parses are in one state, from which on they are the same.
@@ -23,8 +23,6 @@ no phrases at all; with one language it is 1. Without any labelled text everythi
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -189,30 +187,17 @@ def references(labelled: DataFrame, chars: int = REFERENCE_CHARS, per_document:
     """
     rows = max(1, 4 * chars // per_document)
     usable = labelled.where("lang is not null and text is not null and text rlike '\\\\p{L}'").select(
-        "lang", F.xxhash64("text").alias("spread"), "text")
+        "lang", F.xxhash64("text").alias("spread"),
+        F.lower(F.substring(F.regexp_replace("text", r"^\P{L}+", ""), 1, per_document)).alias("text"))
     first = Window.partitionBy("lang").orderBy("spread")
     chosen = usable.select("lang", "spread").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= rows)
-    start = F.regexp_replace("text", r"^\P{L}+", "")
-    picked = usable.join(chosen, ["lang", "spread"]).groupBy("lang", "n").agg(
-        F.lower(F.min(F.substring(start, 1, per_document))).alias("text"))
+    picked = usable.join(chosen, ["lang", "spread"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
     for row in picked.orderBy("lang", "n").toLocalIterator():
         texts.setdefault(row.lang, []).append(row.text)
     return [(lang, "\n".join(parts)[:chars]) for lang, parts in sorted(texts.items())]
 
 
-_PARSERS: dict[str, CrossParser] = {}
-
-
-def _parser(model: list[tuple[str, str]]) -> CrossParser:
-    """The compiled automata, built once in each Python worker."""
-    key = hashlib.sha256(repr(model).encode()).hexdigest()
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(model)
-    return _PARSERS[key]
-
-
 def _has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -227,7 +212,8 @@ def identify(docs: DataFrame, model: list[tuple[str, str]], into: str = "languag
     kind = pa.struct([("pred", pa.string()), ("score", pa.float64()), ("phrases", pa.float64()), ("letters", pa.bool_())])
 
     def run(batches):
-        parser = _parser(model)
+        # Built for each task and gone with it: workers live on for other stages, which need the memory.
+        parser = CrossParser(model)
         for batch in bounded(batches, limit=2 << 20):
             texts = [(t or "").lower() for t in batch.column("text").to_pylist()]
             letters = [_has_letter(t) for t in texts]

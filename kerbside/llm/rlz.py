@@ -38,9 +38,6 @@ from kerbside.llm.text import WordHashes, free_name, gram_hashes, sha256, table
 WINDOW = 13
 ANCHOR = 7
 
-# Word hashes that a Python worker has met; bounded.
-_HASHES = WordHashes()
-
 
 class Words:
     """Words of a block's documents in one array of hashes, and the windows inside documents."""
@@ -183,19 +180,21 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
 
     ``kept`` is the text without the words that factors cover and the blanks after them; the hash is
     of the words kept, joined by single spaces. ``factors`` are structs ``start, length, source,
-    place``: places and lengths in words, the source a doc_id.
+    place``: places and lengths in words, the source a doc_id. A column named ``into`` is replaced.
     """
+    docs = docs.drop(into)
     blocks = stored_blocks(docs)
     buckets = bucket_count(blocks)
+    hashes = WordHashes()  # each task fills a copy of its own
 
     def ask(block, _):
-        words = Words(block, window, _HASHES)
+        words = Words(block, window, hashes)
         yield from ask_shared(words.places(words.anchors(window, anchor)), buckets)
 
     shared = stored(answered(sent(blocks, None, ask), tell_shared), "shared")
 
     def look_up(block, replies):
-        words = Words(block, window, _HASHES)
+        words = Words(block, window, hashes)
         keep = hear_shared(words.anchors(window, anchor), buckets, replies)
         own, doc_id, place, placed, parts = _index_messages(words, keep, window, buckets)
         for bucket, a, b in parts:
@@ -210,7 +209,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     def parse(batches):
         for _, row, replies in _rows(batches):
             block = Block.of_row(row)
-            words = Words(block, window, _HASHES)
+            words = Words(block, window, hashes)
             about = {-1 - bucket: data for bucket, data in replies.items() if bucket < 0}
             keep = hear_shared(words.anchors(window, anchor), buckets, about)
             parsed = _parsed(words, keep, window, buckets, replies)
