@@ -157,9 +157,10 @@ class Bytes:
             if size >= length:
                 valid[end - size : end - length + 1] = True
         width = 1
-        while width < gram:  # grams of doubled length from two halves
-            values = mix(values[:-width] * np.uint64(0x9E3779B97F4A7C15) + values[width:])
-            width *= 2
+        while width < gram:  # grams from two halves, the last of which may overlap
+            step = min(width, gram - width)
+            values = mix(values[:-step] * np.uint64(0x9E3779B97F4A7C15) + values[step:])
+            width += step
         self.grams = values
         starts = max(0, len(self.data) - length + 1)
         self.valid = valid[:starts]
@@ -348,7 +349,11 @@ _REMOVED_DDL = ("struct<n_bytes: bigint, n_removed: bigint, n_spans: bigint, kep
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into: str = "repeated",
                    kept: bool = True) -> DataFrame:
-    """``docs`` with a struct column ``into``: byte counts, removed spans ``[start, end)`` and kept bytes."""
+    """``docs`` with a struct column ``into``: byte counts, removed spans ``[start, end)`` and kept bytes.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(into)
     blocks = stored_blocks(docs, BLOCK_BYTES)
     buckets = bucket_count(blocks)
 
