@@ -91,13 +91,21 @@ def minutes(spark, sf_dir):
     )
 
 
-# --- fixed values: the label tables again, as SQL ---
-_WMO_SQL = "CASE k " + " ".join(f"WHEN {c} THEN '{t}'" for c, t in labels.WMO_LABELS.items()) + " ELSE 'Unknown' END"
-_VN_SQL = " ".join(f"WHEN '{en}' THEN '{vn}'" for en, vn in labels.WEATHER_VIETNAMESE.items())
-_CATEGORY_SQL = "CASE " + " ".join(
-    "WHEN " + " OR ".join(f"contains(lower(label), '{w}')" for w in words) + f" THEN '{name}'"
-    for name, words in labels.WEATHER_CATEGORIES
-) + " ELSE 'other' END"
+# --- fixed values: the label tables again, written out as SQL and not made from the tables that the queries test ---
+_WMO_SQL = """CASE k WHEN 0 THEN 'Clear sky' WHEN 1 THEN 'Mainly clear' WHEN 2 THEN 'Partly cloudy' WHEN 3 THEN 'Overcast'
+  WHEN 45 THEN 'Fog' WHEN 48 THEN 'Icy fog' WHEN 51 THEN 'Light drizzle' WHEN 53 THEN 'Moderate drizzle' WHEN 55 THEN 'Dense drizzle'
+  WHEN 61 THEN 'Slight rain' WHEN 63 THEN 'Moderate rain' WHEN 65 THEN 'Heavy rain' WHEN 71 THEN 'Slight snow' WHEN 73 THEN 'Moderate snow'
+  WHEN 75 THEN 'Heavy snow' WHEN 80 THEN 'Slight showers' WHEN 81 THEN 'Moderate showers' WHEN 82 THEN 'Heavy showers'
+  WHEN 95 THEN 'Thunderstorm' WHEN 96 THEN 'Thunderstorm w/ hail' WHEN 99 THEN 'Thunderstorm w/ heavy hail' ELSE 'Unknown' END"""
+_VN_SQL = """WHEN 'clear sky' THEN 'Trời quang' WHEN 'few clouds' THEN 'Ít mây' WHEN 'scattered clouds' THEN 'Mây rải rác'
+  WHEN 'broken clouds' THEN 'Nhiều mây' WHEN 'overcast clouds' THEN 'Trời u ám' WHEN 'light rain' THEN 'Mưa nhẹ' WHEN 'moderate rain' THEN 'Mưa vừa'
+  WHEN 'heavy intensity rain' THEN 'Mưa to' WHEN 'thunderstorm' THEN 'Dông' WHEN 'mist' THEN 'Sương mù' WHEN 'fog' THEN 'Sương dày'"""
+_CATEGORY_SQL = """CASE WHEN lower(label) SIMILAR TO '.*(thunder|storm|sấm).*' THEN 'storm' WHEN lower(label) SIMILAR TO '.*(rain|mưa|drizzle).*' THEN 'rain'
+  WHEN lower(label) SIMILAR TO '.*(snow|tuyết).*' THEN 'snow' WHEN lower(label) SIMILAR TO '.*(fog|mist|sương).*' THEN 'fog'
+  WHEN lower(label) SIMILAR TO '.*(cloud|mây|overcast|u ám).*' THEN 'cloud' WHEN lower(label) SIMILAR TO '.*(partly|few|ít mây).*' THEN 'partly'
+  WHEN lower(label) SIMILAR TO '.*(clear|sunny|nắng|quang).*' THEN 'clear' ELSE 'other' END"""
+_LIMITS_SQL = """CASE WHEN highway = 'trunk' THEN [1.5, 3, 5] WHEN highway = 'primary' THEN [3, 7, 11]
+  WHEN highway IN ('secondary', 'tertiary') THEN [6, 12, 20] WHEN highway IN ('residential', 'service') THEN [3, 6, 10] ELSE [4, 8, 12] END"""
 # --- end of fixed values ---
 
 
@@ -141,18 +149,14 @@ def weather_phrases(spark, sf_dir):
 
 
 _HIGHWAYS = ["trunk", "primary", "secondary", "tertiary", "residential", "service", "footway", None]
-_LIMIT_SQL = [
-    "CASE highway " + " ".join(f"WHEN '{h}' THEN {limits[i]}" for h, limits in labels.DENSITY_THRESHOLDS.items())
-    + f" ELSE {labels.DENSITY_THRESHOLDS_DEFAULT[i]} END" for i in range(3)
-]
-
 
 @register("f16_density_classes", with_sql(EV, f"""
 , roads AS (SELECT event_id, {_sql_pick('user_id % 8', _HIGHWAYS)} AS highway,
-                   CASE WHEN event_type <> 'error' THEN k / 4.0 END AS density FROM ev)
-SELECT event_id, CASE WHEN density IS NULL THEN 'no data' WHEN density < {_LIMIT_SQL[0]} THEN 'free'
-       WHEN density < {_LIMIT_SQL[1]} THEN 'busy' WHEN density < {_LIMIT_SQL[2]} THEN 'heavy' ELSE 'jammed' END AS density_class
-FROM roads"""))
+                   CASE WHEN event_type <> 'error' THEN k / 4.0 END AS density FROM ev),
+limits AS (SELECT *, {_LIMITS_SQL} AS t FROM roads)
+SELECT event_id, CASE WHEN density IS NULL THEN 'no data' WHEN density < t[1] THEN 'free'
+       WHEN density < t[2] THEN 'busy' WHEN density < t[3] THEN 'heavy' ELSE 'jammed' END AS density_class
+FROM limits"""))
 def density_classes(spark, sf_dir):
     density = F.when(F.col("event_type") != "error", F.col("k") / 4)
     return base.events(spark, sf_dir).select(
