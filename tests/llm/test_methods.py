@@ -346,3 +346,78 @@ def test_mix_does_not_depend_on_buckets_much(spark, monkeypatch):
         monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
         seen.add(tuple(sorted((r.source_size, r["sum(copies)"]) for r in mixing.mixed(docs).groupBy("source_size").sum("copies").collect())))
     assert len(seen) == 1
+
+
+def _one_edit(a, b):
+    """Whether the edit distance of two words is one, by the table of all prefixes."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1] == 1
+
+
+def _plain_toxicity(labelled, texts):
+    """Lexicon and scores, with every count taken document by document and every pair of words compared."""
+    words_of = lambda t: {w for w in re.findall(r"\w+", t.lower()) if len(w) > 2}
+    starts = lambda w: [w[:n] + "*" for n in (4, 5, 6, 7, 8) if len(w) >= n]
+    toxic, clean = Counter(), Counter()
+    for text, label in labelled:
+        own = words_of(text or "")
+        (toxic if label else clean).update(own | {s for w in own for s in starts(w)})
+    share = sum(label for _, label in labelled) / len(labelled)
+    frequent = [t for t, n in toxic.items() if n >= 3]
+    weight = {t: (toxic[t] + share) / (toxic[t] + clean[t] + 1) for t in {*toxic, *clean}}
+
+    def ratio(t):
+        n, a, b = toxic[t] + clean[t], toxic[t], clean[t]
+        return a * np.log(a / n / share) + (b * np.log(b / n / (1 - share)) if b else 0)
+
+    chosen = [t for t in frequent if ratio(t) >= np.log(len(frequent)) + 1 and weight[t] >= 0.8]
+    terms = {t: weight[t] for t in chosen if not t.endswith("*") or toxic[t] >= 1.5 * max(
+        [toxic[w] for w in chosen if not w.endswith("*") and t in starts(w)], default=0)}
+    stems = {t: w for t, w in terms.items() if t.endswith("*")}
+    terms = {t: w for t, w in terms.items() if not (t.endswith("*") and any(
+        len(s) < len(t) and t.startswith(s[:-1]) and stems[s] >= w for s in stems))}
+    fuzzy = [t for t in terms if not t.endswith("*") and len(t) >= 5]
+    near = {w for w in clean if not w.endswith("*") and len(w) >= 4 and w not in terms and any(_one_edit(w, t) for t in fuzzy)}
+    held = {w: 0.0 if weight[w] < 0.5 else weight[w] for w in near}
+    neighbours = {t: sum(not held[w] and _one_edit(w, t) for w in near) for t in fuzzy}
+
+    def of(word):
+        found = max([terms.get(word, 0), *(terms.get(s, 0) for s in starts(word))])
+        if not found and len(word) >= 4 and held.get(word, 1):
+            spellings = [len(t) * 25 + len(t) + (len(t) + 1) * 26 for t in fuzzy]
+            close = [terms[t] * (1 - (neighbours[t] + 1) / (n + 2)) for t, n in zip(fuzzy, spellings) if _one_edit(word, t)]
+            found = min(held.get(word, 1), max(close, default=0))
+        return found
+
+    scores = []
+    for text in texts:
+        spots, left = list(re.finditer(r"\w+", (text or "").lower())), 1.0
+        for k, spot in enumerate(spots):
+            if len(spot.group()) > 2 and (hit := of(spot.group())):
+                around = {s.group() for s in spots[max(0, k - 5) : k] + spots[k + 1 : k + 6]}
+                left *= 1 - hit * (1.0 if around & {"you", "your"} else 0.5 if around & {"said", "word"} else 0.75)
+        scores.append(1 - left)
+    return terms, scores
+
+
+def test_toxicity_against_plain_counting(spark):
+    draw = random.Random(12)
+    bad, near = ["stupidos", "stupidly", "idiotic", "moronic"], ["stupidor", "idiotics", "moronik", "idiotik"]
+    plain = ["garden", "window", "moronica", "paper", "you", "said", "river", "stone", "idiotica", "cloud"]
+
+    def text(words, n):
+        return " ".join(draw.choice(words) for _ in range(n))
+
+    labelled = [(text(plain, 8) + " " + text(bad, 1) + " " + text(plain, 4), 1) for _ in range(60)] + [(text(plain, 14), 0) for _ in range(200)]
+    labelled += [(None, 0), ("", 1), ("stupidor garden", 0), ("moronik", 1)]
+    texts = [text(plain + bad + near, draw.randint(0, 9)) for _ in range(200)] + [None, ""]
+    terms, want = _plain_toxicity(labelled, texts)
+    lexicon = toxicity.learn(spark.createDataFrame(labelled, "text string, toxic int"))
+    assert {**lexicon.words, **{t + "*": w for t, w in lexicon.beginnings.items()}} == pytest.approx(terms)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.scored(docs, lexicon).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(want) and max(want) > 0.7 and min(want) == 0
