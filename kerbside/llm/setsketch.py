@@ -306,30 +306,35 @@ def link_members(members: DataFrame, payloads: DataFrame, compare, width: int, m
         # Comparing takes long for its bytes, so the tasks are not merged by size.
         tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         dealt = rows.join(payloads, "node").select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
-        return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long").distinct(), "links")
+        return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long"), "links")
 
     first = edges(members.withColumn("block", F.explode(blocks)).withColumn("component", F.col("node"))
                   .withColumn("side", F.lit(0)))
     wide = members.where("k > 1")
     if wide.isEmpty():
         return first
-    known = components(first).withColumnRenamed("node", "of")
+    stars = components(first)
+    known = stars.withColumnRenamed("node", "of")
     wide = stored(wide.join(known, wide.node == known.of, "left").drop("of")
                   .withColumn("component", F.coalesce("component", "node")), "wide")
-    most = wide.groupBy("key", "component").count().groupBy("key").agg(
-        F.max_by("component", F.struct("count", "component")).alias("main"))
-    wide = wide.join(most, "key")
+    held = wide.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
+    main = held.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("main"), F.sum("n").alias("all"), F.sum("bytes").alias("whole"))
+    kl = F.ceil(F.greatest((F.col("all") - F.col("main.n")) / width, (F.col("whole") - F.col("main.bytes")) / most_bytes))
+    # Only keys with members outside their largest component go on.
+    wide = wide.join(main.select("key", F.col("main.component").alias("main"), kl.alias("kl")).where("kl > 0"), "key")
     outside = F.col("component") != F.col("main")
-    left = wide.groupBy("key").agg(F.ceil(F.greatest(
-        F.count_if(outside) / width, F.sum(F.when(outside, F.col("weight")).otherwise(0)) / most_bytes)).alias("kl")).where("kl > 0")
-    wide = wide.join(left, "key")
     # Block numbers pair a block of outsiders with a block of all members.
     row = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("kl"))
     as_left = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda c: row * F.col("k") + c)
     as_right = F.transform(F.sequence(F.lit(0).cast("long"), F.col("kl") - 1), lambda r: r * F.col("k") + block)
     rows = wide.where(outside).withColumn("side", F.lit(1)).withColumn("block", F.explode(as_left)).unionByName(
         wide.withColumn("side", F.lit(0)).withColumn("block", F.explode(as_right)))
-    return first.unionByName(edges(rows))
+    return _edges_of(stars).unionByName(edges(rows))
+
+
+def _edges_of(stars: DataFrame) -> DataFrame:
+    """Components as edges from their nodes: what they connect, in fewer edges than they came from."""
+    return stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def _once(members: DataFrame) -> DataFrame:
@@ -356,15 +361,15 @@ def alike(classes: DataFrame, similarity: float, rows: int, bands: int) -> DataF
     keys = stored(keys.join(often, "band"), "bands").select(F.col("band").alias("key"), F.col("rep").alias("node"), "first")
     sketches = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
     compare, weight = _by_sketch(similarity, rows * bands), F.lit(2 * rows * bands).alias("weight")
-    early = _once(keys.where("first").select("key", "node"))
-    links = link_members(early.select("key", "node", weight), sketches, compare, WIDE_SKETCHES)
-    known = stored(components(links), "known")
+    early = keys.where("first").select("key", "node", weight)
+    known = components(link_members(early, sketches, compare, WIDE_SKETCHES))
     late = keys.where("not first").select("key", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = late.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     late = _once(late.select("key", "node").join(apart, "key", "left_semi"))
     if late.isEmpty():
         return known
-    return stored(components(links.unionByName(link_members(late.select("key", "node", weight), sketches, compare, WIDE_SKETCHES))), "alike")
+    late = link_members(late.select("key", "node", weight), sketches, compare, WIDE_SKETCHES)
+    return components(_edges_of(known).unionByName(late))
 
 
 def near_links(docs: DataFrame, classes: DataFrame, bound: tuple[int, int] = BOUND, rows: int = ROWS,
