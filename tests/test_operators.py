@@ -186,3 +186,13 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(joins.touched(rows.filter("l_partkey = 5"), rows.select("l_orderkey"), ["l_orderkey"]).select("l_orderkey"))
     assert "EqualTo(l_partkey,5)" in plan
     assert "l_tax" not in plan
+
+
+@pytest.mark.parametrize("name, most", [
+    ("a07_flow_series", 2), ("a08_a12_daily_summary", 2), ("a12_rain_means", 2), ("a13_weather_series", 2), ("a14_hourly_weather", 2),
+    ("w01_lags", 2), ("w05_carried_weather", 2), ("j09_w06_polylines", 3), ("j10_density_map", 6), ("t07_u01_gold_refresh_from_published", 8),
+])
+def test_inputs_are_evaluated_once(spark, name, most):
+    """Scans of files in the plan: one for each table an input is made of."""
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" parquet") <= most, plan
