@@ -44,11 +44,12 @@ class Words:
 
     def __init__(self, block: Block, window: int, hashes: WordHashes):
         self.ids = block.ids
-        self.words = [t.split() if t else [] for t in block.texts]
-        sizes = np.array([len(w) for w in self.words], np.int64)
+        # Only hashes stay: the words of a block take ten times the room of its text.
+        parts = [hashes.array(t.split()) if t else np.empty(0, np.uint64) for t in block.texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
-        self.hashes = np.concatenate([hashes.array(w) for w in self.words]) if self.words else np.empty(0, np.uint64)
+        self.hashes = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         asks = np.array([i is not None for i in self.ids], bool)
         last = np.where(asks, sizes - window + 1, 0).clip(0)
         self.doc = np.repeat(np.arange(len(sizes)), last)
@@ -158,7 +159,8 @@ _SPANS_DDL = ("struct<n_words: bigint, n_removed: bigint, kept_sha256: string, k
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 
 
-def _spans_of(text: bytes | None, words: list[bytes], found: list[tuple[int, int, int, int]]) -> dict:
+def _spans_of(text: bytes | None, found: list[tuple[int, int, int, int]]) -> dict:
+    words = text.split() if text else []
     cover = np.zeros(len(words) + 1, np.int64)
     for start, length, _, _ in found:
         cover[start] += 1
@@ -213,7 +215,7 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
             about = {-1 - bucket: data for bucket, data in replies.items() if bucket < 0}
             keep = hear_shared(words.anchors(window, anchor), buckets, about)
             parsed = _parsed(words, keep, window, buckets, replies)
-            found = [_spans_of(t, w, f) for t, w, f in zip(block.texts, words.words, parsed)]
+            found = [_spans_of(t, f) for t, f in zip(block.texts, parsed)]
             yield pa.RecordBatch.from_arrays([*block.rows.columns, pa.array(found, _SPANS)], [*block.rows.schema.names, into])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

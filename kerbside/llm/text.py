@@ -50,7 +50,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit BLAKE2 hash of a word, remembered for up to ``most`` words."""
 
-    most = 250_000
+    most = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
