@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.graph import stored
-from kerbside.llm.text import bounded, text_bytes
+from kerbside.llm.text import bounded, give_back, text_bytes
 
 BLOCK_BYTES = 4 << 20
 # Text bytes for each bucket; a bucket holds the keys of that much text.
@@ -105,6 +105,7 @@ def _rows(batches):
         for k in range(batch.num_rows):
             row = batch.slice(k, 1).to_pylist()[0]
             yield row["block"], row, {r["bucket"]: r["data"] for r in row.get("replies") or []}
+    give_back()
 
 
 def _with_replies(blocks: DataFrame, replies: DataFrame | None) -> DataFrame:
@@ -133,6 +134,7 @@ def answered(messages: DataFrame, work: Callable) -> DataFrame:
                 data.append(d)
         if blocks:
             yield from zip(blocks, [bucket] * len(blocks), work(data))
+        give_back()
 
     def batches_of(batches):
         for number, bucket, data in _grouped(run(batches)):

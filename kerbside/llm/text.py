@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -22,8 +23,16 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return pc.cast(column, pa.large_binary()).to_pylist()
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on for other stages, and memory that it holds free is no other's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def bounded(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices of about ``limit`` text bytes; a longer text stands alone."""
+    """The same rows in slices of about ``limit`` text bytes; a longer text stands alone. After the last one, memory is given back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -32,6 +41,7 @@ def bounded(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+    give_back()
 
 
 def sha256(data: bytes) -> str:
