@@ -108,6 +108,19 @@ def test_nearest_equals_brute_force(spark):
     assert got[2000][0] == 861
 
 
+def test_nearest_walk_costs_by_tiles(spark):
+    """What walks the pyramid are tiles, far fewer than the 20,000 points."""
+    from kerbside.operators import nearest
+    at = [((F.col("id") % 141) / 141.0 + 21).alias("lat"), ((F.col("id") % 139) / 139.0 + 105).alias("lon")]
+    places = spark.range(2000).select(F.col("id").alias("site_id"), *at)
+    below, _, widths, origin, levels = nearest._pyramid(places)
+    finest = [F.floor((F.col(c) - start) / widths[levels]).cast("bigint").alias(t) for c, start, t in (("lat", origin[0], "ty"), ("lon", origin[1], "tx"))]
+    tiles = spark.range(20000).select(F.col("id").alias("point_id"), *at).select(*finest).distinct()
+    walked = nearest._walked(tiles, below, widths, origin, levels)
+    assert 0 < walked.count() < 5000
+    assert walked.filter(F.exists("cells", lambda c: c["split"])).isEmpty()
+
+
 def test_nearest_without_sites(spark):
     p = spark.createDataFrame([(1, 1.0, 1.0)], "point_id int, lat double, lon double")
     s = spark.createDataFrame([], "site_id int, lat double, lon double")
