@@ -27,28 +27,29 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; the component is its least node.
 
     Alternating star contraction: nodes are hung under the least node of their neighbourhood, first
-    larger neighbours, then smaller ones, until no edge changes. Neighbourhoods are never
+    larger neighbours, then smaller ones, until the edges are stars: hanging larger neighbours changes
+    nothing, and each node hangs under one. Neighbourhoods are never
     gathered, only their minimum is, so a node with a third of all edges is one sum and a join
     that Spark may split. Edges with a null end are left out.
     """
     now, before = _settled(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    for _ in range(most_rounds):
+    for _ in range(most_rounds if before[0] else 0):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Repeated edges change no minimum, and go at the end of the round.
-        large = stored(large.where("a <> b"), "edges")
+        large, between = _settled(large.where("a <> b"))
+        if between == before and large.groupBy("a").count().where("count > 1").isEmpty():
+            break
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             small.select("a", F.col("m").alias("b")))
-        now, after = _settled(small.where("a <> b").distinct())
-        if after == before:
-            break
-        before = after
+        now, before = _settled(small.where("a <> b").distinct())
     else:
-        raise RuntimeError(f"no forest of stars after {most_rounds} rounds")
+        if before[0]:
+            raise RuntimeError(f"no forest of stars after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

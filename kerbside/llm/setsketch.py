@@ -14,7 +14,7 @@ their sets are alike, and the sketch of a union is the registers' maximum (``mer
    are not compared (``alike``).
 3. Members of a candidate group are confirmed pair by pair on their full shingle sets. Tasks return
    a forest of the links they find, never all pairs, and no task holds a whole wide group
-   (``link_members``).
+   (``near_components``).
 4. The components of the confirmed links are the result.
 
 With 240 registers in 60 bands of 4, a pair at the bound of 0.75 shares no band with a probability
@@ -187,19 +187,23 @@ class _Forest:
 
 
 def _linked_rows(compare, batches):
-    """Edges that connect, within each group, what the links of ``compare`` connect."""
+    """Edges between components that connect, within each group, what the links of ``compare`` connect: stars around the least."""
     for found, starts in _whole_groups(batches):
         ends = [*starts[1:].tolist(), found.num_rows]
-        node, of, side = (found.column(c).to_numpy() for c in ("node", "component", "side"))
+        of, side = (found.column(c).to_numpy() for c in ("component", "side"))
         edges_a, edges_b = [], []
         for start, end, x, y in compare(found, starts.tolist(), ends, side):
             forest, base = _Forest(end - start), {}
             for k, component in enumerate(of[start:end].tolist()):  # what is already known
                 forest.join(base.setdefault(component, k), k)
-            for i, j in zip(x.tolist(), y.tolist()):
-                if forest.join(i, j):
-                    edges_a.append(int(node[start + i]))
-                    edges_b.append(int(node[start + j]))
+            if not any([forest.join(i, j) for i, j in zip(x.tolist(), y.tolist())]):
+                continue
+            least = {}
+            for component in sorted(base):
+                center = least.setdefault(forest.root(base[component]), component)
+                if center != component:
+                    edges_a.append(component)
+                    edges_b.append(center)
         yield pa.RecordBatch.from_arrays([pa.array(edges_a, pa.int64()), pa.array(edges_b, pa.int64())], ["a", "b"])
 
 
@@ -284,103 +288,118 @@ def _by_sets(bound: tuple[int, int]):
     return compare
 
 
-def link_members(members: DataFrame, payloads: DataFrame, compare, width: int, most_bytes: int = SET_BYTES) -> DataFrame:
-    """Edges ``(a, b)`` that connect what pairs of ``members(key, node, weight)`` connect.
+def _sized(members: DataFrame, width: int, most_bytes: int = SET_BYTES) -> DataFrame:
+    """``members(key, n, bytes, ...)`` with ``k``, the number of blocks of about ``width`` members and ``most_bytes`` that their key needs."""
+    return members.where("n > 1").withColumn("k", F.ceil(F.greatest(F.col("n") / width, F.col("bytes") / most_bytes)))
+
+
+def _links(rows: DataFrame, payloads: DataFrame, compare) -> DataFrame:
+    """Edges ``(a, b)`` between the components of ``rows(key, block, node, component, side)``: members of one block are compared.
 
-    Members are ids until they are compared; then each gets its row of ``payloads(node, size, payload)``. Only members of one
-    key are compared, and each task compares a block of about ``width`` of them, or fewer where their ``weight``, the bytes of
-    their payloads, would pass ``most_bytes``. The members of a larger key are dealt into blocks, with the same few leaders in
-    each; that connects a group of copies at a cost linear in its size. Then only members outside the
-    key's largest component are compared with all others, again in blocks.
+    Members are ids until they are compared; then each gets its row of ``payloads(node, size, payload)``.
+    """
+    columns = ["key", "block", "node", "component", "side", "size", "payload"]
+    # Comparing takes long for its bytes, so the tasks are not merged by size.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(payloads, "node").select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
+    return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long"), "links")
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members of ``_sized`` dealt into ``k`` blocks a key, with the same few leaders in each.
+
+    That connects a group of copies at a cost linear in its size.
     """
     leaders = 16
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes")).where("n > 1")
-    members = members.join(sizes, "key").withColumn("k", F.ceil(F.greatest(F.col("n") / width, F.col("bytes") / most_bytes)))
-    spread = F.xxhash64("node")
-    block = F.pmod(spread, F.col("k"))
+    block = F.pmod(F.xxhash64("node"), F.col("k"))
     lead = (F.col("k") > 1) & (F.pmod(F.xxhash64(F.lit(1), "node"), F.ceil(F.col("n") / leaders)) == 0)
     blocks = F.when(lead, F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).otherwise(F.array(block))
-    columns = ["key", "block", "node", "component", "side", "size", "payload"]
+    return members.withColumn("block", F.explode(blocks)).withColumn("side", F.lit(0))
 
-    def edges(rows):
-        # Comparing takes long for its bytes, so the tasks are not merged by size.
-        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = rows.join(payloads, "node").select(*columns).repartition(tasks, "key", "block").sortWithinPartitions("key", "block")
-        return stored(dealt.mapInArrow(lambda b: _linked_rows(compare, b), "a long, b long"), "links")
 
-    first = edges(members.withColumn("block", F.explode(blocks)).withColumn("component", F.col("node"))
-                  .withColumn("side", F.lit(0)))
-    wide = members.where("k > 1")
-    if wide.isEmpty():
-        return first
-    stars = components(first)
-    known = stars.withColumnRenamed("node", "of")
-    wide = stored(wide.join(known, wide.node == known.of, "left").drop("of")
-                  .withColumn("component", F.coalesce("component", "node")), "wide")
-    held = wide.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
+def _outsiders(members: DataFrame, width: int, most_bytes: int = SET_BYTES) -> DataFrame:
+    """Members of ``_sized`` in blocks where those outside their key's largest component meet all others of the key.
+
+    Keys whose members are in one component are left out.
+    """
+    held = members.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
     main = held.groupBy("key").agg(F.max(F.struct("n", "component", "bytes")).alias("main"), F.sum("n").alias("all"), F.sum("bytes").alias("whole"))
     kl = F.ceil(F.greatest((F.col("all") - F.col("main.n")) / width, (F.col("whole") - F.col("main.bytes")) / most_bytes))
-    # Only keys with members outside their largest component go on.
-    wide = wide.join(main.select("key", F.col("main.component").alias("main"), kl.alias("kl")).where("kl > 0"), "key")
+    members = members.join(main.select("key", F.col("main.component").alias("main"), kl.alias("kl")).where("kl > 0"), "key")
     outside = F.col("component") != F.col("main")
     # Block numbers pair a block of outsiders with a block of all members.
     row = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("kl"))
+    block = F.pmod(F.xxhash64("node"), F.col("k"))
     as_left = F.transform(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda c: row * F.col("k") + c)
     as_right = F.transform(F.sequence(F.lit(0).cast("long"), F.col("kl") - 1), lambda r: r * F.col("k") + block)
-    rows = wide.where(outside).withColumn("side", F.lit(1)).withColumn("block", F.explode(as_left)).unionByName(
-        wide.withColumn("side", F.lit(0)).withColumn("block", F.explode(as_right)))
-    return _edges_of(stars).unionByName(edges(rows))
-
+    return members.where(outside).withColumn("side", F.lit(1)).withColumn("block", F.explode(as_left)).unionByName(
+        members.withColumn("side", F.lit(0)).withColumn("block", F.explode(as_right)))
 
-def _edges_of(stars: DataFrame) -> DataFrame:
-    """Components as edges from their nodes: what they connect, in fewer edges than they came from."""
-    return stars.select(F.col("node").alias("a"), F.col("component").alias("b"))
 
+def _renamed(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``known(node, component)`` after ``links`` between components, and the nodes that only the links name."""
+    now = components(links).select(F.col("node").alias("was"), F.col("component").alias("now"))
+    moved = known.join(now, known.component == now.was, "left").select("node", F.coalesce("now", "component").alias("component"))
+    new = now.join(known, now.was == known.node, "left_anti").select(F.col("was").alias("node"), F.col("now").alias("component"))
+    return stored(moved.unionByName(new), "components")
 
-def _once(members: DataFrame) -> DataFrame:
-    """``members(key, node)`` without the keys whose nodes another key has as well.
 
-    Near copies share most of their bands, and comparing the same nodes again finds nothing new. Sets of nodes are told apart by
-    their number and two 64-bit sums without carry of their hashed ids.
-    """
-    held = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
-    once = held.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
-    return stored(members.join(once.select("key"), "key", "left_semi"), "members")
+def _of(members: DataFrame, known: DataFrame) -> DataFrame:
+    """``members`` with their ``component``; a node that is not known is its own."""
+    known = known.select(F.col("node").alias("_of"), "component")
+    return members.join(known, members.node == known._of, "left").drop("_of").withColumn("component", F.coalesce("component", "node"))
 
 
 def alike(classes: DataFrame, similarity: float, rows: int, bands: int) -> DataFrame:
     """``node, component``: what is connected by pairs that share a band and whose sketches allow for the bound.
 
-    The first bands connect most of what there is. In each of the others, classes that are in one component already
-    learn nothing from each other, so only keys with several components are compared; a large group of near copies is
-    met in a few bands and not in all.
+    The first bands connect most of what there is, in blocks. In each of the others, classes that are in one component already
+    learn nothing from each other, so only keys with several components are compared, and those of the first bands that took
+    several blocks; a large group of near copies is met in a few bands and not in all. Of keys with the same nodes one is
+    compared: near copies share most of their bands. Sets of nodes are told apart by their number and two 64-bit sums without
+    carry of their hashed ids.
     """
     keys = _band_keys(classes, rows, bands)
-    often = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    keys = stored(keys.join(often, "band"), "bands").select(F.col("band").alias("key"), F.col("rep").alias("node"), "first")
+    often = keys.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    weight = F.lit(2 * rows * bands)
+    keys = stored(keys.join(often, "band"), "bands").select(
+        F.col("band").alias("key"), F.col("rep").alias("node"), "first", "n", weight.alias("weight"), (F.col("n") * weight).alias("bytes"))
+    keys = _sized(keys, WIDE_SKETCHES)
     sketches = classes.select(F.col("rep").alias("node"), F.col("n_shingles").alias("size"), F.col("sketch").alias("payload"))
-    compare, weight = _by_sketch(similarity, rows * bands), F.lit(2 * rows * bands).alias("weight")
-    early = keys.where("first").select("key", "node", weight)
-    known = components(link_members(early, sketches, compare, WIDE_SKETCHES))
-    late = keys.where("not first").select("key", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = late.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    late = _once(late.select("key", "node").join(apart, "key", "left_semi"))
+    compare = _by_sketch(similarity, rows * bands)
+    known = components(_links(_in_blocks(keys.where("first").withColumn("component", F.col("node"))), sketches, compare))
+    late = _of(keys.where("not first or k > 1").drop("first"), known)
+    held = late.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    once = held.where("low <> high").groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+    late = stored(late.join(once.select("key"), "key", "left_semi"), "members")
     if late.isEmpty():
         return known
-    late = link_members(late.select("key", "node", weight), sketches, compare, WIDE_SKETCHES)
-    return components(_edges_of(known).unionByName(late))
+    # A wide key that the first bands left in many components is one of unlike members, which leaders don't connect either.
+    return _renamed(known, _links(_outsiders(late, WIDE_SKETCHES), sketches, compare))
+
 
+def near_components(docs: DataFrame, classes: DataFrame, bound: tuple[int, int] = BOUND, rows: int = ROWS,
+                    bands: int = BANDS) -> DataFrame:
+    """``node, component``: classes that links connect, confirmed on full sets.
 
-def near_links(docs: DataFrame, classes: DataFrame, bound: tuple[int, int] = BOUND, rows: int = ROWS,
-               bands: int = BANDS) -> DataFrame:
-    """Links ``(a, b)`` between classes, confirmed on full sets, that connect all that any link connects."""
+    Members of a wide group meet in blocks first; then only those outside its largest component meet all others.
+    """
     groups = alike(classes, bound[0] / bound[1], rows, bands)
     sets = _full_sets(docs, groups.select(F.col("node").alias("rep")))
     members = groups.join(classes, groups.node == classes.rep).select(
-        F.col("component").alias("key"), "node", (8 * F.col("n_shingles")).alias("weight"))
+        F.col("component").alias("key"), "node", (8 * F.col("n_shingles")).alias("weight"), F.col("node").alias("component"))
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("bytes"))
+    members = stored(_sized(members.join(sizes, "key"), WIDE_SETS), "members")
     payloads = sets.select(F.col("rep").alias("node"), F.lit(0).alias("size"), F.col("items").alias("payload"))
-    return link_members(members, payloads, _by_sets(bound), WIDE_SETS)
+    compare = _by_sets(bound)
+    joined = components(_links(_in_blocks(members), payloads, compare))
+    wide = members.where("k > 1").drop("component")
+    if wide.isEmpty():
+        return joined
+    rest = stored(_outsiders(_of(wide, joined), WIDE_SETS), "wide")
+    return joined if rest.isEmpty() else _renamed(joined, _links(rest, payloads, compare))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -403,7 +422,7 @@ def near_duplicates(docs: DataFrame, bound: tuple[int, int] = BOUND) -> DataFram
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"),
         F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     classes = stored(classes, "classes")
-    joined = components(near_links(docs, classes.drop("copies", "set_id"), bound))
+    joined = near_components(docs, classes.drop("copies", "set_id"), bound)
     named = classes.join(joined, classes.rep == joined.node, "left").select(
         "set_id", "copies", "rep", F.coalesce("component", "rep").alias("component"))
     named = named.where("copies > 1 or component <> rep").select("set_id", "component")

@@ -421,3 +421,13 @@ def test_toxicity_against_plain_counting(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.scored(docs, lexicon).collect()}
     assert [got[k] for k in range(len(texts))] == pytest.approx(want) and max(want) > 0.7 and min(want) == 0
+
+
+def test_links_are_stars():
+    """A chain of links in a group, two of its rows known to be connected, comes out as a star around the least component."""
+    import pyarrow as pa
+    rows = pa.RecordBatch.from_pydict({
+        "key": [1] * 5, "block": [0] * 5, "node": [9, 5, 7, 3, 8], "component": [9, 5, 7, 3, 3], "side": [0] * 5, "size": [0] * 5, "payload": [b""] * 5})
+    chain = lambda found, starts, ends, side: [(0, 5, np.array([0, 1, 2]), np.array([1, 2, 3]))]
+    edges = [e for batch in setsketch._linked_rows(chain, [rows]) for e in zip(*batch.to_pydict().values())]
+    assert sorted(edges) == [(5, 3), (7, 3), (9, 3)]
