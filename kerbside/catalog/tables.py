@@ -20,6 +20,11 @@ def _event_layer(spark, name: str) -> Layer:
     return Layer(scratch_path(spark, name), ["event_id"])
 
 
+def _by_date(rows):
+    """Each date's rows in one task, so that a write makes one file a date; dates are dealt over tasks."""
+    return rows.repartition("date")
+
+
 def _event_rows(spark, sf_dir):
     ev = base.events(spark, sf_dir)
     return ev.select("event_id", "event_type", "value", F.to_date("slot").alias("date"))
@@ -149,9 +154,9 @@ def dates(spark, sf_dir):
 @register("s20_a23_files_per_date", with_sql(_E, """
 SELECT date, count(*) AS row_count, 1 AS object_count, 'event_id|event_type|value|date' AS columns FROM e GROUP BY date"""))
 def files(spark, sf_dir):
-    """Written by one task, so that each date is one file."""
+    """Each date is written by one task, so that it is one file."""
     layer = _event_layer(spark, "files")
-    _event_rows(spark, sf_dir).coalesce(1).write.partitionBy("date").parquet(layer.path)
+    _by_date(_event_rows(spark, sf_dir)).write.partitionBy("date").parquet(layer.path)
     counted = envelope(tables.with_file(tables.read_layer(spark, layer)), by=["date"])
     return flat(counted.select("date", "row_count", F.col("object_count").cast("int").alias("object_count"), F.array_join("columns", "|").alias("columns")))
 
@@ -162,7 +167,7 @@ FROM e WHERE date = (SELECT max(date) FROM e) GROUP BY date"""))
 def latest_envelope(spark, sf_dir):
     """What a layer's newest date holds."""
     layer = _event_layer(spark, "latest")
-    _event_rows(spark, sf_dir).coalesce(1).write.partitionBy("date").parquet(layer.path)
+    _by_date(_event_rows(spark, sf_dir)).write.partitionBy("date").parquet(layer.path)
     found = tables.latest_envelope(spark, layer)
     return flat(found.select("target_date", F.array_join("columns", "|").alias("columns"), "row_count", F.col("object_count").cast("int").alias("object_count")))
 
@@ -172,7 +177,7 @@ def files_listed(spark, sf_dir):
     """One write per kind of event, so each kind of a date is one current file."""
     layer = _event_layer(spark, "listed")
     for kind in base.EVENT_WEATHER:
-        tables.append(_event_rows(spark, sf_dir).filter(F.col("event_type") == kind).coalesce(1), layer)
+        tables.append(_by_date(_event_rows(spark, sf_dir).filter(F.col("event_type") == kind)), layer)
     listed = tables.files_per_date(spark, layer)
     in_folder = F.regexp_extract("path", r"date=(\d{4}-\d{2}-\d{2})/", 1)
     return flat(listed.groupBy("date").agg(
