@@ -237,15 +237,16 @@ def way_lookup(spark, sf_dir):
     return map_source.read_way_lookup(spark, folder).drop("file")
 
 
-def _write_map(spark, sf_dir) -> str:
-    """Ways, nodes and bounds as map XML, the network's edges as network XML."""
+def _write_map(spark, sf_dir, *wanted: str) -> str:
+    """The wanted of ways, nodes and bounds as map XML and the network's edges ("net") as network XML, compressed."""
     folder = scratch_path(spark, "map")
 
     def tag(key: str, value) -> F.Column:
         return F.struct(F.lit(key).alias("_k"), value.alias("_v"))
 
     def save(df, name: str, row_tag: str, root: str) -> None:
-        df.write.format("xml").option("rootTag", root).option("rowTag", row_tag).save(f"{folder}/{name}")
+        if name in wanted:
+            df.write.format("xml").option("rootTag", root).option("rowTag", row_tag).option("compression", "gzip").save(f"{folder}/{name}")
 
     tags = F.filter(F.array(tag("highway", F.col("highway")), tag("name", F.col("name"))), lambda t: t["_v"].isNotNull())
     refs = F.transform("refs", lambda r: F.struct(r.alias("_ref")))
@@ -264,25 +265,25 @@ def _write_map(spark, sf_dir) -> str:
 @register("s17_map_ways", with_sql(maps.WAYS, """
 SELECT w.way_id, w.name, w.highway, coalesce((SELECT string_agg(l_partkey, '|' ORDER BY pos) FROM p WHERE p.way_id = w.way_id), '') AS refs FROM w"""))
 def map_ways(spark, sf_dir):
-    ways = map_source.read_ways(spark, f"{_write_map(spark, sf_dir)}/ways")
+    ways = map_source.read_ways(spark, f"{_write_map(spark, sf_dir, 'ways')}/ways")
     return ways.select("way_id", "name", "highway", F.array_join("refs", "|").alias("refs"))
 
 
 @register("s17_map_nodes", "SELECT CAST(p_partkey AS VARCHAR) AS node_id, 21.0 + p_partkey / 10000.0 AS lat, 105.8 + p_size / 1000.0 AS lon FROM part")
 def map_nodes(spark, sf_dir):
-    return map_source.read_nodes(spark, f"{_write_map(spark, sf_dir)}/nodes")
+    return map_source.read_nodes(spark, f"{_write_map(spark, sf_dir, 'nodes')}/nodes")
 
 
 @register("s18_network_edges", with_sql(maps.WAYS, "SELECT id FROM e"))
 def network_edges(spark, sf_dir):
-    return map_source.read_net_edges(spark, f"{_write_map(spark, sf_dir)}/net")
+    return map_source.read_net_edges(spark, f"{_write_map(spark, sf_dir, 'net')}/net")
 
 
 @register("s17_s18_map_features", with_sql(maps.WAYS, """
 SELECT f.way_id, f.name, f.highway, (SELECT count(DISTINCT id) FROM e WHERE e.l_orderkey = f.o_orderkey) AS edges, p.pos, p.lat, p.lon
 FROM f JOIN (SELECT way_id, CAST(pos AS INTEGER) AS pos, lat, lon FROM p) p USING (way_id)"""))
 def features_from_files(spark, sf_dir):
-    folder = _write_map(spark, sf_dir)
+    folder = _write_map(spark, sf_dir, "ways", "nodes", "net")
     found = map_source.map_features(
         map_source.read_ways(spark, f"{folder}/ways"),
         map_source.read_nodes(spark, f"{folder}/nodes"),
@@ -295,5 +296,5 @@ def features_from_files(spark, sf_dir):
 @register("a21_bounds_of_file", "SELECT min(21.0 + p_partkey / 10000.0) AS min_lat, min(105.8 + p_size / 1000.0) AS min_lon, max(21.0 + p_partkey / 10000.0) AS max_lat, max(105.8 + p_size / 1000.0) AS max_lon FROM part")
 def bounds_of_file(spark, sf_dir):
     """The file's own bounds win over the box of the features."""
-    folder = _write_map(spark, sf_dir)
+    folder = _write_map(spark, sf_dir, "bounds")
     return bounding_box(maps.features(spark, sf_dir), map_source.read_bounds(spark, f"{folder}/bounds"))

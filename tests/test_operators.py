@@ -209,3 +209,31 @@ def test_inputs_are_evaluated_once(spark, name, most):
     """Scans of files in the plan: one for each table an input is made of."""
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(" parquet") <= most, plan
+
+
+def test_one_file_a_date_from_many_tasks(spark):
+    """Dates are dealt over tasks, each to one, and not all written by a single task."""
+    from kerbside.catalog.tables import _by_date
+    rows = _by_date(spark.range(200).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 20 AS INT)) AS date"))
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")  # so few bytes would be merged into one task
+    try:
+        placed = {(r.date, r.part) for r in rows.select("date", F.spark_partition_id().alias("part")).distinct().collect()}
+    finally:
+        spark.conf.set(merged, "true")
+    assert len(placed) == 20 and len({part for _, part in placed}) > 1
+
+
+def test_map_files_wanted_alone_and_compressed(spark, tmp_path):
+    from pathlib import Path
+
+    from kerbside.catalog.sources import _write_map
+    from kerbside.sources.maps import read_bounds, read_nodes
+    spark.sql("SELECT 1L AS o_orderkey, 2L AS o_custkey, 'O' AS o_orderstatus, '1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT 1L AS l_orderkey, 1 AS l_linenumber, 3L AS l_partkey, 5.0D AS l_quantity, 'N' AS l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 3L AS p_partkey, 7 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    bounds, both = _write_map(spark, str(tmp_path), "bounds"), _write_map(spark, str(tmp_path), "nodes", "net")
+    assert [p.name for p in Path(bounds).iterdir()] == ["bounds"]
+    assert {p.name for p in Path(both).iterdir()} == {"nodes", "net"}
+    assert all(p.name.endswith(".xml.gz") or p.name.endswith(".gz") for p in Path(both).glob("*/part-*"))
+    assert read_bounds(spark, f"{bounds}/bounds").first()["min_lat"] == read_nodes(spark, f"{both}/nodes").first()["lat"] == 21.0003
