@@ -11,7 +11,7 @@ from kerbside.functions import times
 from kerbside.operators import aggregates, joins
 from kerbside.operators.nearest import nearest_site
 from kerbside.plans.mapview import density_map, map_summary
-from kerbside.sources.maps import map_features
+from kerbside.sources.maps import features_without_lines, map_features
 
 # --- fixed values: order priorities as road classes, statuses without a name ---
 HIGHWAYS = {"1-URGENT": "trunk", "2-HIGH": "primary", "3-MEDIUM": "residential", "5-LOW": "footway"}
@@ -67,8 +67,8 @@ def nodes(spark, sf_dir):
     )
 
 
-def features(spark, sf_dir):
-    return map_features(ways(spark, sf_dir), nodes(spark, sf_dir), edges(spark, sf_dir))
+def features(spark, sf_dir, make=map_features):
+    return make(ways(spark, sf_dir), nodes(spark, sf_dir), edges(spark, sf_dir))
 
 
 WAYS = """
@@ -186,14 +186,14 @@ SELECT way_id, name, highway, density, rows, lo AS day_min_density, hi AS day_ma
             WHEN density < t[3] THEN 'heavy' ELSE 'jammed' END AS density_class,
        density IS NOT NULL AS matched FROM c"""))
 def on_map(spark, sf_dir):
-    return density_map(features(spark, sf_dir), records(spark, sf_dir), 840)
+    return density_map(features(spark, sf_dir, features_without_lines), records(spark, sf_dir), 840)
 
 
 @register("a19_map_summary", with_sql(_MAP, """
 SELECT count(*) FILTER (density IS NOT NULL) AS matched_features, (SELECT max(density) FROM now) AS max_density FROM m"""))
 def summary(spark, sf_dir):
     seen = records(spark, sf_dir)
-    return map_summary(density_map(features(spark, sf_dir), seen, 840), aggregates.density_by_key(seen, 840))
+    return map_summary(density_map(features(spark, sf_dir, features_without_lines), seen, 840), aggregates.density_by_key(seen, 840))
 
 
 @register("j11_nearest_site", """

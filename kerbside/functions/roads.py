@@ -12,6 +12,7 @@ INTERNAL_EDGE_MARK = ":"
 HOUSE_NUMBER_PATTERN = r"(?i)^\s*\d+[a-z]?(?:[/-]\d+[a-z]?)?\s+"
 STREET_TYPE_PATTERN = r"(?i)^(duong|pho|ngo|ngach|hem)\s+"
 COMBINING_MARKS = r"[\u0300-\u036f]"
+PLAIN_NAME_PATTERN = r"^(?!(?:duong|pho|ngo|ngach|hem) )[a-z_][-a-z0-9_.']*(?: [-a-z0-9_.']+)*\z"
 METRES_PER_DEGREE = 111000.0
 # --- end of fixed values ---
 
@@ -36,11 +37,16 @@ def strip_accents(text: Column) -> Column:
 
 
 def normal_road_name(name: Column) -> Column:
-    """Accent-free lower-case name without house number and street type; null reads ''."""
-    plain = F.lower(strip_accents(F.coalesce(name, F.lit(""))))
+    """Accent-free lower-case name without house number and street type; null reads ''.
+
+    A name whose lower case is plain ASCII words is its own normal form, which spares it the accents and patterns.
+    """
+    text = F.coalesce(name, F.lit(""))
+    plain = F.lower(strip_accents(text))
     street = F.regexp_replace(plain, HOUSE_NUMBER_PATTERN, "")
     street = F.regexp_replace(street, STREET_TYPE_PATTERN, "")
-    return F.trim(F.regexp_replace(street, r"\s+", " "))
+    normal = F.trim(F.regexp_replace(street, r"\s+", " "))
+    return F.when(F.lower(text).rlike(PLAIN_NAME_PATTERN), F.lower(text)).otherwise(normal)
 
 
 def is_internal_edge(edge_id: Column) -> Column:

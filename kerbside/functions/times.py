@@ -11,6 +11,7 @@ INTERVAL_MINUTES = 3
 BUCKETS_PER_DAY = 480
 MINUTES_PER_DAY = 1440
 CLOCK_PATTERN = r"(?:^|T|\s)(\d{1,2}):(\d{2})(?::\d{2})?"
+DATED_CLOCK_PATTERN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}"
 FILE_DATE_PATTERN = r"(\d{2}-\d{2}-\d{4})"
 # --- end of fixed values ---
 
@@ -110,13 +111,18 @@ def minute_from_number(value: Column) -> Column:
 
 
 def minute_from_text(value: Column) -> Column:
-    """Minute of the first HH:mm in the text, else of a parseable timestamp, else null."""
+    """Minute of the first HH:mm in the text, else of a parseable timestamp, else null.
+
+    After a date in its usual form the clock stands at a fixed place, which spares the pattern's groups.
+    """
     text = F.trim(value)
+    placed = F.substr(text, F.lit(12), F.lit(2)).cast("int") * 60 + F.substr(text, F.lit(15), F.lit(2)).cast("int")
     hours = F.regexp_extract(text, CLOCK_PATTERN, 1)
     minutes = F.regexp_extract(text, CLOCK_PATTERN, 2)
     clock = hours.try_cast("int") * 60 + minutes.try_cast("int")
     stamp = F.when(F.length(text) > 0, F.try_to_timestamp(text))
-    return F.when(F.length(hours) > 0, clock).otherwise(F.hour(stamp) * 60 + F.minute(stamp)).cast("int")
+    found = F.when(F.length(hours) > 0, clock).otherwise(F.hour(stamp) * 60 + F.minute(stamp)).cast("int")
+    return F.when(text.rlike(DATED_CLOCK_PATTERN), placed).otherwise(found)
 
 
 def nearest_step(minute: Column, step: int = INTERVAL_MINUTES) -> Column:

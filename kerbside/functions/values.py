@@ -89,7 +89,11 @@ def first_number(df: DataFrame, candidates: Sequence[str]) -> Column:
 
 def number_of_first(df: DataFrame, candidates: Sequence[str]) -> Column:
     """Number of the first candidate column that is not blank; null if that is no number."""
-    found = [F.when(text_of(df, n).isNotNull(), F.struct(number_of(df, n).alias("n"))) for n in present(df, candidates)]
+    def given(name: str) -> Column:
+        # The text of a number is never blank, so it need not be written out.
+        return (F.col(name) if isinstance(df.schema[name].dataType, T.NumericType) else text_of(df, name)).isNotNull()
+
+    found = [F.when(given(n), F.struct(number_of(df, n).alias("n"))) for n in present(df, candidates)]
     return F.coalesce(*found)["n"] if found else F.lit(None).cast("double")
 
 

@@ -116,12 +116,13 @@ def up_to_anchor(df: DataFrame, anchor: Column, ts: str = "rec_ts") -> DataFrame
 
 
 def drawable_ways(df: DataFrame) -> DataFrame:
-    """Ways with a class, a name, at least one edge and at least two resolved points."""
+    """Ways with a class, a name, at least one edge and at least two resolved points, as ``coordinates`` or as a count."""
+    points = F.col("points") if "points" in df.columns else F.size("coordinates")
     return df.filter(
         F.col("highway").isNotNull()
         & (F.col("highway") != "")
         & F.col("name").isNotNull()
         & (F.col("name") != "")
         & (F.size("edge_ids") >= 1)
-        & (F.size("coordinates") >= 2)
+        & (points >= 2)
     )

@@ -8,6 +8,8 @@ partitions at run time.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,17 +101,32 @@ def with_edge_ids(ways: DataFrame, edges: DataFrame, edge_column: str = "id") ->
     return joined.withColumn("edge_ids", F.coalesce("edge_ids", none))
 
 
-def polylines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``coordinates`` = [lat, lon] of each way's points in the order it lists them.
+def _points_of_ways(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Each way's points in rows, with the place of those that resolve to a node.
 
-    Points that resolve to no node are left out. ``ways.refs`` holds the node ids; a way's other columns
-    travel with its first point, so the ways are read once and not joined back.
+    ``ways.refs`` holds the node ids; a way's other columns travel with its first point as ``_way``, so the ways are
+    read once and not joined back.
     """
     places = nodes.select(F.col("node_id").alias("_ref"), "lat", "lon")
     rest = [c for c in ways.columns if c != "way_id"]
     listed = ways.select("way_id", F.struct(*rest).alias("_way"), F.posexplode_outer("refs").alias("_pos", "_ref"))
     first = F.when(F.coalesce("_pos", F.lit(0)) == 0, F.col("_way"))
-    found = listed.select("way_id", "_pos", "_ref", first.alias("_way")).join(places, "_ref", "left")
+    return listed.select("way_id", "_pos", "_ref", first.alias("_way")).join(places, "_ref", "left")
+
+
+def with_point_counts(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``points`` = how many coordinates ``polylines`` would give each way: they are counted, not collected."""
+    counted = _points_of_ways(ways, nodes).groupBy("way_id").agg(
+        F.first("_way", ignorenulls=True).alias("_way"), F.count("lat").alias("points"))
+    return counted.select("way_id", "_way.*", "points")
+
+
+def polylines(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``coordinates`` = [lat, lon] of each way's points in the order it lists them.
+
+    Points that resolve to no node are left out.
+    """
+    found = _points_of_ways(ways, nodes)
     point = F.when(F.col("lat").isNotNull(), F.struct("_pos", "lat", "lon"))
     lines = found.groupBy("way_id").agg(
         F.first("_way", ignorenulls=True).alias("_way"),
@@ -133,6 +150,9 @@ def by_first_matching_key(
     first = F.when(F.coalesce("_rank", F.lit(0)) == 0, F.col("_feature"))
     candidates = candidates.select(feature_id, "_rank", "key", first.alias("_feature"))
     found = candidates.join(lookup.select("key", *{*figures, *taken}), "key", "left")
+    # Most keys have no figure; only the first one is kept without any, as it brings the feature.
+    figured = reduce(or_, [F.col(present).isNotNull() for present in figures])
+    found = found.filter(figured | (F.coalesce("_rank", F.lit(0)) == 0))
     best = [
         F.min_by(F.struct(*columns), F.when(F.col(present).isNotNull(), F.col("_rank"))).alias(f"_best{i}")
         for i, (present, columns) in enumerate(figures.items())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators.joins import polylines, with_edge_ids
+from kerbside.operators.joins import polylines, with_edge_ids, with_point_counts
 from kerbside.operators.filters import drawable_ways, real_edges
 from kerbside.schemas import BOUNDS_XML, NET_EDGE_XML, NODE_XML, ROAD_LOOKUP, WAY_LOOKUP, WAY_XML
 
@@ -75,12 +75,19 @@ def read_net_edges(spark: SparkSession, path: str) -> DataFrame:
     return real_edges(edges)
 
 
-def map_features(ways: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Drawable ways with their edge ids and coordinates.
-
-    Ways that fail on name, class or edges leave before their points are looked up.
-    """
+def _named_with_edges(ways: DataFrame, edges: DataFrame) -> DataFrame:
+    """Ways that fail on name, class or edges leave before their points are looked up."""
     named = ways.filter("name IS NOT NULL AND name <> '' AND highway IS NOT NULL AND highway <> ''")
-    with_edges = with_edge_ids(named, edges).filter(F.size("edge_ids") >= 1)
-    lines = polylines(with_edges, nodes)
+    return with_edge_ids(named, edges).filter(F.size("edge_ids") >= 1)
+
+
+def map_features(ways: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Drawable ways with their edge ids and coordinates."""
+    lines = polylines(_named_with_edges(ways, edges), nodes)
     return drawable_ways(lines).select("way_id", "edge_ids", "name", "highway", "coordinates")
+
+
+def features_without_lines(ways: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``map_features`` without the coordinates, for figures on the map that draw no line."""
+    counted = with_point_counts(_named_with_edges(ways, edges), nodes)
+    return drawable_ways(counted).select("way_id", "edge_ids", "name", "highway")

@@ -152,3 +152,15 @@ def test_file_date(spark, path, expected):
 
 def test_offset_is_dropped(spark):
     assert one(spark, times.parse_local(text("2024-01-01T10:00:00+05:30")).cast("string")) == "2024-01-01 10:00:00"
+
+
+def test_plain_names_and_dated_clocks_skip_the_patterns_with_the_same_result(spark):
+    names = ["Street 5", "STREET  5", "street 5\n", " street 5", "pho", "Pho Hue", "phong ba", "ngo 12 hue", "12 pho hue", "K\u212aelvin way",
+             "a-b.c's_d", "ngach\thue", "duong", "hem x", "Phố Huế", "", "5", "x\u00a0y"]
+    normal = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(roads.normal_road_name(F.col("n"))).collect()]
+    assert normal == ["street 5", "street 5", "street 5", "street 5", "pho", "hue", "phong ba", "12 hue", "hue", "kkelvin way",
+                      "a-b.c's_d", "hue", "duong", "x", "hue", "", "5", "x\u00a0y"]
+    clocks = ["2024-01-01T14:05", " 2024-01-01T99:07:30Z", "2024-01-01T1:05", "2024-01-01 14:05", "14:05", "24-01-01T14:05", "2024-01-01T14:0", "x", None]
+    df = spark.createDataFrame([(c,) for c in clocks], "c string")
+    assert [r[0] for r in df.select(times.minute_from_text(F.col("c"))).collect()] == [845, 5947, 65, 845, 845, 845, 840, None, None]
+    assert "RLIKE" in df.select(roads.name_keys(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()

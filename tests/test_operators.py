@@ -237,3 +237,35 @@ def test_map_files_wanted_alone_and_compressed(spark, tmp_path):
     assert {p.name for p in Path(both).iterdir()} == {"nodes", "net"}
     assert all(p.name.endswith(".xml.gz") or p.name.endswith(".gz") for p in Path(both).glob("*/part-*"))
     assert read_bounds(spark, f"{bounds}/bounds").first()["min_lat"] == read_nodes(spark, f"{both}/nodes").first()["lat"] == 21.0003
+
+
+def test_numbers_are_not_written_out_to_see_if_they_are_blank(spark):
+    df = spark.createDataFrame([("e", 1.5), ("e", None), ("e", float("nan"))], "edge_id string, avg_density double")
+    records = aggregates.density_records(df)
+    assert [r["density"] for r in records.collect()] == [1.5, None, None]
+    assert "cast(avg_density" not in records._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_without_figures_leave_and_their_features_stay(spark):
+    features = spark.createDataFrame(
+        [("1", "a", ["x", "y", "z"]), ("2", "b", ["x"]), ("3", "c", []), ("4", "d", None), ("5", "e", ["q", "y"])],
+        "way_id string, name string, keys array<string>")
+    lookup = spark.createDataFrame([("y", 7, None), ("z", 8, 9), ("q", None, None)], "key string, n int, m int")
+    found = joins.by_first_matching_key(features, "way_id", "keys", lookup, {"n": ["n"], "m": ["m"]})
+    assert sorted(found.collect()) == [("1", "a", 7, 9), ("2", "b", None, None), ("3", "c", None, None), ("4", "d", None, None), ("5", "e", 7, None)]
+    assert "isnotnull(n#" in plan_of(found)
+
+
+def test_points_are_counted_as_lines_hold_them(spark):
+    from kerbside.sources.maps import features_without_lines, map_features
+    ways = spark.createDataFrame(
+        [("1", "a", "trunk", ["p", "q"]), ("2", "b", "trunk", ["p", "?"]), ("3", "c", "trunk", []), ("4", "d", "trunk", ["p", "p", "?"]),
+         ("5", None, "trunk", ["p", "q"]), ("6", "f", "trunk", ["q", "p"]), ("7", "g", "trunk", ["p"]), ("7", "g", "trunk", ["p"]), ("8", "h", "trunk", ["n"])],
+        "way_id string, name string, highway string, refs array<string>")
+    nodes = spark.createDataFrame([("p", 1.0, 2.0), ("q", 3.0, 4.0), ("n", None, 4.0), ("n", 5.0, 4.0)], "node_id string, lat double, lon double")
+    edges = spark.createDataFrame([(f"{k}#0",) for k in (1, 2, 3, 4, 5, 7, 8)] + [("-1#1",)], "id string")
+    counted = features_without_lines(ways, nodes, edges)
+    rows = sorted(counted.collect())
+    assert rows == sorted(map_features(ways, nodes, edges).drop("coordinates").collect())
+    assert [r["way_id"] for r in rows] == ["1", "4", "7"]
+    assert "lon#" not in plan_of(counted).split("points", 1)[0]
