@@ -10,7 +10,7 @@ from kerbside.catalog.base import register, with_sql
 from kerbside.functions import times
 from kerbside.operators import aggregates, joins
 from kerbside.operators.nearest import nearest_site
-from kerbside.plans.mapview import density_map, map_summary
+from kerbside.plans.mapview import density_map, map_summary, matched_features
 from kerbside.sources.maps import features_without_lines, map_features
 
 # --- fixed values: order priorities as road classes, statuses without a name ---
@@ -193,7 +193,7 @@ def on_map(spark, sf_dir):
 SELECT count(*) FILTER (density IS NOT NULL) AS matched_features, (SELECT max(density) FROM now) AS max_density FROM m"""))
 def summary(spark, sf_dir):
     seen = records(spark, sf_dir)
-    return map_summary(density_map(features(spark, sf_dir, features_without_lines), seen, 840), aggregates.density_by_key(seen, 840))
+    return map_summary(matched_features(features(spark, sf_dir, features_without_lines), seen, 840), aggregates.density_by_key(seen, 840))
 
 
 @register("j11_nearest_site", """

@@ -138,17 +138,20 @@ def _selected(minute: Column, selected: int | None) -> Column:
     return F.coalesce(times.nearest_step(minute) == wanted, F.lit(False))
 
 
-def _per_key(records: DataFrame, by: Sequence[str]) -> DataFrame:
+def _per_key(records: DataFrame, by: Sequence[str], taken: Column | None = None) -> DataFrame:
+    """A row for each key of the records ``taken``, which are all unless given."""
     known = records.filter("density IS NOT NULL")
+    # Rows not taken lose their keys here: a filter would go below and write the minute's expressions out many times.
+    keys = F.col("keys") if taken is None else F.when(taken, F.col("keys"))
     # explode_outer: a plain explode also filters on the list's size below, computing it twice.
-    keyed = known.select(*by, "minute", "density", F.explode_outer("keys").alias("key"))
+    keyed = known.select(*by, "minute", "density", F.explode_outer(keys).alias("key"))
     return keyed.filter("key IS NOT NULL")
 
 
 def density_by_key(records: DataFrame, selected: int | None, by: Sequence[str] = ()) -> DataFrame:
     """Mean density and row count per key at the selected minute."""
-    at = records.filter(_selected(F.col("minute"), selected))
-    return _per_key(at, by).groupBy(*by, "key").agg(F.avg("density").alias("density"), F.count(F.lit(1)).alias("rows"))
+    at = _selected(F.col("minute"), selected)
+    return _per_key(records, by, at).groupBy(*by, "key").agg(F.avg("density").alias("density"), F.count(F.lit(1)).alias("rows"))
 
 
 def density_range_by_key(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:

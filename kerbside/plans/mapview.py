@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions import labels, roads
-from kerbside.operators.aggregates import density_figures_by_key
+from kerbside.operators.aggregates import density_by_key, density_figures_by_key
 from kerbside.operators.joins import by_first_matching_key
 
 
@@ -36,7 +36,17 @@ def density_map(features: DataFrame, records: DataFrame, selected: int | None) -
     )
 
 
+def matched_features(features: DataFrame, records: DataFrame, selected: int | None) -> DataFrame:
+    """``matched`` of each feature as ``density_map`` has it, from the records of the selected minute alone."""
+    keyed = with_feature_keys(features).select("way_id", "keys")
+    found = by_first_matching_key(keyed, "way_id", "keys", density_by_key(records, selected), {"density": ["density"]})
+    return found.select("way_id", F.col("density").isNotNull().alias("matched"))
+
+
 def map_summary(mapped: DataFrame, by_key: DataFrame) -> DataFrame:
-    """Matched features and the greatest selected density (0 without any), as one row."""
+    """Matched features and the greatest selected density (0 without any), as one row.
+
+    ``mapped`` needs no column but ``matched``.
+    """
     greatest = by_key.agg(F.coalesce(F.max("density"), F.lit(0.0)).alias("d")).scalar()
     return mapped.agg(F.count_if("matched").alias("matched_features")).withColumn("max_density", greatest)

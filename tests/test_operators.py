@@ -269,3 +269,23 @@ def test_points_are_counted_as_lines_hold_them(spark):
     assert rows == sorted(map_features(ways, nodes, edges).drop("coordinates").collect())
     assert [r["way_id"] for r in rows] == ["1", "4", "7"]
     assert "lon#" not in plan_of(counted).split("points", 1)[0]
+
+
+def test_selected_minutes_stay_out_of_filters(spark):
+    """A filter on the minute would go below the records and write their expressions out many times."""
+    df = spark.createDataFrame([("1", "2024-01-01T14:00", 4.0)], "edge_id string, recordDatetime string, avg_density double")
+    found = aggregates.density_by_key(aggregates.density_records(df), 840)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "recordDatetime" in line]
+    assert found.collect() == [("1", 4.0, 1)]
+
+
+def test_map_summary_takes_no_range_of_the_day(spark):
+    plan = QUERIES["a19_map_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(density" not in plan
+    features = spark.createDataFrame([("7", ["7#1"], "A"), ("8", ["8"], None), ("9", [], "b")], "way_id string, edge_ids array<string>, name string")
+    rows = [("7#1", None, "2024-01-01T14:00", 4.0), ("8", None, "2024-01-01T10:00", 9.0), (None, "B", "2024-01-01T14:01", 5.0)]
+    records = aggregates.density_records(spark.createDataFrame(rows, "edge_id string, road_name string, recordDatetime string, avg_density double"))
+    mapped = mapview.matched_features(features, records, 840)
+    assert sorted(mapped.collect()) == [("7", True), ("8", False), ("9", True)]
+    assert mapview.map_summary(mapped, aggregates.density_by_key(records, 840)).collect() == [(2, 5.0)]
