@@ -25,6 +25,8 @@ from kerbside.session import pin, written
 
 # --- fixed values: the folder that Spark's writers give a null partition value ---
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Rows up to which a folder's part of them is small enough for one task, whatever share of them it holds.
+FEW_ROWS = 1_000_000
 # --- end of fixed values ---
 
 
@@ -105,15 +107,21 @@ def scan_union_mixed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return union
 
 
-def _by_partition(df: DataFrame, layer: Layer) -> DataFrame:
+def _by_partition(df: DataFrame, layer: Layer, few: bool = False) -> DataFrame:
     """Few files per partition: rows are shuffled to their partition. AQE's rebalance splits a
-    partition that is too large for one task, so a hot date is written by many."""
+    partition that is too large for one task, so a hot date is written by many.
+
+    It also merges small partitions into one task, which then writes their files one after another. ``few`` rows are
+    dealt over tasks of a fixed number instead.
+    """
+    if few:
+        return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *layer.partition_by)
     return df.hint("rebalance", *[F.col(c) for c in layer.partition_by])
 
 
-def _overwrite_partitions(rows: DataFrame, layer: Layer) -> None:
+def _overwrite_partitions(rows: DataFrame, layer: Layer, few: bool = False) -> None:
     """Replace the partitions that hold rows; all others stay."""
-    writer = _by_partition(rows, layer).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = _by_partition(rows, layer, few).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*layer.partition_by).parquet(layer.path)
 
 
@@ -130,8 +138,8 @@ def _empty_partitions(rows: DataFrame, layer: Layer, parts: DataFrame) -> None:
         blank.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_folder(layer, part))
 
 
-def append(df: DataFrame, layer: Layer) -> None:
-    _by_partition(df, layer).write.mode("append").partitionBy(*layer.partition_by).parquet(layer.path)
+def append(df: DataFrame, layer: Layer, few: bool = False) -> None:
+    _by_partition(df, layer, few).write.mode("append").partitionBy(*layer.partition_by).parquet(layer.path)
 
 
 def append_batch(rows: DataFrame, batch_id: int, layer: Layer) -> None:
@@ -167,6 +175,7 @@ def upsert(
     layer: Layer,
     order: Sequence[Column] | None = None,
     groups: DataFrame | None = None,
+    pinned: bool = False,
 ) -> None:
     """Update rows whose key exists, insert the others.
 
@@ -177,7 +186,7 @@ def upsert(
 
     With ``groups``, rows of the table that agree with one of its rows go first, whatever their
     key, so a group that is rebuilt as a whole also loses the rows it no longer has. ``groups`` holds the
-    partition columns.
+    partition columns. A ``pinned`` source is cheap to count, so few rows in many folders are written by many tasks.
     """
     spark = df.sparkSession
     parts = list(layer.partition_by)
@@ -187,7 +196,7 @@ def upsert(
     else:
         source = keep_first(df, layer.keys, order, whole_keys=True)
     if not exists(spark, layer):
-        append(source, layer)
+        append(source, layer, pinned and source.count() <= FEW_ROWS)
         return
     touched = source.select(*parts)
     if groups is not None:
@@ -203,7 +212,7 @@ def upsert(
     if groups is not None:
         kept = kept.join(groups, groups.columns, "left_anti")
     staged = pin(kept.unionByName(source, allowMissingColumns=True))
-    _overwrite_partitions(staged, layer)
+    _overwrite_partitions(staged, layer, pinned and staged.count() <= FEW_ROWS)
     if groups is not None:
         filled = staged.select(*parts).distinct()
         same = reduce(and_, [F.col(f"t.{c}").eqNullSafe(F.col(f"f.{c}")) for c in parts])

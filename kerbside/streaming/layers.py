@@ -119,7 +119,8 @@ def _bronze(name: str, schema: T.StructType, to_rows: Callable, hours: Callable)
             # From here on the batch is read back as stored, not parsed again.
             written_ = read_layer(spark, layer).filter(F.col("_batch") == batch_id)
             changed = hours(written_, streams)
-            if timed:
+            # In a table of this batch alone nothing can be replaced, and its rows need not be looked up.
+            if timed and not read_layer(spark, layer).filter(F.col("_batch") != batch_id).isEmpty():
                 changed = changed.unionByName(_hours_superseded(spark, layer, written_, batch_id))
             publish_changes(changed, layer)
 
@@ -169,7 +170,7 @@ def start_silver(spark: SparkSession, streams: Streams, trigger: dict) -> Stream
         if hours.isEmpty() or not exists(batch.sparkSession, lake.traffic):
             return
         spark = batch.sparkSession
-        upsert(pin(rebuild_silver(spark, streams, hours)), lake.silver, groups=hours)
+        upsert(pin(rebuild_silver(spark, streams, hours)), lake.silver, groups=hours, pinned=True)
         publish_changes(hours, lake.silver)
 
     changes = _changes(spark, streams, lake.traffic).unionByName(_changes(spark, streams, lake.weather))
@@ -187,7 +188,7 @@ def start_gold(spark: SparkSession, streams: Streams, trigger: dict) -> Streamin
             return
         silver = on_partitions_of(read_layer(batch.sparkSession, lake.silver), hours, ["date", "hour"])
         rebuilt = pin(with_hour(build_gold(touched(silver, hours, HOUR_KEYS))))
-        upsert(rebuilt, lake.gold, groups=hours.withColumnRenamed("road_name", "roadName"))
+        upsert(rebuilt, lake.gold, groups=hours.withColumnRenamed("road_name", "roadName"), pinned=True)
 
     changes = _changes(spark, streams, lake.silver)
     checkpoint = f"{streams.checkpoints}/gold"

@@ -352,3 +352,30 @@ def test_changes_are_archived(spark):
         query.option("checkpointLocation", f"{streams.checkpoints}/reader").trigger(availableNow=True).start().awaitTermination()
     assert sorted(seen) == list(range(12))
     assert len(spark.read.schema(layers.CHANGED_HOURS).parquet(layer.changes).inputFiles()) <= 6
+
+
+def test_few_rows_in_many_folders_are_written_by_many_tasks(spark, tmp_path):
+    layer = Layer(str(tmp_path / "few"), ["id"], ("date", "hour"))
+    rows = spark.range(400).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 20 AS INT)) AS date", "CAST(id % 5 AS INT) AS hour")
+    placed = {(r.date, r.hour, r.part) for r in tables._by_partition(rows, layer, few=True).select("date", "hour", F.spark_partition_id().alias("part")).distinct().collect()}
+    assert len(placed) == 20 and len({part for *_, part in placed}) > 1
+    for _ in range(2):  # the first write of the table and one that replaces rows
+        tables.upsert(rows, layer, groups=rows.select("date", "hour").distinct(), pinned=True)
+        assert sorted(r.id for r in tables.read_layer(spark, layer).collect()) == list(range(400))
+        files = [p.parent for p in (tmp_path / "few").rglob("*.parquet")]
+        assert len(files) == len(set(files)) == 20
+
+
+def test_first_batch_looks_up_no_replaced_readings(spark, tmp_path, monkeypatch):
+    from kerbside.catalog import base
+
+    seen = []
+    inner = layers._hours_superseded
+    monkeypatch.setattr(layers, "_hours_superseded", lambda *args: seen.append(args[-1]) or inner(*args))
+    streams = layers.Streams(lake=Lake(str(tmp_path / "lake")), traffic_landing=str(tmp_path / "traffic"), weather_landing=str(tmp_path / "weather"),
+                             checkpoints=str(tmp_path / "checkpoints"), clock=base.fixed_clock())
+    rows = base.landing_traffic(spark, "/root/testdata/sf0.001").limit(20).localCheckpoint()
+    for expected in ([], [1]):
+        write_landing(rows, streams.traffic_landing, per_interval=False)
+        layers.start_bronze_traffic(spark, streams, layers.AVAILABLE_NOW).awaitTermination()
+        assert seen == expected
