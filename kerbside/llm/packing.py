@@ -26,6 +26,7 @@ import heapq
 import os
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,7 @@ class WordTokenizer:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         # The last token of a piece, and no other, carries the mark of a word's end.
         self.ends = np.array([(self.tokenizer.id_to_token(k) or "").endswith(WORD_END) for k in range(size)])
-        self.words: dict[str, bytes] = {}
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
         self.pieces: dict[str, bytes] = {}
 
     @classmethod
@@ -82,45 +83,59 @@ class WordTokenizer:
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``; a null text has none."""
-        for known in (self.words, self.pieces):
-            if len(known) > MOST_WORDS:
-                known.clear()
         split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         words = split.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        if new := set(names).difference(self.words):
-            self._learn(new)
-        data = [self.words[w] for w in names]
-        # Distinct words' ids stand one after another; each word of the texts takes its stretch of them.
-        each = np.fromiter(map(len, data), np.int64, len(data)) // self.kind.itemsize
-        ids, starts = np.frombuffer(b"".join(data), self.kind), np.cumsum(each) - each
-        which = words.indices.to_numpy()
-        sizes = each[which]
-        ends = np.cumsum(sizes)
-        out = ids[np.repeat(starts[which] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+        names = words.dictionary.cast(pa.string())
+        at = pc.index_in(names, self.words)
+        if len(self.words) > MOST_WORDS:
+            # Words of these texts are common, or needed at once; the others go.
+            kept = at.drop_null()
+            self.words, self.ids = self.words.take(kept), self.ids.take(kept)
+            at = pc.index_in(names, self.words)
+        if at.null_count:
+            unknown = at.is_null()
+            new = names.filter(unknown)
+            ids = pa.array(self._learn(new.to_pylist()), pa.large_binary())
+            places = pa.array(np.arange(len(self.words), len(self.words) + len(new), dtype=np.int32))
+            at = pc.replace_with_mask(at, unknown, places)
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
+        out = self.ids.take(at.take(words.indices))
+        _, offsets, data = out.buffers()
+        # Offsets of the words behind the last one of each text, in bytes.
         last = np.cumsum(pc.list_value_length(split).to_numpy())
-        cuts = (np.r_[0, ends][last] * self.kind.itemsize).tolist()
-        return [out[a:b] for a, b in zip([0, *cuts], cuts)]
+        cuts = np.frombuffer(offsets, np.int64)[out.offset + last].tolist() if len(out) else [0] * len(texts)
+        raw = data.to_pybytes() if data is not None else b""
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
 
-    def _learn(self, new: set[str]) -> None:
-        cut, odd = {}, []
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        whole, cut, odd = [], {}, []
         for word in new:
             if word.isascii() and word.isprintable() or PLAIN.fullmatch(word):
-                cut[word] = (word.lower(),) if word.isalpha() else PIECES.findall(word.lower())
+                if word.isalpha():
+                    whole.append(word)
+                elif "<|" in word:  # the text of a special token, perhaps
+                    odd.append(word)
+                else:
+                    cut[word] = PIECES.findall(word.lower())
             else:
                 odd.append(word)
-        odd += [w for w in cut if "<|" in w]  # the text of a special token, perhaps
-        rest = list({p for ps in cut.values() for p in ps}.difference(self.pieces))
+        lowered = [*map(str.lower, whole)]
+        wanted = {*lowered, *chain.from_iterable(cut.values())}
+        if len(self.pieces) > MOST_WORDS:
+            self.pieces = {p: self.pieces[p] for p in wanted if p in self.pieces}
+        rest = list(wanted.difference(self.pieces))
         for at in range(0, len(rest), 5000):
             part = rest[at : at + 5000]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
             ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
             data = ids.astype(self.kind).tobytes()
-            self.pieces.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+            self.pieces.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
         piece = self.pieces.__getitem__
-        self.words.update((w, piece(ps[0]) if len(ps) == 1 else b"".join(map(piece, ps))) for w, ps in cut.items())
-        self.words.update(
-            (w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)))
+        found = dict(zip(whole, map(piece, lowered)))
+        found.update((w, b"".join(map(piece, ps))) for w, ps in cut.items())
+        found.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)))
+        return [*map(found.__getitem__, new)]
 
 
 def tokens(docs: DataFrame, path: str, end: int = END, size: int = SIZE, ident: str = "doc_id", text: str = "text") -> DataFrame:

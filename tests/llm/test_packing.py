@@ -116,3 +116,17 @@ def test_pieces(spark, size):
         assert lengths.sum() <= size and own.offset.sort_values().tolist() == [0, *np.cumsum(lengths)[:-1]]
     assert sorted(pieces.sequence_id.unique()) == list(range(pieces.sequence_id.nunique()))
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_common_words_are_remembered_when_others_go(monkeypatch):
+    monkeypatch.setattr(packing, "MOST_WORDS", 3)
+    whole = Tokenizer.from_file(PATH)
+    tokenizer = packing.WordTokenizer(PATH)
+    learned = []
+    inner = tokenizer._learn
+    monkeypatch.setattr(tokenizer, "_learn", lambda new: learned.append(sorted(new)) or inner(new))
+    for texts in (["the cat", "cat's sat."], ["the dog's", None, "the"], ["dog's the\nCat sat.", ""], ["the <|endoftext|>x"]):
+        for text, ids in zip(texts, tokenizer(pa.array(texts, pa.string())), strict=True):
+            assert np.frombuffer(ids, tokenizer.kind).tolist() == whole.encode(text or "", add_special_tokens=False).ids
+    assert learned == [["cat", "cat's", "sat.", "the"], ["", "dog's"], ["Cat", "sat."], ["<|endoftext|>x"]]
+    assert tokenizer(pa.array([], pa.string())) == [] and tokenizer(pa.array([None, ""], pa.string())) == [b"", b""]
