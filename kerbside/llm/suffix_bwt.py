@@ -10,13 +10,14 @@ each round still passes over them once, in order.
 Whole documents as strings would need a round per byte of the longest one, each over the whole
 table. So documents are cut, without losing a match:
 
-1. Anchors: of the 96-byte grams inside each ``length``-byte string the one with the least hash. Equal
-   strings have equal anchors. Blocks of documents (``blocks.py``) learn by a bit which of their anchors stand at two
+1. Anchors: of the 96-byte grams inside each ``length``-byte string the first with the least hash. Equal
+   strings have equal anchors at equal places. Blocks of documents (``blocks.py``) learn by a bit which of their anchors stand at two
    places or more; strings around other anchors are unique.
-2. The strings around one anchor overlap to one segment, of at most ``PIECE`` starts. Segments of shared anchors go to the
-   anchor's bucket, each distinct one once for each block, with the word whether it stood there twice.
-3. A bucket builds the transform of its distinct segments. Segments that are alone around
-   their anchor are left out if they stand twice somewhere as a whole; then all their strings do.
+2. The strings around one place of an anchor overlap to one segment, of a start for each place of the anchor in them at most. Segments of
+   shared anchors go to the anchor's bucket, each distinct one once for each block, with the word whether it stood there twice.
+3. A bucket builds the transform of its distinct segments. Symbols are words of ``WORD`` bytes counted from the anchor, so that equal strings
+   are cut into equal words: rounds and arrays are an eighth each of what they are with bytes. Segments that are alone around
+   their anchor are left out; all their strings stand twice if they do as a whole, and none otherwise.
 4. Buckets of more than ``BUCKET_MOST`` bytes (a passage of very many documents in different surroundings has
    a segment for each around one anchor) are not sorted in one place. Their strings are dealt anew, each by its own hash of
    128 bits and each distinct one once for each block; strings with equal hashes count as equal.
@@ -28,6 +29,8 @@ texts have no bytes. Repeated rows repeat each other's strings, whatever their i
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -41,63 +44,84 @@ from kerbside.llm.text import mix, sha256, table
 
 LENGTH = 200
 GRAM = 96
-PIECE = 256
 BLOCK_BYTES = 2 << 20
 # Bytes of segments that are sorted in one bucket.
 BUCKET_MOST = 2 * BUCKET_TEXT
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-
-
-PLACE = np.int64((1 << 40) - 1)
+# Symbols of the strings in buckets are words of this many bytes.
+WORD = 8
+# Starts whose grams are hashed at once; their arrays stay in a processor's cache.
+CHUNK = 1 << 14
+# A random number for each byte, and the odd factor of the sums that hash grams.
+SPREAD = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(FACTORS[0]))
+FACTOR = 0xD1342543DE82EF95
 
 
 def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Burrows-Wheeler transform and common prefixes of all suffixes of ``strings``, empty ones first.
 
-    Symbols are bytes plus one; 0 ends a string (no byte of UTF-8 text is 255). ``lcp[k]`` is what
+    Symbols are bytes plus one; 0 ends a string. ``lcp[k]`` is what
     suffix ``k`` shares with the one before it. Ends of strings match nothing, and sort by string.
     """
-    n = len(strings)
-    size = np.array([len(s) for s in strings], np.int64)
-    symbols = np.frombuffer(b"".join(strings), np.uint8) + np.uint8(1)
+    symbols = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
+    return _columns(symbols, np.array([len(s) for s in strings], np.int64))
+
+
+def _columns(symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The transform and common prefixes of strings of ``size`` symbols each, positive numbers that stand string after string."""
+    n = len(size)
+    bits = np.int64(int(len(symbols) + n).bit_length())
+    mask = np.int64((1 << int(bits)) - 1)
     ends = np.cumsum(size)
-    bwt = np.where(size > 0, symbols[np.maximum(ends - 1, 0)] if len(symbols) else 0, 0).astype(np.uint8)
-    lcp = np.zeros(n, np.uint16)
+    bwt = np.where(size > 0, symbols[np.maximum(ends - 1, 0)] if len(symbols) else 0, 0)
+    lcp = np.zeros(n, np.uint16 if size.max(initial=0) < 1 << 16 else np.int64)
     # Symbols of the transform with their places, in order: that of the suffixes which start with
     # them. ``ranks`` are those whose suffix is not in yet, of the strings ``owner``.
     owner = np.argsort(bwt, kind="stable")[int(np.count_nonzero(bwt == 0)):]
-    keys = bwt[owner].astype(np.int64) << 40 | owner
+    keys = bwt[owner] << bits | owner
     ranks = np.arange(len(keys))
+    # What the suffixes that are in start with.
+    heads = np.empty(0, np.int64)
     done = 0
     while len(ranks):
         done += 1
         new = n + ranks
         going = size[owner] > done
-        after = np.zeros(len(owner), np.uint8)
+        after = np.zeros(len(owner), np.int64)
         after[going] = symbols[ends[owner[going]] - done - 1]
         # What a suffix shares with the one before it: one more than what their tails share.
-        touched = np.union1d(ranks, ranks[ranks + 1 < len(keys)] + 1)
+        touched = np.unique(np.concatenate([ranks, ranks[ranks + 1 < len(keys)] + 1]))
         here, before = keys[touched], keys[np.maximum(touched - 1, 0)]
-        same = (touched > 0) & (here >> 40 == before >> 40)
-        shared = np.zeros(len(touched), np.uint16)
-        if same.any():
-            low, count = (before[same] & PLACE) + 1, here[same] - before[same]
-            first = np.cumsum(count) - count
-            spread = np.arange(int(count.sum())) + np.repeat(low - first, count)
-            shared[same] = np.minimum.reduceat(lcp[spread], first) + 1
+        same = (touched > 0) & (here >> bits == before >> bits)
+        shared = same.astype(lcp.dtype)
+        # Tails that start with different symbols, or are empty, share nothing.
+        low, high = (before[same] & mask) - n, (here[same] & mask) - n
+        alike = (low >= 0) & (high >= 0)
+        alike[alike] = heads[low[alike]] == heads[high[alike]]
+        if alike.any():
+            low, high = low[alike] + n, high[alike] + n
+            least = lcp[high]
+            # From the last range to the first, so that what lies between two of them is none.
+            far = np.flatnonzero(high - low > 1)
+            far = far[np.argsort(-low[far])]
+            if len(far):
+                least[far] = np.minimum.reduceat(np.append(lcp, lcp[:1]), np.stack([low[far] + 1, high[far] + 1], 1).ravel())[::2]
+            shared[np.flatnonzero(same)[alike]] = least + 1
         # One pass puts the new symbols and prefixes between the old ones.
         stay = np.ones(len(bwt) + len(new), bool)
         stay[new] = False
+        old = np.flatnonzero(stay)
         # Old symbols keep their order at shifted places.
-        shift = np.repeat(np.arange(len(new) + 1, dtype=np.int32), np.diff(new - np.arange(len(new)), prepend=0, append=len(bwt)))
-        keys += shift[keys & PLACE]
-        grown, prefixes = np.empty(len(stay), np.uint8), np.empty(len(stay), np.uint16)
-        grown[new], grown[stay] = after, bwt
-        prefixes[stay] = lcp
+        place = keys & mask
+        keys += old[place] - place
+        grown, prefixes = np.empty(len(stay), np.int64), np.empty(len(stay), lcp.dtype)
+        grown[new], grown[old] = after, bwt
+        prefixes[old] = lcp
         prefixes[n + touched] = shared
         bwt, lcp = grown, prefixes
+        heads = keys >> bits
         # New ones are ranked among their like.
-        fresh = after[going].astype(np.int64) << 40 | new[going]
+        fresh = after[going] << bits | new[going]
         sort = np.argsort(fresh)
         fresh, owner = fresh[sort], owner[going][sort]
         ranks = np.searchsorted(keys, fresh) + np.arange(len(fresh))
@@ -111,147 +135,208 @@ def collection_bwt(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def suffix_places(bwt: np.ndarray, strings: list[bytes]):
     """``(k, places)``: for each suffix length ``k`` where the strings' suffixes of it stand, -1 for shorter strings."""
+    return _places(bwt, np.array([len(s) for s in strings], np.int64))
+
+
+def _places(bwt: np.ndarray, size: np.ndarray):
     order = np.argsort(bwt, kind="stable")[int(np.count_nonzero(bwt == 0)):]
     step = np.full(len(bwt), -1, np.int64)
-    step[order] = len(strings) + np.arange(len(order))
-    size = np.array([len(s) for s in strings], np.int64)
-    at = np.arange(len(strings))
+    step[order] = len(size) + np.arange(len(order))
+    at = np.arange(len(size))
     for k in range(int(size.max(initial=0)) + 1):
         yield k, np.where(size >= k, at, -1)
         at = np.where(size > k, step[at], at)
 
 
-def repeated_starts(strings: list[bytes], twice: np.ndarray, length: int) -> list[np.ndarray]:
+def repeated_starts(strings: list[bytes], twice: np.ndarray, length: int, lead: np.ndarray | None = None) -> list[np.ndarray]:
     """For each string, for each start of ``length`` bytes, whether these bytes start elsewhere too.
 
-    ``twice`` tells which strings stand at two places or more as a whole.
+    ``twice`` tells which strings stand at two places or more as a whole. ``lead`` says how many bytes stand before a string's anchor,
+    where equal runs of ``length`` bytes have the anchor at equal places. Then symbols are words of ``WORD`` bytes, the anchor starting one: a
+    run is the suffix that starts with the first whole word in it, and up to ``WORD - 1`` bytes of the word before, which the transform holds.
     """
-    bwt, lcp = collection_bwt(strings)
-    group = np.cumsum(lcp < length)
-    weight = np.zeros(int(group[-1]) + 1 if len(group) else 1, np.int64)
-    found = [np.zeros(max(0, len(s) - length + 1), bool) for s in strings]
-    spots = []
-    for k, places in suffix_places(bwt, strings):
-        if k >= length:
-            own = np.flatnonzero(places >= 0)
-            spots.append((k, own, group[places[own]]))
-            np.add.at(weight, spots[-1][2], 1 + twice[own])
-    for k, own, groups in spots:
-        for i, many in zip(own.tolist(), (weight[groups] > 1).tolist()):
-            found[i][len(strings[i]) - k] = many
-    return found
+    word = WORD if lead is not None and length >= WORD else 1
+    size = np.array([len(s) for s in strings], np.int64)
+    front = -lead % word if word > 1 else np.zeros(len(size), np.int64)
+    count = np.maximum(size - length + 1, 0)
+    room = -(-(front + size) // word) * word
+    begin = np.cumsum(room) - room + front
+    # What fills words up is in no run.
+    filled = b"".join(bytes(f) + s + bytes(r - f - len(s)) for s, f, r in zip(strings, front.tolist(), room.tolist()))
+    words = np.frombuffer(filled, f">u{word}").astype(np.uint64)
+    bwt, lcp = _columns(np.unique(words, return_inverse=True)[1].astype(np.int64) + 1, room // word)
+    ends = np.cumsum(room // word)
+    # Where each suffix starts and where its string ends.
+    at, end, owner = np.zeros(len(bwt), np.int64), np.zeros(len(bwt), np.int64), np.zeros(len(bwt), np.int64)
+    for k, places in _places(bwt, room // word):
+        own = np.flatnonzero(places >= 0)
+        at[places[own]], end[places[own]], owner[places[own]] = ends[own] - k, ends[own], own
+    common = lcp.astype(np.int64)
+    close = np.flatnonzero((common * word < length) & (common * word + word > length - word + 1))
+    mine, other = at[close] + common[close], at[close - 1] + common[close]
+    inside = (close > 0) & (mine < end[close]) & (other < end[close - 1])
+    close = close[inside]
+    apart = words[mine[inside]] ^ words[other[inside]]
+    common *= word
+    for k in range(1, word):
+        common[close] += apart >> np.uint64(8 * (word - k)) == 0
+    weight = 1 + np.asarray(twice, np.int64)
+    wanted = np.zeros(len(filled) + 1, bool)
+    starts = np.arange(int(count.sum())) + np.repeat(begin - (np.cumsum(count) - count), count)
+    wanted[starts] = True
+    found = np.zeros(len(filled), bool)
+    for ahead in range(word):
+        group = np.cumsum(common < length - ahead)
+        spot = np.where(at < end, at * word - ahead, -1)
+        own = np.flatnonzero(wanted[spot])
+        own = own[np.bincount(group[own], weight[owner[own]])[group[own]] > 1] if len(own) else own
+        if ahead and len(own):
+            rest = words[at[own] - 1] & np.uint64((1 << 8 * ahead) - 1)
+            order = np.lexsort((rest, group[own]))
+            own, rest = own[order], rest[order]
+            which = np.cumsum(np.r_[True, (rest[1:] != rest[:-1]) | (group[own][1:] != group[own][:-1])]) - 1
+            own = own[np.bincount(which, weight[owner[own]])[which] > 1]
+        found[spot[own]] = True
+    return np.split(found[starts], np.cumsum(count)[:-1]) if len(count) else []
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of ``FACTOR`` and of its inverse."""
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, f, np.uint64)]) for f in (FACTOR, pow(FACTOR, -1, 1 << 64)))
 
 
 class Bytes:
-    """Bytes of a block's texts in one array, and the anchors of all strings of ``length`` in them."""
+    """Bytes of a block's texts in one array, and the anchors of all strings of ``length`` in them.
+
+    ``keys`` are the anchors' hashes, ``place`` where they stand; ``first`` and ``count`` tell the starts of the strings around each.
+    """
 
     def __init__(self, block: Block, length: int, gram: int):
         texts = [t or b"" for t in block.texts]
         self.length = length
         self.data = b"".join(texts)
-        self.sizes = np.array([len(t) for t in texts], np.int64)
-        self.ends = np.cumsum(self.sizes)
-        values = np.frombuffer(self.data, np.uint8).astype(np.uint64)
+        values = np.frombuffer(self.data, np.uint8)
+        starts = max(0, len(values) - length + 1)
         valid = np.zeros(len(values), bool)
-        for end, size in zip(self.ends.tolist(), self.sizes.tolist()):
+        end = 0
+        for size in map(len, texts):
             if size >= length:
-                valid[end - size : end - length + 1] = True
-        width = 1
-        while width < gram:  # grams from two halves, the last of which may overlap
-            step = min(width, gram - width)
-            values = mix(values[:-step] * np.uint64(0x9E3779B97F4A7C15) + values[step:])
-            width += step
-        self.grams = values
-        starts = max(0, len(self.data) - length + 1)
-        self.valid = valid[:starts]
-        self.least = _slid(values, length - gram + 1, np.minimum)[:starts] if starts else np.empty(0, np.uint64)
-
-    def anchors(self) -> np.ndarray:
-        """Hash of the gram at every place that is the least of a string around it."""
-        if not self.valid.any():
-            return np.empty(0, np.uint64)
-        span = len(self.grams) - len(self.least)
-        held = np.where(self.valid, self.least, np.uint64(0))
-        padded = np.concatenate([np.zeros(span, np.uint64), held, np.zeros(span, np.uint64)])
-        return self.grams[_slid(padded, span + 1, np.maximum) == self.grams]
-
-    def segments(self, shared_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(anchor, first start, last start)`` of the runs of strings around shared anchors."""
-        if not self.valid.any():
-            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        change = np.r_[True, (self.least[1:] != self.least[:-1]) | (self.valid[1:] != self.valid[:-1])]
-        begin = np.flatnonzero(change)
-        end = np.r_[begin[1:], len(self.least)]
-        inside = self.valid[begin]
-        begin, end = begin[inside], end[inside]
-        shared = shared_of(self.least[begin])
-        begin, end = begin[shared], end[shared]
-        pieces = -(-(end - begin) // PIECE)
-        owner = np.repeat(np.arange(len(begin)), pieces)
-        first = begin[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * PIECE
-        return self.least[begin[owner]], first, np.minimum(first + PIECE, end[owner]) - 1
-
-
-def _slid(values: np.ndarray, width: int, least) -> np.ndarray:
-    """Least (or greatest) of every run of ``width`` values, by doubling."""
+                valid[end : end + size - length + 1] = True
+            end += size
+        low = np.uint64((1 << (CHUNK + length).bit_length()) - 1)
+        up, down = _powers(CHUNK + length)
+        parts = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))]
+        for base in range(0, starts, CHUNK):
+            inside = valid[base : min(base + CHUNK, starts)]
+            part = values[base : base + len(inside) + length - 1]
+            # Sums of numbers by powers, up to each byte; a gram's is a difference of two, shifted to the first power.
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(SPREAD[part] * up[: len(part)], out=sums[1:])
+            grams = mix((sums[gram:] - sums[:-gram]) * down[: len(part) - gram + 1])
+            # The first of equal grams is the least.
+            least = _slid(grams & ~low | np.arange(len(grams), dtype=np.uint64), length - gram + 1)
+            place = np.where(inside, (least & low).astype(np.int64), -1)
+            cut = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            place = place[cut]
+            parts.append((grams[place], np.where(place < 0, -1, place + base), cut + base))
+        keys, place, first = map(np.concatenate, zip(*parts))
+        head = np.r_[True, place[1:] != place[:-1]][: len(place)]
+        keys, place, first = keys[head], place[head], first[head]
+        count = np.diff(first, append=starts)
+        own = place >= 0
+        self.keys, self.place, self.first, self.count = keys[own], place[own], first[own], count[own]
+
+
+def _slid(values: np.ndarray, width: int) -> np.ndarray:
+    """Least of every run of ``width`` values, by doubling."""
     have = 1
     while have < width:
         step = min(have, width - have)
-        values = least(values[:-step], values[step:])
+        values = np.minimum(values[:-step], values[step:])
         have += step
     return values
 
 
-def _messages(text: Bytes, keys, first, last, buckets: int):
-    """Per bucket the block's distinct segments there, and for each occurrence which it is."""
-    known: dict[tuple[int, bytes], list[int]] = {}
-    for k, (key, a, b) in enumerate(zip(keys.tolist(), first.tolist(), last.tolist())):
-        known.setdefault((key, text.data[a : b + text.length]), []).append(k)
-    parts: dict[int, list] = {}
-    for (key, string), places in known.items():
-        parts.setdefault((key >> 32) % buckets, []).append((key, string, places))
-    return parts
+def _alike(data: bytes, length: int, keys, first, count) -> np.ndarray:
+    """For each segment an equal one: where a text has a short period, and so a segment for each, the first of them; else itself."""
+    same = np.r_[False, (keys[1:] == keys[:-1]) & (count[1:] == count[:-1]) & (first[1:] - first[:-1] == count[:-1]), False]
+    edge = np.flatnonzero(same[1:] != same[:-1])
+    of = np.arange(len(keys))
+    for a, b in edge.reshape(-1, 2).tolist():
+        period, end = int(count[a]), int(first[b] + count[b]) + length - 1
+        if data[first[a] : end - period] == data[first[a] + period : end]:
+            of[a : b + 1] = a
+    return of
+
 
+def _segments(text: Bytes, shared: np.ndarray, buckets: int):
+    """``(bucket, message)`` with the distinct segments around shared anchors, and ``first, count, bit`` of every one.
 
-def _sent_strings(entries) -> bytes:
-    keys = np.array([e[0] for e in entries], np.uint64)
-    sizes = np.array([len(e[1]) for e in entries], np.uint32)
-    twice = np.packbits([len(e[2]) > 1 for e in entries])
+    ``bit`` is where the answers on a segment's starts begin when the replies of all buckets stand one after another.
+    """
+    keys, first, count, lead = text.keys[shared], text.first[shared], text.count[shared], (text.place - text.first)[shared]
+    of = _alike(text.data, text.length, keys, first, count)
+    own = np.flatnonzero(of == np.arange(len(of)))
+    known: dict[tuple[int, bytes], int] = {}
+    which = np.empty(len(of), np.int64)
+    which[own] = [known.setdefault((key, text.data[a:b]), len(known)) for key, a, b in
+                  zip(keys[own].tolist(), first[own].tolist(), (first + count + text.length - 1)[own].tolist())]
+    which = which[of]
+    strings = [string for _, string in known]
+    _, sample, times = np.unique(which, return_index=True, return_counts=True)
+    bucket = ((keys[sample] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bit, base, messages = np.empty(len(order), np.int64), 0, []
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
+        n = count[sample[part]]
+        bit[part] = base + np.cumsum(n) - n
+        base += -(-int(n.sum()) // 8) * 8
+        message = _sent_strings(keys[sample[part]], [strings[k] for k in part.tolist()], lead[sample[part]], times[part] > 1)
+        messages.append((int(bucket[part[0]]), message))
+    return messages, np.stack([first, count, bit[which]])
+
+
+def _sent_strings(keys, strings: list[bytes], lead, twice) -> bytes:
+    sizes = np.array([len(s) for s in strings], np.uint32)
     # The size stands first and big-endian, for ``_size``.
-    head = int(sizes.sum()).to_bytes(4, "big") + len(entries).to_bytes(4, "little") + keys.tobytes() + sizes.tobytes() + twice.tobytes()
-    return head + zstandard.ZstdCompressor(level=3).compress(b"".join(e[1] for e in entries))
+    head = int(sizes.sum()).to_bytes(4, "big") + len(strings).to_bytes(4, "little") + keys.tobytes() + sizes.tobytes()
+    rest = lead.astype(np.uint32).tobytes() + np.packbits(twice).tobytes()
+    return head + rest + zstandard.ZstdCompressor(level=3).compress(b"".join(strings))
 
 
 def _heard_strings(message: bytes):
     n = int.from_bytes(message[4:8], "little")
     keys = np.frombuffer(message, np.uint64, n, 8)
-    sizes = np.frombuffer(message, np.uint32, n, 8 + 8 * n)
+    sizes, lead = np.frombuffer(message, np.uint32, 2 * n, 8 + 8 * n).astype(np.int64).reshape(2, n)
     bits = (n + 7) // 8
-    twice = np.unpackbits(np.frombuffer(message, np.uint8, bits, 8 + 12 * n), count=n) > 0
-    data = zstandard.ZstdDecompressor().decompress(message[8 + 12 * n + bits :])
+    twice = np.unpackbits(np.frombuffer(message, np.uint8, bits, 8 + 16 * n), count=n) > 0
+    data = zstandard.ZstdDecompressor().decompress(message[8 + 16 * n + bits :])
     ends = np.cumsum(sizes).tolist()
-    return keys.tolist(), [data[e - s : e] for e, s in zip(ends, sizes.tolist())], twice.tolist()
+    return keys, [data[e - s : e] for e, s in zip(ends, sizes.tolist())], lead, twice
 
 
 def _tell_repeated(length: int):
     def tell(messages: list[bytes]) -> list[bytes]:
-        heard = [_heard_strings(m) for m in messages]
-        times: dict[tuple[int, bytes], int] = {}
-        variants: dict[int, int] = {}
-        for keys, strings, twice in heard:
-            for key, string, two in zip(keys, strings, twice):
-                seen = times.get((key, string), 0)
-                variants[key] = variants.get(key, 0) + (not seen)
-                times[key, string] = seen + 1 + two
-        # Alone around their anchor and found twice: nothing to sort.
-        sorted_ = [k for k, count in times.items() if variants[k[0]] > 1 or count < 2]
-        strings = [s for _, s in sorted_]
-        found = dict(zip(sorted_, repeated_starts(strings, np.array([times[k] > 1 for k in sorted_], bool), length)))
-        replies = []
-        for keys, strings, _ in heard:
-            bits = [found[k] if k in found else np.ones(len(k[1]) - length + 1, bool) for k in zip(keys, strings)]
-            replies.append(packed(np.packbits(np.concatenate(bits))))
-        return replies
+        known: dict[tuple[int, bytes], int] = {}
+        heard = []
+        for message in messages:
+            keys, strings, lead, twice = _heard_strings(message)
+            heard.append(([known.setdefault(k, len(known)) for k in zip(keys.tolist(), strings)], lead, twice))
+        which = np.concatenate([w for w, _, _ in heard]).astype(np.int64)
+        lead = np.zeros(len(known), np.int64)
+        lead[which] = np.concatenate([x for _, x, _ in heard])
+        several = np.bincount(which, 1 + np.concatenate([x for _, _, x in heard]).astype(np.int64)) > 1
+        strings = [s for _, s in known]
+        _, anchor, variants = np.unique(np.fromiter((k for k, _ in known), np.uint64, len(known)), return_inverse=True, return_counts=True)
+        # Alone around their anchor: their strings stand where the segment does, and nowhere else.
+        sorted_ = np.flatnonzero(variants[anchor] > 1)
+        found = [np.full(len(s) - length + 1, many) for s, many in zip(strings, several.tolist())]
+        if len(sorted_):
+            starts = repeated_starts([strings[k] for k in sorted_.tolist()], several[sorted_], length, lead[sorted_])
+            for k, bits in zip(sorted_.tolist(), starts):
+                found[k] = bits
+        return [packed(np.packbits(np.concatenate([found[k] for k in w]))) for w, _, _ in heard]
 
     return tell
 
@@ -262,7 +347,7 @@ def _size():
 
 def _distinct_strings(message: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a message's distinct strings in two halves, whether one stands twice, and which each start has."""
-    _, segments, twice = _heard_strings(message)
+    _, segments, _, twice = _heard_strings(message)
     sizes = np.array([len(s) for s in segments], np.int64)
     data = np.frombuffer(b"".join(segments), np.uint8).astype(np.uint64)
     counts = sizes - length + 1
@@ -358,18 +443,15 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
     buckets = bucket_count(blocks)
 
     def ask(block, _):
-        yield from ask_shared(Bytes(block, length, gram).anchors(), buckets)
+        yield from ask_shared(Bytes(block, length, gram).keys, buckets)
 
     shared = stored(answered(sent(blocks, None, ask), tell_shared), "shared")
 
     def look_up(block, replies):
         text = Bytes(block, length, gram)
-        anchors = text.anchors()
-        many = np.unique(anchors[hear_shared(anchors, buckets, replies)]) if len(anchors) else anchors
-        keys, first, last = text.segments(lambda values: np.isin(values, many))
-        for bucket, entries in _messages(text, keys, first, last, buckets).items():
-            yield bucket, _sent_strings(entries)
-        yield -1, packed(np.stack([keys, first.view(np.uint64), last.view(np.uint64)]))
+        asked, told = _segments(text, hear_shared(text.keys, buckets, replies), buckets)
+        yield from asked
+        yield -1, packed(told)
 
     messages = stored(sent(blocks, shared, look_up), "segments")
     told = messages.where("bucket < 0")
@@ -386,21 +468,16 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, into
     def remove(batches):
         for _, row, replies in _rows(batches):
             block = Block.of_row(row)
-            keys, first, last = unpacked(replies[-1], np.uint64).reshape(3, -1)
-            first, last = first.view(np.int64), last.view(np.int64)
+            first, count, bit = unpacked(replies.pop(-1), np.int64).reshape(3, -1)
             texts = [t or b"" for t in block.texts]
-            text = Bytes.__new__(Bytes)
-            text.length, text.data = length, b"".join(texts)
-            cover = np.zeros(len(text.data) + 1, np.int32)
-            for bucket, entries in _messages(text, keys, first, last, buckets).items():
-                bits = np.unpackbits(unpacked(replies[bucket], np.uint8)) > 0
-                at = 0
-                for _, string, places in entries:
-                    starts = np.flatnonzero(bits[at : at + len(string) - length + 1])
-                    at += len(string) - length + 1
-                    for k in places:
-                        cover[first[k] + starts] += 1
-                        cover[first[k] + starts + length] -= 1
+            cover = np.zeros(sum(map(len, texts)) + 1, np.int32)
+            if len(first):
+                bits = np.unpackbits(np.concatenate([unpacked(replies[b], np.uint8) for b in sorted(replies)])) > 0
+                # Every start is in one segment.
+                step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                starts = (np.repeat(first, count) + step)[bits[np.repeat(bit, count) + step]]
+                cover[starts] += 1
+                cover[starts + length] -= 1
             gone = np.cumsum(cover)[:-1] > 0
             found, begin = [], 0
             for data in texts:
